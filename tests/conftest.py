@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from clicktide.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory) -> SparkSession:
+    conf = {
+        "spark.master": "local[8]",
+        "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = build_session("clicktide-tests", conf)
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    """A fresh place for a test's files, as text."""
+    return str(tmp_path)
