@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clicktide.sources.archive import path_exists
 
-# Quotes are doubled as in RFC 4180, text keeps its spaces and line breaks, and an
-# empty text stays apart from a null.
+# Quotes are doubled as in RFC 4180, and text keeps its spaces.
 CSV_FORMAT = {
     "header": "true",
     "escape": '"',
@@ -17,8 +16,13 @@ CSV_FORMAT = {
 
 
 def read_report_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV report under its declared layout; inference would turn id 007 into 7."""
-    return spark.read.schema(schema).options(**CSV_FORMAT).option("multiLine", True).csv(path)
+    """A CSV report under its declared layout; inference would turn id 007 into 7.
+
+    Line breaks within text are kept. So is an empty text, which is written in
+    quotes: the reader's mark for a null must be another than the empty text.
+    """
+    reader = spark.read.schema(schema).options(**CSV_FORMAT)
+    return reader.options(multiLine="true", nullValue="\0").csv(path)
 
 
 def read_report_text(spark: SparkSession, path: str) -> DataFrame:

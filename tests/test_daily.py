@@ -1,0 +1,167 @@
+import glob
+import os
+from datetime import date
+
+import pandas as pd
+import pytest
+
+from clicktide.operators import conversion_rates, top_products, user_segments
+from clicktide.plans import ReportPaths, build_report_bundle, run_daily_reports
+from clicktide.schemas import CONVERSION, USER_SEGMENT
+from clicktide.sinks import publish_events, write_archive, write_report_csv, write_report_text
+from clicktide.sources import (
+    load_events_for_date,
+    parse_events,
+    read_report_csv,
+    read_report_text,
+)
+from tests.helpers import as_list, as_set, at, event, events_of
+
+DAY = 24 * 60
+
+
+@pytest.fixture
+def events(spark):
+    kinds = ["view", "view", "view", "purchase", "add_to_cart", "signup"]
+    rows = [
+        event(kinds[number % 6], user=f"u{number % 31}", product=f"p{number % 9}",
+              category=f"c{number % 4}", time=at(number % 3 * DAY + number % 11))
+        for number in range(400)
+    ]
+    rows += [event(user=None), event(product=None), event(category=None), event(kind=None)]
+    return events_of(spark, rows)
+
+
+@pytest.fixture
+def archive(events, folder):
+    write_archive(events, f"{folder}/archive")
+    return f"{folder}/archive"
+
+
+def csv_of(path):
+    """The report as any other program reads it."""
+    parts = sorted(glob.glob(f"{path}/part-*.csv"))
+    return pd.concat([pd.read_csv(part) for part in parts], ignore_index=True)
+
+
+def test_reports_of_a_day(spark, archive, folder):
+    run = run_daily_reports(spark, archive, f"{folder}/out", "2026-01-01")
+    day = load_events_for_date(spark, archive, "2026-01-01")
+    assert run.requested_date == run.source_date == date(2026, 1, 1)
+    assert run.events == day.count()
+
+    segments = user_segments(day)
+    assert as_set(read_report_csv(spark, run.paths.user_segments, USER_SEGMENT)) == as_set(segments)
+    assert run.users == segments.count()
+    assert run.segments == {
+        row.segment: row["count"] for row in segments.groupBy("segment").count().collect()
+    }
+
+    rates = read_report_csv(spark, run.paths.conversion_rates, CONVERSION)
+    assert as_list(rates) == as_list(conversion_rates(day))
+    assert csv_of(run.paths.conversion_rates)["category"].tolist() == [
+        row.category for row in conversion_rates(day).collect()
+    ]
+    assert len(glob.glob(f"{run.paths.conversion_rates}/part-*.csv")) == 1
+
+    lines = [row.value for row in read_report_text(spark, run.paths.top_products).collect()]
+    ranked = [
+        f"{row.rank:<6}{row.product_id:<10}{row.category:<16}{row.view_count:>10,}"
+        for row in top_products(day).collect()
+    ]
+    assert lines[1] == "  Top 5 Most-Viewed Products  -  2026-01-01"
+    assert lines[5:-1] == ranked and len(ranked) == 5
+
+
+def test_run_can_be_repeated(spark, archive, folder):
+    first = run_daily_reports(spark, archive, f"{folder}/out", "2026-01-02")
+    again = run_daily_reports(spark, archive, f"{folder}/out", "2026-01-02")
+    assert again == first
+    assert len(csv_of(first.paths.user_segments)) == first.users
+
+
+def test_fallback_keeps_the_requested_label(spark, archive, folder):
+    run = run_daily_reports(spark, archive, f"{folder}/out", "2026-02-01")
+    assert (run.requested_date, run.source_date) == (date(2026, 2, 1), date(2026, 1, 3))
+    assert os.path.isdir(f"{folder}/out/user_segments_2026-02-01.csv")
+    lines = read_report_text(spark, run.paths.top_products).collect()
+    assert lines[1].value.endswith("-  2026-02-01")
+
+
+def test_bundle(spark, archive, folder):
+    out = f"{folder}/out"
+    run = run_daily_reports(spark, archive, out, "2026-01-01")
+    bundle = build_report_bundle(spark, out, "2026-01-01")
+
+    headline = bundle.headline.first()
+    assert (headline.total_users, headline.buyers) == (run.users, run.segments["BUYER"])
+
+    rates = as_list(read_report_csv(spark, run.paths.conversion_rates, CONVERSION))
+    expected = [
+        (category, str(views), str(carts), str(bought), f"{round(rate * 100, 2)}%")
+        for category, views, carts, bought, rate in rates
+    ]
+    assert as_list(bundle.conversion_table) == expected
+    assert as_list(bundle.conversion_chart) == [
+        (category, rate * 100, f"{rate * 100:.1f}%") for category, _, _, _, rate in rates
+    ]
+    assert bundle.top_products_lines.count() == 11
+
+    users = as_list(read_report_csv(spark, run.paths.user_segments, USER_SEGMENT))
+    best = sorted(users, key=lambda row: (-row[3], -row[1], row[0]))[:25]
+    assert as_list(bundle.top_users_table) == [tuple(map(str, row)) for row in best]
+
+
+@pytest.mark.parametrize("missing", [
+    "user_segments", "top_products", "conversion_rates", "conversion_chart"
+])
+def test_bundle_requires_every_report(spark, archive, folder, missing):
+    out = f"{folder}/out"
+    run_daily_reports(spark, archive, out, "2026-01-01")
+    path = getattr(ReportPaths.of(out, "2026-01-01"), missing)
+    os.rename(path, f"{path}.moved")
+    with pytest.raises(FileNotFoundError, match=os.path.basename(path)):
+        build_report_bundle(spark, out, "2026-01-01")
+
+
+def test_csv_keeps_text_as_it_is(spark, folder):
+    ids = ["007", "NA", "", " spaced ", 'quo"ted', "com,ma", "back\\slash", "line\nbreak", "null",
+           "cr\r\nlf", "Zoë", '"', '\\"', "'", "#hash", "tab\t"]
+    rows = [(text, 1, 2, 3, "BUYER") for text in ids]
+    rows.append((None, None, 2, 3, None))
+    table = spark.createDataFrame(rows, USER_SEGMENT)
+    write_report_csv(table, folder)
+    assert as_set(read_report_csv(spark, folder, USER_SEGMENT)) == set(rows)
+    by_pandas = pd.concat(
+        pd.read_csv(part, dtype=str, keep_default_na=False)
+        for part in glob.glob(f"{folder}/part-*.csv")
+    )
+    assert sorted(by_pandas["user_id"]) == sorted([*ids, ""])
+
+
+def test_csv_keeps_rates_exactly(spark, folder):
+    rows = [("a", 1, 2, 3, 1 / 3), ("b", 1, 2, 3, 1e-4), ("c", 1, 2, 3, 0.0), ("d", 1, 2, 3, 1e17)]
+    write_report_csv(spark.createDataFrame(rows, CONVERSION).coalesce(1), folder)
+    assert as_set(read_report_csv(spark, folder, CONVERSION)) == set(rows)
+    assert sorted(csv_of(folder)["conversion_rate"]) == sorted(row[4] for row in rows)
+
+
+def test_empty_csv_has_a_layout(spark, folder):
+    write_report_csv(spark.createDataFrame([], CONVERSION), folder)
+    assert as_list(read_report_csv(spark, folder, CONVERSION)) == []
+
+
+def test_text_is_written_in_line_order(spark, folder):
+    lines = spark.range(100).selectExpr("100 - id AS line_no", "CONCAT('line ', 100 - id) AS line")
+    write_report_text(lines.repartition(7), folder)
+    write_report_text(lines.repartition(7), folder)
+    assert [row.value for row in read_report_text(spark, folder).collect()] == [
+        f"line {number}" for number in range(1, 101)
+    ]
+
+
+def test_a_day_can_be_replayed_as_messages(spark, archive, folder):
+    day = load_events_for_date(spark, archive, "2026-01-01")
+    publish_events(day, "parquet", path=f"{folder}/topic")
+    replayed = parse_events(spark.read.parquet(f"{folder}/topic"))
+    assert sorted(map(str, as_list(replayed))) == sorted(map(str, as_list(day)))
