@@ -1,0 +1,83 @@
+"""The physical plans: what is read, where rows are reduced, and what must not occur."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+from clicktide.operators import (
+    conversion_rates,
+    sliding_window_counts,
+    top_active_users,
+    top_products,
+    user_segments,
+)
+from clicktide.sinks import write_archive
+from clicktide.sources import load_events_for_date, parse_events, to_event_messages
+from tests.helpers import at, event, events_of
+
+DAY = 24 * 60
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(plan):
+    return re.findall(r"ReadSchema: struct<(.*?)>(?:\n|$)", plan)
+
+
+@pytest.fixture(scope="module")
+def day(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("archive"))
+    write_archive(events_of(spark, [event(time=at(number * DAY)) for number in range(3)]), root)
+    return load_events_for_date(spark, root, "2026-01-02")
+
+
+def test_archive_day_is_pruned_to_its_partition(day):
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_reports_read_only_their_columns(day):
+    assert scans(plan_of(user_segments(day))) == ["user_id:string,event_type:string"]
+    assert scans(plan_of(conversion_rates(day))) == ["category:string,event_type:string"]
+    plan = plan_of(top_products(day))
+    assert scans(plan) == ["product_id:string,category:string,event_type:string"]
+    assert "EqualTo(event_type,view)" in plan
+
+
+def test_counting_a_day_reads_no_column(day):
+    assert scans(plan_of(day.groupBy().count())) == [""]
+
+
+def test_reports_shuffle_partial_counts_once(day):
+    plan = plan_of(user_segments(day))
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
+
+
+def test_top_k_without_a_full_sort(day):
+    for report in (top_products(day), top_active_users(user_segments(day))):
+        assert "TakeOrderedAndProject" in plan_of(report)
+    by_day = plan_of(top_products(day, by=["event_date"]))
+    assert by_day.count("WindowGroupLimit") == 2 and "Partial" in by_day
+
+
+def test_raw_rows_are_not_multiplied_by_windows(day):
+    plan = plan_of(sliding_window_counts(day, "1 day", "1 hour"))
+    assert plan.index("Expand") < plan.index("partial_count")
+
+
+def test_text_is_parsed_once(spark):
+    messages = to_event_messages(events_of(spark, [event()]))
+    parsed = parse_events(messages)
+    assert plan_of(sliding_window_counts(parsed)).count("from_json(") == 1
+    assert plan_of(parsed.where(F.col("event_type") == "view")).count("from_json(") == 1
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_registered_queries_stay_in_the_engine(spark, name):
+    plan = plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+    for operator in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Broadcast"):
+        assert operator not in plan

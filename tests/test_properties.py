@@ -1,0 +1,140 @@
+"""Results against a brute-force model in plain Python, for arbitrary events."""
+
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta, timezone
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from clicktide.operators import (
+    conversion_rates,
+    flash_sale_alerts,
+    sliding_window_counts,
+    top_active_users,
+    top_products,
+    user_segments,
+)
+from clicktide.plans import product_activity
+from clicktide.sources import parse_events, to_event_messages
+from tests.helpers import as_list, as_set, events_of
+
+KINDS = ["view", "add_to_cart", "purchase"]
+START = datetime(2025, 12, 31, 22, 0, tzinfo=timezone.utc)
+
+moments = st.integers(0, 4 * 3600).map(lambda seconds: START + timedelta(seconds=seconds))
+rows = st.lists(
+    st.tuples(
+        st.sampled_from(["u1", "u2", "u3", "", None]),
+        st.sampled_from(["p1", "p2", "p3", None]),
+        st.sampled_from(["c1", "c2", None]),
+        st.sampled_from([*KINDS, "view", "signup", "View", None]),
+        st.one_of(moments, st.none()),
+    ),
+    max_size=40,
+)
+given_events = given(rows)
+few = settings(
+    max_examples=12, deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+
+
+def counted(groups):
+    """Per group: how many views, cart additions and purchases."""
+    return {key: tuple(Counter(kinds)[kind] for kind in KINDS) for key, kinds in groups.items()}
+
+
+def grouped(events, key):
+    groups = defaultdict(list)
+    for row in events:
+        groups[key(row)].append(row[3])
+    return groups
+
+
+@few
+@given_events
+def test_daily_reports(spark, events):
+    table = events_of(spark, events)
+    typed = [row for row in events if row[3] is not None]
+
+    users = counted(grouped([row for row in typed if row[0] is not None], lambda row: row[0]))
+    segments = user_segments(table)
+    assert as_set(segments) == {
+        (user, *counts, "BUYER" if counts[2] else "WINDOW_SHOPPER")
+        for user, counts in users.items()
+    }
+    best = sorted(users.items(), key=lambda item: (-item[1][2], -item[1][0], item[0]))[:2]
+    assert [row[0] for row in as_list(top_active_users(segments, 2))] == [user for user, _ in best]
+
+    categories = counted(grouped([row for row in typed if row[2] is not None], lambda row: row[2]))
+    rated = [
+        (name, *counts, counts[2] / counts[0] if counts[0] else 0.0)
+        for name, counts in categories.items()
+    ]
+    assert as_list(conversion_rates(table)) == sorted(rated, key=lambda row: (-row[4], row[0]))
+
+    views = Counter(
+        (row[1], row[2]) for row in events
+        if row[3] == "view" and row[1] is not None and row[2] is not None
+    )
+    ranked = sorted(views.items(), key=lambda item: (-item[1], item[0]))[:3]
+    assert as_list(top_products(table, 3)) == [
+        (rank, *key, count) for rank, (key, count) in enumerate(ranked, start=1)
+    ]
+
+    activity = counted(
+        grouped([row for row in typed if row[2] is not None], lambda row: (row[1], row[2]))
+    )
+    assert as_set(product_activity(table)) == {(*key, *counts) for key, counts in activity.items()}
+
+
+@few
+@given(rows, st.sampled_from([(10, 5), (10, 10), (15, 5), (10, 4), (7, 3)]))
+def test_windows_and_alerts(spark, events, shape):
+    size, slide = shape
+    groups = defaultdict(list)
+    for _, product, category, kind, moment in events:
+        if moment is None:
+            continue
+        minute = moment.timestamp() / 60
+        start = minute // slide * slide
+        while start > minute - size:
+            groups[(int(start), product, category)].append(kind)
+            start -= slide
+    expected = counted(groups)
+
+    counts = sliding_window_counts(
+        events_of(spark, events), f"{size} minutes", f"{slide} minutes"
+    )
+    start = (F.unix_seconds("window.start") / 60).cast("bigint")
+    ours = as_set(counts.select(
+        start, "product_id", "category", "views", "cart_adds", "purchases"
+    ))
+    assert ours == {(*key, *values) for key, values in expected.items()}
+    if size % slide == 0:
+        timed = [row for row in events if row[4] is not None and row[3] in KINDS]
+        assert sum(sum(row[3:]) for row in ours) == size // slide * len(timed)
+
+    alerts = flash_sale_alerts(counts, views_over=1, purchases_under=2)
+    assert alerts.count() == sum(
+        values[0] > 1 and values[2] < 2 for values in expected.values()
+    )
+
+
+@few
+@given(st.lists(
+    st.tuples(st.text(max_size=8), st.text(max_size=4), st.none(), st.text(max_size=4),
+              st.one_of(moments, st.none())),
+    max_size=20,
+))
+def test_messages_round_trip(spark, events):
+    keep = [
+        tuple(
+            value if not isinstance(value, str)
+            else value.encode("utf-8", "ignore").decode("utf-8")
+            for value in row
+        )
+        for row in events
+    ]
+    table = events_of(spark, keep)
+    assert as_list(parse_events(to_event_messages(table))) == as_list(table)
