@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.functions import event_type_counts, guarded_ratio, percent_label, percent_text
+from clicktide.functions import (
+    event_type_counts, guarded_ratio, known, percent_label, percent_text,
+)
 
 
 def conversion_rates(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -16,7 +18,7 @@ def conversion_rates(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     left out; other types are not counted, but their category is listed.
     """
     counts = (
-        events.where(F.col("category").isNotNull() & F.col("event_type").isNotNull())
+        events.where(known(*by, "category", "event_type"))
         .groupBy(*by, "category")
         .agg(*event_type_counts())
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.functions import pad_left, pad_right
+from clicktide.functions import known, pad_left, pad_right
 from clicktide.operators.ranking import top_rows
 from clicktide.schemas import TOP_PRODUCTS
 
@@ -23,11 +23,7 @@ def top_products(
 ) -> DataFrame:
     """``rank, product_id, category, view_count`` of the ``k`` most-viewed products."""
     views = (
-        events.where(
-            (F.col("event_type") == "view")
-            & F.col("product_id").isNotNull()
-            & F.col("category").isNotNull()
-        )
+        events.where((F.col("event_type") == "view") & known(*by, "product_id", "category"))
         .groupBy(*by, "product_id", "category")
         .agg(F.count("*").alias("view_count"))
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.functions import event_type_counts, guarded_ratio, percent_label
+from clicktide.functions import event_type_counts, guarded_ratio, known, percent_label
 from clicktide.operators.ranking import top_rows
 from clicktide.schemas import BUYER, TOP_USERS, WINDOW_SHOPPER
 
@@ -19,7 +19,7 @@ def user_segments(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ``by=["event_date"]`` gives the report of every day in one pass.
     """
     counts = (
-        events.where(F.col("user_id").isNotNull() & F.col("event_type").isNotNull())
+        events.where(known(*by, "user_id", "event_type"))
         .groupBy(*by, "user_id")
         .agg(*event_type_counts())
     )

@@ -5,9 +5,10 @@ from clicktide.plans.daily import (
     build_report_bundle,
     product_activity,
     run_daily_reports,
+    write_report_bundle,
 )
 
 __all__ = [
     "DailyRun", "ReportBundle", "ReportPaths", "build_report_bundle",
-    "product_activity", "run_daily_reports",
+    "product_activity", "run_daily_reports", "write_report_bundle",
 ]

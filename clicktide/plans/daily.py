@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicktide.functions import event_type_counts, summed_counts
+from clicktide.functions import event_type_counts, known, summed_counts
 from clicktide.operators import (
     conversion_chart_series,
     conversion_rates_display,
@@ -74,57 +76,77 @@ def product_activity(events: DataFrame) -> DataFrame:
     Rows without a product stay in, as they count for their category.
     """
     return (
-        events.where(F.col("category").isNotNull() & F.col("event_type").isNotNull())
+        events.where(known("category", "event_type"))
         .groupBy("product_id", "category")
         .agg(*event_type_counts())
     )
 
 
+def write_segments(spark: SparkSession, events: DataFrame, paths: ReportPaths) -> dict[str, int]:
+    """Write the segment report; returns the users per segment, from the finished file."""
+    write_report_csv(user_segments(events), paths.user_segments)
+    written = read_report_csv(spark, paths.user_segments, USER_SEGMENT)
+    return {row["segment"]: row["users"] for row in segment_summary(written).collect()}
+
+
+def write_conversion(activity: DataFrame, paths: ReportPaths) -> None:
+    """Write the rates per category and their chart series."""
+    rates = rate_categories(activity.groupBy("category").agg(*summed_counts()))
+    write_report_csv(rates, paths.conversion_rates)
+    write_report_csv(conversion_chart_series(rates), paths.conversion_chart)
+
+
+def write_top_products(
+    spark: SparkSession, activity: DataFrame, paths: ReportPaths, day: date | str, k: int
+) -> None:
+    """Write the text report of the most-viewed products, titled ``day``."""
+    views = activity.where(known("product_id") & (F.col("views") > 0)).select(
+        "product_id", "category", F.col("views").alias("view_count")
+    )
+    label = F.lit(str(day)).alias("report_date")
+    ranked = rank_products(views, k).select(label, "*")
+    lines = top_products_report(ranked, spark.range(1).select(label), k)
+    write_report_text(lines, paths.top_products)
+
+
 def run_daily_reports(
     spark: SparkSession, archive: str, out: str, requested: date | str, k: int = TOP_PRODUCTS
 ) -> DailyRun:
-    """Write the three reports of a day.
+    """Write the three reports of a day, the segments beside the other two.
 
     The day is scanned twice, each time for the columns that report needs: user and
     type for the segments; product, category and type for the other two, which share
     one small aggregate. That is less to read, and nothing to spill, compared with
-    caching the day itself. Run counts come from file footers and from the finished
-    segment report. Runs can be repeated: each replaces the outputs of the last.
+    caching the day itself. The number of events comes from the file footers. Runs
+    can be repeated: each replaces the outputs of the last.
     """
     source_date = resolve_event_date(spark, archive, requested)
     events = read_archive_day(spark, archive, source_date)
     paths = ReportPaths.of(out, requested)
+    activity = product_activity(events).persist()
 
-    write_report_csv(user_segments(events), paths.user_segments)
+    def write_product_reports() -> None:
+        # One after the other: the first fills the cache, the second reads it.
+        write_conversion(activity, paths)
+        write_top_products(spark, activity, paths, requested, k)
 
-    activity = product_activity(events).persist()
+    tasks = [
+        lambda: write_segments(spark, events, paths),
+        lambda: events.count(),
+        write_product_reports,
+    ]
     try:
-        rates = rate_categories(activity.groupBy("category").agg(*summed_counts()))
-        write_report_csv(rates, paths.conversion_rates)
-
-        views = activity.where(F.col("product_id").isNotNull() & (F.col("views") > 0)).select(
-            "product_id", "category", F.col("views").alias("view_count")
-        )
-        label = F.lit(str(requested)).alias("report_date")
-        lines = top_products_report(
-            rank_products(views, k).select(label, "*"), spark.range(1).select(label), k
-        )
-        write_report_text(lines, paths.top_products)
+        with ThreadPoolExecutor(len(tasks)) as pool:
+            started = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        segments, event_count, *_ = [task.result() for task in started]
     finally:
         activity.unpersist()
-
-    finished_rates = read_report_csv(spark, paths.conversion_rates, CONVERSION)
-    ordered_rates = finished_rates.orderBy(F.desc("conversion_rate"), F.asc("category"))
-    write_report_csv(conversion_chart_series(ordered_rates), paths.conversion_chart)
-
-    segments = read_report_csv(spark, paths.user_segments, USER_SEGMENT)
-    summary = {row["segment"]: row["users"] for row in segment_summary(segments).collect()}
     return DailyRun(
         requested_date=date.fromisoformat(str(requested)),
         source_date=source_date,
-        events=events.count(),
-        users=sum(summary.values()),
-        segments=summary,
+        events=event_count,
+        users=sum(segments.values()),
+        segments=segments,
         paths=paths,
     )
 
@@ -153,3 +175,17 @@ def build_report_bundle(spark: SparkSession, out: str, requested: date | str) ->
         top_products_lines=read_report_text(spark, paths.top_products),
         top_users_table=display_table(top_active_users(segments, TOP_USERS)),
     )
+
+
+def write_report_bundle(bundle: ReportBundle, out: str, requested: date | str) -> str:
+    """Write the bundle's tables as CSV below one folder, which is returned."""
+    folder = f"{out}/analyzed_report_{requested}"
+    write_report_csv(bundle.headline, f"{folder}/headline.csv")
+    write_report_csv(bundle.conversion_table, f"{folder}/conversion_rates.csv")
+    write_report_csv(bundle.conversion_chart, f"{folder}/conversion_chart.csv")
+    write_report_csv(bundle.top_users_table, f"{folder}/top_users.csv")
+    numbered = bundle.top_products_lines.select(
+        F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line")
+    )
+    write_report_text(numbered, f"{folder}/top_products.txt")
+    return folder

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 
 from clicktide.sources.reports import CSV_FORMAT
 
+# A reader cannot split a CSV file whose text may hold line breaks.
+MAX_ROWS_PER_FILE = 5_000_000
+
 
 def write_report_csv(report: DataFrame, path: str) -> None:
     """Write a table as CSV, replacing an earlier run's.
@@ -13,7 +16,8 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     Parts keep the order of a sorted table. Nothing is gathered into one task:
     adaptive execution leaves a small report in one part and a large one in many.
     """
-    report.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
+    writer = report.write.mode("overwrite").options(**CSV_FORMAT)
+    writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).csv(path)
 
 
 def write_report_text(lines: DataFrame, path: str) -> None:

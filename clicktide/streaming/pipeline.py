@@ -69,6 +69,7 @@ def start_pipeline(messages: DataFrame, config: PipelineConfig) -> dict[str, Str
 
 
 def run_pipeline(spark: SparkSession, messages: DataFrame, config: PipelineConfig) -> None:
-    """Run until one of the queries ends or fails."""
+    """Run until one of the queries ends or fails; a failure is raised here."""
+    spark.streams.resetTerminated()
     start_pipeline(messages, config)
     spark.streams.awaitAnyTermination()

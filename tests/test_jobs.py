@@ -1,0 +1,83 @@
+import json
+
+import pytest
+
+from clicktide.__main__ import arguments, main
+from clicktide.sources import parse_events, read_archive
+from clicktide.streaming import PipelineConfig, run_pipeline
+from tests.helpers import as_list, as_set, at, event
+from tests.test_streaming import Feed
+
+
+@pytest.fixture
+def feed(spark, folder):
+    feed = Feed(spark, f"{folder}/feed")
+    feed.add(
+        *[event(user=f"u{number}", time=at(number / 50)) for number in range(101)],
+        event("purchase", user="u1", time=at(1)),
+    )
+    return feed
+
+
+def test_from_events_to_reports(spark, feed, folder, capsys):
+    archive = f"{folder}/archive"
+    main(["pipeline", "--events", feed.folder, "--archive", archive,
+          "--checkpoints", f"{folder}/checkpoints", "--alert-table", f"{folder}/alerts", "--once"])
+    assert read_archive(spark, archive).count() == 102
+    alerts = spark.read.parquet(f"{folder}/alerts")
+    assert {row.views for row in alerts.collect()} == {101}
+    assert "FLASH_SALE_SUGGESTED" in capsys.readouterr().out
+
+    main(["daily", "--archive", archive, "--out", f"{folder}/out", "--date", "2026-01-04"])
+    printed = capsys.readouterr().out
+    assert "no events on 2026-01-04, took 2026-01-01" in printed
+    assert "102 events, 101 users" in printed
+    bundle = f"{folder}/out/analyzed_report_2026-01-04"
+    headline = spark.read.csv(f"{bundle}/headline.csv", header=True).first()
+    assert (headline.total_users, headline.buyers) == ("101", "1")
+    rates = spark.read.csv(f"{bundle}/conversion_rates.csv", header=True)
+    assert as_list(rates) == [("C1", "101", "0", "1", "0.99%")]
+    assert spark.read.csv(f"{bundle}/top_users.csv", header=True).count() == 25
+    lines = [row.value for row in spark.read.text(f"{bundle}/top_products.txt").collect()]
+    assert lines[1].endswith("2026-01-04") and lines[0] == lines[-1] == "=" * 64
+
+    main(["replay", "--archive", archive, "--date", "2026-01-01", "--out", f"{folder}/messages"])
+    messages = spark.read.schema("key STRING, value STRING").json(f"{folder}/messages")
+    assert all(row.key == json.loads(row.value)["user_id"] for row in messages.collect())
+    assert sorted(map(str, as_list(parse_events(messages)))) == sorted(
+        map(str, as_list(read_archive(spark, archive)))
+    )
+
+
+def test_final_alerts_and_rule_from_the_command_line(spark, feed, folder):
+    feed.add(event(time=at(300)))
+    feed.add(event(time=at(301)))
+    main(["pipeline", "--events", feed.folder, "--archive", f"{folder}/archive",
+          "--checkpoints", f"{folder}/checkpoints", "--alert-table", f"{folder}/alerts",
+          "--source-option", "maxFilesPerTrigger=1", "--size", "10 minutes", "--slide", "10 minutes",
+          "--alerts", "final", "--views-over", "50", "--once"])
+    alerts = spark.read.parquet(f"{folder}/alerts").select("views", "purchases")
+    assert as_set(alerts) == {(101, 1)}
+
+
+def test_failure_of_a_query_ends_the_run(spark, feed, folder):
+    def broken(batch, batch_id):
+        raise RuntimeError("sink is down")
+
+    config = PipelineConfig(
+        archive=f"{folder}/archive", checkpoints=f"{folder}/checkpoints", alert_sinks=[broken]
+    )
+    try:
+        with pytest.raises(Exception, match="sink is down"):
+            run_pipeline(spark, feed.messages(), config)
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+
+
+def test_kafka_job_needs_brokers_or_files():
+    with pytest.raises(SystemExit):
+        arguments(["pipeline", "--archive", "a", "--checkpoints", "c"])
+    args = arguments(["pipeline", "--servers", "b:1", "--archive", "a", "--checkpoints", "c"])
+    assert (args.topic, args.alert_topic) == ("clickstream-events", "flash-sale-alerts")
+    assert (args.views_over, args.purchases_under, args.once) == (100, 5, False)

@@ -57,8 +57,9 @@ def test_every_day_in_one_pass_equals_day_by_day(spark):
               time=at(number * 300))
         for number, kind in enumerate(["view", "view", "purchase", "add_to_cart", "other"] * 8)
     ]
-    events = events_of(spark, rows)
-    days = [row.event_date for row in events.select("event_date").distinct().collect()]
+    dated = events_of(spark, rows)
+    events = dated.union(events_of(spark, [event(user="undated", time=None)]))
+    days = [row.event_date for row in dated.select("event_date").distinct().collect()]
     assert len(days) > 5
     reports = {
         "segments": user_segments,
