@@ -226,6 +226,12 @@ def sliding_window_counts_10min(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(ops.with_window_bounds(counts))
 
 
+def sliding_window_counts_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Day windows that start every hour, so each event is in 24 of them."""
+    counts = ops.sliding_window_counts(_events(spark, folder), "1 day", "1 hour")
+    return _zoneless(ops.with_window_bounds(counts))
+
+
 def flash_sale_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(_alerts(_events(spark, folder)))
 
@@ -304,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_top_users_table": daily_top_users_table,
         "sliding_window_counts": sliding_window_counts,
         "sliding_window_counts_10min": sliding_window_counts_10min,
+        "sliding_window_counts_hourly": sliding_window_counts_hourly,
         "flash_sale_alerts": flash_sale_alerts,
         "flash_sale_alert_messages": flash_sale_alert_messages,
         "stream_raw_archive": stream_raw_archive,
@@ -485,6 +492,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_top_users_table": _as_text_sql(user_columns, _top_users_sql("", _ON_DAY)),
         "sliding_window_counts": windows,
         "sliding_window_counts_10min": _windows_sql("10 MINUTE", "5 MINUTE", 2),
+        "sliding_window_counts_hourly": _windows_sql("1 DAY", "1 HOUR", 24),
         "flash_sale_alerts": _alerts_sql(),
         "flash_sale_alert_messages": f"""
             SELECT product_id AS "key",

@@ -23,14 +23,15 @@ def previous_day(day: ColumnOrName) -> Column:
     return F.date_sub(as_column(day).cast("date"), 1).cast("string")
 
 
-def pane_width(size: str, slide: str) -> str | None:
-    """Longest pane of which both the window size and the slide are multiples.
-
-    ``None`` if a duration is one whose length only Spark can tell.
-    """
+def window_copies(size: str, slide: str) -> float:
+    """How many windows an event falls into; 1 for durations only Spark can read."""
     try:
-        spans = [pd.Timedelta(text) for text in (size, slide)]
+        return pd.Timedelta(size) / pd.Timedelta(slide)
     except ValueError:
-        return None
-    micros = math.gcd(*(span.value // 1000 for span in spans))
+        return 1.0
+
+
+def pane_width(size: str, slide: str) -> str:
+    """Longest pane of which both the window size and the slide are multiples."""
+    micros = math.gcd(*(pd.Timedelta(text).value // 1000 for text in (size, slide)))
     return f"{micros} microseconds"

@@ -89,7 +89,7 @@ def test_daily_reports(spark, events):
 
 
 @few
-@given(rows, st.sampled_from([(10, 5), (10, 10), (15, 5), (10, 4), (7, 3)]))
+@given(rows, st.sampled_from([(10, 5), (10, 10), (20, 5), (18, 4), (7, 3), (7, 1)]))
 def test_windows_and_alerts(spark, events, shape):
     size, slide = shape
     groups = defaultdict(list)

@@ -3,7 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from clicktide.functions import pane_width
+from clicktide.functions import pane_width, window_copies
 from clicktide.operators import flash_sale_alerts, sliding_window_counts, with_window_bounds
 from tests.helpers import as_list, as_set, at, event, events_of
 
@@ -75,10 +75,22 @@ def test_times_before_the_epoch(spark):
     ("1 day", "12 hours", "43200000000 microseconds"),
     ("10 minutes", "4 minutes", "120000000 microseconds"),
     ("7 seconds", "5 seconds", "1000000 microseconds"),
-    ("1 week", "1 day", None),
 ])
-def test_panes(spark, size, slide, pane):
+def test_pane_width(size, slide, pane):
     assert pane_width(size, slide) == pane
+
+
+def test_window_copies():
+    assert window_copies("10 minutes", "5 minutes") == 2
+    assert window_copies("1 day", "1 hour") == 24
+    assert window_copies("1 week", "1 hour") == 1
+
+
+@pytest.mark.parametrize("size, slide", [
+    ("10 minutes", "5 minutes"), ("1 hour", "5 minutes"), ("1 day", "6 hours"),
+    ("10 minutes", "90 seconds"), ("17 minutes", "4 minutes"), ("1 week", "1 day"),
+])
+def test_panes_change_nothing(spark, size, slide):
     events = events_of(spark, [
         event("view" if number % 3 else "purchase", product=f"P{number % 2}",
               time=minute(number * 1.7))
