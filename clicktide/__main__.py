@@ -51,6 +51,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     pipeline.add_argument("--alert-table", help="also keep alerts in this folder")
     pipeline.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
     pipeline.add_argument("--archive", required=True)
+    pipeline.add_argument("--archive-files", type=int, help="files per micro-batch and date")
     pipeline.add_argument("--checkpoints", required=True)
     pipeline.add_argument("--size", default=WINDOW_SIZE)
     pipeline.add_argument("--slide", default=WINDOW_SLIDE)
@@ -100,6 +101,7 @@ def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
         lateness=args.lateness,
         views_over=args.views_over,
         purchases_under=args.purchases_under,
+        archive_files=args.archive_files,
         alert_mode="update" if args.alerts == "provisional" else "append",
         **triggers,
     )

@@ -36,8 +36,16 @@ def write_archive_stream(
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream to the archive, exactly once; no event is too late for it."""
+    """Append a stream to the archive, exactly once; no event is too late for it.
+
+    Every task of a micro-batch writes a file per date it holds. ``files`` spreads the
+    batch evenly over that many tasks first, so a wide source and a short trigger do
+    not leave many small files.
+    """
+    if files:
+        events = events.repartition(files)
     return (
         events.writeStream.format("parquet")
         .outputMode("append")

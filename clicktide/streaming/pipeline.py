@@ -36,6 +36,7 @@ class PipelineConfig:
     purchases_under: int = ALERT_PURCHASES_UNDER
     alert_mode: str = "update"
     archive_trigger: dict = field(default_factory=lambda: dict(ARCHIVE_TRIGGER))
+    archive_files: int | None = None
     alert_trigger: dict | None = None
 
 
@@ -57,6 +58,7 @@ def start_pipeline(messages: DataFrame, config: PipelineConfig) -> dict[str, Str
             config.archive,
             f"{config.checkpoints}/archive",
             config.archive_trigger,
+            config.archive_files,
         ),
         "alerts": write_alerts(
             detect_alerts(events, config),

@@ -191,6 +191,19 @@ def test_archive_resumes_without_loss_or_repetition(spark, feed, folder):
     assert catch_up() == ["a", "a", "b", "c", "d"]
 
 
+@pytest.mark.parametrize("files, expected", [(None, 4), (1, 1)])
+def test_archive_files_per_batch(spark, feed, folder, files, expected):
+    for number in range(4):
+        feed.add(*[event(user=f"{number}-{other}") for other in range(5)])
+    messages = read_event_stream(spark, "text", feed.folder)
+    query = write_archive_stream(
+        parse_events(messages), f"{folder}/archive", f"{folder}/cp", TO_THE_END, files
+    )
+    query.awaitTermination()
+    archived = read_archive(spark, f"{folder}/archive")
+    assert archived.count() == 20 and len(archived.inputFiles()) == expected
+
+
 def test_alert_state_survives_a_restart(spark, feed, folder):
     alerts = flash_sale_alerts(sliding_window_counts(feed.events()), **STRICT)
     feed.add(*[event(time=minute(1))] * 2)
