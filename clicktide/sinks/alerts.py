@@ -32,7 +32,10 @@ def message_sink(fmt: str = "kafka", **options: str) -> BatchSink:
 
 
 def table_sink(root: str) -> BatchSink:
-    """Keep each batch under its own folder, so a repeated batch replaces itself."""
+    """Keep each batch under its own folder, so a repeated batch replaces itself.
+
+    The folder belongs to one checkpoint: batches are numbered anew in another.
+    """
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
     return deliver
@@ -47,17 +50,18 @@ def write_to_sinks(
 ) -> StreamingQuery:
     """Feed every sink from one query: one read and one state for all of them.
 
+    The batch is computed whole before the first sink sees it: a sink may look at a
+    few rows only, and window state is committed just for the partitions computed.
     A batch that is run again after a failure is delivered again.
     """
     def fan_out(batch: DataFrame, batch_id: int) -> None:
-        if len(sinks) > 1:
-            batch.persist()
+        batch.persist()
         try:
+            batch.count()
             for deliver in sinks:
                 deliver(batch, batch_id)
         finally:
-            if len(sinks) > 1:
-                batch.unpersist()
+            batch.unpersist()
 
     writer = (
         stream.writeStream.foreachBatch(fan_out)

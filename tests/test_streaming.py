@@ -241,6 +241,24 @@ def test_one_query_feeds_several_sinks(spark, feed, folder, capsys):
     assert {json.loads(row.value)["views"] for row in messages} == {3}
 
 
+def test_state_is_whole_when_a_sink_reads_only_some_rows(spark, feed, folder):
+    products = [f"p{number}" for number in range(40)]
+    for _ in range(3):
+        feed.add(*[event(product=product, time=minute(1)) for product in products])
+    counts = with_window_bounds(sliding_window_counts(feed.events()))
+    seen = []
+
+    def first_row(batch, batch_id):
+        batch.show(1)
+        seen.append(batch.first().views)
+
+    query = write_to_sinks(counts, [first_row], f"{folder}/cp", trigger=TO_THE_END)
+    query.awaitTermination()
+    assert seen == [1, 2, 3]
+    kept = [progress["stateOperators"][0]["numRowsTotal"] for progress in query.recentProgress]
+    assert kept[:3] == [80, 80, 80]
+
+
 def test_repeated_batch_replaces_itself_in_a_table(spark, folder):
     alerts = spark.range(3)
     deliver = table_sink(folder)
@@ -288,6 +306,22 @@ def test_pipeline_with_default_rule(spark, feed, folder):
         assert batches(spark, f"{folder}/alerts") == [(0, -5, 101, 4), (0, 0, 101, 4)]
 
 
+def test_console_alone_is_enough_for_many_products(spark, feed, folder, capsys):
+    for _ in range(2):
+        feed.add(*[event(product=f"p{number}", time=minute(1)) for number in range(60)] * 2)
+    config = PipelineConfig(
+        archive=f"{folder}/archive", checkpoints=f"{folder}/checkpoints", views_over=3,
+        archive_trigger=TO_THE_END, alert_trigger=TO_THE_END,
+    )
+    queries = start_pipeline(feed.messages(), config)
+    for query in queries.values():
+        query.awaitTermination()
+    totals = [progress["stateOperators"][0]["numRowsTotal"]
+              for progress in queries["alerts"].recentProgress]
+    assert totals[:2] == [120, 120]
+    assert capsys.readouterr().out.count("FLASH_SALE_SUGGESTED") == 20
+
+
 def test_pipeline_defaults(folder):
     config = PipelineConfig(archive=folder, checkpoints=folder)
     assert (config.size, config.slide, config.lateness) == ("10 minutes", "5 minutes", "2 minutes")
