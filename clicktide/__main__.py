@@ -26,7 +26,7 @@ from clicktide.schemas import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
-from clicktide.session import build_session
+from clicktide.session import build_session, sized_for
 from clicktide.sinks import (
     console_sink,
     kafka_sink_options,
@@ -34,7 +34,13 @@ from clicktide.sinks import (
     publish_events,
     table_sink,
 )
-from clicktide.sources import kafka_source_options, load_events_for_date, read_event_stream
+from clicktide.sources import (
+    day_bytes,
+    kafka_source_options,
+    load_events_for_date,
+    read_event_stream,
+    resolve_event_date,
+)
 from clicktide.streaming import PipelineConfig, run_pipeline, start_pipeline
 
 
@@ -113,7 +119,9 @@ def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
-    run = run_daily_reports(spark, args.archive, args.out, args.date)
+    source_date = resolve_event_date(spark, args.archive, args.date)
+    with sized_for(spark, day_bytes(spark, args.archive, source_date)):
+        run = run_daily_reports(spark, args.archive, args.out, args.date)
     if run.source_date != run.requested_date:
         print(f"no events on {run.requested_date}, took {run.source_date}")
     print(f"{run.events:,} events, {run.users:,} users, segments {run.segments}")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,43 @@ def build_session(app_name: str = "clicktide", conf: dict[str, str] | None = Non
     return spark
 
 
+MIB = 1024 * 1024
+SPLIT_BYTES = (128 * MIB, 1024 * MIB)
+INPUT_PER_SHUFFLE_PARTITION = 256 * MIB
+# Beyond this the driver's bookkeeping costs more than smaller partitions save.
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle settings for a batch job over that much Parquet.
+
+    Reports read a few columns of a split, so splits may be large: four rounds of
+    tasks per core, within bounds. Shuffles start with a partition per 256 MiB of
+    input, which adaptive execution merges where partial counts are smaller.
+    """
+    smallest, largest = SPLIT_BYTES
+    split = min(max(input_bytes // (4 * cores), smallest), largest)
+    partitions = min(max(input_bytes // INPUT_PER_SHUFFLE_PARTITION, cores), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Run the block with ``sizing`` for this session's cores, then restore."""
+    settings = sizing(input_bytes, spark.sparkContext.defaultParallelism)
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 

@@ -1,5 +1,6 @@
 from clicktide.sources.archive import (
     archive_dates,
+    day_bytes,
     load_events_for_date,
     read_archive,
     read_archive_day,
@@ -16,7 +17,7 @@ from clicktide.sources.messages import (
 from clicktide.sources.reports import read_report_csv, read_report_text, require_reports
 
 __all__ = [
-    "archive_dates", "kafka_source_options", "load_events_for_date", "parse_events",
+    "archive_dates", "day_bytes", "kafka_source_options", "load_events_for_date", "parse_events",
     "read_archive", "read_archive_day", "read_event_stream", "read_report_csv",
     "read_report_text", "require_reports", "resolve_event_date", "to_alert_messages",
     "to_event_messages", "with_ingest_metrics",

@@ -45,6 +45,12 @@ def archive_dates(spark: SparkSession, root: str) -> list[date]:
     return sorted(days, reverse=True)
 
 
+def day_bytes(spark: SparkSession, root: str, day: date) -> int:
+    """Size of a day's folder, asked of the file system."""
+    fs, path = _file_system(spark, f"{root}/{ARCHIVE_PARTITION}={day}")
+    return fs.getContentSummary(path).getLength()
+
+
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
     """The whole archive, undated events included."""
     return spark.read.schema(ARCHIVE).parquet(root)

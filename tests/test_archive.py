@@ -9,6 +9,7 @@ from clicktide.functions import previous_day, utc_date
 from clicktide.sinks import write_archive, write_archive_stream
 from clicktide.sources import (
     archive_dates,
+    day_bytes,
     load_events_for_date,
     parse_events,
     read_archive,
@@ -59,6 +60,14 @@ def test_only_the_days_folder_is_listed(spark, folder, three_days):
     assert files and all("event_date=2026-01-02" in name for name in files)
 
 
+def test_size_of_a_day(spark, folder, three_days):
+    write_archive(three_days, folder)
+    day = f"{folder}/event_date=2026-01-02"
+    parts = [name for name in os.listdir(day) if name.endswith(".parquet")]
+    expected = sum(os.path.getsize(f"{day}/{name}") for name in parts)
+    assert day_bytes(spark, folder, date(2026, 1, 2)) == expected > 0
+
+
 @pytest.mark.parametrize("asked", ["2026-01-09", "2025-01-01"])
 def test_absent_day_falls_back_to_last_real_day(spark, folder, three_days, asked):
     write_archive(three_days, folder)

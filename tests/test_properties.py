@@ -1,5 +1,6 @@
 """Results against a brute-force model in plain Python, for arbitrary events."""
 
+import os
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta, timezone
 
@@ -34,7 +35,7 @@ rows = st.lists(
 )
 given_events = given(rows)
 few = settings(
-    max_examples=12, deadline=None,
+    max_examples=int(os.environ.get("EXAMPLES", "12")), deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
 

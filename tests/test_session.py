@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from clicktide.operators import sliding_window_counts, with_window_bounds
 from clicktide.schemas import CLICKSTREAM
-from clicktide.session import DEFAULT_CONF, build_session, shared_folder
+from clicktide.session import DEFAULT_CONF, build_session, shared_folder, sized_for, sizing
 from clicktide.sinks import write_archive
 from clicktide.sources import load_events_for_date, parse_events, to_alert_messages, to_event_messages
 from tests.helpers import as_list, at, event, events_of
@@ -44,6 +44,27 @@ def test_no_machine_local_folder_on_a_cluster():
     assert folder.startswith("hdfs://shared/clicktide/x-")
 
 
+@pytest.mark.parametrize("input_bytes, cores, split, partitions", [
+    (0, 8, 128 * 2**20, 8),
+    (10 * 2**30, 8, 320 * 2**20, 40),
+    (300 * 2**30, 4000, 128 * 2**20, 4000),
+    (100 * 2**40, 4000, 2**30, 50_000),
+])
+def test_sizing(input_bytes, cores, split, partitions):
+    assert sizing(input_bytes, cores) == {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
+def test_sizing_is_restored(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(KeyError), sized_for(spark, 100 * 2**30):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "400"
+        raise KeyError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "Pacific/Auckland"])
 def test_results_do_not_depend_on_the_sessions_zone(spark, folder, zone):
     rows = [event(user=f"u{number}", time=at(number * 97)) for number in range(40)]
