@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -343,3 +344,61 @@ def test_processing_time_trigger_runs_until_stopped(spark, feed, folder):
     finally:
         query.stop()
     assert read_archive(spark, f"{folder}/archive").count() == 2
+
+
+class Model:
+    """What a stream delivers, batch by batch, in plain Python; times are minutes."""
+
+    def __init__(self, lateness=2):
+        self.lateness, self.newest, self.closing = lateness, None, None
+        self.state, self.updates, self.finals = {}, [], []
+
+    def batch(self, events):
+        dropping = self.closing
+        self.closing = None if self.newest is None else self.newest - self.lateness
+        touched = set()
+        for kind, product, moment in events:
+            newest_start = moment // 5 * 5
+            for start in (newest_start, newest_start - 5):
+                if dropping is not None and start + 10 <= dropping:
+                    continue
+                touched.add((start, product))
+                counts = self.state.setdefault((start, product), {"view": 0, "purchase": 0})
+                counts[kind] += 1
+        self.updates.append({(*key, *self.state[key].values()) for key in touched})
+        closed = [
+            key for key in self.state if self.closing is not None and key[0] + 10 <= self.closing
+        ]
+        self.finals.append({(*key, *self.state.pop(key).values()) for key in closed})
+        if events:
+            latest = max(moment for _, _, moment in events)
+            self.newest = latest if self.newest is None else max(latest, self.newest)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_sequence_of_batches_delivers_what_the_model_says(spark, feed, folder, seed):
+    choose = random.Random(seed)
+    model, clock = Model(), 100
+    for _ in range(7):
+        clock += choose.choice([0, 3, 8, 20])
+        batch = [
+            (choose.choice(["view", "view", "purchase"]), choose.choice("ab"),
+             clock - choose.choice([0, 1, 4, 9, 14, 30]))
+            for _ in range(choose.randint(1, 12))
+        ]
+        feed.add(*[event(kind, product=product, time=minute(moment))
+                   for kind, product, moment in batch])
+        model.batch(batch)
+    model.batch([])
+
+    counts = with_window_bounds(sliding_window_counts(feed.events()))
+    for mode, expected in (("update", model.updates), ("append", model.finals)):
+        root, _ = run(counts, folder, mode)
+        start = (F.unix_seconds("window_start") - int(HOUR0.timestamp())) / 60
+        rows = spark.read.parquet(root).select(
+            "batch_id", start.cast("int"), "product_id", "views", "purchases"
+        )
+        delivered = as_set(rows)
+        assert delivered == {
+            (number, *row) for number, batch in enumerate(expected) for row in batch
+        }
