@@ -62,12 +62,23 @@ def _zoneless(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
 
-def _archive(spark: SparkSession, folder: str) -> str:
+def _write_archive(spark: SparkSession, folder: str) -> str:
     root = shared_folder(spark, "archive")
     write_archive(_events(spark, folder), root)
     return root
 
 
+_ARCHIVES: dict[tuple[str, str], str] = {}
+
+
+def _archive(spark: SparkSession, folder: str) -> str:
+    """The table as an archive, the input of the daily job: written once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _ARCHIVES:
+        _ARCHIVES[key] = _write_archive(spark, folder)
+    return _ARCHIVES[key]
+
+
 # Messages
 
 
@@ -84,7 +95,7 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def archive_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
-    archived = read_archive(spark, _archive(spark, folder))
+    archived = read_archive(spark, _write_archive(spark, folder))
     return archived.groupBy("event_date").agg(
         F.count("*").alias("events"), *event_type_counts()
     )
