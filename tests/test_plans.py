@@ -13,7 +13,7 @@ from clicktide.operators import (
     top_products,
     user_segments,
 )
-from clicktide.sinks import write_archive
+from clicktide.sinks import write_archive, write_archive_stream, write_to_sinks
 from clicktide.sources import load_events_for_date, parse_events, to_event_messages
 from tests.helpers import at, event, events_of
 
@@ -76,6 +76,34 @@ def test_text_is_parsed_once(spark):
     assert plan_of(parsed.where(F.col("event_type") == "view")).count("from_json(") == 1
 
 
+def test_stream_combines_counts_before_the_shuffle_and_parses_once(spark, tmp_path):
+    source = str(tmp_path / "in")
+    to_event_messages(events_of(spark, [event()] * 3)).write.parquet(source)
+    stream = spark.readStream.schema("key STRING, value STRING").parquet(source)
+    query = write_to_sinks(
+        sliding_window_counts(parse_events(stream)), [], str(tmp_path / "checkpoint"),
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("from_json(") == 1
+    assert plan.index("StateStoreSave") < plan.index("Exchange") < plan.rindex("partial_count")
+
+
+def test_streamed_archive_is_pruned_too(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "archive")
+    events = events_of(spark, [event(time=at(number * DAY)) for number in range(3)])
+    to_event_messages(events).write.parquet(source)
+    stream = spark.readStream.schema("key STRING, value STRING").parquet(source)
+    write_archive_stream(
+        parse_events(stream), root, str(tmp_path / "checkpoint"), {"availableNow": True}
+    ).awaitTermination()
+    plan = plan_of(user_segments(load_events_for_date(spark, root, "2026-01-02")))
+    assert "MetadataLogFileIndex" in plan
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert scans(plan) == ["user_id:string,event_type:string"]
+
+
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_registered_queries_stay_in_the_engine(spark, name):
     plan = plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
