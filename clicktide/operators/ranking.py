@@ -17,9 +17,8 @@ def top_rows(
     """The first ``k`` rows in ``order``, of the table or of each ``by`` group.
 
     Without ``by`` this is a limit under a sort, and the rank is numbered over the
-    ``k`` rows left. With ``by`` the filter on ``row_number`` lets Spark keep only
-    ``k`` rows per group and task before the shuffle. Either way no task sorts all
-    rows of a large group.
+    ``k`` rows left. With ``by`` only the best ``k`` rows of a group and task are
+    shuffled. Either way no task sorts all rows of a large group.
     """
     if not by:
         best = rows.orderBy(*order).limit(k)
@@ -27,10 +26,36 @@ def top_rows(
             return best
         return best.select(F.row_number().over(Window.orderBy(*order)).alias(rank), *rows.columns)
 
+    if k > group_limit_threshold(rows):
+        rows = best_of_parts(rows, k, order, by)
     position = rank or "_position"
-    ranked = rows.withColumn(position, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    best = ranked.where(F.col(position) <= k)
+    best = first_in_group(rows, k, order, by, position)
     if rank is None:
         return best.drop(position)
     rest = [name for name in rows.columns if name not in by]
     return best.select(*by, rank, *rest)
+
+
+def group_limit_threshold(rows: DataFrame) -> int:
+    """Largest ``k`` for which the optimizer limits groups before their shuffle."""
+    return int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+
+
+def first_in_group(
+    rows: DataFrame, k: int, order: Sequence[Column], by: Sequence[str], position: str
+) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return rows.withColumn(position, place).where(F.col(position) <= k)
+
+
+def best_of_parts(
+    rows: DataFrame, k: int, order: Sequence[Column], by: Sequence[str]
+) -> DataFrame:
+    """Cut each group into parts by row hash and keep the first ``k`` rows of each.
+
+    They contain the first ``k`` of the group, which a single task can then sort.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+    best = first_in_group(salted, k, order, [*by, "_part"], "_position")
+    return best.drop("_part", "_position")

@@ -64,6 +64,13 @@ def test_top_k_without_a_full_sort(day):
     assert by_day.count("WindowGroupLimit") == 2 and "Partial" in by_day
 
 
+def test_long_lists_per_day_are_cut_in_parts_first(day):
+    plan = plan_of(top_products(day, k=5000, by=["event_date"]))
+    assert "WindowGroupLimit" not in plan
+    assert plan.count("row_number()") >= 2 and "hashpartitioning(event_date" in plan
+    assert re.search(r"hashpartitioning\(event_date#\d+, _part#\d+L?", plan)
+
+
 def test_raw_rows_are_not_multiplied_by_windows(day):
     plan = plan_of(sliding_window_counts(day, "1 day", "1 hour"))
     assert plan.index("Expand") < plan.index("partial_count")

@@ -105,6 +105,24 @@ def test_top_users_order_ties_and_size(spark):
     assert as_list(top_active_users(table, 100)) == expected
 
 
+@pytest.mark.parametrize("k", [7, 1500])
+def test_top_users_of_large_days(spark, k):
+    users = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2026-01-02")).otherwise("2026-01-01").cast("date")
+        .alias("event_date"),
+        F.format_string("u%05d", "id").alias("user_id"),
+        (F.col("id") * 7 % 11).alias("views"), (F.col("id") * 5 % 13).alias("purchases"),
+    )
+    rows = as_list(users)
+    expected = set()
+    for day in {row[0] for row in rows}:
+        best = sorted((row for row in rows if row[0] == day), key=lambda r: (-r[3], -r[2], r[1]))
+        expected |= set(best[:k])
+    top = top_active_users(users, k, by=["event_date"])
+    assert top.columns == users.columns
+    assert as_set(top) == expected
+
+
 # Products
 
 
