@@ -12,7 +12,7 @@ from clicktide.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory) -> SparkSession:
     conf = {
-        "spark.master": "local[8]",
+        "spark.master": "local[8, 4]",  # a task may be tried four times
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",

@@ -1,0 +1,136 @@
+"""Results stay whole when tasks, sinks or jobs fail and are tried again."""
+
+import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+
+from clicktide.operators import (
+    flash_sale_alerts,
+    sliding_window_counts,
+    top_products,
+    user_segments,
+    with_window_bounds,
+)
+from clicktide.plans import daily, run_daily_reports
+from clicktide.schemas import CLICKSTREAM, USER_SEGMENT
+from clicktide.sinks import (
+    table_sink,
+    write_alerts,
+    write_archive,
+    write_archive_stream,
+    write_report_csv,
+)
+from clicktide.sources import (
+    load_events_for_date,
+    parse_events,
+    read_archive,
+    read_report_csv,
+    read_report_text,
+    to_event_messages,
+)
+from clicktide.functions import utc_date
+from tests.helpers import as_set, at, event, events_of
+
+TO_THE_END = {"availableNow": True}
+DAY = 24 * 60
+
+
+def with_failing_tasks(rows, schema):
+    """The same rows from tasks whose first attempt breaks off half-way."""
+    def pass_on(batches):
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    return rows.mapInPandas(pass_on, schema)
+
+
+@pytest.fixture
+def events(spark):
+    kinds = ["view", "view", "purchase", "add_to_cart"]
+    return events_of(spark, [
+        event(kinds[number % 4], user=f"u{number}", product=f"p{number % 7}",
+              time=at(number % 3 * DAY + number / 10))
+        for number in range(300)
+    ])
+
+
+@pytest.fixture
+def failing(events):
+    plain = events.drop("event_date").repartition(6)
+    return with_failing_tasks(plain, CLICKSTREAM).withColumn("event_date", utc_date("timestamp"))
+
+
+def test_archive_and_reports_with_failing_tasks(spark, events, failing, folder):
+    write_archive(failing, f"{folder}/archive")
+    assert as_set(read_archive(spark, f"{folder}/archive")) == as_set(events)
+    write_report_csv(user_segments(failing), f"{folder}/report")
+    report = read_report_csv(spark, f"{folder}/report", USER_SEGMENT)
+    assert as_set(report) == as_set(user_segments(events))
+    assert as_set(top_products(failing)) == as_set(top_products(events))
+    assert as_set(sliding_window_counts(failing)) == as_set(sliding_window_counts(events))
+
+
+def test_streams_with_failing_tasks(spark, events, folder):
+    to_event_messages(events).repartition(6).write.parquet(f"{folder}/in")
+    messages = spark.readStream.schema("key STRING, value STRING").parquet(f"{folder}/in")
+    stream = parse_events(with_failing_tasks(messages, "key STRING, value STRING"))
+    write_archive_stream(
+        stream, f"{folder}/archive", f"{folder}/cp1", TO_THE_END
+    ).awaitTermination()
+    assert as_set(read_archive(spark, f"{folder}/archive")) == as_set(events)
+
+    counts = with_window_bounds(sliding_window_counts(stream))
+    write_alerts(
+        counts, [table_sink(f"{folder}/counts")], f"{folder}/cp2", trigger=TO_THE_END
+    ).awaitTermination()
+    expected = with_window_bounds(sliding_window_counts(events))
+    delivered = spark.read.parquet(f"{folder}/counts").select(expected.columns)
+    assert as_set(delivered) == as_set(expected)
+
+
+def test_batch_is_delivered_whole_after_a_sink_failed(spark, folder):
+    events = events_of(spark, [event(time=at(1))] * 3)
+    to_event_messages(events).coalesce(1).write.parquet(f"{folder}/in")
+    messages = spark.readStream.schema("key STRING, value STRING").parquet(f"{folder}/in")
+    alerts = flash_sale_alerts(sliding_window_counts(parse_events(messages)), 2, 1)
+    attempts = []
+
+    def fails_once(batch, batch_id):
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("sink is down")
+
+    def start():
+        sinks = [table_sink(f"{folder}/alerts"), fails_once]
+        return write_alerts(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END)
+
+    with pytest.raises(Exception, match="sink is down"):
+        start().awaitTermination()
+    start().awaitTermination()
+    assert attempts[:2] == [0, 0]
+    delivered = spark.read.parquet(f"{folder}/alerts")
+    assert delivered.count() == 2
+    assert as_set(delivered.select("views").distinct()) == {(3,)}
+
+
+def test_daily_job_can_be_run_again_after_it_broke_off(spark, events, folder, monkeypatch):
+    archive, out = f"{folder}/archive", f"{folder}/out"
+    write_archive(events, archive)
+
+    def broken(*args):
+        raise RuntimeError("disk full")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(daily, "write_report_text", broken)
+        with pytest.raises(RuntimeError, match="disk full"):
+            run_daily_reports(spark, archive, out, "2026-01-02")
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+    run = run_daily_reports(spark, archive, out, "2026-01-02")
+    day = load_events_for_date(spark, archive, "2026-01-02")
+    report = read_report_csv(spark, run.paths.user_segments, USER_SEGMENT)
+    assert as_set(report) == as_set(user_segments(day))
+    assert run.users == run.events == day.agg(F.countDistinct("user_id")).first()[0]
+    assert read_report_text(spark, run.paths.top_products).count() == 11
