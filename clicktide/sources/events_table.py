@@ -7,11 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clicktide.functions import utc_date
 from clicktide.schemas import CATALOGUE
 
-EVENTS_TABLE = (
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, "
-    "event_type STRING, value DOUBLE, props STRING"
-)
-
 
 def as_clickstream(events: DataFrame) -> DataFrame:
     """Map ``ts, user_id, event_type, props`` to the archive layout; batch or stream.
@@ -26,8 +21,8 @@ def as_clickstream(events: DataFrame) -> DataFrame:
     product_number = k % len(CATALOGUE) + 1
     return events.select(
         F.concat(F.lit("U"), four_digits).alias("user_id"),
-        F.element_at(F.array(*map(F.lit, CATALOGUE)), product_number).alias("product_id"),
-        F.element_at(F.array(*map(F.lit, CATALOGUE.values())), product_number).alias("category"),
+        F.try_element_at(F.array(*map(F.lit, CATALOGUE)), product_number).alias("product_id"),
+        F.try_element_at(F.array(*map(F.lit, CATALOGUE.values())), product_number).alias("category"),
         F.when(F.col("event_type") == "click", "add_to_cart")
         .otherwise(F.col("event_type")).alias("event_type"),
         F.col("ts").cast("timestamp_ltz").alias("timestamp"),
@@ -35,7 +30,7 @@ def as_clickstream(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return as_clickstream(spark.read.schema(EVENTS_TABLE).parquet(f"{folder}/events.parquet"))
+    return as_clickstream(spark.read.parquet(f"{folder}/events.parquet"))
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,5 +38,7 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
 
     The pattern matches the table whether it is one file or a folder of files.
     """
-    files = spark.readStream.schema(EVENTS_TABLE).parquet(f"{folder}/events.parque[t]")
-    return as_clickstream(files)
+    layout = spark.read.parquet(f"{folder}/events.parquet").schema
+    return as_clickstream(
+        spark.readStream.schema(layout).parquet(f"{folder}/events.parque[t]")
+    )
