@@ -15,14 +15,19 @@ def write_archive(
     """Write a table of events as one folder per event date.
 
     ``rebalance`` shuffles by date so that a day gets few files of advisory size;
-    adaptive execution splits a day that is too large for one task. Turn it off for
-    input that is already clustered by time. ``mode="overwrite"`` replaces only the
-    days that occur in ``events``, so a backfill can be repeated.
+    adaptive execution splits a day that is too large for one task. Without adaptive
+    execution rows are spread evenly instead, which leaves more files but no hot task.
+    Turn it off for input that is already clustered by time. ``mode="overwrite"``
+    replaces only the days that occur in ``events``, so a backfill can be repeated.
     """
     if has_commit_log(events.sparkSession, root):
         raise ValueError(f"{root} is written by a stream; readers would not see other files")
     if rebalance:
-        events = events.hint("rebalance", ARCHIVE_PARTITION)
+        conf = events.sparkSession.conf
+        if conf.get("spark.sql.adaptive.enabled") == "true":
+            events = events.hint("rebalance", ARCHIVE_PARTITION)
+        else:
+            events = events.repartition(int(conf.get("spark.sql.shuffle.partitions")))
     (
         events.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

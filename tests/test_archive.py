@@ -112,7 +112,8 @@ def test_many_files_of_a_day_read_as_one_table(spark, folder, three_days):
     assert users(load_events_for_date(spark, folder, "2026-01-02")) == ["b"] * 3 + ["c"] * 3
 
 
-def test_rebalanced_day_is_one_file_and_a_hot_day_is_split(spark, folder):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_rebalanced_day_is_one_file_and_a_hot_day_is_split(spark, folder, adaptive):
     rows = spark.range(200_000).select(
         F.concat(F.lit("user"), F.sha2(F.col("id").cast("string"), 256)).alias("user_id"),
         F.lit("P1").alias("product_id"), F.lit("C1").alias("category"),
@@ -126,7 +127,8 @@ def test_rebalanced_day_is_one_file_and_a_hot_day_is_split(spark, folder):
 
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
-        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.shuffle.partitions": "64" if adaptive == "true" else "6",
+        "spark.sql.adaptive.enabled": adaptive,
     }
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
@@ -136,7 +138,7 @@ def test_rebalanced_day_is_one_file_and_a_hot_day_is_split(spark, folder):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert files("1970-01-01") == 1
+    assert files("1970-01-01") == (1 if adaptive == "true" else 6)
     assert files("1970-01-02") > 3
     assert read_archive(spark, folder).count() == 200_000
 
