@@ -101,6 +101,19 @@ def archive_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def archive_user_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports straight from the archive scan only the columns they count."""
+    return ops.user_segments(read_archive(spark, _archive(spark, folder)), BY_DAY)
+
+
+def archive_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.top_products(read_archive(spark, _archive(spark, folder)), by=BY_DAY)
+
+
+def archive_conversion_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.conversion_rates(read_archive(spark, _archive(spark, folder)), BY_DAY)
+
+
 def load_day(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(load_events_for_date(spark, _archive(spark, folder), REPORT_DAY))
 
@@ -297,6 +310,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_clickstream": parse_clickstream,
         "event_messages": event_messages,
         "archive_partition_counts": archive_partition_counts,
+        "archive_user_segments": archive_user_segments,
+        "archive_top_products": archive_top_products,
+        "archive_conversion_rates": archive_conversion_rates,
         "load_events_for_date": load_day,
         "load_events_fallback": load_day_fallback,
         "previous_day": day_before,
@@ -468,6 +484,9 @@ def oracle_sql() -> dict[str, str]:
                        AS "value"
             FROM c""",
         "archive_partition_counts": archive_counts,
+        "archive_user_segments": segments,
+        "archive_top_products": _top_products_sql(by_day),
+        "archive_conversion_rates": rates,
         "load_events_for_date": f"SELECT {_EVENT_COLUMNS} FROM c {_ON_DAY}",
         "load_events_fallback": f"""
             SELECT {_EVENT_COLUMNS} FROM c WHERE event_date = (SELECT max(event_date) FROM c)""",

@@ -111,6 +111,15 @@ def test_streamed_archive_is_pruned_too(spark, tmp_path):
     assert scans(plan) == ["user_id:string,event_type:string"]
 
 
+def test_reports_of_the_whole_archive_scan_their_columns_once(spark):
+    queries = registry.queries()
+    plan = plan_of(queries["archive_top_products"](spark, "/root/testdata/sf0.001"))
+    assert scans(plan) == ["product_id:string,category:string,event_type:string"]
+    assert "EqualTo(event_type,view)" in plan
+    plan = plan_of(queries["archive_user_segments"](spark, "/root/testdata/sf0.001"))
+    assert scans(plan) == ["user_id:string,event_type:string"]
+
+
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_registered_queries_stay_in_the_engine(spark, name):
     plan = plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
