@@ -35,6 +35,20 @@ from clicktide.sources import (
 )
 from clicktide.sources.events_table import read_events, stream_events
 
+# The corpus operators may be absent as a whole; any other import error is raised.
+try:
+    from clicktide.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name != "clicktide.llm":
+        raise
+    corpus = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clicktide.llm"):
+        raise
+    corpus_pipeline = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 BY_DAY = ["event_date"]
 REPORT_DAY = "2024-01-15"
@@ -305,6 +319,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return _zoneless(_alerts(_events(spark, SMOKE_FOLDER), SMOKE_RULE))
 
 
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    pipeline = {"pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    return pipeline | (corpus.QUERIES if corpus else {})
+
+
+def _corpus_sql() -> dict[str, str]:
+    sql = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return ({"pipeline": sql} if sql else {}) | (corpus.ORACLE_SQL if corpus else {})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parse_clickstream": parse_clickstream,
@@ -344,7 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding_window_counts": stream_sliding_window_counts,
         "stream_alerts_provisional": stream_alerts_provisional,
         "stream_alerts_final": stream_alerts_final,
-    }
+    } | _corpus_queries()
 
 
 # The same results in SQL
@@ -541,4 +565,4 @@ def oracle_sql() -> dict[str, str]:
             WHERE window_end <= (SELECT max("timestamp") FROM c) - INTERVAL 2 MINUTE""",
     }
     prefix = _clickstream_sql()
-    return {name: f"{prefix}\n{body}" for name, body in bodies.items()}
+    return {name: f"{prefix}\n{body}" for name, body in bodies.items()} | _corpus_sql()
