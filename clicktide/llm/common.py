@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicktide.session import shared_folder
@@ -45,7 +46,7 @@ def small_batches(
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` of text; a longer text is one alone."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(
             zero_copy_only=False
         )
         start, held = 0, 0

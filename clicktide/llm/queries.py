@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, token_counts
+from clicktide.llm import byte_bpe, pii, token_counts
 from clicktide.llm.common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,7 +33,24 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(_texts(spark, folder)).select("doc_id", "findings")
+
+    def of_kind(kind: str) -> Column:
+        return F.filter("findings", lambda f: f["kind"] == kind)
+
+    base = F.filter("findings", lambda f: f["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *(F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list(F.col("findings")).alias("spans"),
+        F.array_min(F.transform("findings", lambda f: f["score"])).alias("least_score"),
+    )
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op5_token_counts": op5_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
