@@ -32,6 +32,11 @@ _SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string
 _FINDINGS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -136,12 +141,13 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 
 def located(text: Column, pattern: str) -> Column:
     """The matches in order: start, end, value, and the text next to each."""
-    between = F.split(text, pattern, -1)
-    matches = F.arrays_zip(
-        between.alias("before"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
-        F.slice(F.split(text, pattern, -1), 2, 2**31 - 1).alias("after"),
-    )
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def zipped(between: Column) -> Column:
+        after = F.slice(between, F.lit(2), F.size(between))
+        return F.arrays_zip(between.alias("before"), values.alias("value"), after.alias("after"))
+
+    matches = _let(F.split(text, pattern, -1), zipped)
 
     def placed(state: Column, match: Column) -> Column:
         start = state["at"] + F.length(match["before"])
@@ -183,17 +189,14 @@ def located(text: Column, pattern: str) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("lists"))
-    lists = F.transform(
-        F.array(matches), lambda m: F.aggregate(groups(m), start, shifted)["lists"]
-    )[0]
-    return F.flatten(lists)
+    return F.flatten(_let(matches, lambda m: F.aggregate(groups(m), start, shifted)["lists"]))
 
 
 def findings_of(text: Column, kind: Kind) -> Column:
     """The kind's confirmed spans with their scores, by start."""
 
     def scored(span: Column) -> Column:
-        near = F.lower(F.concat(span["before"], F.lit(" "), span["after"])).rlike(kind.context)
+        near = F.lower(F.concat_ws(" ", span["before"], span["after"])).rlike(kind.context)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             span["start"].alias("start"),

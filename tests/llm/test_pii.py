@@ -1,0 +1,114 @@
+"""PII spans against a plain Python search."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktide.llm import pii, queries
+from tests.llm.helpers import SF, awkward, documents_of, empty, needs_data, random_texts, rows_of
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d)
+    return total % 10 == 0
+
+
+def brute(text):
+    text = text or ""
+    spans = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            spans.append(f"{kind}:{m.start()}:{m.end()}")
+    return spans
+
+
+def is_base(span):
+    return span.split(":")[0] in PATTERNS
+
+
+def check(frame):
+    found = pii.find_pii(frame).select("text", pii.span_list(F.col("findings")).alias("spans"))
+    for row in found.collect():
+        base = [s for s in row.spans.split(",") if s and is_base(s)]
+        assert base == brute(row.text), row.text[:300]
+
+
+def test_random_texts(spark):
+    words = ["a", "b.c", "@", "@x.y", "1", "12", "255", "256", ".", "1.2.3.4", "+", "+1 ", "(", ")",
+             "-", " ", "\n", "4111 1111 1111 1111", "4111111111111111", "_", "%", "é", "😀", "007.1.1.1",
+             "+49 30 123456", "x@y.z", "٣", "4012-8888-8888-1881"]
+    check(documents_of(spark, random_texts(3000, words, 25)))
+
+
+def test_many_matches_keep_their_places(spark):
+    check(documents_of(spark, ["é a@b.c " * 1500, "1.2.3.4 x " * 700 + "5.6.7.8", "+1 234 567 890;" * 300]))
+
+
+def test_long_runs(spark):
+    texts = ["1 " * 30_000, "a" * 60_000, "1." * 30_000, "+" * 30_000, "a@b" * 20_000, "a@" + "b." * 30_000,
+             "4111111111111111" * 3000, "+1" + "-" * 50_000 + "2"]
+    check(documents_of(spark, texts))
+
+
+@needs_data
+def test_whole_table(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    check(documents)
+    got = {r["doc_id"]: r for r in rows_of(queries.op1_pii(spark, SF))}
+    assert len(got) == documents.count()
+    for row in documents.collect():
+        spans = brute(row.text)
+        assert got[row.doc_id]["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert got[row.doc_id]["n_email"] == sum(s.startswith("email") for s in spans)
+
+
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("pay to GB82 WEST 1234 5698 7654 32 today", ["iban"]),
+        ("pay to GB82 WEST 1234 5698 7654 33 today", []),
+        ("my SSN is 123-45-6789.", ["ssn"]),
+        ("part 123-45-6789 is sold", []),
+        ("DE89370400440532013000", ["iban"]),
+    ],
+)
+def test_confirmed_by_checksum_or_context(spark, text, kinds):
+    row = pii.find_pii(documents_of(spark, [text])).first()
+    assert [f.kind for f in row.findings if f.kind not in PATTERNS] == kinds
+
+
+def test_context_raises_the_score(spark):
+    plain, near = (r.findings[0].score for r in pii.find_pii(
+        documents_of(spark, ["x 1.2.3.4", "server 1.2.3.4"])).orderBy("doc_id").collect())
+    assert near > plain >= pii.MIN_SCORE
+
+
+def test_masking(spark):
+    frame = pii.find_pii(documents_of(spark, ["é a@b.cd and 1.2.3.4!", "none", None]))
+    got = [r.m for r in frame.orderBy("doc_id").select(pii.masked(F.col("text"), F.col("findings")).alias("m")).collect()]
+    assert got == ["é [EMAIL] and [IP]!", "none", None]
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark)
+    rows = pii.find_pii(frame).collect()
+    assert len(rows) == 8 and all(r.findings == [] for r in rows)
+    assert pii.find_pii(empty(frame)).collect() == []
