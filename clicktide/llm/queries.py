@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, pii, token_counts
-from clicktide.llm.common import read_table
+from clicktide.llm import byte_bpe, language_id, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm.common import in_fold, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
+QUALITY_BAR = 0.3
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,9 +50,42 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_copies(_texts(spark, folder)).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, folder, "documents"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    model = language_id.fit(documents.where(~in_fold("doc_id", 4, 2)))
+    texts = documents.select("doc_id", "text", in_fold("doc_id", 4, 2).alias("held_out"))
+    return language_id.predict(texts, model, ("lang_pred", "score", "accepted")).drop("text")
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _texts(spark, folder)
+    labels = read_table(spark, folder, "labels").where(~in_fold("doc_id", 5, 0))
+    scores = quality_classifier.classify(documents, quality_classifier.fit(documents, labels))
+    return scores.select(
+        "doc_id",
+        in_fold("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_BAR).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_counts": op5_token_counts,
+    "op7_language_id": op7_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
