@@ -30,7 +30,7 @@ DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 200
 CENTROIDS = 3
-REJECT_SPREADS = 6.0
+REJECT_SPREADS = 10.0
 LEAST_SPREAD = 0.03
 # A cosine of 0.05 is what texts of other scripts reach by colliding n-grams.
 FURTHEST = 0.95
@@ -192,5 +192,5 @@ def predict(texts: DataFrame, model: Centroids | None, into: tuple[str, str, str
                 [*names, *into],
             )
 
-    schema = T.StructType(texts.schema.fields).add(into[0], "string").add(into[1], "double")
+    schema = T.StructType(list(texts.schema.fields)).add(into[0], "string").add(into[1], "double")
     return texts.mapInArrow(predict_rows, schema.add(into[2], "boolean"))
