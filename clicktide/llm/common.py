@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,8 +34,8 @@ def text_bytes(texts: DataFrame, column: str = "text") -> int:
 
 def in_fold(key: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text leaves this remainder; a null key counts as ''."""
-    as_text = F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("").cast("string"))
-    return F.crc32(F.encode(as_text.cast("string"), "UTF-8")) % folds == fold
+    as_text = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
+    return F.crc32(F.encode(as_text, "UTF-8")) % folds == fold
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,3 +58,8 @@ def small_batches(
             held += int(length) + 64
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def hash64(data: bytes) -> int:
+    """A 64-bit hash as a signed number."""
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)

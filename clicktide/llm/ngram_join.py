@@ -29,14 +29,13 @@ N-grams and sets are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import small_batches, text_bytes, written
+from clicktide.llm.common import hash64, small_batches, text_bytes, written
 from clicktide.llm.components import components
 
 WORDS = 5
@@ -61,14 +60,14 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 300_000:
             self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = hash64(word)
         return value
 
 
 def ngrams_of(text: str, words: WordHashes) -> np.ndarray:
     """The sorted distinct n-gram hashes of a text."""
     split = text.encode("utf-8", "surrogatepass").lower().split()
-    hashes = np.fromiter(map(words.__getitem__, split), np.uint64, len(split))
+    hashes = np.fromiter(map(words.__getitem__, split), np.int64, len(split)).view(np.uint64)
     if not len(hashes):
         return hashes
     n = max(1, len(hashes) - WORDS + 1)
@@ -92,7 +91,7 @@ _PROFILE = "fragment long, doc_id {key}, set long, part long, n long, segment bi
 
 def _name(grams: np.ndarray) -> int:
     """The set's name, a hash of its n-grams."""
-    return int.from_bytes(blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+    return hash64(grams.tobytes())
 
 
 def _rows(schema: pa.Schema, height: int, **columns: pa.Array) -> pa.RecordBatch:

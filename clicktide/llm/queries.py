@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, language_id, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm import byte_bpe, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
 from clicktide.llm.common import in_fold, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -79,9 +79,16 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_texts(_texts(spark, folder), in_fold("doc_id", 7, 2)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_counts": op5_token_counts,
     "op7_language_id": op7_language_id,
