@@ -12,19 +12,21 @@ Nulls and empty texts give no ids and no bytes. Repeated rows are encoded each.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from clicktide.llm.common import small_batches
 
-# Of the memos of one worker; beyond it they start anew, which costs time only.
-MEMO_ENTRIES = 200_000
+# Of the memos of one worker; beyond it they forget, which costs time only.
+MEMO_ENTRIES = 400_000
+MEMO_CHARS = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,6 +34,29 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+class PieceMemo(dict):
+    """Of pieces met before, their ids as the bytes of 32-bit numbers.
+
+    When full, it starts anew but still knows what it held before, until the next time.
+    """
+
+    def __init__(self, encode_piece):
+        super().__init__()
+        self.encode_piece = encode_piece
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = array("i", self.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
+        if len(piece) <= MEMO_CHARS:
+            if len(self) >= MEMO_ENTRIES:
+                self.before = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class BytePairEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
@@ -39,13 +64,14 @@ class BytePairEncoder:
         self.ranks = ranks
         self.pieces = regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length_of = {rank: len(token) for token, rank in ranks.items()}
         self.id_of = {token.decode("latin-1"): rank for token, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
-        for token in self.id_of:
-            self.automaton.add_word(token, len(token))
+        for token, rank in self.id_of.items():
+            self.automaton.add_word(token, rank)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo = PieceMemo(self.encode_piece)
 
     def merged(self, piece: bytes) -> list[int]:
         """Merges by rank, the definition; used on pairs of tokens only."""
@@ -73,8 +99,18 @@ class BytePairEncoder:
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
         text = piece.decode("latin-1")
+        longest = [rank for _, rank in self.automaton.iter_long(text)]
+        if sum(map(self.length_of.__getitem__, longest)) == len(text) and all(
+            map(self.compatible, longest, longest[1:])
+        ):
+            return tuple(longest)
+        return self.backtrack(text)
+
+    def backtrack(self, text: str) -> tuple[int, ...]:
+        """Longest tokens first, shorter ones where neighbours are not compatible."""
         lengths: list[list[int]] = [[] for _ in text]  # of the tokens from each position, rising
-        for end, length in self.automaton.iter(text):
+        for end, rank in self.automaton.iter(text):
+            length = self.length_of[rank]
             lengths[end + 1 - length].append(length)
         id_of, compatible, n = self.id_of, self.compatible, len(text)
         dead = bytearray(n + 1)  # positions from which no valid rest was found
@@ -97,30 +133,17 @@ class BytePairEncoder:
                 k = len(lengths[at]) - 1 if at < n else 0
             else:
                 dead[at] = 1
-                at -= len(self.bytes_of[tokens.pop()])
+                at -= self.length_of[tokens.pop()]
                 k = choice.pop() - 1
         return tuple(tokens)
 
-    def encode(self, text: str) -> list[int]:
-        memo, found = self.memo, self.pieces.findall(text)
-        try:
-            return list(chain.from_iterable(map(memo.__getitem__, found)))
-        except KeyError:
-            pass
-        ids: list[int] = []
-        for piece in found:
-            known = memo.get(piece)
-            if known is None:
-                known = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
-                if len(memo) >= MEMO_ENTRIES:
-                    memo.clear()
-                if len(piece) <= 64:
-                    memo[piece] = known
-            ids.extend(known)
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(
+            b"".join(map(self.memo.__getitem__, self.pieces.findall(text))), np.int32
+        )
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -139,10 +162,11 @@ def encode_decode(texts: DataFrame, ranks_path: str, pattern: str, key: str = "d
         encoder = encoder_of(ranks_path, pattern)
         for batch in small_batches(batches, "text", 1 << 20):
             ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
                     pa.array(map(encoder.decode, ids), pa.binary()),
                 ],
                 ["key", "ids", "decoded"],
