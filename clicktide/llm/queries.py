@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm import byte_bpe, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
 from clicktide.llm.common import in_fold, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -85,12 +85,18 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    texts = html_extraction.extract_main_text(read_table(spark, folder, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_counts": op5_token_counts,
+    "op6_html_extraction": op6_html_extraction,
     "op7_language_id": op7_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
