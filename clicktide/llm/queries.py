@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm import byte_bpe, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
 from clicktide.llm.common import in_fold, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -90,6 +90,20 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_items(
+        _texts(spark, folder), read_table(spark, folder, "benchmark")
+    )
+    verified = F.filter("hits", lambda hit: hit["contaminated"])
+    return found.select(
+        "doc_id",
+        decontamination.contaminated().alias("contaminated"),
+        F.array_sort(F.transform(verified, lambda hit: hit["item"])).alias("items"),
+        F.size("hits").cast("long").alias("n_retrieved"),
+        F.coalesce(F.array_max(F.transform(verified, lambda hit: hit["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -98,6 +112,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_html_extraction": op6_html_extraction,
     "op7_language_id": op7_language_id,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
 }

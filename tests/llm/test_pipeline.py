@@ -1,0 +1,97 @@
+"""The pipeline against brute-force versions of its stages."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from clicktide.llm import byte_bpe, pii
+from tests.llm import test_decontamination, test_ngram_join, test_pii
+from tests.llm.helpers import DOCUMENTS, SF, awkward, documents_of, empty, needs_data, rows_of
+
+
+
+def reference_encoding():
+    ranks = byte_bpe.read_ranks(cp.BYTE_RANKS)
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def masked(text):
+    spans = sorted((int(a), int(b), k) for k, a, b in (s.split(":") for s in test_pii.brute(text)))
+    out, at = [], 0
+    for start, end, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+@needs_data
+def test_stages_on_the_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    whole = {r.doc_id: r.text for r in docs.collect()}
+
+    spoken = cp.keep_known_languages(spark, docs, SF)
+    assert spoken.columns == columns
+    kept = {r.doc_id: r.text for r in spoken.collect()}
+    assert len(whole) - len(kept) <= 0.03 * len(whole)
+
+    single = cp.keep_one_of_near_copies(spark, spoken, SF)
+    assert single.columns == columns
+    groups = test_ngram_join.brute(list(kept.items()))
+    first = {i: t for i, t in kept.items() if groups[i][1] == i}
+    assert {r.doc_id: r.text for r in single.collect()} == first and len(first) < len(kept)
+
+    clean = cp.drop_contaminated(spark, single, SF)
+    assert clean.columns == columns
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    left = {r.doc_id: r.text for r in clean.collect()}
+    assert set(left) == {i for i, t in first.items() if not any(item in t for item in items)}
+
+    private = cp.mask_personal_data(spark, clean, SF)
+    assert private.columns == columns
+    hidden = {r.doc_id: (r.text, r.n_chars) for r in private.collect()}
+    assert hidden == {i: (masked(t), len(masked(t))) for i, t in left.items()}
+
+    encoding = reference_encoding()
+    rows = rows_of(cp.run(spark, SF))
+    assert sorted(r["doc_id"] for r in rows) == sorted(left)
+    for r in rows:
+        text = hidden[r["doc_id"]][0]
+        assert r["ids"] == encoding.encode_ordinary(text) and r["n_tokens"] == len(r["ids"])
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", [name for name, _ in cp.STAGES])
+def test_awkward_rows(spark, name):
+    stage = dict(cp.STAGES)[name]
+    frame = awkward(spark, "Words and some more of them, not twice alike. " * 3000)
+    rows = stage(spark, frame, SF).collect()
+    ids = [r.doc_id for r in rows]
+    if name == "language":
+        assert not {1, 2, 3} & set(ids) and ids.count(5) == 2
+    elif name == "near_copies":
+        assert {1, 2, 3, 4, 5, 6, None} == set(ids) and ids.count(5) == 1
+    else:
+        assert len(rows) == 8
+    if name != "byte_bpe":
+        assert set(rows[0].asDict()) == set(frame.columns)
+    assert stage(spark, empty(frame), SF).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    rows = [(3, "a b c d e f g"), (3, "a b c d e f g"), (7, "A b c  d e f g"), (1, "q w e r t y"), (1, "z x c v b n"),
+            (0, "z x c v b n"), (9, None), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+    got = sorted((r.doc_id, r.text) for r in cp.keep_one_of_near_copies(spark, docs, SF).na.fill("").collect())
+    assert got == [(0, "z x c v b n"), (1, "q w e r t y"), (3, "a b c d e f g"), (8, ""), (9, ""), (9, "")]
+
+
+def test_masked_texts_hold_no_base_spans(spark):
+    docs = documents_of(spark, ["mail a@b.cd, server 1.2.3.4", "+1 (017) 555-7713 and 4111 1111 1111 1111"])
+    masked_rows = cp.mask_personal_data(spark, docs, SF)
+    assert pii.find_pii(masked_rows).where(F.size("findings") > 0).count() == 0
