@@ -182,7 +182,7 @@ def cutoffs(rates: DataFrame) -> DataFrame:
         return by_source.groupBy(*by).agg(
             F.sum("texts").alias("texts"),
             *(F.kll_merge_agg_double(m.name, F.lit(SKETCH_K)).alias(m.name) for m in MEASURES),
-        )
+        ).where("texts > 0")
 
     lang = F.col("lang").alias("of_lang")
     own = _cutoffs(by_source, "own")

@@ -1,0 +1,70 @@
+"""Token counts against the library."""
+
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+
+from clicktide.llm import queries, token_counts
+from tests.llm.helpers import SF, awkward, empty, needs_data, random_texts, rows_of
+
+COUNTER = token_counts.counter_of(queries.PIECE_MODEL)
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+WORDS = ["a", " ", "  ", "the", "ing", "\n", "\t", "é", "日本", "😀", "▁", " ▁", "<s>", "</s>", "<unk>", "<0x0A>",
+         " ", "​", "ﬁ", "x" * 30, "\x00", "Z"]
+
+
+def expected(texts):
+    return [len(ids) for ids in LIBRARY.encode(texts, num_threads=1)]
+
+
+def test_counting_by_word_is_proved():
+    assert COUNTER.by_word and len(COUNTER.whole) > 10_000
+    assert all(len(LIBRARY.encode(word)) == 1 for word in list(COUNTER.whole)[::97])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_any_texts(texts):
+    assert COUNTER.count(texts) == expected(texts)
+
+
+def test_random_texts():
+    texts = random_texts(5000, WORDS, 30)
+    assert COUNTER.count(texts) == expected(texts)
+
+
+@pytest.mark.parametrize("text", ["a" * 20_000, " " * 5000, "word " * 20_000, "\n" * 3000, "▁" * 1000])
+def test_long_texts(text):
+    assert COUNTER.count([text]) == expected([text])
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_counts, "MEMO_ENTRIES", 20_000)
+    counter = token_counts.PieceCounter(queries.PIECE_MODEL)
+    texts = [f"w{i} x{i * 7}y the end" for i in range(9000)]
+    got = [n for at in range(0, 9000, 100) for n in counter.count(texts[at : at + 100])]
+    assert got == expected(texts) and len(counter.memo) < 21_000
+
+
+def test_other_models_are_counted_text_by_text(monkeypatch):
+    counter = token_counts.PieceCounter(queries.PIECE_MODEL)
+    counter.by_word = False
+    assert counter.count(["a  b", ""]) == expected(["a  b", ""])
+
+
+@needs_data
+def test_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = rows_of(queries.op5_token_counts(spark, SF))
+    assert len(got) == len(texts)
+    for r in got:
+        n = len(LIBRARY.encode(texts[r["doc_id"]] or ""))
+        assert (r["n_tokens"], r["over_limit"]) == (n, n > 4096)
+        assert r["n_bytes"] == len((texts[r["doc_id"]] or "").encode())
+
+
+def test_awkward_rows(spark):
+    rows = token_counts.token_counts(awkward(spark), queries.PIECE_MODEL).collect()
+    assert len(rows) == 8 and {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {0}
+    assert len({r.n_tokens for r in rows if r.doc_id == 5}) == 1
+    assert token_counts.token_counts(empty(awkward(spark)), queries.PIECE_MODEL).collect() == []
