@@ -47,7 +47,7 @@ def small_batches(
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` of text; a longer text is one alone."""
     for batch in batches:
-        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(
+        lengths = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0).to_numpy(
             zero_copy_only=False
         )
         start, held = 0, 0

@@ -25,17 +25,19 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import hash64, text_bytes, written
+from clicktide.llm.common import hash64, small_batches, text_bytes, written
 
 DEPTH = 4
 EDGE = 0xFF
 BLOCK_BYTES = 32 << 20  # of text in a block
-CHUNK_BYTES = 4 << 20  # of text whose contexts are held as numbers at once
+CHUNK_BYTES = 1 << 20  # of text whose contexts are held as numbers at once
 END = b"\xff"  # the end token's place among the words
 WORD, CONTEXT = 0, 1
 
@@ -57,43 +59,37 @@ def _sequences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return value[inside].astype(np.int64), lengths
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= CHUNK_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = np.concatenate(keys), np.concatenate(counts)
     every, place = np.unique(keys, return_inverse=True)
     return every, np.bincount(place, counts, len(every)).astype(np.int64)
 
 
-def _lowered(table: pa.Table) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in table["text"].to_pylist()]
+def _chunks(table: pa.Table) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """A block's texts, lower-cased, a part at a time, with their rows."""
+    for rows in small_batches(table.to_batches(), "text", CHUNK_BYTES):
+        texts = rows.column(rows.schema.get_field_index("text")).to_pylist()
+        yield [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts], rows
 
 
 def _block_keys(table: pa.Table) -> pa.Table:
     """A block's distinct words and contexts, with their counts in its training texts."""
-    texts, held = _lowered(table), table["held_out"].to_pylist()
     words: dict[bytes, int] = defaultdict(int)
-    for text, is_held in zip(texts, held, strict=True):
-        add = 0 if is_held else 1
-        for word in text.split():
-            words[word] += add
-        words[END] += add
     keys, counts = [], []
-    for kept in (False, True):
-        for chunk in _chunks([t for t, h in zip(texts, held, strict=True) if h == kept]):
+    for texts, rows in _chunks(table):
+        held_out = rows.column(rows.schema.get_field_index("held_out")).to_pylist()
+        for is_held in (False, True):
+            chunk = [t for t, h in zip(texts, held_out, strict=True) if h == is_held]
+            if not chunk:
+                continue
+            add = int(not is_held)
+            for text in chunk:
+                for word in text.split():
+                    words[word] += add
+            words[END] += add * len(chunk)
             found, n = np.unique(_sequences(chunk)[0], return_counts=True)
             keys.append(found)
-            counts.append(n * (not kept))
+            counts.append(n * add)
     contexts, n = _summed(keys, counts)
     block = table["block"][0].as_py()
     size = len(words) + len(contexts)
@@ -246,40 +242,42 @@ def context_scores(contexts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(score_rows, "key long, value double")
 
 
-def _block_scores(texts: pa.Table, values: pa.Table) -> pa.Table:
+def _values_of(values: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    own = values.filter(pc.equal(values["kind"], kind))
+    keys = own["key"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], own["value"].to_numpy()[order]
+
+
+def _block_scores(table: pa.Table, values: pa.Table) -> pa.Table:
     """Scores of a block's texts, from the values of its words and contexts."""
-    kind = values["kind"].to_numpy()
-    tables = []
-    for wanted in (WORD, CONTEXT):
-        keys = values["key"].to_numpy()[kind == wanted]
-        order = np.argsort(keys)
-        tables.append((keys[order], values["value"].to_numpy()[kind == wanted][order]))
-    (word_keys, word_counts), (context_keys, context_scores_) = tables
-    lowered = _lowered(texts)
+    word_keys, word_counts = _values_of(values, WORD)
+    context_keys, context_values = _values_of(values, CONTEXT)
     number: dict[bytes, int] = defaultdict()
     number.default_factory = number.__len__
-    places, sizes, scores = [], [], []
-    for text in lowered:
-        words = text.split()
-        words.append(END)
-        places.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-        sizes.append(len(words))
-    seen = word_counts[np.searchsorted(word_keys, np.fromiter(map(hash64, number), np.int64, len(number)))]
-    of_token = seen[np.concatenate(places)]
-    starts = np.r_[0, np.cumsum(sizes)[:-1]]
-    for chunk in _chunks(lowered):
-        keys, lengths = _sequences(chunk)
-        each = context_scores_[np.searchsorted(context_keys, keys)]
-        scores.append(np.add.reduceat(each, np.r_[0, np.cumsum(lengths)[:-1]]))
-    return pa.table({
-        "key": texts["key"],
-        "held_out": texts["held_out"],
-        "n_bytes": pa.array([len(t) for t in lowered], pa.int64()),
-        "n_tokens": pa.array(sizes, pa.int64()),
-        "n_known": pa.array(np.add.reduceat((of_token > 0).astype(np.int64), starts)),
-        "base_sum": pa.array(np.add.reduceat(np.log10(of_token + 1), starts)),
-        "score": pa.array(np.concatenate(scores)),
-    })
+    count_of = np.zeros(0)
+    parts = []
+    for texts, rows in _chunks(table):
+        words = [[*text.split(), END] for text in texts]
+        sizes = [len(w) for w in words]
+        places = np.concatenate([np.fromiter(map(number.__getitem__, w), np.int32, len(w)) for w in words])
+        new = list(islice(number, len(count_of), None))
+        hashes = np.fromiter(map(hash64, new), np.int64, len(new))
+        count_of = np.r_[count_of, word_counts[np.searchsorted(word_keys, hashes)]]
+        counts = count_of[places]
+        starts = np.r_[0, np.cumsum(sizes)[:-1]]
+        keys, lengths = _sequences(texts)
+        each = context_values[np.searchsorted(context_keys, keys)]
+        parts.append(pa.table({
+            "key": rows.column(rows.schema.get_field_index("key")),
+            "held_out": rows.column(rows.schema.get_field_index("held_out")),
+            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "n_tokens": pa.array(sizes, pa.int64()),
+            "n_known": pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)),
+            "base_sum": pa.array(np.add.reduceat(np.log10(counts + 1), starts)),
+            "score": pa.array(np.add.reduceat(each, np.r_[0, np.cumsum(lengths)[:-1]])),
+        }))
+    return pa.concat_tables(parts)
 
 
 def score_texts(texts: DataFrame, held_out: Column, key: str = "doc_id") -> DataFrame:
