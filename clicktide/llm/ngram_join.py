@@ -86,7 +86,11 @@ def _binaries(parts: np.ndarray, ends: np.ndarray) -> pa.Array:
     )
 
 
-_PROFILE = "fragment long, doc_id {key}, set long, part long, n long, segment binary"
+# Rows of three kinds: a document's set and size; n-grams of a block for a fragment, as the
+# names of sets, how many each has there, and their tails; counts of a bucket of names.
+_PROFILE = (
+    "fragment long, doc_id {key}, set long, n long, bucket long, names binary, counts binary, tails binary"
+)
 
 
 def _name(grams: np.ndarray) -> int:
@@ -101,12 +105,39 @@ def _rows(schema: pa.Schema, height: int, **columns: pa.Array) -> pa.RecordBatch
     )
 
 
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and ends of the runs in which all keys are equal."""
+    changed = np.zeros(len(keys[0]) - 1, bool)
+    for key in keys:
+        changed |= key[1:] != key[:-1]
+    ends = np.r_[np.flatnonzero(changed) + 1, len(keys[0])]
+    return np.r_[0, ends[:-1]], ends
+
+
+def _bucket_rows(schema: pa.Schema, bits: int, names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Counts of sets' shared n-grams, a row for each bucket of names."""
+    if not len(names):
+        return _rows(schema, 0)
+    bucket = names & ((4 << bits) - 1)
+    order = np.argsort(bucket, kind="stable")
+    starts, ends = _runs(bucket[order])
+    buckets = bucket[order][starts]
+    return _rows(
+        schema,
+        len(ends),
+        fragment=pa.array(-1 - buckets),
+        bucket=pa.array(buckets),
+        names=_binaries(names[order], ends),
+        counts=_binaries(counts[order].astype(np.int32), ends),
+    )
+
+
 def _segments(
-    schema: pa.Schema, fragment_bits: int, sets: list[np.ndarray], names: list[int]
+    schema: pa.Schema, bits: int, sets: list[np.ndarray], names: list[int]
 ) -> Iterator[pa.RecordBatch]:
     """A block's n-grams to their fragments; those that it has twice once, and counted here.
 
-    Segments hold the 32 bits behind the fragment's own: a rare collision makes a set look
+    Tails are the 32 bits behind the fragment's own: a rare collision makes a set look
     more shared than it is, which costs time but changes nothing.
     """
     grams = np.concatenate(sets)
@@ -119,35 +150,28 @@ def _segments(
     alone[order] = first & last
     names = np.array(names, np.int64)
     shared = np.bincount(owner[~alone], minlength=len(sets))
-    some = np.flatnonzero(shared)
-    yield _rows(
-        schema,
-        len(some),
-        fragment=pa.array(-1 - (names[some] & ((4 << fragment_bits) - 1))),
-        part=pa.array(names[some]),
-        n=pa.array(shared[some]),
-    )
-    repeated = ordered[first & ~last]
-    for kept, of in ((grams[alone], names[owner[alone]]), (repeated, None)):
+    yield _bucket_rows(schema, bits, names[shared > 0], shared[shared > 0])
+    for kept, of in ((grams[alone], owner[alone]), (ordered[first & ~last], None)):
         if not len(kept):
             continue
-        fragment = (kept >> np.uint64(64 - fragment_bits)).astype(np.int64)
-        tail = ((kept << np.uint64(fragment_bits)) >> np.uint64(32)).astype(np.uint32)
-        changed = fragment[1:] != fragment[:-1]
-        if of is not None:
-            changed |= of[1:] != of[:-1]
-        ends = np.r_[np.flatnonzero(changed) + 1, len(kept)]
-        by = {} if of is None else {"part": pa.array(of[ends - 1])}
+        fragment = (kept >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(fragment, kind="stable")
+        fragment = fragment[order]
+        starts, ends = _runs(fragment)
+        tail = ((kept[order] << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+        by = {}
+        if of is not None:  # of each set in the fragment its name and number of n-grams
+            of = of[order]
+            set_starts, set_ends = _runs(fragment, of)
+            upto = np.searchsorted(set_ends, ends, side="right")
+            by["names"] = _binaries(names[of[set_starts]], upto)
+            by["counts"] = _binaries((set_ends - set_starts).astype(np.int32), upto)
         yield _rows(
-            schema,
-            len(ends),
-            fragment=pa.array(fragment[ends - 1]),
-            segment=_binaries(tail, ends),
-            **by,
+            schema, len(ends), fragment=pa.array(fragment[starts]), tails=_binaries(tail, ends), **by
         )
 
 
-def _profiled(fragment_bits: int):
+def _profiled(bits: int):
     """Each row's set and its size, and the segments of the sets."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +180,8 @@ def _profiled(fragment_bits: int):
         for batch in small_batches(batches, "text", 1 << 20):
             schema = schema or pa.schema([
                 ("fragment", pa.int64()), ("doc_id", batch.schema.field("doc_id").type),
-                ("set", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("segment", pa.binary()),
+                ("set", pa.int64()), ("n", pa.int64()), ("bucket", pa.int64()),
+                ("names", pa.binary()), ("counts", pa.binary()), ("tails", pa.binary()),
             ])
             of_batch, sizes = [], []
             for text in batch.column("text").to_pylist():
@@ -177,30 +202,50 @@ def _profiled(fragment_bits: int):
                 n=pa.array(sizes, pa.int64()),
             )
             if held >= BLOCK_NGRAMS:
-                yield from _segments(schema, fragment_bits, sets, names)
+                yield from _segments(schema, bits, sets, names)
                 sets, names, met, held = [], [], set(), 0
         if sets:
-            yield from _segments(schema, fragment_bits, sets, names)
+            yield from _segments(schema, bits, sets, names)
 
     return send
 
 
-def _shared_in_fragment(table: pa.Table) -> pa.Table:
-    """Of each set's segment in a fragment, how many n-grams others have; other rows as they are."""
-    if table["fragment"][0].as_py() < 0:
-        return table
-    tails = np.frombuffer(b"".join(table["segment"].to_pylist()), np.uint32)
-    lengths = pc.binary_length(table["segment"]).to_numpy() // 4
-    order = np.argsort(tails, kind="stable")
-    ordered = tails[order]
-    same = ordered[1:] == ordered[:-1]
-    shared = np.empty(len(tails), bool)
-    shared[order] = np.r_[same, False] | np.r_[False, same]
-    counts = np.add.reduceat(shared, np.r_[0, np.cumsum(lengths)[:-1]], dtype=np.int64)
-    kept = pc.and_(pc.is_valid(table["part"]), pa.array(counts > 0))
-    few = table.filter(kept).drop_columns(["n", "segment"])
-    few = few.append_column("n", pa.array(counts[kept.to_numpy()]))
-    return few.append_column("segment", pa.nulls(few.num_rows, pa.binary())).select(table.column_names)
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind)
+
+
+def _shared_in_fragment(bits: int):
+    """How many of each set's n-grams in a fragment others have; other rows as they are."""
+
+    def count(table: pa.Table) -> pa.Table:
+        if table["fragment"][0].as_py() < 0:
+            return table
+        named = pc.is_valid(table["names"])
+        mine = table.filter(named)
+        names, lengths = _joined(mine["names"], np.int64), _joined(mine["counts"], np.int32)
+        if not len(names):
+            return table.slice(0, 0)
+        tails = np.concatenate([
+            _joined(mine["tails"], np.uint32), _joined(table.filter(pc.invert(named))["tails"], np.uint32)
+        ])
+        order = np.argsort(tails, kind="stable")
+        ordered = tails[order]
+        same = ordered[1:] == ordered[:-1]
+        shared = np.empty(len(tails), bool)
+        shared[order] = np.r_[same, False] | np.r_[False, same]
+        starts = np.cumsum(lengths) - lengths
+        counts = np.add.reduceat(shared[: int(lengths.sum())], starts, dtype=np.int64)
+        some = counts > 0
+        return pa.Table.from_batches([_bucket_rows(table.schema, bits, names[some], counts[some])])
+
+    return count
+
+
+def _bucket_sums(table: pa.Table) -> pa.Table:
+    names, counts = _joined(table["names"], np.int64), _joined(table["counts"], np.int32)
+    every, place = np.unique(names, return_inverse=True)
+    sums = np.bincount(place, counts, len(every)).astype(np.int64)
+    return pa.table({"of_set": pa.array(every), "shared": pa.array(sums)})
 
 
 def profiles(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -212,11 +257,11 @@ def profiles(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     layout = _PROFILE.format(key=rows.schema["doc_id"].dataType.simpleString())
     sent = rows.mapInArrow(_profiled(bits), layout)
     counted = written(
-        sent.groupBy("fragment").applyInArrow(_shared_in_fragment, layout), "ngram-profiles"
+        sent.groupBy("fragment").applyInArrow(_shared_in_fragment(bits), layout), "ngram-profiles"
     )
-    documents = counted.where("part is null").select("doc_id", "set", "n")
-    shared = counted.where("part is not null").groupBy("part").agg(F.sum("n").alias("shared"))
-    return documents, shared.withColumnRenamed("part", "of_set")
+    documents = counted.where("bucket is null").select("doc_id", "set", "n")
+    buckets = counted.where("bucket is not null").select("bucket", "names", "counts")
+    return documents, buckets.groupBy("bucket").applyInArrow(_bucket_sums, "of_set long, shared long")
 
 
 def classes_with_links(texts: DataFrame, key: str, documents: DataFrame, shared: DataFrame) -> DataFrame:
