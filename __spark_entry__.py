@@ -1,9 +1,10 @@
 """Queries over the test tables, and the same results in DuckDB's SQL.
 
 Reports are asked for every day of the table in one pass (``by=["event_date"]``).
-The daily job and the archive reads take a date, as that is what they are for.
-Streaming queries read the table as a stream and run until its end, then return
-what they wrote.
+The daily job and the archive reads take a date, as that is what they are for; the
+archive they read is made of the table by ``prepare``. Streaming queries read the
+table's events as JSON messages, a file per few event dates and one file per micro-batch,
+run until their end, and return what they wrote.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicktide import operators as ops
 from clicktide.functions import event_type_counts, previous_day
-from clicktide.plans import build_report_bundle, run_daily_reports
-from clicktide.schemas import CATALOGUE, CONVERSION, USER_SEGMENT
+from clicktide.plans import build_report_bundle, run_daily_reports, write_archive_reports
+from clicktide.schemas import CATALOGUE, CONVERSION, MESSAGE, USER_SEGMENT
 from clicktide.session import shared_folder
 from clicktide.sinks import (
+    all_rows,
+    latest_rows,
+    publish_events,
     table_sink,
     write_archive,
     write_archive_stream,
@@ -26,14 +30,17 @@ from clicktide.sinks import (
 )
 from clicktide.sources import (
     load_events_for_date,
+    open_archive,
     parse_events,
     read_archive,
+    read_event_stream,
     read_report_csv,
     to_alert_messages,
     to_event_messages,
     with_ingest_metrics,
 )
-from clicktide.sources.events_table import read_events, stream_events
+from clicktide.sources.events_table import read_events
+from clicktide.streaming import PipelineConfig, start_pipeline
 
 # The corpus operators may be absent as a whole; any other import error is raised.
 try:
@@ -58,18 +65,17 @@ WINDOWS = {"size": "1 day", "slide": "12 hours"}
 RULE = {"views_over": 5, "purchases_under": 5}
 SMOKE_RULE = {"views_over": 1, "purchases_under": 5}
 TO_THE_END = {"availableNow": True}
+DAYS_PER_FILE = 3
+LONG_LIST = 1500
+DISPLAYED_ROWS = 10
+# Modification times of message files only have to rise.
+FIRST_MODIFIED = 1_700_000_000_000
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return read_events(spark, folder)
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return stream_events(spark, folder)
-
-
 def _zoneless(rows: DataFrame) -> DataFrame:
     """UTC wall-clock times instead of instants, to compare with DuckDB's TIMESTAMP."""
     times = [name for name, kind in rows.dtypes if kind == "timestamp"]
@@ -85,14 +91,20 @@ def _write_archive(spark: SparkSession, folder: str) -> str:
 _ARCHIVES: dict[tuple[str, str], str] = {}
 
 
-def _archive(spark: SparkSession, folder: str) -> str:
-    """The table as an archive, the input of the daily job: written once per application."""
+def prepare(spark: SparkSession, folder: str) -> str:
+    """The table as an archive, the input of the daily job; made once per application.
+
+    ``bench.py`` calls it first and reports its time by itself.
+    """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _ARCHIVES:
         _ARCHIVES[key] = _write_archive(spark, folder)
     return _ARCHIVES[key]
 
 
+_archive = prepare
+
+
 # Messages
 
 
@@ -180,11 +192,26 @@ def top_products_overall(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_products_report(spark: SparkSession, folder: str) -> DataFrame:
-    events = _events(spark, folder)
-    date_text = F.col("event_date").cast("string").alias("report_date")
-    days = events.select(date_text).distinct()
-    ranked = ops.top_products(events, by=BY_DAY).select(date_text, "*").drop("event_date")
-    return ops.top_products_report(ranked, days)
+    return ops.daily_top_products_report(_events(spark, folder))
+
+
+def top_products_report_undated(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh user's events have lost their time, and are in no report."""
+    lost = F.substring("user_id", 2, 9).cast("int") % 7 == 0
+    events = _events(spark, folder).withColumns({
+        name: F.when(~lost, F.col(name)) for name in ("timestamp", "event_date")
+    })
+    return ops.daily_top_products_report(events)
+
+
+def top_active_users_long(spark: SparkSession, folder: str) -> DataFrame:
+    """More users a day than the optimizer limits by itself."""
+    return ops.top_active_users(_segments(spark, folder), LONG_LIST, BY_DAY)
+
+
+def display_rows(spark: SparkSession, folder: str) -> DataFrame:
+    users = ops.user_segments(_events(spark, folder))
+    return ops.display_table(ops.top_active_users(users), DISPLAYED_ROWS)
 
 
 def _rates(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,6 +239,35 @@ def conversion_chart_series(spark: SparkSession, folder: str) -> DataFrame:
 # Daily job
 
 
+def daily_empty_day(spark: SparkSession, folder: str) -> DataFrame:
+    """A day whose files have no rows: that day's reports, without users."""
+    root, out = _write_archive(spark, folder), shared_folder(spark, "reports")
+    nothing = _events(spark, folder).where(F.lit(False)).drop("event_date")
+    nothing.write.parquet(f"{root}/event_date={DAY_AFTER_DATA}")
+    run = run_daily_reports(spark, root, out, DAY_AFTER_DATA)
+    bundle = build_report_bundle(spark, out, DAY_AFTER_DATA)
+    return bundle.headline.select(
+        F.lit(run.source_date).alias("source_date"), F.lit(run.events).alias("events"),
+        "total_users", "buyers", "shoppers",
+    )
+
+
+def archive_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversion rates that the job for all days of an archive wrote."""
+    events = read_archive(spark, prepare(spark, folder))
+    paths = write_archive_reports(spark, events, shared_folder(spark, "archive-reports"))
+    return read_report_csv(
+        spark, paths["conversion_rates.csv"], f"event_date DATE, {CONVERSION}"
+    )
+
+
+def replay_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """A day's events published as JSON files, and decoded again."""
+    archive, out = open_archive(spark, prepare(spark, folder)), shared_folder(spark, "replay")
+    publish_events(archive.read(archive.resolve(REPORT_DAY)), "json", path=out)
+    return _zoneless(parse_events(spark.read.schema(MESSAGE).json(out)))
+
+
 def _run_daily(spark: SparkSession, folder: str, day: str):
     out = shared_folder(spark, "reports")
     return out, run_daily_reports(spark, _archive(spark, folder), out, day)
@@ -281,37 +337,152 @@ def flash_sale_alert_messages(spark: SparkSession, folder: str) -> DataFrame:
 # Streams
 
 
+def _publish(events: DataFrame, root: str) -> None:
+    """Events as files of JSON messages, one per ``DAYS_PER_FILE`` days, modified in the days' order.
+
+    A second call's files follow those of the first.
+    """
+    spark = events.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files() -> dict[str, int]:
+        found = fs.globStatus(path(f"{root}/days=*/part-*")) or []
+        return {str(x.getPath()): x.getModificationTime() for x in found}
+
+    before = files()
+    days = (F.unix_date("event_date") / DAYS_PER_FILE).cast("int").alias("days")
+    numbered = events.where("event_date is not null").select("*", days).repartition("days")
+    to_event_messages(numbered, "days").write.mode("append").partitionBy("days").parquet(root)
+    last = max(before.values(), default=FIRST_MODIFIED)
+    in_order = sorted(files().keys() - before.keys(), key=lambda name: name.split("days=")[1])
+    for number, name in enumerate(in_order, 1):
+        fs.setTimes(path(name), last + 1000 * number, -1)
+
+
+def _messages(spark: SparkSession, root: str) -> DataFrame:
+    """One file of messages per micro-batch."""
+    return read_event_stream(spark, "parquet", root, MESSAGE, maxFilesPerTrigger="1")
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    root = shared_folder(spark, "messages")
+    _publish(_events(spark, folder), root)
+    return parse_events(_messages(spark, root))
+
+
+def _archive_counts(archived: DataFrame) -> DataFrame:
+    return archived.groupBy("event_date").agg(F.count("*").alias("events"), *event_type_counts())
+
+
 def stream_raw_archive(spark: SparkSession, folder: str) -> DataFrame:
     root = shared_folder(spark, "stream-archive")
-    events = parse_events(to_event_messages(_event_stream(spark, folder)))
     write_archive_stream(
-        with_ingest_metrics(events), root, f"{root}-checkpoint", TO_THE_END
+        with_ingest_metrics(_event_stream(spark, folder)), root, f"{root}-checkpoint", TO_THE_END
     ).awaitTermination()
-    archived = read_archive(spark, root)
-    return archived.groupBy("event_date").agg(
-        F.count("*").alias("events"), *event_type_counts()
-    )
+    return _archive_counts(read_archive(spark, root))
 
 
-def _stream_result(spark: SparkSession, rows: DataFrame, mode: str) -> DataFrame:
-    root = shared_folder(spark, "stream-result")
+def _run_to_table(rows: DataFrame, root: str, mode: str) -> None:
     write_to_sinks(
         rows, [table_sink(root)], f"{root}-checkpoint", mode, TO_THE_END
     ).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{root}/batch_id=*")
+
+
+def _window_counts(events: DataFrame) -> DataFrame:
+    return ops.with_window_bounds(ops.sliding_window_counts(events, **WINDOWS))
+
+
+def _current_counts(spark: SparkSession, root: str, counts: DataFrame) -> DataFrame:
+    keys = ["window_start", "window_end", "product_id", "category"]
+    return _zoneless(latest_rows(spark, root, counts.schema, keys))
 
 
 def stream_sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
-    counts = ops.sliding_window_counts(_event_stream(spark, folder), **WINDOWS)
-    return _zoneless(_stream_result(spark, ops.with_window_bounds(counts), "update"))
+    """The current counts of every window after many micro-batches."""
+    root, counts = shared_folder(spark, "counts"), _window_counts(_event_stream(spark, folder))
+    _run_to_table(counts, root, "update")
+    return _current_counts(spark, root, counts)
+
+
+def _stream_alerts(spark: SparkSession, folder: str, mode: str) -> DataFrame:
+    root, alerts = shared_folder(spark, "alerts"), _alerts(_event_stream(spark, folder))
+    _run_to_table(alerts, root, mode)
+    return _zoneless(all_rows(spark, root, alerts.schema).drop("batch_id"))
 
 
 def stream_alerts_provisional(spark: SparkSession, folder: str) -> DataFrame:
-    return _zoneless(_stream_result(spark, _alerts(_event_stream(spark, folder)), "update"))
+    """Every alert as it was raised, file by file: one that changed is raised again."""
+    return _stream_alerts(spark, folder, "update")
 
 
 def stream_alerts_final(spark: SparkSession, folder: str) -> DataFrame:
-    return _zoneless(_stream_result(spark, _alerts(_event_stream(spark, folder)), "append"))
+    return _stream_alerts(spark, folder, "append")
+
+
+def _days_span(events: DataFrame) -> tuple:
+    return tuple(events.agg(F.min("event_date"), F.max("event_date")).first())
+
+
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The first day's events come last: they are archived, and are in no window."""
+    events, messages = _events(spark, folder), shared_folder(spark, "messages")
+    first, _ = _days_span(events)
+    is_late = F.col("event_date") == F.lit(first)
+    _publish(events.where(~is_late), messages)
+    _publish(events.where(is_late), messages)
+    parsed = parse_events(_messages(spark, messages))
+    archive, root = shared_folder(spark, "late-archive"), shared_folder(spark, "late-counts")
+    write_archive_stream(parsed, archive, f"{archive}-checkpoint", TO_THE_END).awaitTermination()
+    counts = _window_counts(parsed)
+    _run_to_table(counts, root, "update")
+    columns = ["views", "cart_adds", "purchases"]
+    archived = _archive_counts(read_archive(spark, archive)).select(
+        F.lit("archive").alias("kept_in"),
+        F.col("event_date").cast("timestamp_ntz").alias("start"),
+        F.lit(None).cast("string").alias("product_id"),
+        *columns,
+    )
+    windows = _current_counts(spark, root, counts).select(
+        F.lit("window").alias("kept_in"), F.col("window_start").alias("start"), "product_id", *columns
+    )
+    return archived.unionByName(windows)
+
+
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Stopped after half of the days and started again on the same checkpoint."""
+    events, messages = _events(spark, folder), shared_folder(spark, "messages")
+    first, last = _days_span(events)
+    early = F.col("event_date") <= F.lit(first + (last - first) / 2)
+    root = shared_folder(spark, "restarted-counts")
+    for part in (early, ~early):
+        _publish(events.where(part), messages)
+        counts = _window_counts(parse_events(_messages(spark, messages)))
+        _run_to_table(counts, root, "update")
+    return _current_counts(spark, root, counts)
+
+
+def _run_pipeline(spark: SparkSession, folder: str, **sinks) -> str:
+    """Both queries of the pipeline over the table's messages, until their end."""
+    messages, archive = shared_folder(spark, "messages"), shared_folder(spark, "pipeline-archive")
+    _publish(_events(spark, folder), messages)
+    config = PipelineConfig(
+        archive=archive, checkpoints=f"{archive}-checkpoints", alert_mode="append",
+        archive_trigger=TO_THE_END, alert_trigger=TO_THE_END, **WINDOWS, **RULE, **sinks,
+    )
+    for query in start_pipeline(_messages(spark, messages), config).values():
+        query.awaitTermination()
+    return archive
+
+
+def pipeline_archive(spark: SparkSession, folder: str) -> DataFrame:
+    return _archive_counts(read_archive(spark, _run_pipeline(spark, folder, alert_sinks=[])))
+
+
+def pipeline_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    root, layout = shared_folder(spark, "pipeline-alerts"), _alerts(_events(spark, folder)).schema
+    _run_pipeline(spark, folder, alert_sinks=[table_sink(root)])
+    return _zoneless(all_rows(spark, root, layout).drop("batch_id"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -329,7 +500,7 @@ def _corpus_sql() -> dict[str, str]:
     return ({"pipeline": sql} if sql else {}) | (corpus.ORACLE_SQL if corpus else {})
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parse_clickstream": parse_clickstream,
         "event_messages": event_messages,
@@ -349,11 +520,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_products": top_products,
         "top_products_overall": top_products_overall,
         "top_products_report": top_products_report,
+        "top_products_report_undated": top_products_report_undated,
+        "top_active_users_long": top_active_users_long,
+        "display_rows": display_rows,
         "conversion_rates": _rates,
         "conversion_rates_csv_roundtrip": conversion_rates_csv,
         "conversion_rates_overall": conversion_rates_overall,
         "conversion_rates_display": conversion_rates_display,
         "conversion_chart_series": conversion_chart_series,
+        "archive_reports": archive_reports,
+        "replay_messages": replay_messages,
+        "daily_empty_day": daily_empty_day,
         "daily_reports": daily_reports,
         "daily_headline": daily_headline,
         "daily_conversion_table": daily_conversion_table,
@@ -368,7 +545,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding_window_counts": stream_sliding_window_counts,
         "stream_alerts_provisional": stream_alerts_provisional,
         "stream_alerts_final": stream_alerts_final,
-    } | _corpus_queries()
+        "stream_late_events": stream_late_events,
+        "stream_restart": stream_restart,
+        "pipeline_archive": pipeline_archive,
+        "pipeline_alerts": pipeline_alerts,
+    }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return event_queries() | _corpus_queries()
 
 
 # The same results in SQL
@@ -460,11 +645,11 @@ def _report_sql(where: str = "") -> str:
     FROM ({_top_products_sql('event_date,', where)})"""
 
 
-def _top_users_sql(day: str, where: str = "") -> str:
+def _top_users_sql(day: str, where: str = "", k: int = 25) -> str:
     partition = f"PARTITION BY {day.rstrip(', ')}" if day else ""
     return f"""
     SELECT * FROM ({_segments_sql(day, where)})
-    QUALIFY row_number() OVER ({partition} ORDER BY purchases DESC, views DESC, user_id) <= 25"""
+    QUALIFY row_number() OVER ({partition} ORDER BY purchases DESC, views DESC, user_id) <= {k}"""
 
 
 def _as_text_sql(columns: list[str], table: str) -> str:
@@ -472,22 +657,42 @@ def _as_text_sql(columns: list[str], table: str) -> str:
     return f"SELECT {texts} FROM ({table})"
 
 
-def _windows_sql(size: str, slide: str, copies: int) -> str:
+def _windows_sql(size: str, slide: str, copies: int, days: str = "", where: str = "") -> str:
+    per = f"{days} AS days," if days else ""
     return f"""
-    SELECT window_start, window_start + INTERVAL {size} AS window_end, product_id, category,
-           {_COUNTS}
+    SELECT {per} window_start, window_start + INTERVAL {size} AS window_end, product_id,
+           category, {_COUNTS}
     FROM (SELECT c.*, time_bucket(INTERVAL {slide}, "timestamp", TIMESTAMP '1970-01-01')
                       - r.i * INTERVAL {slide} AS window_start
-          FROM c, range({copies}) r(i))
-    GROUP BY window_start, product_id, category"""
+          FROM c, range({copies}) r(i) {where})
+    GROUP BY {'days,' if days else ''} window_start, product_id, category"""
 
 
-def _alerts_sql() -> str:
+def _windows_by_file_sql() -> str:
+    """What a window holds after each file of days that adds to it."""
+    days = f"(event_date - DATE '1970-01-01') // {DAYS_PER_FILE}"
+    sums = ", ".join(
+        f"CAST(sum({name}) OVER upto AS BIGINT) AS {name}"
+        for name in ("views", "cart_adds", "purchases")
+    )
+    return f"""
+    SELECT window_start, window_end, product_id, category, {sums}
+    FROM ({_windows_sql('1 DAY', '12 HOUR', 2, days)})
+    WINDOW upto AS (PARTITION BY window_start, product_id, category ORDER BY days)"""
+
+
+def _alerts_sql(windows: str = "") -> str:
     return f"""
     SELECT product_id, category, window_start, window_end, views, purchases, cart_adds,
            'FLASH_SALE_SUGGESTED' AS alert_type,
            'High interest, low conversion - consider a discount or flash sale.' AS recommendation
-    FROM ({_windows_sql('1 DAY', '12 HOUR', 2)}) WHERE views > 5 AND purchases < 5"""
+    FROM ({windows or _windows_sql('1 DAY', '12 HOUR', 2)}) WHERE views > 5 AND purchases < 5"""
+
+
+def _closed_alerts_sql() -> str:
+    return f"""
+    SELECT * FROM ({_alerts_sql()})
+    WHERE window_end <= (SELECT max("timestamp") FROM c) - INTERVAL 2 MINUTE"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -498,6 +703,8 @@ def oracle_sql() -> dict[str, str]:
     windows = _windows_sql("1 DAY", "12 HOUR", 2)
     user_columns = ["user_id", "views", "cart_adds", "purchases", "segment"]
     iso = "'%Y-%m-%dT%H:%M:%S"
+    later = "WHERE event_date > (SELECT min(event_date) FROM c)"
+    dated = "WHERE CAST(user_id[2:] AS INT) % 7 <> 0"
     bodies = {
         "parse_clickstream": f"SELECT {_EVENT_COLUMNS} FROM c",
         "event_messages": f"""
@@ -529,6 +736,9 @@ def oracle_sql() -> dict[str, str]:
         "top_products": _top_products_sql(by_day),
         "top_products_overall": _top_products_sql(""),
         "top_products_report": _report_sql(),
+        "top_products_report_undated": _report_sql(dated),
+        "top_active_users_long": _top_users_sql(by_day, k=LONG_LIST),
+        "display_rows": _as_text_sql(user_columns, _top_users_sql("", k=DISPLAYED_ROWS)),
         "conversion_rates": rates,
         "conversion_rates_csv_roundtrip": rates,
         "conversion_rates_overall": _rates_sql(""),
@@ -536,6 +746,12 @@ def oracle_sql() -> dict[str, str]:
         "conversion_chart_series": f"""
             SELECT event_date, category, conversion_rate * 100 AS percent,
                    printf('%.1f%%', conversion_rate * 100) AS label FROM ({rates})""",
+        "archive_reports": rates,
+        "replay_messages": f"SELECT {_EVENT_COLUMNS} FROM c {_ON_DAY}",
+        "daily_empty_day": f"""
+            SELECT DATE '{DAY_AFTER_DATA}' AS source_date, 0::BIGINT AS events,
+                   0::BIGINT AS total_users, 0::BIGINT AS buyers, 0::BIGINT AS shoppers
+            FROM c HAVING count(*) > 0""",
         "daily_reports": f"""
             SELECT DATE '{DAY_AFTER_DATA}' AS requested_date, max(event_date) AS source_date,
                    count(*) AS events, count(DISTINCT user_id) AS users
@@ -559,10 +775,18 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_alerts_sql()})""",
         "stream_raw_archive": archive_counts,
         "stream_sliding_window_counts": windows,
-        "stream_alerts_provisional": _alerts_sql(),
-        "stream_alerts_final": f"""
-            SELECT * FROM ({_alerts_sql()})
-            WHERE window_end <= (SELECT max("timestamp") FROM c) - INTERVAL 2 MINUTE""",
+        "stream_alerts_provisional": _alerts_sql(_windows_by_file_sql()),
+        "stream_alerts_final": _closed_alerts_sql(),
+        "stream_late_events": f"""
+            SELECT 'archive' AS kept_in, CAST(event_date AS TIMESTAMP) AS "start",
+                   CAST(NULL AS VARCHAR) AS product_id, views, cart_adds, purchases
+            FROM ({archive_counts})
+            UNION ALL
+            SELECT 'window', window_start, product_id, views, cart_adds, purchases
+            FROM ({_windows_sql('1 DAY', '12 HOUR', 2, where=later)})""",
+        "stream_restart": windows,
+        "pipeline_archive": archive_counts,
+        "pipeline_alerts": _closed_alerts_sql(),
     }
     prefix = _clickstream_sql()
     return {name: f"{prefix}\n{body}" for name, body in bodies.items()} | _corpus_sql()

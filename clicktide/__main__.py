@@ -1,9 +1,10 @@
-"""Jobs for ``spark-submit``: ``pipeline``, ``daily`` and ``replay``.
+"""Jobs for ``spark-submit``: ``pipeline``, ``daily``, ``archive-reports`` and ``replay``.
 
     spark-submit --py-files clicktide.zip clicktide/__main__.py JOB OPTIONS
 
     pipeline --servers broker:9092 --archive /data/events --checkpoints /data/checkpoints
     daily    --archive /data/events --out /data/reports --date 2026-01-01
+    archive-reports --archive /data/events --out /data/reports
     replay   --archive /data/events --date 2026-01-01 --servers broker:9092
 
 ``--servers`` needs Spark's Kafka connector among the ``--packages``.
@@ -16,7 +17,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from clicktide.plans import build_report_bundle, run_daily_reports, write_report_bundle
+from clicktide.plans import (
+    build_report_bundle,
+    run_daily_reports,
+    write_archive_reports,
+    write_report_bundle,
+)
 from clicktide.schemas import (
     ALERT_PURCHASES_UNDER,
     ALERT_TOPIC,
@@ -26,7 +32,7 @@ from clicktide.schemas import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
-from clicktide.session import build_session, sized_for
+from clicktide.session import build_session, planned_bytes, sized_for
 from clicktide.sinks import (
     console_sink,
     kafka_sink_options,
@@ -34,13 +40,7 @@ from clicktide.sinks import (
     publish_events,
     table_sink,
 )
-from clicktide.sources import (
-    day_bytes,
-    kafka_source_options,
-    load_events_for_date,
-    read_event_stream,
-    resolve_event_date,
-)
+from clicktide.sources import kafka_source_options, open_archive, read_archive, read_event_stream
 from clicktide.streaming import PipelineConfig, run_pipeline, start_pipeline
 
 
@@ -72,6 +72,10 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     daily.add_argument("--out", required=True)
     daily.add_argument("--date", required=True, help="YYYY-MM-DD")
 
+    every_day = jobs.add_parser("archive-reports", help="write the reports of every day in one pass")
+    every_day.add_argument("--archive", required=True)
+    every_day.add_argument("--out", required=True)
+
     replay = jobs.add_parser("replay", help="publish an archived day as messages")
     replay.add_argument("--archive", required=True)
     replay.add_argument("--date", required=True, help="YYYY-MM-DD")
@@ -119,9 +123,10 @@ def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
-    source_date = resolve_event_date(spark, args.archive, args.date)
-    with sized_for(spark, day_bytes(spark, args.archive, source_date)):
-        run = run_daily_reports(spark, args.archive, args.out, args.date)
+    archive = open_archive(spark, args.archive)
+    source_date = archive.resolve(args.date)
+    with sized_for(spark, archive.size(source_date)):
+        run = run_daily_reports(spark, archive, args.out, args.date, source_date=source_date)
     if run.source_date != run.requested_date:
         print(f"no events on {run.requested_date}, took {run.source_date}")
     print(f"{run.events:,} events, {run.users:,} users, segments {run.segments}")
@@ -130,14 +135,21 @@ def daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    events = load_events_for_date(spark, args.archive, args.date)
-    if args.servers:
-        publish_events(events, "kafka", **kafka_sink_options(args.servers, args.topic))
-    else:
-        publish_events(events, "json", path=args.out)
+    archive = open_archive(spark, args.archive)
+    events = archive.read(archive.resolve(args.date))
+    with sized_for(spark, planned_bytes(events)):
+        if args.servers:
+            publish_events(events, "kafka", **kafka_sink_options(args.servers, args.topic))
+        else:
+            publish_events(events, "json", path=args.out)
+
+
+def archive_reports(spark: SparkSession, args: argparse.Namespace) -> None:
+    for report, path in write_archive_reports(spark, read_archive(spark, args.archive), args.out).items():
+        print(f"{report} in {path}")
 
 
-JOBS = {"pipeline": pipeline, "daily": daily, "replay": replay}
+JOBS = {"pipeline": pipeline, "daily": daily, "archive-reports": archive_reports, "replay": replay}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

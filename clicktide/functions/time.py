@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from clicktide.functions._columns import ColumnOrName, as_column
 
@@ -23,15 +22,23 @@ def previous_day(day: ColumnOrName) -> Column:
     return F.date_sub(as_column(day).cast("date"), 1).cast("string")
 
 
+def duration_micros(duration: str) -> int:
+    """Length of a duration as Spark reads it, so every one that ``window`` takes is known."""
+    length = SparkSession.active().sql(
+        "SELECT timestampdiff(MICROSECOND, start, start + CAST(:duration AS INTERVAL))"
+        " FROM (SELECT TIMESTAMP_NTZ'1970-01-01 00:00:00' AS start)",
+        {"duration": duration},
+    ).first()[0]
+    if length is None:
+        raise ValueError(f"not a duration: {duration}")
+    return length
+
+
 def window_copies(size: str, slide: str) -> float:
-    """How many windows an event falls into; 1 for durations only Spark can read."""
-    try:
-        return pd.Timedelta(size) / pd.Timedelta(slide)
-    except ValueError:
-        return 1.0
+    """How many windows an event falls into."""
+    return duration_micros(size) / duration_micros(slide)
 
 
 def pane_width(size: str, slide: str) -> str:
     """Longest pane of which both the window size and the slide are multiples."""
-    micros = math.gcd(*(pd.Timedelta(text).value // 1000 for text in (size, slide)))
-    return f"{micros} microseconds"
+    return f"{math.gcd(duration_micros(size), duration_micros(slide))} microseconds"

@@ -6,7 +6,12 @@ from clicktide.operators.conversion import (
     display_table,
     rate_categories,
 )
-from clicktide.operators.products import rank_products, top_products, top_products_report
+from clicktide.operators.products import (
+    daily_top_products_report,
+    rank_products,
+    top_products,
+    top_products_report,
+)
 from clicktide.operators.segments import (
     segment_headline,
     segment_summary,
@@ -17,6 +22,7 @@ from clicktide.operators.windows import sliding_window_counts, with_window_bound
 
 __all__ = [
     "conversion_chart_series", "conversion_rates", "conversion_rates_display",
+    "daily_top_products_report",
     "display_table", "flash_sale_alerts", "rank_products", "rate_categories",
     "segment_headline", "segment_summary", "sliding_window_counts",
     "top_active_users", "top_products", "top_products_report", "user_segments",

@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Parts of a long list per group: a group of a billion rows leaves 250,000 to a task of the
+# first cut, and the second one 256 times ``k`` at most.
+FIRST_PARTS, LAST_PARTS = 4096, 16
+
 
 def top_rows(
     rows: DataFrame,
@@ -51,11 +55,14 @@ def first_in_group(
 def best_of_parts(
     rows: DataFrame, k: int, order: Sequence[Column], by: Sequence[str]
 ) -> DataFrame:
-    """Cut each group into parts by row hash and keep the first ``k`` rows of each.
+    """Cut each group into parts by row hash and keep the first ``k`` rows of each, twice.
 
-    They contain the first ``k`` of the group, which a single task can then sort.
+    What is kept contains the first ``k`` of the group. The numbers of parts are fixed,
+    whatever the shuffle settings: no task sorts more than a part of a group, and the
+    last one gets at most ``LAST_PARTS * k`` rows of it.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
-    best = first_in_group(salted, k, order, [*by, "_part"], "_position")
-    return best.drop("_part", "_position")
+    cut = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(FIRST_PARTS)))
+    for parts in (FIRST_PARTS, LAST_PARTS):
+        cut = cut.withColumn("_part", F.pmod("_part", F.lit(parts)))
+        cut = first_in_group(cut, k, order, [*by, "_part"], "_position").drop("_position")
+    return cut.drop("_part")

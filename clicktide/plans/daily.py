@@ -7,32 +7,46 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from clicktide.functions import event_type_counts, known, summed_counts
 from clicktide.operators import (
     conversion_chart_series,
+    conversion_rates,
     conversion_rates_display,
+    daily_top_products_report,
     display_table,
     rank_products,
     rate_categories,
     segment_headline,
-    segment_summary,
     top_active_users,
     top_products_report,
     user_segments,
 )
-from clicktide.schemas import CHART_SERIES, CONVERSION, TOP_PRODUCTS, TOP_USERS, USER_SEGMENT
+from clicktide.schemas import (
+    BUYER,
+    CHART_SERIES,
+    CONVERSION,
+    TOP_PRODUCTS,
+    TOP_USERS,
+    USER_SEGMENT,
+    WINDOW_SHOPPER,
+)
+from clicktide.session import planned_bytes, sized_for
 from clicktide.sinks.reports import write_report_csv, write_report_text
-from clicktide.sources.archive import read_archive_day, resolve_event_date
+from clicktide.sources.archive import Archive, open_archive
 from clicktide.sources.reports import read_report_csv, read_report_text, require_reports
 
 
 @dataclass(frozen=True)
 class ReportPaths:
-    """Folders of one day's reports, labelled with the requested day."""
+    """Folders of one day's reports, labelled with the requested day.
+
+    ``user_segments_table`` holds the rows of ``user_segments`` as Parquet, for reading on.
+    """
 
     user_segments: str
+    user_segments_table: str
     top_products: str
     conversion_rates: str
     conversion_chart: str
@@ -41,6 +55,7 @@ class ReportPaths:
     def of(cls, out: str, day: date | str) -> ReportPaths:
         return cls(
             f"{out}/user_segments_{day}.csv",
+            f"{out}/user_segments_{day}.parquet",
             f"{out}/top5_products_{day}.txt",
             f"{out}/conversion_rates_{day}.csv",
             f"{out}/conversion_chart_{day}.csv",
@@ -83,10 +98,20 @@ def product_activity(events: DataFrame) -> DataFrame:
 
 
 def write_segments(spark: SparkSession, events: DataFrame, paths: ReportPaths) -> dict[str, int]:
-    """Write the segment report; returns the users per segment, from the finished file."""
-    write_report_csv(user_segments(events), paths.user_segments)
-    written = read_report_csv(spark, paths.user_segments, USER_SEGMENT)
-    return {row["segment"]: row["users"] for row in segment_summary(written).collect()}
+    """Write the segments as a table and as the CSV report; returns the users per segment.
+
+    The users are counted as they are written: the observation stands directly below the
+    write, where a task that is run again reports only once.
+    """
+    segments, users = user_segments(events), Observation()
+    counted = segments.observe(
+        users,
+        *(F.count_if(F.col("segment") == name).alias(name) for name in (BUYER, WINDOW_SHOPPER)),
+    )
+    counted.write.mode("overwrite").parquet(paths.user_segments_table)
+    table = spark.read.schema(segments.schema).parquet(paths.user_segments_table)
+    write_report_csv(table, paths.user_segments)
+    return {name: number for name, number in users.get.items() if number}
 
 
 def write_conversion(activity: DataFrame, paths: ReportPaths) -> None:
@@ -110,18 +135,28 @@ def write_top_products(
 
 
 def run_daily_reports(
-    spark: SparkSession, archive: str, out: str, requested: date | str, k: int = TOP_PRODUCTS
+    spark: SparkSession,
+    archive: str | Archive,
+    out: str,
+    requested: date | str,
+    k: int = TOP_PRODUCTS,
+    source_date: date | None = None,
 ) -> DailyRun:
     """Write the three reports of a day, the segments beside the other two.
 
+    ``archive`` is a folder, or an archive opened before; ``source_date`` the day to read
+    where the caller has resolved it already.
+
     The day is scanned twice, each time for the columns that report needs: user and
     type for the segments; product, category and type for the other two, which share
     one small aggregate. That is less to read, and nothing to spill, compared with
     caching the day itself. The number of events comes from the file footers. Runs
     can be repeated: each replaces the outputs of the last.
     """
-    source_date = resolve_event_date(spark, archive, requested)
-    events = read_archive_day(spark, archive, source_date)
+    if isinstance(archive, str):
+        archive = open_archive(spark, archive)
+    source_date = source_date or archive.resolve(requested)
+    events = archive.read(source_date)
     paths = ReportPaths.of(out, requested)
     activity = product_activity(events).persist()
 
@@ -155,14 +190,15 @@ def build_report_bundle(spark: SparkSession, out: str, requested: date | str) ->
     """Headline, percent table, chart, product lines and most active users of a day.
 
     Reads the written reports under their declared layouts, so it can run on its own
-    after them. ``FileNotFoundError`` if one is missing.
+    after them. The users are read from their table, not from the CSV, and only the
+    columns that are asked for. ``FileNotFoundError`` if one is missing or unfinished.
     """
     paths = ReportPaths.of(out, requested)
     require_reports(
         spark, paths.conversion_rates, paths.conversion_chart, paths.top_products,
-        paths.user_segments,
+        paths.user_segments, paths.user_segments_table,
     )
-    segments = read_report_csv(spark, paths.user_segments, USER_SEGMENT)
+    segments = spark.read.schema(USER_SEGMENT).parquet(paths.user_segments_table)
     rates = read_report_csv(spark, paths.conversion_rates, CONVERSION).orderBy(
         F.desc("conversion_rate"), F.asc("category")
     )
@@ -189,3 +225,27 @@ def write_report_bundle(bundle: ReportBundle, out: str, requested: date | str) -
     )
     write_report_text(numbered, f"{folder}/top_products.txt")
     return folder
+
+
+def write_archive_reports(spark: SparkSession, events: DataFrame, out: str) -> dict[str, str]:
+    """The reports of every day of an archive in one pass each, sized by what they read.
+
+    Returns the folder of each report. Rows carry ``event_date``; users are written as a
+    table, the others as they are for a single day.
+    """
+    by_day = ["event_date"]
+    users = user_segments(events, by_day)
+    rates = conversion_rates(events, by_day)
+    lines = daily_top_products_report(events)
+    paths = {
+        name: f"{out}/{name}"
+        for name in ("user_segments.parquet", "conversion_rates.csv", "top_products.csv")
+    }
+    with sized_for(spark, planned_bytes(users)):
+        users.write.mode("overwrite").parquet(paths["user_segments.parquet"])
+    with sized_for(spark, planned_bytes(rates)):
+        write_report_csv(rates, paths["conversion_rates.csv"])
+    with sized_for(spark, planned_bytes(lines)):
+        ordered = lines.repartitionByRange("report_date").sortWithinPartitions("report_date", "line_no")
+        write_report_csv(ordered, paths["top_products.csv"])
+    return paths

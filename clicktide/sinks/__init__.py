@@ -1,9 +1,10 @@
 from clicktide.sinks.alerts import (
+    all_rows,
     console_sink,
     kafka_sink_options,
+    latest_rows,
     message_sink,
     table_sink,
-    write_alerts,
     write_alerts_console,
     write_alerts_messages,
     write_to_sinks,
@@ -13,7 +14,7 @@ from clicktide.sinks.events import publish_events
 from clicktide.sinks.reports import write_report_csv, write_report_text
 
 __all__ = [
-    "console_sink", "kafka_sink_options", "message_sink", "publish_events", "table_sink",
-    "write_alerts", "write_alerts_console", "write_alerts_messages", "write_archive",
+    "all_rows", "console_sink", "kafka_sink_options", "latest_rows", "message_sink",
+    "publish_events", "table_sink", "write_alerts_console", "write_alerts_messages", "write_archive",
     "write_archive_stream", "write_report_csv", "write_report_text", "write_to_sinks",
 ]

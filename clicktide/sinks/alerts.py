@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from clicktide.schemas import ALERT_TOPIC, CONSOLE_ROWS
+from clicktide.sources.archive import path_exists
 from clicktide.sources.messages import to_alert_messages
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -34,13 +36,40 @@ def message_sink(fmt: str = "kafka", **options: str) -> BatchSink:
 def table_sink(root: str) -> BatchSink:
     """Keep each batch under its own folder, so a repeated batch replaces itself.
 
-    The folder belongs to one checkpoint: batches are numbered anew in another.
+    The folder belongs to one checkpoint: batches are numbered anew in another. Batches
+    without rows leave no folder. ``latest_rows`` reads the state that they end in.
     """
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
     return deliver
 
 
+def all_rows(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Everything that a ``table_sink`` kept, with ``batch_id``.
+
+    In update mode a row is delivered again whenever it has changed: these are alerts as
+    they were raised, the provisional ones among them.
+    """
+    with_batch = StructType(list(schema.fields)).add("batch_id", "long")
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).option("basePath", root).parquet(root)
+
+
+def latest_rows(
+    spark: SparkSession, root: str, schema: StructType, keys: Sequence[str]
+) -> DataFrame:
+    """Of a ``table_sink`` in update mode the current row per key: that of the last batch.
+
+    A row that stopped being an alert is not delivered again, so ask this of window counts
+    and apply the rule to the result.
+    """
+    rest = [name for name in schema.names if name not in keys]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("newest")
+    rows = all_rows(spark, root, schema).groupBy(*keys).agg(newest)
+    return rows.select(*[F.col(n) if n in keys else F.col(f"newest.{n}") for n in schema.names])
+
+
 def write_to_sinks(
     stream: DataFrame,
     sinks: Sequence[BatchSink],
@@ -50,16 +79,20 @@ def write_to_sinks(
 ) -> StreamingQuery:
     """Feed every sink from one query: one read and one state for all of them.
 
-    The batch is computed whole before the first sink sees it: a sink may look at a
-    few rows only, and window state is committed just for the partitions computed.
-    A batch that is run again after a failure is delivered again.
+    The batch is computed whole, once, before the first sink sees it: a sink may look at
+    a few rows only, and window state is committed just for the partitions computed. It
+    is kept meanwhile, as its count tells whether there is anything to deliver; a batch
+    without rows reaches no sink. One that is run again after a failure is delivered again.
+
+    ``update`` delivers provisional alerts, ``append`` final ones; consumers recognise a
+    repeated alert by product, category and window start.
     """
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.count()
-            for deliver in sinks:
-                deliver(batch, batch_id)
+            if batch.count():
+                for deliver in sinks:
+                    deliver(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -71,20 +104,6 @@ def write_to_sinks(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def write_alerts(
-    alerts: DataFrame,
-    sinks: Sequence[BatchSink],
-    checkpoint: str,
-    output_mode: str = "update",
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Deliver provisional (``update``) or final (``append``) alerts to every sink.
-
-    Consumers can recognise a repeated alert by product, category and window start.
-    """
-    return write_to_sinks(alerts, sinks, checkpoint, output_mode, trigger)
-
-
 def write_alerts_console(
     alerts: DataFrame, checkpoint: str, rows: int = CONSOLE_ROWS, trigger: dict | None = None
 ) -> StreamingQuery:

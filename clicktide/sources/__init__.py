@@ -1,9 +1,10 @@
 from clicktide.sources.archive import (
+    Archive,
     archive_dates,
     day_bytes,
     load_events_for_date,
+    open_archive,
     read_archive,
-    read_archive_day,
     resolve_event_date,
 )
 from clicktide.sources.messages import (
@@ -17,8 +18,8 @@ from clicktide.sources.messages import (
 from clicktide.sources.reports import read_report_csv, read_report_text, require_reports
 
 __all__ = [
-    "archive_dates", "day_bytes", "kafka_source_options", "load_events_for_date", "parse_events",
-    "read_archive", "read_archive_day", "read_event_stream", "read_report_csv",
+    "Archive", "archive_dates", "day_bytes", "kafka_source_options", "load_events_for_date",
+    "open_archive", "parse_events", "read_archive", "read_event_stream", "read_report_csv",
     "read_report_text", "require_reports", "resolve_event_date", "to_alert_messages",
     "to_event_messages", "with_ingest_metrics",
 ]

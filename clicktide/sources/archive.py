@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,29 +27,100 @@ def has_commit_log(spark: SparkSession, root: str) -> bool:
     return path_exists(spark, f"{root}/{COMMIT_LOG}")
 
 
-def archive_dates(spark: SparkSession, root: str) -> list[date]:
-    """Days that have a folder, newest first; the folder of undated events is none.
+def _day_of(folder: str) -> date | None:
+    """The day of a partition folder; None for other folders and for undated events."""
+    name, _, value = folder.partition("=")
+    try:
+        return date.fromisoformat(value) if name == ARCHIVE_PARTITION else None
+    except ValueError:
+        return None
+
+
+@dataclass(frozen=True)
+class Archive:
+    """An archive looked at once: its days, and how its events are read.
+
+    ``committed`` is set for an archive that a stream writes. It holds the events and,
+    by day, the files that the stream's commit log names; files of an unfinished or
+    repeated batch are in none of them.
+    """
 
-    One directory listing: the work grows with the days, not with files or rows.
+    spark: SparkSession
+    root: str
+    days: tuple[date, ...]  # newest first
+    committed: tuple[DataFrame, dict[date, list[str]]] | None = None
+
+    def resolve(self, requested: date | str) -> date:
+        """The requested day if the archive has its folder, else its last day.
+
+        The last day may be later than the requested one. A day of a streamed archive is
+        there if a file of it was committed. ``FileNotFoundError`` if there is no day at
+        all, or if the folder of the day taken has no data file. A day whose files have no
+        rows is that day, without events.
+        """
+        wanted = date.fromisoformat(str(requested))
+        if not self.days:
+            raise FileNotFoundError(f"no event partition under {self.root}")
+        day = wanted if wanted in self.days else self.days[0]
+        if not self._files(day):
+            raise FileNotFoundError(f"no data files in {self._folder(day)}")
+        return day
+
+    def read(self, day: date) -> DataFrame:
+        """One day's partition, without listing the files of other days."""
+        if self.committed:
+            events = self.committed[0]
+        else:
+            reader = self.spark.read.schema(ARCHIVE).option("basePath", self.root)
+            events = reader.parquet(self._folder(day))
+        return events.where(F.col(ARCHIVE_PARTITION) == F.lit(day))
+
+    def size(self, day: date) -> int:
+        """Bytes of a day's files."""
+        fs, _ = _file_system(self.spark, self.root)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sum(fs.getFileStatus(path(name)).getLen() for name in self._files(day))
+
+    def _folder(self, day: date) -> str:
+        return f"{self.root}/{ARCHIVE_PARTITION}={day}"
+
+    def _files(self, day: date) -> list[str]:
+        if self.committed:
+            return self.committed[1].get(day, [])
+        fs, path = _file_system(self.spark, self._folder(day))
+        if not fs.exists(path):
+            return []
+        found = [status.getPath() for status in fs.listStatus(path) if status.isFile()]
+        return [str(file) for file in found if file.getName()[0] not in "_."]
+
+
+def open_archive(spark: SparkSession, root: str) -> Archive:
+    """Look at an archive once; a job passes the result on instead of looking again.
+
+    One directory listing, or one reading of the commit log, which has an entry for
+    every file that the stream has written.
     """
+    if has_commit_log(spark, root):
+        events = spark.read.schema(ARCHIVE).parquet(root)
+        files: dict[date, list[str]] = {}
+        for name in events.inputFiles():
+            if day := _day_of(name.split("/")[-2]):
+                files.setdefault(day, []).append(name)
+        return Archive(spark, root, tuple(sorted(files, reverse=True)), (events, files))
     fs, path = _file_system(spark, root)
-    if not fs.exists(path):
-        return []
-    days = []
-    for status in fs.listStatus(path):
-        name, _, value = status.getPath().getName().partition("=")
-        if name == ARCHIVE_PARTITION and status.isDirectory():
-            try:
-                days.append(date.fromisoformat(value))
-            except ValueError:
-                continue
-    return sorted(days, reverse=True)
+    found = fs.listStatus(path) if fs.exists(path) else []
+    days = {_day_of(status.getPath().getName()) for status in found if status.isDirectory()}
+    return Archive(spark, root, tuple(sorted(days - {None}, reverse=True)))
+
+
+def archive_dates(spark: SparkSession, root: str) -> list[date]:
+    """Days of the archive, newest first; the folder of undated events is none."""
+    return list(open_archive(spark, root).days)
 
 
 def day_bytes(spark: SparkSession, root: str, day: date) -> int:
-    """Size of a day's folder, asked of the file system."""
-    fs, path = _file_system(spark, f"{root}/{ARCHIVE_PARTITION}={day}")
-    return fs.getContentSummary(path).getLength()
+    """Size of a day's files, asked of the file system."""
+    return open_archive(spark, root).size(day)
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
@@ -56,35 +128,9 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(ARCHIVE).parquet(root)
 
 
-def read_archive_day(spark: SparkSession, root: str, day: date) -> DataFrame:
-    """One day's partition.
-
-    An archive written by a stream is read through its commit log, so files of an
-    unfinished or repeated batch are never counted. Any other archive is read from
-    the day's folder alone, without listing the files of all other days.
-    """
-    reader = spark.read.schema(ARCHIVE)
-    if has_commit_log(spark, root):
-        events = reader.parquet(root)
-    else:
-        events = reader.option("basePath", root).parquet(f"{root}/{ARCHIVE_PARTITION}={day}")
-    return events.where(F.col(ARCHIVE_PARTITION) == F.lit(day))
-
-
 def resolve_event_date(spark: SparkSession, root: str, requested: date | str) -> date:
-    """The requested day if the archive holds it, else its last day.
-
-    The last day may be later than the requested one. Folders without a readable
-    event count as absent. ``FileNotFoundError`` if no day is left.
-    """
-    wanted = date.fromisoformat(str(requested))
-    days = archive_dates(spark, root)
-    candidates = [wanted] if wanted in days else []
-    candidates += [day for day in days if day != wanted]
-    for day in candidates:
-        if not read_archive_day(spark, root, day).isEmpty():
-            return day
-    raise FileNotFoundError(f"no event partition under {root}")
+    """The requested day, or the last one where that is absent; see ``Archive.resolve``."""
+    return open_archive(spark, root).resolve(requested)
 
 
 def load_events_for_date(spark: SparkSession, root: str, requested: date | str) -> DataFrame:
@@ -92,4 +138,5 @@ def load_events_for_date(spark: SparkSession, root: str, requested: date | str)
 
     The ``event_date`` column tells which day was taken.
     """
-    return read_archive_day(spark, root, resolve_event_date(spark, root, requested))
+    archive = open_archive(spark, root)
+    return archive.read(archive.resolve(requested))

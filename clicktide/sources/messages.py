@@ -61,19 +61,23 @@ def parse_events(messages: DataFrame) -> DataFrame:
 
 
 def with_ingest_metrics(events: DataFrame, name: str = "ingest") -> DataFrame:
-    """Count events, and those without any field, into the query's observed metrics.
+    """Count events into the query's observed metrics: all, ``malformed`` ones without any
+    field, and ``undated`` ones, which no report of a day can hold.
 
     A monitoring figure: a task that is run again after a lost executor may be
     counted again. The rows themselves pass through untouched.
     """
     empty = F.coalesce(*[F.col(field).cast("string") for field in CLICKSTREAM_COLUMNS]).isNull()
     return events.observe(
-        name, F.count(F.lit(1)).alias("events"), F.count_if(empty).alias("malformed")
+        name,
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(empty).alias("malformed"),
+        F.count_if(F.col("timestamp").isNull() & ~empty).alias("undated"),
     )
 
 
-def to_event_messages(events: DataFrame) -> DataFrame:
-    """``key, value``: each event as JSON, keyed by user; batch or stream.
+def to_event_messages(events: DataFrame, *kept: str) -> DataFrame:
+    """``key, value``: each event as JSON, keyed by user; batch or stream. ``kept`` columns stay.
 
     An empty or missing user gives a null key, so a topic spreads such events over
     its partitions.
@@ -81,6 +85,7 @@ def to_event_messages(events: DataFrame) -> DataFrame:
     return events.select(
         F.nullif(F.col("user_id"), F.lit("")).alias("key"),
         F.to_json(F.struct(*CLICKSTREAM_COLUMNS), EVENT_JSON_OPTIONS).alias("value"),
+        *kept,
     )
 
 

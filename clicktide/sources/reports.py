@@ -31,7 +31,10 @@ def read_report_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def require_reports(spark: SparkSession, *paths: str) -> None:
-    """``FileNotFoundError`` naming the reports that are not there."""
-    missing = [path for path in paths if not path_exists(spark, path)]
+    """``FileNotFoundError`` naming the reports that are not there, or not finished.
+
+    A report is a folder; the writer leaves ``_SUCCESS`` in it when all parts are there.
+    """
+    missing = [path for path in paths if not path_exists(spark, f"{path}/_SUCCESS")]
     if missing:
         raise FileNotFoundError(f"run the daily reports first, missing: {', '.join(missing)}")

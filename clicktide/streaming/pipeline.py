@@ -17,7 +17,7 @@ from clicktide.schemas import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
-from clicktide.sinks.alerts import BatchSink, console_sink, write_alerts
+from clicktide.sinks.alerts import BatchSink, console_sink, write_to_sinks
 from clicktide.sinks.archive import write_archive_stream
 from clicktide.sources.messages import parse_events, with_ingest_metrics
 
@@ -60,7 +60,7 @@ def start_pipeline(messages: DataFrame, config: PipelineConfig) -> dict[str, Str
             config.archive_trigger,
             config.archive_files,
         ),
-        "alerts": write_alerts(
+        "alerts": write_to_sinks(
             detect_alerts(events, config),
             config.alert_sinks,
             f"{config.checkpoints}/alerts",

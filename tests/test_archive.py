@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clicktide.functions import previous_day, utc_date
+from clicktide.plans import run_daily_reports
+from clicktide.schemas import USER_SEGMENT
 from clicktide.sinks import write_archive, write_archive_stream
 from clicktide.sources import (
     archive_dates,
@@ -13,6 +15,8 @@ from clicktide.sources import (
     load_events_for_date,
     parse_events,
     read_archive,
+    read_report_csv,
+    read_report_text,
     resolve_event_date,
     to_event_messages,
 )
@@ -75,11 +79,30 @@ def test_absent_day_falls_back_to_last_real_day(spark, folder, three_days, asked
     assert resolve_event_date(spark, folder, asked) == date(2026, 1, 3)
 
 
-def test_empty_folder_of_a_day_counts_as_absent(spark, folder, three_days):
+def test_folder_without_data_files_is_an_error(spark, folder, three_days):
     write_archive(three_days, folder)
     os.mkdir(f"{folder}/event_date=2026-01-05")
-    assert resolve_event_date(spark, folder, "2026-01-05") == date(2026, 1, 3)
-    assert archive_dates(spark, folder)[0] == date(2026, 1, 5)
+    with pytest.raises(FileNotFoundError, match="no data files"):
+        resolve_event_date(spark, folder, "2026-01-05")
+    open(f"{folder}/event_date=2026-01-05/_SUCCESS", "w").close()
+    with pytest.raises(FileNotFoundError, match="2026-01-05"):
+        load_events_for_date(spark, folder, "2026-01-05")
+    assert resolve_event_date(spark, folder, "2026-01-02") == date(2026, 1, 2)
+    with pytest.raises(FileNotFoundError, match="no data files"):
+        resolve_event_date(spark, folder, "2026-01-04")  # absent: the last day, which has none
+
+
+def test_day_without_rows_is_that_day(spark, folder, three_days):
+    write_archive(three_days, folder)
+    nothing = three_days.where("false").drop("event_date")
+    nothing.write.parquet(f"{folder}/event_date=2025-12-31")
+    assert resolve_event_date(spark, folder, "2025-12-31") == date(2025, 12, 31)
+    assert load_events_for_date(spark, folder, "2025-12-31").count() == 0
+    run = run_daily_reports(spark, folder, f"{folder}-out", "2025-12-31")
+    assert (run.source_date, run.events, run.users) == (date(2025, 12, 31), 0, 0)
+    assert read_report_csv(spark, run.paths.user_segments, USER_SEGMENT).count() == 0
+    lines = [row.value for row in read_report_text(spark, run.paths.top_products).collect()]
+    assert len(lines) == 6 and lines[1].endswith("2025-12-31")
 
 
 def test_archive_without_any_dated_event_is_an_error(spark, folder):

@@ -5,17 +5,29 @@ from datetime import date
 import pandas as pd
 import pytest
 
-from clicktide.operators import conversion_rates, top_products, user_segments
-from clicktide.plans import ReportPaths, build_report_bundle, run_daily_reports
+from clicktide.operators import (
+    conversion_rates,
+    daily_top_products_report,
+    top_products,
+    user_segments,
+)
+from clicktide.plans import (
+    ReportPaths,
+    build_report_bundle,
+    daily,
+    run_daily_reports,
+    write_archive_reports,
+)
 from clicktide.schemas import CONVERSION, USER_SEGMENT
 from clicktide.sinks import publish_events, write_archive, write_report_csv, write_report_text
 from clicktide.sources import (
     load_events_for_date,
     parse_events,
+    read_archive,
     read_report_csv,
     read_report_text,
 )
-from tests.helpers import as_list, as_set, at, event, events_of
+from tests.helpers import NOON, as_list, as_set, at, event, events_of
 
 DAY = 24 * 60
 
@@ -124,6 +136,51 @@ def test_bundle_requires_every_report(spark, archive, folder, missing):
         build_report_bundle(spark, out, "2026-01-01")
 
 
+@pytest.mark.parametrize("unfinished", [
+    "user_segments", "user_segments_table", "top_products", "conversion_rates", "conversion_chart"
+])
+def test_bundle_requires_finished_reports(spark, archive, folder, unfinished):
+    out = f"{folder}/out"
+    run_daily_reports(spark, archive, out, "2026-01-01")
+    path = getattr(ReportPaths.of(out, "2026-01-01"), unfinished)
+    os.rename(path, f"{path}.moved")
+    os.makedirs(f"{path}/_temporary/0")
+    with pytest.raises(FileNotFoundError, match=os.path.basename(path)):
+        build_report_bundle(spark, out, "2026-01-01")
+
+
+def test_reports_of_all_days(spark, archive, events, folder):
+    dated = events.where("event_date is not null")
+    paths = write_archive_reports(spark, read_archive(spark, archive), f"{folder}/out")
+    users = spark.read.parquet(paths["user_segments.parquet"])
+    assert as_set(users) == as_set(user_segments(dated, ["event_date"]))
+    layout = "report_date STRING, line_no INT, line STRING"
+    lines = read_report_csv(spark, paths["top_products.csv"], layout)
+    assert as_set(lines) == as_set(daily_top_products_report(dated))
+
+
+def test_report_of_days_without_views_or_dates(spark):
+    rows = [event(time=NOON), event("purchase", time=at(DAY)), event(time=None),
+            event(user="x", product=None, time=at(2 * DAY))]
+    lines = daily_top_products_report(events_of(spark, rows)).collect()
+    per_day = {day: sum(row.report_date == day for row in lines) for day in {row.report_date for row in lines}}
+    assert per_day == {"2026-01-01": 7, "2026-01-02": 6, "2026-01-03": 6}
+
+
+def test_users_are_counted_once_though_tasks_fail(spark, folder):
+    def fails_first(rows):
+        from pyspark import TaskContext
+
+        yield from rows
+        if TaskContext.get().attemptNumber() == 0:
+            raise ValueError("lost")
+
+    rows = events_of(spark, [event(user=f"u{n}") for n in range(50)] + [event("purchase", user="u1")])
+    failing = rows.rdd.mapPartitions(fails_first).toDF(rows.schema)
+    paths = ReportPaths.of(folder, "2026-01-01")
+    assert daily.write_segments(spark, failing, paths) == {"BUYER": 1, "WINDOW_SHOPPER": 49}
+
+
 def test_csv_keeps_text_as_it_is(spark, folder):
     ids = ["007", "NA", "", " spaced ", 'quo"ted', "com,ma", "back\\slash", "line\nbreak", "null",
            "cr\r\nlf", "Zoë", '"', '\\"', "'", "#hash", "tab\t"]

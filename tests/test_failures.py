@@ -14,8 +14,8 @@ from clicktide.operators import (
 from clicktide.plans import daily, run_daily_reports
 from clicktide.schemas import CLICKSTREAM, USER_SEGMENT
 from clicktide.sinks import (
+    write_to_sinks,
     table_sink,
-    write_alerts,
     write_archive,
     write_archive_stream,
     write_report_csv,
@@ -82,7 +82,7 @@ def test_streams_with_failing_tasks(spark, events, folder):
     assert as_set(read_archive(spark, f"{folder}/archive")) == as_set(events)
 
     counts = with_window_bounds(sliding_window_counts(stream))
-    write_alerts(
+    write_to_sinks(
         counts, [table_sink(f"{folder}/counts")], f"{folder}/cp2", trigger=TO_THE_END
     ).awaitTermination()
     expected = with_window_bounds(sliding_window_counts(events))
@@ -104,7 +104,7 @@ def test_batch_is_delivered_whole_after_a_sink_failed(spark, folder):
 
     def start():
         sinks = [table_sink(f"{folder}/alerts"), fails_once]
-        return write_alerts(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END)
+        return write_to_sinks(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END)
 
     with pytest.raises(Exception, match="sink is down"):
         start().awaitTermination()

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from clicktide.__main__ import arguments, main
-from clicktide.sources import parse_events, read_archive
+from clicktide.sources import archive as archives, parse_events, read_archive
 from clicktide.streaming import PipelineConfig, run_pipeline
 from tests.helpers import as_list, as_set, at, event
 from tests.test_streaming import Feed
@@ -49,6 +49,26 @@ def test_from_events_to_reports(spark, feed, folder, capsys):
     )
 
 
+def test_the_daily_job_looks_at_the_archive_once(spark, feed, folder, monkeypatch):
+    archive = f"{folder}/archive"
+    main(["pipeline", "--events", feed.folder, "--archive", archive,
+          "--checkpoints", f"{folder}/checkpoints", "--once"])
+    looks = []
+    original = archives.has_commit_log
+    monkeypatch.setattr(archives, "has_commit_log", lambda *a: looks.append(a) or original(*a))
+    main(["daily", "--archive", archive, "--out", f"{folder}/out", "--date", "2026-01-01"])
+    assert len(looks) == 1
+
+
+def test_reports_of_the_whole_archive(spark, feed, folder, capsys):
+    archive = f"{folder}/archive"
+    main(["pipeline", "--events", feed.folder, "--archive", archive,
+          "--checkpoints", f"{folder}/checkpoints", "--once"])
+    main(["archive-reports", "--archive", archive, "--out", f"{folder}/out"])
+    assert "conversion_rates.csv in" in capsys.readouterr().out
+    assert spark.read.parquet(f"{folder}/out/user_segments.parquet").count() == 101
+
+
 def test_final_alerts_and_rule_from_the_command_line(spark, feed, folder):
     feed.add(event(time=at(300)))
     feed.add(event(time=at(301)))

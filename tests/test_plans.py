@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 import __spark_entry__ as registry
 from clicktide.operators import (
@@ -13,6 +13,7 @@ from clicktide.operators import (
     top_products,
     user_segments,
 )
+from clicktide.plans import build_report_bundle, run_daily_reports
 from clicktide.sinks import write_archive, write_archive_stream, write_to_sinks
 from clicktide.sources import load_events_for_date, parse_events, to_event_messages
 from tests.helpers import at, event, events_of
@@ -68,7 +69,7 @@ def test_long_lists_per_day_are_cut_in_parts_first(day):
     plan = plan_of(top_products(day, k=5000, by=["event_date"]))
     assert "WindowGroupLimit" not in plan
     assert plan.count("row_number()") >= 2 and "hashpartitioning(event_date" in plan
-    assert re.search(r"hashpartitioning\(event_date#\d+, _part#\d+L?", plan)
+    assert len(re.findall(r"hashpartitioning\(event_date#\d+, _part#\d+L?", plan)) == 2
 
 
 def test_raw_rows_are_not_multiplied_by_windows(day):
@@ -112,7 +113,7 @@ def test_streamed_archive_is_pruned_too(spark, tmp_path):
 
 
 def test_reports_of_the_whole_archive_scan_their_columns_once(spark):
-    queries = registry.queries()
+    queries = registry.event_queries()
     plan = plan_of(queries["archive_top_products"](spark, "/root/testdata/sf0.001"))
     assert scans(plan) == ["product_id:string,category:string,event_type:string"]
     assert "EqualTo(event_type,view)" in plan
@@ -120,8 +121,44 @@ def test_reports_of_the_whole_archive_scan_their_columns_once(spark):
     assert scans(plan) == ["user_id:string,event_type:string"]
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
-def test_registered_queries_stay_in_the_engine(spark, name):
-    plan = plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
-    for operator in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Broadcast"):
-        assert operator not in plan
+@pytest.fixture
+def written_plans(monkeypatch):
+    """The plans of everything that is written, not only of what a query returns."""
+    plans = []
+    for kind in ("csv", "json", "parquet", "save", "text"):
+        original = getattr(DataFrameWriter, kind)
+
+        def write(self, *args, original=original, **options):
+            plans.append(plan_of(self._df))
+            return original(self, *args, **options)
+
+        monkeypatch.setattr(DataFrameWriter, kind, write)
+    return plans
+
+
+@pytest.mark.parametrize("name", sorted(registry.event_queries()))
+def test_registered_queries_stay_in_the_engine(spark, written_plans, name):
+    result = plan_of(registry.event_queries()[name](spark, "/root/testdata/sf0.001"))
+    for plan in (result, *written_plans):
+        for operator in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Broadcast"):
+            assert operator not in plan
+
+
+def test_daily_reports_scan_the_day_once_each_and_no_csv(spark, written_plans, tmp_path):
+    root = str(tmp_path / "archive")
+    write_archive(events_of(spark, [event(), event("purchase")]), root)
+    written_plans.clear()
+    run_daily_reports(spark, root, str(tmp_path / "out"), "2026-01-01")
+    build_report_bundle(spark, str(tmp_path / "out"), "2026-01-01").headline.collect()
+    assert not any("FileScan csv" in plan for plan in written_plans)
+    of_events = [schema for plan in written_plans for schema in scans(plan) if "event_type" in schema]
+    # conversion, its chart and the products are made of one cached aggregate
+    assert sorted(set(of_events)) == [
+        "product_id:string,category:string,event_type:string", "user_id:string,event_type:string"
+    ]
+    assert of_events.count("user_id:string,event_type:string") == 1
+
+
+def test_report_of_all_days_scans_the_events_once(spark):
+    plan = plan_of(registry.queries()["top_products_report"](spark, "/root/testdata/sf0.001"))
+    assert len(scans(plan)) == 1

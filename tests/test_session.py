@@ -3,9 +3,23 @@ from pyspark.sql import functions as F
 
 from clicktide.operators import sliding_window_counts, with_window_bounds
 from clicktide.schemas import CLICKSTREAM
-from clicktide.session import DEFAULT_CONF, build_session, shared_folder, sized_for, sizing
+from clicktide.session import (
+    DEFAULT_CONF,
+    build_session,
+    planned_bytes,
+    shared_folder,
+    shared_root,
+    sized_for,
+    sizing,
+)
 from clicktide.sinks import write_archive
-from clicktide.sources import load_events_for_date, parse_events, to_alert_messages, to_event_messages
+from clicktide.sources import (
+    load_events_for_date,
+    parse_events,
+    read_archive,
+    to_alert_messages,
+    to_event_messages,
+)
 from tests.helpers import as_list, at, event, events_of
 
 
@@ -31,17 +45,16 @@ def test_session_is_in_utc_and_adaptive(spark):
 def test_shared_folder_is_below_the_clusters_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
-    assert first.startswith(f"{root}/clicktide/x-") and first != second
+    application = spark.sparkContext.applicationId
+    assert first.startswith(f"{root}/clicktide-{application}/x-") and first != second
 
 
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
-        shared_folder(Session(spark_master="yarn"), "x")
-    assert shared_folder(Session(spark_master="local[2]"), "x").startswith("/")
-    folder = shared_folder(
-        Session(spark_master="yarn", **{"spark_checkpoint_dir": "hdfs://shared/"}), "x"
-    )
-    assert folder.startswith("hdfs://shared/clicktide/x-")
+        shared_root(Session(spark_master="yarn"))
+    assert shared_root(Session(spark_master="local[2]")).startswith("/")
+    root = shared_root(Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/"))
+    assert root == "hdfs://shared"
 
 
 @pytest.mark.parametrize("input_bytes, cores, split, partitions", [
@@ -57,6 +70,25 @@ def test_sizing(input_bytes, cores, split, partitions):
     }
 
 
+def test_most_partitions_is_a_parameter():
+    assert sizing(100 * 2**40, 4000, 500_000)["spark.sql.shuffle.partitions"] == "409600"
+
+
+def test_planned_bytes_follow_the_columns_and_the_days(spark, folder):
+    rows = [event(user=f"user-{number}", time=at(number * 1440)) for number in range(4)]
+    write_archive(events_of(spark, rows), folder)
+    whole = read_archive(spark, folder)
+    one = planned_bytes(whole.select("event_type"))
+    assert 0 < one < planned_bytes(whole)
+    assert planned_bytes(whole, whole.select("event_type")) == planned_bytes(whole) + one
+    assert planned_bytes(whole.where("event_date = DATE'2026-01-02'")) < planned_bytes(whole)
+
+
+def test_working_folders_go_with_the_application(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark, "test")).getParent()
+    assert path.getFileSystem(spark._jsc.hadoopConfiguration()).cancelDeleteOnExit(path)
+
+
 def test_sizing_is_restored(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with pytest.raises(KeyError), sized_for(spark, 100 * 2**30):

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from clicktide.operators import flash_sale_alerts, sliding_window_counts, with_window_bounds
 from clicktide.sinks import (
+    all_rows,
+    latest_rows,
     console_sink,
     kafka_sink_options,
     message_sink,
     table_sink,
-    write_alerts,
     write_alerts_console,
     write_alerts_messages,
     write_archive_stream,
@@ -209,7 +210,7 @@ def test_alert_state_survives_a_restart(spark, feed, folder):
     alerts = flash_sale_alerts(sliding_window_counts(feed.events()), **STRICT)
     feed.add(*[event(time=minute(1))] * 2)
     root, _ = run(alerts, folder, "update")
-    assert spark.read.parquet(f"{root}/batch_id=0").count() == 0
+    assert not os.path.exists(f"{root}/batch_id=0")  # nothing to keep
     feed.add(event(time=minute(2)))
     root, _ = run(alerts, folder, "update")
     assert [row[1:] for row in batches(spark, root)] == [(-5, 3, 0), (0, 3, 0)]
@@ -223,17 +224,42 @@ def test_ingest_metrics_count_events_without_any_field(spark, feed, folder):
     query.awaitTermination()
     seen = [progress["observedMetrics"]["ingest"] for progress in query.recentProgress
             if progress["numInputRows"]]
-    assert [(metrics["events"], metrics["malformed"]) for metrics in seen] == [(4, 3)]
+    counts = [(metrics["events"], metrics["malformed"], metrics["undated"]) for metrics in seen]
+    assert counts == [(4, 3, 1)]
     assert read_archive(spark, f"{folder}/archive").count() == 4
 
 
+def test_batches_without_rows_reach_no_sink(spark, feed, folder):
+    for number in range(4):
+        feed.add(event(time=minute(number)))
+    delivered = []
+    alerts = flash_sale_alerts(sliding_window_counts(feed.events()), views_over=3)
+    sinks = [table_sink(f"{folder}/table"), lambda batch, batch_id: delivered.append(batch_id)]
+    write_to_sinks(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END).awaitTermination()
+    assert len(delivered) == 1 and len(os.listdir(f"{folder}/table")) == 1
+    assert all_rows(spark, f"{folder}/none", alerts.schema).collect() == []
+
+
+def test_latest_rows_replace_superseded_ones(spark, feed, folder):
+    for views in (3, 3, 3):
+        feed.add(*[event(time=minute(1))] * views)
+    counts = with_window_bounds(sliding_window_counts(feed.events()))
+    root, _ = run(counts, folder, "update")
+    every = all_rows(spark, root, counts.schema)
+    assert sorted(row.views for row in every.collect()) == [3, 3, 6, 6, 9, 9]
+    keys = ["window_start", "window_end", "product_id", "category"]
+    latest = latest_rows(spark, root, counts.schema, keys)
+    assert latest.columns == counts.columns
+    assert [row.views for row in latest.collect()] == [9, 9]
+
+
 def test_one_query_feeds_several_sinks(spark, feed, folder, capsys):
     feed.add(*[event(time=minute(1))] * 3)
     alerts = flash_sale_alerts(sliding_window_counts(feed.events()), **STRICT)
     sinks = [
         console_sink(), message_sink("json", path=f"{folder}/topic"), table_sink(f"{folder}/table")
     ]
-    write_alerts(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END).awaitTermination()
+    write_to_sinks(alerts, sinks, f"{folder}/cp", trigger=TO_THE_END).awaitTermination()
     assert "FLASH_SALE_SUGGESTED" in capsys.readouterr().out
     table = spark.read.parquet(f"{folder}/table")
     messages = spark.read.schema("key STRING, value STRING").json(f"{folder}/topic").collect()

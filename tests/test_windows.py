@@ -76,14 +76,21 @@ def test_times_before_the_epoch(spark):
     ("10 minutes", "4 minutes", "120000000 microseconds"),
     ("7 seconds", "5 seconds", "1000000 microseconds"),
 ])
-def test_pane_width(size, slide, pane):
+def test_pane_width(spark, size, slide, pane):
     assert pane_width(size, slide) == pane
 
 
-def test_window_copies():
+def test_window_copies(spark):
     assert window_copies("10 minutes", "5 minutes") == 2
     assert window_copies("1 day", "1 hour") == 24
-    assert window_copies("1 week", "1 hour") == 1
+    assert window_copies("1 week", "1 hour") == 168
+    assert window_copies("2 weeks", "1 day") == 14
+    assert window_copies("interval 10 minutes", "interval 150 seconds") == 4
+
+
+def test_what_is_no_duration_is_an_error(spark):
+    with pytest.raises(ValueError, match="soon"):
+        window_copies("soon", "1 hour")
 
 
 @pytest.mark.parametrize("size, slide", [
