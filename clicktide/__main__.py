@@ -32,7 +32,7 @@ from clicktide.schemas import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
-from clicktide.session import build_session, planned_bytes, sized_for
+from clicktide.session import build_session, sized_for
 from clicktide.sinks import (
     console_sink,
     kafka_sink_options,
@@ -136,8 +136,9 @@ def daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     archive = open_archive(spark, args.archive)
-    events = archive.read(archive.resolve(args.date))
-    with sized_for(spark, planned_bytes(events)):
+    day = archive.resolve(args.date)
+    events = archive.read(day)
+    with sized_for(spark, archive.size(day)):
         if args.servers:
             publish_events(events, "kafka", **kafka_sink_options(args.servers, args.topic))
         else:

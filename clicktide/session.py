@@ -64,8 +64,8 @@ def sizing(
 
 
 def planned_bytes(*frames: DataFrame) -> int:
-    """What the optimizer expects to read: of the files left after pruning, the share of
-    the columns that are needed. No file is opened for it."""
+    """What the optimizer expects to be read: of the tables' files the share of the columns
+    that are needed, whatever rows are. No file is opened for it."""
     return sum(sum(_scans(frame._jdf.queryExecution().optimizedPlan())[0]) for frame in frames)
 
 

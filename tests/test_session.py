@@ -74,14 +74,13 @@ def test_most_partitions_is_a_parameter():
     assert sizing(100 * 2**40, 4000, 500_000)["spark.sql.shuffle.partitions"] == "409600"
 
 
-def test_planned_bytes_follow_the_columns_and_the_days(spark, folder):
+def test_planned_bytes_follow_the_columns(spark, folder):
     rows = [event(user=f"user-{number}", time=at(number * 1440)) for number in range(4)]
     write_archive(events_of(spark, rows), folder)
     whole = read_archive(spark, folder)
     one = planned_bytes(whole.select("event_type"))
     assert 0 < one < planned_bytes(whole)
     assert planned_bytes(whole, whole.select("event_type")) == planned_bytes(whole) + one
-    assert planned_bytes(whole.where("event_date = DATE'2026-01-02'")) < planned_bytes(whole)
 
 
 def test_working_folders_go_with_the_application(spark):
