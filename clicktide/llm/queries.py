@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicktide.llm import byte_bpe, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
 from clicktide.llm.common import in_fold, read_table
+from clicktide.llm.oracle import ORACLE_SQL
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,7 +47,6 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
         *(F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS),
         F.sha2(pii.span_list(base), 256).alias("base_sha256"),
         pii.span_list(F.col("findings")).alias("spans"),
-        F.array_min(F.transform("findings", lambda f: f["score"])).alias("least_score"),
     )
 
 
@@ -117,4 +117,4 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
