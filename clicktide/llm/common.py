@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -38,6 +38,16 @@ def in_fold(key: str | Column, folds: int, fold: int) -> Column:
     return F.crc32(F.encode(as_text, "UTF-8")) % folds == fold
 
 
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, however often it names the value."""
+    return F.transform(F.array(value), use)[0]
+
+
+def hash_share(key: str) -> Column:
+    """A number in [0, 1) by the key's hash: a filter on it keeps that share of the keys."""
+    return F.xxhash64(key) / F.lit(2.0**64) + 0.5
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

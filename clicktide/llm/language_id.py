@@ -23,12 +23,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from clicktide.llm.common import small_batches
+from clicktide.llm.common import hash_share, small_batches
 
 UNKNOWN = "und"
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 200
+RANKED = 8
 CENTROIDS = 3
 REJECT_SPREADS = 10.0
 LEAST_SPREAD = 0.03
@@ -131,10 +132,17 @@ def _trained(labels: np.ndarray, counts: np.ndarray) -> Centroids:
 def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
     """From rows with key, text and lang; null and letterless texts and null langs are left out."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
-    rows = labelled.select(F.col(key).alias("key"), "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    rows = labelled.select(F.col(key).alias("key"), "text", "lang").where(F.col("lang").isNotNull())
+    # a row per language, like the model; of frequent ones a few times the sample is ranked
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()
+    if not sizes:
+        return None
+    shares = [(r.lang, min(1.0, RANKED * SAMPLE_PER_LANGUAGE / r.rows)) for r in sizes]
+    share = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))
+    few = rows.join(share, "lang").where(
+        (hash_share("key") < F.col("share")) & F.col("text").rlike(r"\p{L}")
     )
-    sample = rows.withColumn("nth", F.row_number().over(order)).where(
+    sample = few.withColumn("nth", F.row_number().over(order)).where(
         F.col("nth") <= SAMPLE_PER_LANGUAGE
     )
 

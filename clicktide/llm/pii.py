@@ -23,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clicktide.llm.common import computed_once
+
 MIN_SCORE = 0.5
 CONTEXT_CHARS = 40
 # Matches whose places are summed together, so that a text with very many stays linear.
@@ -32,11 +34,6 @@ _SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string
 _FINDINGS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -152,7 +149,7 @@ def located(text: Column, pattern: str) -> Column:
         after = F.slice(between, F.lit(2), F.size(between))
         return F.arrays_zip(between.alias("before"), values.alias("value"), after.alias("after"))
 
-    matches = _let(F.split(text, pattern, -1), zipped)
+    matches = computed_once(F.split(text, pattern, -1), zipped)
 
     def placed(state: Column, match: Column) -> Column:
         start = state["at"] + F.length(match["before"])
@@ -194,7 +191,7 @@ def located(text: Column, pattern: str) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("lists"))
-    return F.flatten(_let(matches, lambda m: F.aggregate(groups(m), start, shifted)["lists"]))
+    return F.flatten(computed_once(matches, lambda m: F.aggregate(groups(m), start, shifted)["lists"]))
 
 
 def findings_of(text: Column, kind: Kind) -> Column:

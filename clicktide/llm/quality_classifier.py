@@ -20,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.llm.common import small_batches
+from clicktide.llm.common import hash_share, small_batches
 
 WIDTH, STRIDE = 16, 8
 EMBEDDING, FILTERS, HIDDEN = 8, 32, 16
 PADDING = 256
 SAMPLE, SAMPLE_CHUNKS = 2000, 1024
+RANKED = 8
 EPOCHS, BATCH, RATE = 8, 16, 3e-3
 PIECE = 1 << 17  # bytes of text whose chunks are held at once
 
@@ -173,14 +174,15 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Weight
 
 def fit(texts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Weights | None:
     """From the labelled rows of ``texts``; the sampled ids alone are sent to all tasks."""
-    picked = (
+    labelled = (
         labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
         .dropna()
         .groupBy("key")
         .agg(F.min("label").cast("double").alias("label"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(SAMPLE)
     )
+    share = min(1.0, RANKED * SAMPLE / max(1, labels.count()))
+    few = labelled.where(hash_share("key") < share)  # a few times the sample is ranked
+    picked = few.orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
     rows = texts.select(F.col(key).alias("key"), "text").where(F.col("text").isNotNull())
 
     def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import BLANKS, written
+from clicktide.llm.common import BLANKS, computed_once, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -50,11 +50,6 @@ MEASURES = (
 )
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS, -1), lambda word: word != "")
 
@@ -85,10 +80,10 @@ def _covered(windows: Column) -> Column:
             )
             return F.aggregate(gaps, F.lit(0), lambda a, b: a + b)
 
-        return _let(F.array_sort(repeated), steps)
+        return computed_once(F.array_sort(repeated), steps)
 
     placed = F.transform(windows, lambda h, i: F.struct(h.alias("hash"), i.alias("at")))
-    return _let(F.array_sort(placed), of_sorted)
+    return computed_once(F.array_sort(placed), of_sorted)
 
 
 def repeated_words(words: Column) -> Column:
@@ -99,12 +94,12 @@ def repeated_words(words: Column) -> Column:
         windows = F.transform(
             starts, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(WINDOW)))
         )
-        return _let(
+        return computed_once(
             windows,
             lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(_covered(w)),
         )
 
-    found = _let(F.transform(words, lambda word: F.xxhash64(word)), of_hashes)
+    found = computed_once(F.transform(words, lambda word: F.xxhash64(word)), of_hashes)
     return F.when(F.size(words) > WINDOW, found).otherwise(0)
 
 
