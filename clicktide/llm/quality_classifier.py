@@ -1,6 +1,7 @@
 """Text quality from a byte-level convolutional network in numpy.
 
-Bytes are embedded; filters respond to overlapping chunks (``WIDTH`` bytes, every
+Bytes are embedded, those that continue a repetition (the last four bytes came before, up
+to ``REACH`` bytes back) by an embedding of their own; filters respond to overlapping chunks (``WIDTH`` bytes, every
 ``STRIDE``) that cover the whole text; each filter's largest response over all chunks goes
 into two dense layers that give one probability. The network is trained here, on the
 driver, on a bounded sample: ``SAMPLE`` labelled rows, those with the smallest hash of
@@ -24,7 +25,8 @@ from clicktide.llm.common import hash_share, small_batches
 
 WIDTH, STRIDE = 16, 8
 EMBEDDING, FILTERS, HIDDEN = 8, 32, 16
-PADDING = 256
+PADDING, SYMBOLS = 256, 514  # bytes, the padding, and repeated bytes
+GRAM, REACH = 4, 24
 SAMPLE, SAMPLE_CHUNKS = 2000, 1024
 RANKED = 8
 EPOCHS, BATCH, RATE = 8, 16, 3e-3
@@ -33,6 +35,23 @@ PIECE = 1 << 17  # bytes of text whose chunks are held at once
 Weights = dict[str, np.ndarray]
 
 
+def symbols_of(text: bytes) -> np.ndarray:
+    """The text's bytes, those that continue a repetition raised by 257."""
+    symbols = np.frombuffer(text, np.uint8).astype(np.int16)
+    n = len(text) - GRAM + 1
+    if n < 3:
+        return symbols
+    data = np.frombuffer(text, np.uint8).astype(np.uint32)
+    grams = np.zeros(n, np.uint32)
+    for i in range(GRAM):
+        grams = (grams << np.uint32(8)) | data[i : i + n]
+    repeated = np.zeros(n, bool)
+    for back in range(2, min(REACH, n - 1) + 1):
+        repeated[back:] |= grams[back:] == grams[:-back]
+    symbols[GRAM - 1 :][repeated] += PADDING + 1
+    return symbols
+
+
 def _chunk_starts(n: int) -> int:
     return max(1, -(-n // STRIDE))
 
@@ -80,7 +99,7 @@ def pooled_of(weights: Weights, texts: list[bytes]) -> np.ndarray:
         buffers, owners, size = [], [], 0
 
     for at, text in enumerate(texts):
-        data = np.frombuffer(text, np.uint8).astype(np.int16)
+        data = symbols_of(text)
         for start in range(0, max(len(data), 1), PIECE):
             piece = data[start : start + PIECE + WIDTH - STRIDE]
             count = _chunk_starts(min(len(data) - start, PIECE))
@@ -105,7 +124,7 @@ def sampled_chunks(text: bytes, most: int = SAMPLE_CHUNKS) -> bytes:
     """All chunks of a text, or ``most`` of them evenly from all over it; two bytes a place."""
     count = _chunk_starts(len(text))
     padded = np.full((count + 1) * STRIDE, PADDING, np.int16)
-    padded[: len(text)] = np.frombuffer(text, np.uint8)
+    padded[: len(text)] = symbols_of(text)
     starts = np.unique(np.linspace(0, count - 1, min(count, most)).astype(int)) * STRIDE
     return padded[starts[:, None] + np.arange(WIDTH)].tobytes()
 
@@ -119,7 +138,7 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Weight
 
     share = np.clip(labels.mean(), 0.01, 0.99)
     weights: Weights = {
-        "embedding": (rng.standard_normal((257, EMBEDDING)) * 0.5).astype(np.float32),
+        "embedding": (rng.standard_normal((SYMBOLS, EMBEDDING)) * 0.5).astype(np.float32),
         "filters": drawn(WIDTH * EMBEDDING, FILTERS),
         "bias": np.zeros(FILTERS, np.float32),
         "dense": drawn(FILTERS, HIDDEN),

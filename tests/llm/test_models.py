@@ -74,13 +74,13 @@ def test_held_out_quality(spark):
     labels = [r for r in spark.read.parquet(f"{BIG}/labels.parquet").collect() if r.doc_id in got]
     unseen = [r for r in labels if got[r.doc_id]["held_out"]]
     right = sum(got[r.doc_id]["predicted"] == r.quality for r in unseen)
-    assert len(unseen) > 50 and right >= 0.9 * len(unseen)
+    assert len(unseen) > 50 and right >= 0.95 * len(unseen)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got.values())
 
 
 def random_weights(seed=0):
     rng = np.random.default_rng(seed)
-    shapes = {"embedding": (257, qc.EMBEDDING), "filters": (qc.WIDTH * qc.EMBEDDING, qc.FILTERS), "bias": (qc.FILTERS,),
+    shapes = {"embedding": (qc.SYMBOLS, qc.EMBEDDING), "filters": (qc.WIDTH * qc.EMBEDDING, qc.FILTERS), "bias": (qc.FILTERS,),
               "dense": (qc.FILTERS, qc.HIDDEN), "dense_bias": (qc.HIDDEN,), "out": (qc.HIDDEN, 1), "out_bias": (1,)}
     return {name: rng.standard_normal(shape).astype(np.float32) for name, shape in shapes.items()}
 
@@ -89,22 +89,35 @@ def test_all_chunks_of_the_whole_text_count(monkeypatch):
     monkeypatch.setattr(qc, "PIECE", 64)
     weights, rng = random_weights(), np.random.default_rng(1)
     texts = [rng.integers(0, 256, n, np.uint8).tobytes() for n in (0, 1, 7, 8, 9, 16, 17, 63, 64, 65, 200, 1000)]
+    texts += [b"so so so " * n for n in (1, 9, 60)]
 
     def plain(text):
         count = max(1, -(-len(text) // qc.STRIDE))
         data = np.full((count + 1) * qc.STRIDE, qc.PADDING)
-        data[: len(text)] = np.frombuffer(text, np.uint8)
+        data[: len(text)] = qc.symbols_of(text)
         chunks = np.array([data[i * qc.STRIDE : i * qc.STRIDE + qc.WIDTH] for i in range(count)])
         return qc._responses(weights, qc._embedded(weights, chunks)).max(axis=0)
 
     assert qc.pooled_of(weights, texts) == pytest.approx(np.array([plain(t) for t in texts]), abs=1e-4)
 
 
+@pytest.mark.parametrize("text", [b"", b"abc", b"aaaa", b"Ber Ber Ber Ber", b"the theme then", bytes(range(256)) * 2])
+def test_symbols_mark_repetitions(text):
+    def repeats(i):
+        last = text[i - 3 : i + 1]
+        return i >= 3 and any(text[i - 3 - k : i + 1 - k] == last for k in range(2, qc.REACH + 1) if i - 3 - k >= 0)
+
+    expected = [b + 257 * repeats(i) for i, b in enumerate(text)]
+    assert qc.symbols_of(text).tolist() == (expected if len(text) >= 6 else list(text))
+
+
 def test_training_follows_the_gradient():
-    good = [np.frombuffer(qc.sampled_chunks(b"plain words here " * n), np.int16).reshape(-1, qc.WIDTH) for n in range(1, 40)]
-    bad = [np.frombuffer(qc.sampled_chunks(b"w### x%%% y&&& " * n), np.int16).reshape(-1, qc.WIDTH) for n in range(1, 40)]
-    weights = qc.train((good + bad) * 5, np.tile(np.r_[np.ones(39), np.zeros(39)], 5))
-    score = qc.score(weights, [b"other plain text of words", b"a### b%%% c&&& d###"])
+    words = ["".join(w) for w in np.random.default_rng(3).choice(list("abcdefgh"), (400, 6))]
+    texts = [" ".join(words[i : i + 9]) for i in range(200)]
+    texts += [" ".join(w + "#%&"[i % 3] * 3 for w in words[i : i + 9]) for i in range(200)]
+    chunks = [np.frombuffer(qc.sampled_chunks(t.encode()), np.int16).reshape(-1, qc.WIDTH) for t in texts]
+    weights = qc.train(chunks, np.repeat([1.0, 0.0], 200))
+    score = qc.score(weights, [b"hgfabc bcdeab aabbcc gfedcb", b"hgfabc### bcdeab%%% aabbcc&&&"])
     assert score[0] > 0.7 > 0.3 > score[1]
 
 
