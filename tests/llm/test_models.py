@@ -117,7 +117,8 @@ def test_training_follows_the_gradient():
     texts += [" ".join(w + "#%&"[i % 3] * 3 for w in words[i : i + 9]) for i in range(200)]
     chunks = [np.frombuffer(qc.sampled_chunks(t.encode()), np.int16).reshape(-1, qc.WIDTH) for t in texts]
     weights = qc.train(chunks, np.repeat([1.0, 0.0], 200))
-    score = qc.score(weights, [b"hgfabc bcdeab aabbcc gfedcb", b"hgfabc### bcdeab%%% aabbcc&&&"])
+    new = words[300:309]
+    score = qc.score(weights, [" ".join(new).encode(), " ".join(w + "###" for w in new).encode()])
     assert score[0] > 0.7 > 0.3 > score[1]
 
 
