@@ -33,12 +33,11 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return as_clickstream(spark.read.parquet(f"{folder}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table as a stream of its files.
+def stream_events(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+    """The same table as a stream of its files, so many to a micro-batch, by modification time.
 
     The pattern matches the table whether it is one file or a folder of files.
     """
     layout = spark.read.parquet(f"{folder}/events.parquet").schema
-    return as_clickstream(
-        spark.readStream.schema(layout).parquet(f"{folder}/events.parque[t]")
-    )
+    files = spark.readStream.schema(layout).option("maxFilesPerTrigger", files_per_batch)
+    return as_clickstream(files.parquet(f"{folder}/events.parque[t]"))

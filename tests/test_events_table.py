@@ -34,8 +34,9 @@ def test_table_and_stream_read_alike(spark, folder, kind, files):
         ("U0008", None, None, None, None, None),
     }
     query = (
-        stream_events(spark, folder).writeStream.format("memory").queryName("streamed_events")
+        stream_events(spark, folder, files_per_batch=1).writeStream.format("memory").queryName("streamed_events")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
     assert as_set(spark.table("streamed_events")) == as_set(events)
+    assert sum(progress["numInputRows"] > 0 for progress in query.recentProgress) <= files
