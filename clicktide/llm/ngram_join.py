@@ -41,9 +41,10 @@ from clicktide.llm.components import components
 WORDS = 5
 THRESHOLD_PERCENT = 80
 FRAGMENT_BYTES = 48 << 20  # of text whose n-grams share a fragment, some 8 million at most
-BLOCK_NGRAMS = 2_000_000  # whose repetitions a task finds before it sends them
+BLOCK_NGRAMS = 1_000_000  # whose repetitions a task finds before it sends them
 CELL_NGRAMS, CELL_CLASSES = 500_000, 1_500  # of a part of a group
 CELL_FRAGMENTS = 16
+FILTER_BITS = 1 << 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -264,6 +265,25 @@ def profiles(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return documents, buckets.groupBy("bucket").applyInArrow(_bucket_sums, "of_set long, shared long")
 
 
+def _likely_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id's hash is that of a wanted id: most others need not be shuffled.
+
+    The bitmaps that all tasks get have ``FILTER_BITS`` bits, 2 MiB, whatever the input;
+    the more ids there are the more other rows pass, and the join that follows drops them.
+    """
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    bitmaps = wanted.groupBy(F.bitmap_bucket_number(place("wanted")).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place("wanted"))).alias("bits")
+    )
+    at = F.bitmap_bit_position(place("doc_id")).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, at % 8) == 1
+    same = F.bitmap_bucket_number(place("doc_id")) == F.col("bucket")
+    return rows.join(F.broadcast(bitmaps), same).where(is_set).select(*rows.columns)
+
+
 def classes_with_links(texts: DataFrame, key: str, documents: DataFrame, shared: DataFrame) -> DataFrame:
     """``set``, ``grams`` of the classes that share enough n-grams with others to have a link."""
     enough = 100 * F.col("shared") >= THRESHOLD_PERCENT * F.col("n")
@@ -275,7 +295,9 @@ def classes_with_links(texts: DataFrame, key: str, documents: DataFrame, shared:
     )
     one_each = left.select(F.col("doc_id").alias("wanted")).distinct()
     rows = texts.select(F.col(key).alias("doc_id"), "text").where(F.col("text").isNotNull())
-    wanted = rows.join(one_each, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    likely = _likely_in(rows, one_each)
+    # an inner join, as ids are distinct: the optimizer would move a semi join below the filter
+    wanted = likely.join(one_each, F.col("doc_id").eqNullSafe(F.col("wanted")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
