@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,7 +37,7 @@ from clicktide.llm.common import hash64, small_batches, text_bytes, written
 
 DEPTH = 4
 EDGE = 0xFF
-BLOCK_BYTES = 32 << 20  # of text in a block
+BLOCK_BYTES = 16 << 20  # of text in a block
 CHUNK_BYTES = 1 << 20  # of text whose contexts are held as numbers at once
 END = b"\xff"  # the end token's place among the words
 WORD, CONTEXT = 0, 1
@@ -242,17 +243,23 @@ def context_scores(contexts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(score_rows, "key long, value double")
 
 
-def _values_of(values: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    own = values.filter(pc.equal(values["kind"], kind))
-    keys = own["key"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], own["value"].to_numpy()[order]
+class Values:
+    """The values of a block's words or contexts, by a hash table of their keys."""
+
+    def __init__(self, table: pa.Table, kind: int):
+        own = table.filter(pc.equal(table["kind"], kind))
+        self.keys, self.values = pd.Index(own["key"].to_numpy()), own["value"].to_numpy()
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        places = self.keys.get_indexer(keys)
+        if len(places) and places.min() < 0:
+            raise ValueError("the texts of a block have changed since their keys were gathered")
+        return self.values[places]
 
 
 def _block_scores(table: pa.Table, values: pa.Table) -> pa.Table:
     """Scores of a block's texts, from the values of its words and contexts."""
-    word_keys, word_counts = _values_of(values, WORD)
-    context_keys, context_values = _values_of(values, CONTEXT)
+    word_counts, context_values = Values(values, WORD), Values(values, CONTEXT)
     number: dict[bytes, int] = defaultdict()
     number.default_factory = number.__len__
     count_of = np.zeros(0)
@@ -263,11 +270,11 @@ def _block_scores(table: pa.Table, values: pa.Table) -> pa.Table:
         places = np.concatenate([np.fromiter(map(number.__getitem__, w), np.int32, len(w)) for w in words])
         new = list(islice(number, len(count_of), None))
         hashes = np.fromiter(map(hash64, new), np.int64, len(new))
-        count_of = np.r_[count_of, word_counts[np.searchsorted(word_keys, hashes)]]
+        count_of = np.r_[count_of, word_counts.of(hashes)]
         counts = count_of[places]
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
         keys, lengths = _sequences(texts)
-        each = context_values[np.searchsorted(context_keys, keys)]
+        each = context_values.of(keys)
         parts.append(pa.table({
             "key": rows.column(rows.schema.get_field_index("key")),
             "held_out": rows.column(rows.schema.get_field_index("held_out")),
