@@ -322,7 +322,7 @@ def classes_with_links(texts: DataFrame, key: str, documents: DataFrame, shared:
 
 
 def head_postings(sets: DataFrame) -> DataFrame:
-    """``gram``, ``set``, ``n`` and ``place`` of the n-grams in the head of each set's order.
+    """``gram``, ``set`` and ``n`` of the n-grams in the head of each set's order.
 
     Rarest first; n-grams of one class only come first of all and find no partner, so they
     take places but are not returned.
@@ -336,11 +336,8 @@ def head_postings(sets: DataFrame) -> DataFrame:
     )
     alone = F.col("n") - F.size("order")
     head = F.col("n") - F.ceil(F.col("n") * THRESHOLD_PERCENT / 100) + 1 - alone
-    return (
-        ordered.where(head > 0)
-        .select("set", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), head.cast("int"))))
-        .select("set", "n", F.col("col.gram").alias("gram"), (F.col("pos") + F.col("alone")).alias("place"))
-    )
+    first = F.slice(F.col("order")["gram"], F.lit(1), head.cast("int"))
+    return ordered.where(head > 0).select("set", "n", F.explode(first).alias("gram"))
 
 
 def groups_of(postings: DataFrame) -> DataFrame:
