@@ -337,8 +337,8 @@ def flash_sale_alert_messages(spark: SparkSession, folder: str) -> DataFrame:
 # Streams
 
 
-def _publish(events: DataFrame, root: str) -> None:
-    """Events as files of JSON messages, one per ``DAYS_PER_FILE`` days, modified in the days' order.
+def _publish(events: DataFrame, root: str, days_per_file: int = DAYS_PER_FILE) -> None:
+    """Events as files of JSON messages, one per few days, modified in the days' order.
 
     A second call's files follow those of the first.
     """
@@ -351,7 +351,7 @@ def _publish(events: DataFrame, root: str) -> None:
         return {str(x.getPath()): x.getModificationTime() for x in found}
 
     before = files()
-    days = (F.unix_date("event_date") / DAYS_PER_FILE).cast("int").alias("days")
+    days = (F.unix_date("event_date") / days_per_file).cast("int").alias("days")
     numbered = events.where("event_date is not null").select("*", days).repartition("days")
     to_event_messages(numbered, "days").write.mode("append").partitionBy("days").parquet(root)
     last = max(before.values(), default=FIRST_MODIFIED)
@@ -365,9 +365,11 @@ def _messages(spark: SparkSession, root: str) -> DataFrame:
     return read_event_stream(spark, "parquet", root, MESSAGE, maxFilesPerTrigger="1")
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def _event_stream(
+    spark: SparkSession, folder: str, days_per_file: int = DAYS_PER_FILE
+) -> DataFrame:
     root = shared_folder(spark, "messages")
-    _publish(_events(spark, folder), root)
+    _publish(_events(spark, folder), root, days_per_file)
     return parse_events(_messages(spark, root))
 
 
@@ -398,15 +400,26 @@ def _current_counts(spark: SparkSession, root: str, counts: DataFrame) -> DataFr
     return _zoneless(latest_rows(spark, root, counts.schema, keys))
 
 
-def stream_sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The current counts of every window after many micro-batches."""
-    root, counts = shared_folder(spark, "counts"), _window_counts(_event_stream(spark, folder))
+def _stream_counts(spark: SparkSession, folder: str, *days_per_file: int) -> DataFrame:
+    """The current counts of every window after the last micro-batch."""
+    root = shared_folder(spark, "counts")
+    counts = _window_counts(_event_stream(spark, folder, *days_per_file))
     _run_to_table(counts, root, "update")
     return _current_counts(spark, root, counts)
 
 
-def _stream_alerts(spark: SparkSession, folder: str, mode: str) -> DataFrame:
-    root, alerts = shared_folder(spark, "alerts"), _alerts(_event_stream(spark, folder))
+def stream_sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_counts(spark, folder)
+
+
+def stream_counts_many_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A micro-batch for every event date."""
+    return _stream_counts(spark, folder, 1)
+
+
+def _stream_alerts(spark: SparkSession, folder: str, mode: str, *days_per_file: int) -> DataFrame:
+    root = shared_folder(spark, "alerts")
+    alerts = _alerts(_event_stream(spark, folder, *days_per_file))
     _run_to_table(alerts, root, mode)
     return _zoneless(all_rows(spark, root, alerts.schema).drop("batch_id"))
 
@@ -420,6 +433,10 @@ def stream_alerts_final(spark: SparkSession, folder: str) -> DataFrame:
     return _stream_alerts(spark, folder, "append")
 
 
+def stream_alerts_final_many_batches(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_alerts(spark, folder, "append", 1)
+
+
 def _days_span(events: DataFrame) -> tuple:
     return tuple(events.agg(F.min("event_date"), F.max("event_date")).first())
 
@@ -545,6 +562,8 @@ def event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding_window_counts": stream_sliding_window_counts,
         "stream_alerts_provisional": stream_alerts_provisional,
         "stream_alerts_final": stream_alerts_final,
+        "stream_counts_many_batches": stream_counts_many_batches,
+        "stream_alerts_final_many_batches": stream_alerts_final_many_batches,
         "stream_late_events": stream_late_events,
         "stream_restart": stream_restart,
         "pipeline_archive": pipeline_archive,
@@ -777,6 +796,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_sliding_window_counts": windows,
         "stream_alerts_provisional": _alerts_sql(_windows_by_file_sql()),
         "stream_alerts_final": _closed_alerts_sql(),
+        "stream_counts_many_batches": windows,
+        "stream_alerts_final_many_batches": _closed_alerts_sql(),
         "stream_late_events": f"""
             SELECT 'archive' AS kept_in, CAST(event_date AS TIMESTAMP) AS "start",
                    CAST(NULL AS VARCHAR) AS product_id, views, cart_adds, purchases
