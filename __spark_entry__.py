@@ -65,7 +65,7 @@ WINDOWS = {"size": "1 day", "slide": "12 hours"}
 RULE = {"views_over": 5, "purchases_under": 5}
 SMOKE_RULE = {"views_over": 1, "purchases_under": 5}
 TO_THE_END = {"availableNow": True}
-DAYS_PER_FILE = 3
+DAYS_PER_FILE = 10
 LONG_LIST = 1500
 DISPLAYED_ROWS = 10
 # Modification times of message files only have to rise.
