@@ -22,10 +22,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.llm.common import small_batches
+from clicktide.llm.common import few_rows_a_batch, small_batches
 
 # Of the memos of one worker; beyond it they forget, which costs time only.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 MEMO_CHARS = 64
 
 
@@ -45,6 +45,10 @@ class PieceMemo(dict):
         self.encode_piece = encode_piece
         self.before: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.before.get(piece)
         if ids is None:
@@ -158,6 +162,8 @@ def encode_decode(texts: DataFrame, ranks_path: str, pattern: str, key: str = "d
     Only the key and ``text`` are read, so other columns may have any name.
     """
 
+    few_rows_a_batch(texts.sparkSession)
+
     def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(ranks_path, pattern)
         for batch in small_batches(batches, "text", 1 << 20):
@@ -171,6 +177,7 @@ def encode_decode(texts: DataFrame, ranks_path: str, pattern: str, key: str = "d
                 ],
                 ["key", "ids", "decoded"],
             )
+        encoder.memo.forget()  # a worker goes on to other tasks, maybe of other kinds
 
     rows = texts.select(F.col(key).alias("key"), "text")
     key_type = rows.schema["key"].dataType.simpleString()

@@ -14,6 +14,7 @@ from clicktide.session import shared_folder
 # Word separators of the contracts: space and the five ASCII controls \t \n \v \f \r.
 # ``bytes.split()`` splits at the same six bytes.
 BLANKS = r"[\x20\x09-\x0D]+"
+ROWS_A_BATCH = 1000
 
 
 def written(rows: DataFrame, label: str) -> DataFrame:
@@ -27,6 +28,17 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def few_rows_a_batch(spark: SparkSession) -> None:
+    """Let Spark hand over at most ``ROWS_A_BATCH`` rows to Python at once, from now on.
+
+    Rows that are whole texts are long: Spark's default of 10,000 would keep tens of MB of
+    each task in both processes. A lower setting of the session stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_A_BATCH:
+        spark.conf.set(name, str(ROWS_A_BATCH))
+
+
 def text_bytes(texts: DataFrame, column: str = "text") -> int:
     """Bytes of all texts, counted over the whole table."""
     return texts.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -53,21 +65,26 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def small_batches(
-    batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20, most_rows: int = 2000
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most_bytes`` of text; a longer text is one alone."""
-    for batch in batches:
-        lengths = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0).to_numpy(
-            zero_copy_only=False
-        )
-        start, held = 0, 0
-        for i, length in enumerate(lengths):
-            if held and held + length > most_bytes:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += int(length) + 64
-        if start < batch.num_rows:
-            yield batch.slice(start)
+    """The same rows in batches of about ``most_bytes`` of text; a longer text is one alone.
+
+    After the last one Arrow gives back what it holds, as a worker goes on to other tasks.
+    """
+    try:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(column))
+            lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+            start, held = 0, 0
+            for i, length in enumerate(lengths):
+                if held and (held + length > most_bytes or i - start >= most_rows):
+                    yield batch.slice(start, i - start)
+                    start, held = i, 0
+                held += int(length) + 64
+            if start < batch.num_rows:
+                yield batch.slice(start)
+    finally:
+        pa.default_memory_pool().release_unused()
 
 
 def hash64(data: bytes) -> int:

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from clicktide.llm.common import small_batches, written
+from clicktide.llm.common import few_rows_a_batch, small_batches, written
 
 THRESHOLD = 0.5
 K1, B = 1.2, 0.75
@@ -247,6 +247,7 @@ def find_items(texts: DataFrame, items: DataFrame, item_key: str = "item_id", in
 
     ``into`` replaces a column of that name. Hits come in the order of the index.
     """
+    few_rows_a_batch(texts.sparkSession)
     texts = texts.drop(into)
     names = texts.columns
     found = texts.withColumn(into, F.array().cast(T.ArrayType(HIT)))

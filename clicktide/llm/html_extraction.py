@@ -38,7 +38,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.llm.common import small_batches, written
+from clicktide.llm.common import few_rows_a_batch, small_batches, written
 
 FAN_IN = 64  # wrappers that one task aligns
 HOSTS_HELD = 2000  # of one task before it sends their wrappers
@@ -474,6 +474,7 @@ def _align_wrappers(table: pa.Table) -> pa.Table:
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """``host`` and ``wrapper`` (JSON) of every host, from all its pages."""
+    few_rows_a_batch(pages.sparkSession)
     layout = "host string, place long, wrapper string"
     rows = pages.select("url", "html").where(F.col("html").isNotNull())
     sent = written(rows.mapInArrow(_align_pages, layout), "html-wrappers")

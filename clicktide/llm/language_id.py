@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from clicktide.llm.common import hash_share, small_batches
+from clicktide.llm.common import few_rows_a_batch, hash_share, small_batches
 
 UNKNOWN = "und"
 DIMENSIONS = 4096
@@ -35,6 +35,7 @@ REJECT_SPREADS = 10.0
 LEAST_SPREAD = 0.03
 # A cosine of 0.05 is what texts of other scripts reach by colliding n-grams.
 FURTHEST = 0.95
+ROWS_COUNTED = 128  # whose counts are held at once
 LENGTH_CLASSES = 24  # powers of two of the n-grams of a text
 
 _LETTER = regex.compile(r"\p{L}")
@@ -147,7 +148,7 @@ def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
     )
 
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", 1 << 19, ROWS_COUNTED):
             counts = counted(batch.column(0).to_pylist())
             places = [np.flatnonzero(row) for row in counts]
             yield pa.RecordBatch.from_arrays(
@@ -181,11 +182,12 @@ def predict(texts: DataFrame, model: Centroids | None, into: tuple[str, str, str
     The model is a few vectors per language, so it travels with the tasks. ``into`` names
     the new columns, which replace columns of these names.
     """
+    few_rows_a_batch(texts.sparkSession)
     texts = texts.drop(*into)
     names = texts.columns
 
     def predict_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 1 << 19):
+        for batch in small_batches(batches, "text", 1 << 19, ROWS_COUNTED):
             rows = [text or "" for text in batch.column(names.index("text")).to_pylist()]
             readable = [i for i, text in enumerate(rows) if _LETTER.search(text)] if model else []
             found = np.full(len(rows), UNKNOWN, dtype=object)

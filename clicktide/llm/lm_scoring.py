@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import hash64, small_batches, text_bytes, written
+from clicktide.llm.common import few_rows_a_batch, hash64, small_batches, text_bytes, written
 
 DEPTH = 4
 EDGE = 0xFF
@@ -294,6 +294,7 @@ def score_texts(texts: DataFrame, held_out: Column, key: str = "doc_id") -> Data
     ``base_score``, ``score`` (log10 of the probability of the lower-cased text and its end)
     and ``bits_per_byte``, the code length over the bytes and the end.
     """
+    few_rows_a_batch(texts.sparkSession)
     rows = texts.select(F.col(key).alias("key"), held_out.alias("held_out"), "text")
     kind = rows.schema["key"].dataType.simpleString()
     blocks = max(1, -(-text_bytes(texts) // BLOCK_BYTES))

@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import hash64, small_batches, text_bytes, written
+from clicktide.llm.common import few_rows_a_batch, hash64, small_batches, text_bytes, written
 from clicktide.llm.components import components
 
 WORDS = 5
@@ -59,7 +59,7 @@ class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         value = self[word] = hash64(word)
         return value
@@ -251,6 +251,7 @@ def _bucket_sums(table: pa.Table) -> pa.Table:
 
 def profiles(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Of each row key, set and n; of each set, how many of its n-grams others share at most."""
+    few_rows_a_batch(texts.sparkSession)
     bits = max(3, (text_bytes(texts) // FRAGMENT_BYTES).bit_length())
     # rows about documents pass by the fragments, spread over four times as many groups
     aside = -1 - F.pmod(F.xxhash64(F.col(key), "text"), F.lit(4 << bits))
@@ -376,7 +377,7 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
         row_b = row_a if b is None else np.repeat(np.arange(len(other)), [len(p) for p in part_b])
         codes_a = inverse[:n_a]
         codes_b = codes_a if b is None else inverse[n_a:]
-        step = max(1, (8 << 20) // max(len(a), len(other)))  # bounds the dense matrices
+        step = max(1, (4 << 20) // max(len(a), len(other)))  # bounds the dense matrices
         for at in range(0, width, step):
             dense = []
             for rows, codes, size in ((row_a, codes_a, len(a)), (row_b, codes_b, len(other))):

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.llm.common import hash_share, small_batches
+from clicktide.llm.common import few_rows_a_batch, hash_share, small_batches
 
 WIDTH, STRIDE = 16, 8
 EMBEDDING, FILTERS, HIDDEN = 8, 32, 16
@@ -230,6 +230,8 @@ def fit(texts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
 def classify(texts: DataFrame, weights: Weights | None, key: str = "doc_id") -> DataFrame:
     """The key and ``score`` of every row. The weights are of fixed size and go with the tasks."""
 
+    few_rows_a_batch(texts.sparkSession)
+
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             data = [(text or "").encode() for text in batch.column(1).to_pylist()]

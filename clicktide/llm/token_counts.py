@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from clicktide.llm.common import small_batches
+from clicktide.llm.common import few_rows_a_batch, small_batches
 
 MARK = "▁"
 MEMO_ENTRIES = 300_000
@@ -97,6 +97,8 @@ def counter_of(path: str) -> PieceCounter:
 def token_counts(texts: DataFrame, model_path: str, key: str = "doc_id") -> DataFrame:
     """Of each row the key, ``n_bytes`` (UTF-8) and ``n_tokens``; other columns are not read."""
 
+    few_rows_a_batch(texts.sparkSession)
+
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(model_path)
         for batch in small_batches(batches, "text"):
@@ -105,6 +107,7 @@ def token_counts(texts: DataFrame, model_path: str, key: str = "doc_id") -> Data
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64())],
                 ["key", "n_bytes", "n_tokens"],
             )
+        counter.memo = dict(counter.whole)  # a worker goes on to other tasks, maybe of other kinds
 
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     rows = texts.select(F.col(key).alias("key"), size.alias("n_bytes"), "text")
