@@ -14,13 +14,16 @@ after the other. Where they differ,
 Alignment merges two wrappers into one of bounded size, so tasks align their own pages
 first and send one wrapper per host; these are aligned in a tree over the tasks, so that
 a host with a third of all pages is no large group anywhere. Every slot counts its pages,
-characters and characters in links.
+characters and characters in links, and every literal the smallest digests of its distinct
+pages: of the digests that are smallest on the whole host, the share that a literal has
+estimates its share of the host's distinct pages, exactly so up to ``SKETCH`` of them.
 
 From the wrapper follows what is the article: elements that are no content by their name,
 class, id or role are left out; then the article or main element with the most text, or
-without one the element below which most of the text is, less what is the same on all
-pages. The page is aligned with its host's wrapper once more, and the texts of its blocks
-are read.
+without one the element below which most of the text is, less what is the same on nearly
+all distinct pages of the host, of which there must be ``SAME_ON``: copies of a page count
+once. The page is aligned with its host's wrapper once more, and the texts of its blocks
+are read; where that leaves nothing, the page is read by its own wrapper.
 
 A null page has the text ''. A null or unreadable url is the host ''. Repeated rows are
 extracted each, a host with one page by its own wrapper. Nothing is capped or cut.
@@ -43,7 +46,9 @@ from clicktide.llm.common import few_rows_a_batch, small_batches, written
 FAN_IN = 64  # wrappers that one task aligns
 HOSTS_HELD = 2000  # of one task before it sends their wrappers
 LITERAL_CHARS = 80
-SAME_ON = 3  # pages from which on an unchanged text is the template's
+SAME_ON = 3  # distinct pages from which on an unchanged text can be the template's
+NEARLY_ALL = 0.9  # of the host's distinct pages that a text of the template stands on
+SKETCH = 32  # digests of pages that stand for all
 DEEPEST = 64  # open elements; what is deeper stands beside, not inside, its parent
 SHARE = 0.6  # of an element's text that a child must have to be looked into
 
@@ -85,9 +90,11 @@ _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)")
 
 Page = list  # [label, children, chars in links] of an element, [None, text, chars in links] of a text
-Wrapper = list  # [label, repeated, optional, pages, chars, link chars, children or literal or None]
+# [label, repeated, optional, pages, chars, link chars, children or literal or None, seen]: seen are digests of the
+# pages of a literal or a whole page, and once the host is complete, whether a text is the template's
+Wrapper = list
 GROUP, TEXT = "()", "#"
-LABEL, REPEATED, OPTIONAL, PAGES, CHARS, LINKS, INSIDE = range(7)
+LABEL, REPEATED, OPTIONAL, PAGES, CHARS, LINKS, INSIDE, SEEN = range(8)
 
 
 def host_of(url: str | None) -> str:
@@ -200,12 +207,24 @@ def parse(html: str) -> Page:
 
 
 def wrapper_of(page: Page) -> Wrapper:
+    seen = [int.from_bytes(blake2b(json.dumps(page).encode(), digest_size=6).digest(), "big")]
+    return [*_wrapper_of(page, seen)[:SEEN], seen]
+
+
+def _wrapper_of(page: Page, seen: list[int]) -> Wrapper:
     label, inside, links = page
     if label is None:
         literal = inside if len(inside) <= LITERAL_CHARS else blake2b(inside.encode(), digest_size=8).hexdigest()
-        return [TEXT, 0, 0, 1, len(inside), links, literal]
-    children = [wrapper_of(child) for child in inside]
-    return [label, 0, 0, 1, sum(c[CHARS] for c in children), sum(c[LINKS] for c in children), children]
+        return [TEXT, 0, 0, 1, len(inside), links, literal, seen]
+    children = [_wrapper_of(child, seen) for child in inside]
+    return [label, 0, 0, 1, sum(c[CHARS] for c in children), sum(c[LINKS] for c in children), children, None]
+
+
+def _seen(a: list[int] | None, b: list[int] | None) -> list[int] | None:
+    """The smallest digests of both."""
+    if a is None or b is None or a == b:
+        return a
+    return sorted({*a, *b})[:SKETCH]
 
 
 def _runs(nodes: list[Wrapper]) -> list[list[Wrapper]]:
@@ -222,7 +241,7 @@ def _merged(a: Wrapper, b: Wrapper) -> Wrapper:
     inside = (a[INSIDE] if a[INSIDE] == b[INSIDE] else None) if a[LABEL] == TEXT else aligned(a[INSIDE], b[INSIDE])
     return [
         a[LABEL], a[REPEATED] | b[REPEATED], a[OPTIONAL] | b[OPTIONAL], a[PAGES] + b[PAGES],
-        a[CHARS] + b[CHARS], a[LINKS] + b[LINKS], inside,
+        a[CHARS] + b[CHARS], a[LINKS] + b[LINKS], inside, None if inside is None else _seen(a[SEEN], b[SEEN]),
     ]
 
 
@@ -245,7 +264,7 @@ def _grouped(nodes: list[Wrapper]) -> Wrapper:
         one[OPTIONAL] = 1
         inside.append(one)
     pages = max(n[PAGES] for n in nodes)
-    return [GROUP, 1, 0, pages, sum(n[CHARS] for n in nodes), sum(n[LINKS] for n in nodes), inside]
+    return [GROUP, 1, 0, pages, sum(n[CHARS] for n in nodes), sum(n[LINKS] for n in nodes), inside, None]
 
 
 def _labels_of(node: Wrapper) -> set[str]:
@@ -301,6 +320,20 @@ def align(a: Wrapper | None, b: Wrapper) -> Wrapper:
     return b if a is None else _merged(a, b)
 
 
+def finished(host: Wrapper) -> Wrapper:
+    """The wrapper of a whole host, its texts marked as the template's or not."""
+    pages = frozenset(host[SEEN])
+
+    def judged(wrapper: Wrapper) -> Wrapper:
+        *rest, inside, seen = wrapper
+        if wrapper[LABEL] != TEXT:
+            return [*rest, [judged(child) for child in inside], None]
+        same = inside is not None and len(seen) >= SAME_ON
+        return [*rest, inside, same and len(pages.intersection(seen)) >= NEARLY_ALL * len(pages)]
+
+    return judged(host)
+
+
 def expression(wrapper: Wrapper) -> str:
     """The wrapper as a regular expression."""
     label, inside = wrapper[LABEL], wrapper[INSIDE]
@@ -325,9 +358,9 @@ def _content(wrapper: Wrapper, in_article: bool) -> bool:
 
 
 def _mass(wrapper: Wrapper, in_article: bool = False) -> int:
-    """Characters of content outside links, without texts that all pages share."""
+    """Characters of content outside links, without texts of the template."""
     if wrapper[LABEL] == TEXT:
-        if wrapper[INSIDE] is not None and wrapper[PAGES] >= SAME_ON:
+        if wrapper[SEEN] is True:
             return 0
         return max(0, wrapper[CHARS] - 2 * wrapper[LINKS])
     if not _content(wrapper, in_article):
@@ -403,8 +436,7 @@ def _paired(children: list[Page], wrappers: list[Wrapper]) -> Iterator[tuple[Pag
 def _texts(page: Page, wrapper: Wrapper | None, in_article: bool, marked: bool) -> Iterator[str]:
     label, inside, _ = page
     if label is None:
-        template = wrapper is not None and wrapper[INSIDE] is not None and wrapper[PAGES] >= SAME_ON
-        if marked or not template:
+        if marked or wrapper is None or wrapper[SEEN] is not True:
             yield inside
         return
     if not _content([label], in_article):
@@ -426,11 +458,12 @@ def _found(page: Page, wrapper: Wrapper, article: Wrapper) -> Iterator[tuple[Pag
 def extract(page: Page, wrapper: Wrapper) -> str:
     article, marked = article_of(wrapper)
     places = list(_found(page, wrapper, article))
-    if not places:  # the page has no element there: judge it by itself
+    texts = [t for place, of in places for t in _texts(place, of, marked, marked)]
+    if not places or not texts and not marked:  # nothing there but the template: judge the page by itself
         own = wrapper_of(page)
         article, marked = article_of(own)
-        places = list(_found(page, own, article))
-    return "\n\n".join(t for place, of in places for t in _texts(place, of, marked, marked))
+        texts = [t for place, of in _found(page, own, article) for t in _texts(place, of, marked, marked)]
+    return "\n\n".join(texts)
 
 
 # Tables of pages
@@ -472,6 +505,12 @@ def _align_wrappers(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_sent({host: one}, place)])
 
 
+def _finish_wrappers(table: pa.Table) -> pa.Table:
+    aligned_all = _align_wrappers(table)
+    whole = finished(json.loads(aligned_all["wrapper"][0].as_py()))
+    return pa.Table.from_batches([_sent({aligned_all["host"][0].as_py(): whole}, aligned_all["place"][0].as_py())])
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """``host`` and ``wrapper`` (JSON) of every host, from all its pages."""
     few_rows_a_batch(pages.sparkSession)
@@ -480,9 +519,9 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     sent = written(rows.mapInArrow(_align_pages, layout), "html-wrappers")
     places = (sent.agg(F.max("place")).first()[0] or 0) + 1
     while True:
-        sent = sent.withColumn("place", F.floor(F.col("place") / FAN_IN))
-        sent = sent.groupBy("host", "place").applyInArrow(_align_wrappers, layout)
         places = -(-places // FAN_IN)
+        sent = sent.withColumn("place", F.floor(F.col("place") / FAN_IN))
+        sent = sent.groupBy("host", "place").applyInArrow(_finish_wrappers if places <= 1 else _align_wrappers, layout)
         if places <= 1:
             return written(sent.select("host", "wrapper"), "html-wrappers")
         sent = written(sent, "html-wrappers")

@@ -42,6 +42,31 @@ def test_wrapper_without_article_element(spark):
         assert got[i] == "\n\n".join(blocks)
 
 
+def entry_page(i, own):
+    """The text stands below an element whose class only copies of this page have."""
+    return (
+        f"<html><body><div>Same line on every page</div><div class='entry post-{i}'><h2>Title {own}</h2>"
+        f"<p>{lorem(f'{own}a')}<p>{lorem(f'{own}b')}</div></body></html>"
+    )
+
+
+@pytest.mark.parametrize("copies", [3, 1000])
+def test_copies_of_a_page_keep_their_text(spark, copies):
+    copied = [("http://copies.example/%d" % i, soup_page(0, 2)) for i in range(copies)]
+    mixed = [("http://mixed.example/%d" % i, entry_page(i, i)) for i in range(9)]
+    mixed += [("http://mixed.example/%d" % i, entry_page(812, "copy")) for i in range(copies)]
+    got = texts_of(pages_of(spark, copied + mixed).repartition(4))
+    alone = {got[i] for i in range(copies)}
+    assert len(alone) == 1 and "\n\n".join(["Title 0", lorem("0_0"), lorem("0_1")]) in alone.pop()
+    for i, own in enumerate([*range(9), *["copy"] * copies], copies):
+        assert got[i] == "\n\n".join([f"Title {own}", lorem(f"{own}a"), lorem(f"{own}b")])
+
+
+def test_pages_with_nothing_but_the_template_keep_their_text(spark):
+    pages = [("http://t.example/%d" % i, f"<nav>{i}</nav><div><p>{lorem('t')}</div>") for i in range(5)]
+    assert set(texts_of(pages_of(spark, pages)).values()) == {lorem("t")}
+
+
 def test_parts_of_a_page_that_are_not_the_article(spark):
     page = (
         "<title>T</title><header><h1>Site</h1></header><nav>menu</nav><main><aside>side</aside><article>"
