@@ -4,7 +4,8 @@ DataFrame functions only. Every kind has a pattern; its matches are the leftmost
 that do not overlap, found with one split and one extraction of the whole text, so their
 places follow from the lengths of the pieces. A match that a kind's validator rejects is
 dropped and not tried again. The score of a span is the kind's own, plus what a passed
-checksum and a context word near the span add; spans below ``MIN_SCORE`` go.
+checksum and a context word near the span add; spans below ``MIN_SCORE`` go. Near are the
+``CONTEXT_CHARS`` code points on each side, whatever else matches in them.
 
 The four base kinds (email, ip, card, phone) stand above the bar by themselves. IBANs need
 the mod-97 checksum, social security numbers a context word.
@@ -142,7 +143,8 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 
 
 def located(text: Column, pattern: str) -> Column:
-    """The matches in order: start, end, value, and the text next to each."""
+    """The matches in order: start, end, value, and the text between each and the next ones,
+    of which ``CONTEXT_CHARS`` at most."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def zipped(between: Column) -> Column:
@@ -194,11 +196,30 @@ def located(text: Column, pattern: str) -> Column:
     return F.flatten(computed_once(matches, lambda m: F.aggregate(groups(m), start, shifted)["lists"]))
 
 
+def _near(spans: Column, span: Column) -> Column:
+    """The text on both sides of a span, from the pieces and matches there.
+
+    No match is empty, so as many matches as characters are enough on each side. Cutting
+    it out of the whole text would read that from its start for every span.
+    """
+    nth, most = span["nth"], CONTEXT_CHARS
+    earlier = F.slice(spans, F.greatest(nth - most, F.lit(0)) + 1, F.least(nth, F.lit(most)))
+    before = F.transform(earlier, lambda s: F.concat(s["before"], F.right(s["value"], F.lit(most))))
+    after = F.transform(
+        F.slice(spans, nth + 2, most), lambda s: F.concat(F.left(s["value"], F.lit(most)), s["after"])
+    )
+    return F.concat_ws(
+        " ",
+        F.right(F.concat(F.array_join(before, ""), span["before"]), F.lit(most)),
+        F.left(F.concat(span["after"], F.array_join(after, "")), F.lit(most)),
+    )
+
+
 def findings_of(text: Column, kind: Kind) -> Column:
     """The kind's confirmed spans with their scores, by start."""
 
-    def scored(span: Column) -> Column:
-        near = F.lower(F.concat_ws(" ", span["before"], span["after"])).rlike(kind.context)
+    def scored(spans: Column, span: Column) -> Column:
+        near = F.lower(_near(spans, span)).rlike(kind.context)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             span["start"].alias("start"),
@@ -206,8 +227,13 @@ def findings_of(text: Column, kind: Kind) -> Column:
             F.when(near, round(kind.score + kind.raise_by, 3)).otherwise(kind.score).alias("score"),
         )
 
-    confirmed = F.filter(located(text, kind.pattern), lambda span: kind.valid(span["value"]))
-    kept = F.filter(F.transform(confirmed, scored), lambda f: f["score"] >= MIN_SCORE)
+    def all_scored(spans: Column) -> Column:
+        numbered = F.transform(spans, lambda span, nth: span.withField("nth", nth))
+        confirmed = F.filter(numbered, lambda span: kind.valid(span["value"]))
+        return F.transform(confirmed, lambda span: scored(spans, span))
+
+    found = computed_once(located(text, kind.pattern), all_scored)
+    kept = F.filter(found, lambda f: f["score"] >= MIN_SCORE)
     none = F.array().cast(_FINDINGS)
     return F.when(text.rlike(kind.hint), kept.cast(_FINDINGS)).otherwise(none)
 

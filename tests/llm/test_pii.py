@@ -95,6 +95,43 @@ def test_confirmed_by_checksum_or_context(spark, text, kinds):
     assert [f.kind for f in row.findings if f.kind not in PATTERNS] == kinds
 
 
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ("SSN: 123-45-6789, 219-09-9999", ["123-45-6789", "219-09-9999"]),
+        ("SSN - 123-45-6789", ["123-45-6789"]),
+        ("tax id no 2: 123-45-6789", ["123-45-6789"]),
+        ("123-45-6789, 219-09-9999 (both 2 - SSN)", ["123-45-6789", "219-09-9999"]),
+        ("é😀 ssn" + " 1 -" * 9 + " 123-45-6789", ["123-45-6789"]),
+        ("ssn " + "1 - " * 9 + "x 123-45-6789", []),
+        ("ssn  " + "1 " * 18 + "123-45-6789", []),
+        ("ssn" + " 1" * 18 + " 123-45-6789", ["123-45-6789"]),
+    ],
+)
+def test_context_reaches_over_other_matches(spark, text, values):
+    found = pii.find_pii(documents_of(spark, [text])).first().findings
+    assert [text[f.start : f.end] for f in found if f.kind == "ssn"] == values
+
+
+def test_context_is_the_text_on_both_sides(spark):
+    """Against slices of the text, for all kinds with many matches close together."""
+    words = ["ssn ", "123-45-6789", "-", " ", ", ", "1", "call ", "+49 30 123456", "mail", "a@b.c", " é😀 ", "ip ", "1.2.3.4",
+             "host", "4111111111111111", "visa", "words between "]
+    frame = documents_of(spark, random_texts(1000, words, 30, seed=5))
+    for kind in pii.KINDS:
+        found = frame.select("text", pii.located(F.col("text"), kind.pattern).alias("all"),
+                             pii.findings_of(F.col("text"), kind).alias("kept")).collect()
+        raised = round(kind.score + kind.raise_by, 3)
+        for row in found:
+            kept = {(f.start, f.end): f.score for f in row.kept}
+            for s in row["all"]:
+                near = f"{row.text[max(s.start - 40, 0):s.start]} {row.text[s.end:s.end + 40]}".lower()
+                score = raised if re.search(kind.context, near, re.A) else kind.score
+                assert kept.get((s.start, s.end), score) == score, (row.text, s, near)
+                if kind.name == "ssn" and s.value == "123-45-6789":
+                    assert ((s.start, s.end) in kept) == (score >= pii.MIN_SCORE), (row.text, s, near)
+
+
 def test_context_raises_the_score(spark):
     plain, near = (r.findings[0].score for r in pii.find_pii(
         documents_of(spark, ["x 1.2.3.4", "server 1.2.3.4"])).orderBy("doc_id").collect())
