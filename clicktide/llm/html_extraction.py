@@ -25,6 +25,11 @@ all distinct pages of the host, of which there must be ``SAME_ON``: copies of a
 once. The page is aligned with its host's wrapper once more, and the texts of its blocks
 are read; where that leaves nothing, the page is read by its own wrapper.
 
+The tree of a page has at most ``DEEPEST`` levels. Elements that are open below that are
+kept, but stand in the order of their texts beside each other in the innermost element
+above, as many pieces as others interrupt them, and are no content if an element around
+them is not. Articles there hold what is in them, up to ``DEEPEST_ARTICLES`` in each other.
+
 A null page has the text ''. A null or unreadable url is the host ''. Repeated rows are
 extracted each, a host with one page by its own wrapper. Nothing is capped or cut.
 """
@@ -33,6 +38,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from hashlib import blake2b
@@ -49,7 +55,8 @@ LITERAL_CHARS = 80
 SAME_ON = 3  # distinct pages from which on an unchanged text can be the template's
 NEARLY_ALL = 0.9  # of the host's distinct pages that a text of the template stands on
 SKETCH = 32  # digests of pages that stand for all
-DEEPEST = 64  # open elements; what is deeper stands beside, not inside, its parent
+DEEPEST = 64  # levels of the tree; what is deeper stands beside, not inside, its parent
+DEEPEST_ARTICLES = 16  # more levels, of articles only
 SHARE = 0.6  # of an element's text that a child must have to be looked into
 
 # Element names of HTML and the usual names of page parts.
@@ -133,10 +140,21 @@ def _name(label: str) -> str:
     return re.split(r"[.@]", label.lstrip("!~"), maxsplit=1)[0]
 
 
+def _below(label: str, outer: str) -> str:
+    """The label of an element that stands beside, not inside, the one with the outer label."""
+    if outer.startswith("!") or _name(outer) in NO_CONTENT:
+        return "!" + label.lstrip("!~")
+    if (outer.startswith("~") or _name(outer) == "header") and not label.startswith("!"):
+        return "~" + label.lstrip("~")
+    return label
+
+
 def parse(html: str) -> Page:
     """The block elements of a page and the texts between them; inline elements leave their text."""
     root: Page = ["html", [], 0]
-    stack, names = [root], ["html"]
+    # the open elements: where their texts go, their names, and the element that what they hold is put in, with its level
+    stack, names, holders = [root], ["html"], [(root, 1)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     in_link = linked = 0
     at, tokens = 0, _TOKEN.scanner(html)
@@ -145,10 +163,18 @@ def parse(html: str) -> Page:
         nonlocal linked
         if text:
             if joined := " ".join("".join(text).split()):
-                stack[-1][1].append([None, joined, min(linked, len(joined))])
+                element, beside = stack[-1], holders[-1][0][1]
+                if element is not holders[-1][0] and beside[-1] is not element:  # goes on after another one
+                    element = stack[-1] = [element[0], [], 0]
+                    beside.append(element)
+                element[1].append([None, joined, min(linked, len(joined))])
             text.clear()
         linked = 0
 
+    def close(first: int) -> None:
+        opened.subtract(names[first:])
+        del stack[first:], names[first:], holders[first:]
+
     while (token := tokens.match()) is not None:
         at = token.end()
         name = token[2] or token[5]
@@ -173,32 +199,38 @@ def parse(html: str) -> Page:
             flush()
             in_link = 0
             if closing:
-                if name in names[1:]:
-                    while names.pop() != name:
-                        stack.pop()
-                    stack.pop()
+                if opened[name]:
+                    close(next(k for k in range(len(names) - 1, 0, -1) if names[k] == name))
                 continue
             if name in ("html", "body"):
-                if name == "html" or "body" in names:
+                if name == "html" or opened["body"]:
                     continue
-            if "p" in names:  # a block ends an open paragraph
+            if opened["p"]:  # a block ends an open paragraph
                 for k in range(len(names) - 1, 0, -1):
                     if names[k] == "p":
-                        del names[k:], stack[k:]
+                        close(k)
                         break
                     if names[k] in SCOPES:
                         break
             if ends := CLOSED_BY.get(name):
                 for k in range(len(names) - 1, 0, -1):
+                    if not any(opened[end] for end in ends):
+                        break
                     if names[k] in ends:
-                        del names[k:], stack[k:]
+                        close(k)
                     elif names[k] in SCOPES:
                         break
             element: Page = [_label(name, token[3] or token[6] or ""), [], 0]
-            stack[-1][1].append(element)
-            if name not in VOID and len(stack) < DEEPEST:
+            holder, level = holders[-1]
+            if stack[-1] is not holder:
+                element[0] = _below(element[0], stack[-1][0])
+            holder[1].append(element)
+            if name not in VOID:
+                holds = level < DEEPEST or _is_article(element) and level < DEEPEST + DEEPEST_ARTICLES
                 stack.append(element)
                 names.append(name)
+                opened[name] += 1
+                holders.append((element, level + 1) if holds else (holder, level))
     flush()
     return root
 

@@ -118,6 +118,29 @@ def test_broken_pages_are_read(broken):
     he.extract(he.parse(broken), he.wrapper_of(he.parse(broken)))
 
 
+@pytest.mark.parametrize("before", [0, 59, 63, 70])
+@pytest.mark.parametrize("inside", [0, 1, 6, 65, 300])
+def test_deep_elements_are_read_in_their_places(spark, before, inside):
+    body = (
+        "<h1>Title</h1>" + "<div>" * inside + "<p>deep<blockquote>quoted<nav><div><p>menu</div>more menu</nav>still quoted"
+        "<header><p>head</header></blockquote>after<aside>aside<div>x</div>aside</aside><ul><li>a<li>b</ul>"
+        "<table><tr><td>1<td>2</table>" + "</div>" * inside + "<p>last"
+    )
+    page = f"<body><div>outside</div>{'<div>' * before}<nav>n</nav><article>{body}</article>out{'</div>' * before}<p>end</p></body>"
+    expected = ["Title", "deep", "quoted", "still quoted", "head", "after", "a", "b", "1", "2", "last"]
+    assert he.extract(he.parse(page), he.wrapper_of(he.parse(page))) == "\n\n".join(expected)
+    plain = page.replace("article>", "section>")
+    found = he.extract(he.parse(plain), he.wrapper_of(he.parse(plain))).split("\n\n")
+    assert set(expected[1:-1]) - {"head"} <= set(found) and not {"menu", "more menu", "aside", "x", "n", "head"} & set(found)
+
+
+def test_tree_of_a_deep_page_on_many_pages(spark):
+    deep = [f"<div>{'<div>' * 70}<nav>menu</nav><article><p>{lorem(i)}<div>{lorem(i + 100)}</div>" for i in range(5)]
+    pages = [(f"http://deep.example/{i}", f"{page}</article>{'</div>' * 71}<p>foot") for i, page in enumerate(deep)]
+    got = texts_of(pages_of(spark, pages).repartition(3))
+    assert got == {i: f"{lorem(i)}\n\n{lorem(i + 100)}" for i in range(5)}
+
+
 def test_awkward_rows(spark):
     rows = [(1, "http://a.b/c", None, "x"), (2, None, "<p>some text</p>", "x"), (3, "http://a.b/c", "", None),
             (None, "::", "<article><p>no id</p></article>", "x"), (4, "http://a.b/d", "<p>" + "word " * 300_000, "x"),
