@@ -6,20 +6,25 @@ centroids, found by spherical k-means on a bounded sample of labelled rows:
 ``SAMPLE_PER_LANGUAGE`` of each language, those with the smallest hash of their id. The
 closest centroid by cosine names the language, ``score`` is that cosine.
 
-A text is rejected where it is farther from its centroid than ``REJECT_SPREADS`` standard
-deviations beyond the mean distance that the sample's texts of its length have, as short
-texts are far from any centroid, and in any case beyond ``FURTHEST``. Texts without a
-letter, nulls and empty texts among them, get ``und``, score 0, and are rejected. Repeated
+A text is rejected where it is farther from its centroid than its language's limit for its
+length, as short texts are far from any centroid. The limits are set by leaving out one
+language of the sample at a time: of the distances of its texts to the nearest centroid of
+the other languages, the limit is below the one for which the shares of own texts beyond it
+and of these texts within it have the smallest sum. The sample's texts and their beginnings
+of 4, 8, 16, ... characters count, so that all lengths have texts. With one language there
+is nothing to leave out: then the limit is ``REJECT_SPREADS`` standard deviations beyond the
+mean distance of own texts. It is never beyond ``FURTHEST``. Texts without a letter, nulls and empty texts among them, get ``und``, score 0, and are rejected. Repeated
 rows are each predicted alike. Without a labelled row every text is ``und``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -31,12 +36,16 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 200
 RANKED = 8
 CENTROIDS = 3
+LEAST_CLUSTER = 0.05  # of a language's texts: a few with a wrong label have no centroid
 REJECT_SPREADS = 10.0
 LEAST_SPREAD = 0.03
 # A cosine of 0.05 is what texts of other scripts reach by colliding n-grams.
 FURTHEST = 0.95
 ROWS_COUNTED = 128  # whose counts are held at once
 LENGTH_CLASSES = 24  # powers of two of the n-grams of a text
+LEAST_TEXTS = 8  # of a length class that has a limit of its own
+LEAST_FOREIGN = 20
+LONGEST_BEGINNING = 1 << 16
 
 _LETTER = regex.compile(r"\p{L}")
 _LETTERS_ONLY = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -78,11 +87,15 @@ class Centroids:
     centers: np.ndarray  # language, centroid, dimension
     furthest: np.ndarray  # language, length class
 
-    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each row the language's number, its cosine, and whether it is accepted."""
+    def cosines(self, counts: np.ndarray) -> np.ndarray:
+        """Of each row the cosine with the closest centroid of each language."""
         vectors = _unit(np.log1p(counts) * self.idf).astype(np.float32)
         shape = self.centers.shape
-        cosine = (vectors @ self.centers.reshape(-1, shape[2]).T).reshape(-1, *shape[:2]).max(axis=2)
+        return (vectors @ self.centers.reshape(-1, shape[2]).T).reshape(-1, *shape[:2]).max(axis=2)
+
+    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each row the language's number, its cosine, and whether it is accepted."""
+        cosine = self.cosines(counts)
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1)
         return best, score, 1 - score <= self.furthest[best, length_class(counts)]
@@ -107,27 +120,77 @@ def _clustered(vectors: np.ndarray) -> np.ndarray:
         if np.allclose(new, centers):
             break
         centers = new
+    sizes = np.bincount((vectors @ centers.T).argmax(axis=1), minlength=CENTROIDS)
+    centers[sizes < LEAST_CLUSTER * len(vectors)] = _unit(vectors.mean(axis=0))
     return centers
 
 
-def _trained(labels: np.ndarray, counts: np.ndarray) -> Centroids:
-    languages = sorted(set(labels))
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    vectors = _unit(np.log1p(counts) * idf)
-    centers = np.array([_clustered(vectors[labels == lang]) for lang in languages])
-    furthest = np.full((len(languages), LENGTH_CLASSES), FURTHEST)
-    classes = length_class(counts)
-    for i, lang in enumerate(languages):
-        own = labels == lang
-        distance = 1 - (vectors[own] @ centers[i].T).max(axis=1)
+def _limit(own: np.ndarray, foreign: np.ndarray) -> float:
+    """Near the largest foreign distance below which the two shares of errors have the smallest sum."""
+    own, foreign = np.sort(own), np.unique(foreign, return_counts=True)
+    values, before = foreign[0], np.cumsum(foreign[1]) - foreign[1]
+    below = np.searchsorted(own, values)
+    errors = 1 - below / len(own) + before / foreign[1].sum()
+    at = np.flatnonzero(errors <= errors.min() + 1e-9)[-1]
+    last = max(own[below[at] - 1] if below[at] else 0.0, values[at - 1] if at else 0.0)
+    return values[at] - 0.1 * (values[at] - last)
+
+
+def _limits(labels: np.ndarray, classes: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """The farthest accepted distance by language and length class."""
+    count = distances.shape[1]
+    furthest = np.full((count, LENGTH_CLASSES), FURTHEST)
+    others = distances.copy()
+    others[np.arange(len(labels)), labels] = np.inf
+    foreign = others.min(axis=1)  # as if the text's own language were not known
+    for i in range(count):
         limit = FURTHEST
         # a class with few texts has the limit of the next shorter one; texts get closer with length
         for c in range(LENGTH_CLASSES):
-            here = distance[classes[own] == c]
-            if len(here) >= 8:
-                limit = here.mean() + REJECT_SPREADS * max(here.std(), LEAST_SPREAD)
+            here, others_here = (labels == i) & (classes == c), (labels != i) & (classes == c)
+            if here.sum() >= LEAST_TEXTS:
+                own = distances[here, i]
+                if count == 1:
+                    limit = own.mean() + REJECT_SPREADS * max(own.std(), LEAST_SPREAD)
+                elif others_here.sum() >= LEAST_FOREIGN:
+                    limit = _limit(own, foreign[others_here])
             furthest[i, c] = min(limit, FURTHEST)
-    return Centroids(languages, idf, centers.astype(np.float32), furthest)
+    return furthest
+
+
+def _trained(
+    labels: np.ndarray, counts: np.ndarray, measured: Iterable[tuple[np.ndarray, np.ndarray]] | None = None
+) -> Centroids:
+    """From whole texts; ``measured`` are labels and counts of the texts that set the limits."""
+    languages = sorted(set(labels))
+    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
+    vectors = _unit(np.log1p(counts) * idf)
+    centers = np.array([_clustered(vectors[labels == lang]) for lang in languages]).astype(np.float32)
+    model = Centroids(languages, idf, centers, np.full((len(languages), LENGTH_CLASSES), FURTHEST))
+    parts = [
+        (np.searchsorted(languages, of), length_class(some), 1 - model.cosines(some).astype(float))
+        for of, some in measured or [(labels, counts)]
+    ]
+    return replace(model, furthest=_limits(*map(np.concatenate, zip(*parts, strict=True))))
+
+
+def _beginnings(text: str) -> Iterator[str]:
+    size = 4
+    while size < min(len(text), LONGEST_BEGINNING):
+        if _LETTER.search(text, 0, size):
+            yield text[:size]
+        size *= 2
+
+
+def _dense(sparse: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and counts of rows with places and counts."""
+    sparse = sparse.combine_chunks()
+    sizes = pc.list_value_length(sparse["places"]).to_numpy()
+    counts = np.zeros((sparse.num_rows, DIMENSIONS))
+    counts[np.repeat(np.arange(len(sizes)), sizes), pc.list_flatten(sparse["places"]).to_numpy()] = pc.list_flatten(
+        sparse["counts"]
+    ).to_numpy()
+    return np.array(sparse["lang"].to_pylist()), counts
 
 
 def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
@@ -149,31 +212,34 @@ def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
 
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 19, ROWS_COUNTED):
-            counts = counted(batch.column(0).to_pylist())
-            places = [np.flatnonzero(row) for row in counts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1),
-                    pa.array([p.astype(np.int16) for p in places], pa.list_(pa.int16())),
-                    pa.array([row[p] for row, p in zip(counts, places, strict=True)],
-                             pa.list_(pa.float64())),
-                ],
-                ["lang", "places", "counts"],
-            )
+            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            yield counted_rows(texts, langs, True)
+            begun = [(b, lang) for text, lang in zip(texts, langs, strict=True) for b in _beginnings(text)]
+            for i in range(0, len(begun), ROWS_COUNTED):
+                yield counted_rows(*map(list, zip(*begun[i : i + ROWS_COUNTED], strict=True)), False)
+
+    def counted_rows(texts: list[str], langs: list[str], whole: bool) -> pa.RecordBatch:
+        counts = counted(texts)
+        places = [np.flatnonzero(row) for row in counts]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(langs, pa.string()),
+                pa.array([whole] * len(texts)),
+                pa.array([p.astype(np.int16) for p in places], pa.list_(pa.int16())),
+                pa.array([row[p] for row, p in zip(counts, places, strict=True)], pa.list_(pa.float64())),
+            ],
+            ["lang", "whole", "places", "counts"],
+        )
 
     sparse = sample.select("text", "lang").mapInArrow(
-        count_rows, "lang string, places array<short>, counts array<double>"
+        count_rows, "lang string, whole boolean, places array<short>, counts array<double>"
     ).toArrow()
     if not sparse.num_rows:
         return None
-    counts = np.zeros((sparse.num_rows, DIMENSIONS))
-    for i, (places, values) in enumerate(
-        zip(sparse["places"].to_pylist(), sparse["counts"].to_pylist(), strict=True)
-    ):
-        counts[i, places] = values
-    labels = np.array(sparse["lang"].to_pylist())
+    labels, counts = _dense(sparse.filter(sparse["whole"]))
     order = np.lexsort((counts.sum(axis=1), labels))  # the rows come in any order
-    return _trained(labels[order], counts[order])
+    measured = (_dense(sparse.slice(i, 1000)) for i in range(0, sparse.num_rows, 1000))
+    return _trained(labels[order], counts[order], measured)
 
 
 def predict(texts: DataFrame, model: Centroids | None, into: tuple[str, str, str]) -> DataFrame:

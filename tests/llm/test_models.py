@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clicktide.llm import language_id as li, quality_classifier as qc, queries
+from clicktide.llm.common import in_fold
 from tests.llm.helpers import DOCUMENTS, SF, awkward, documents_of, empty, needs_data, rows_of
 
 BIG = SF.replace("0.001", "0.01")
@@ -36,6 +37,25 @@ def test_far_texts_are_rejected(spark, languages):
     assert [r["lang_pred"] for r in sorted(rows, key=lambda r: r["doc_id"])][2:] == [li.UNKNOWN] * 4
 
 
+@needs_data
+@pytest.mark.parametrize("left_out", ["de", "es"])
+def test_a_language_that_was_not_learnt_is_rejected(spark, left_out):
+    documents = spark.read.parquet(f"{BIG.replace('0.01', '0.1')}/documents.parquet").where(F.length("text") >= 20)
+    model = li.fit(documents.where((F.col("lang") != left_out) & ~in_fold("doc_id", 4, 2)))
+    unseen = documents.where(in_fold("doc_id", 4, 2))
+    kept = {r.lang: r.share for r in li.predict(unseen, model, NEW).groupBy("lang").agg(
+        F.avg(F.col("accepted").cast("int")).alias("share")).collect()}
+    assert kept.pop(left_out) <= 0.05
+    assert min(kept.values()) >= 0.95
+
+
+@needs_data
+def test_random_letters_are_rejected(spark, languages):
+    letters = np.random.default_rng(2).choice(list("abcdefghijklmnopqrstuvwxyz      "), (40, 300))
+    texts = ["".join(row[: 20 + 7 * i]) for i, row in enumerate(letters)]
+    assert not any(r["accepted"] for r in rows_of(li.predict(documents_of(spark, texts), languages, NEW)))
+
+
 @needs_data
 def test_language_of_awkward_rows(spark, languages):
     frame = awkward(spark)
