@@ -55,9 +55,12 @@ def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def hash_share(key: str) -> Column:
-    """A number in [0, 1) by the key's hash: a filter on it keeps that share of the keys."""
-    return F.xxhash64(key) / F.lit(2.0**64) + 0.5
+def hash_share(*keys: str) -> Column:
+    """A number in [0, 1) by the keys' hash: a filter on it keeps that share of the keys.
+
+    A hash leaves nulls out, so rows whose keys are all null are kept or dropped together.
+    """
+    return F.xxhash64(*keys) / F.lit(2.0**64) + 0.5
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A text becomes a TF-IDF vector of its byte n-grams (lower case, everything but letters
 one space), hashed into ``DIMENSIONS`` places and of length 1. Each language has a few
 centroids, found by spherical k-means on a bounded sample of labelled rows:
-``SAMPLE_PER_LANGUAGE`` of each language, those with the smallest hash of their id. The
+``SAMPLE_PER_LANGUAGE`` of each language, those with the smallest hash of id and text. The
 closest centroid by cosine names the language, ``score`` is that cosine.
 
 A text is rejected where it is farther from its centroid than its language's limit for its
@@ -195,7 +195,7 @@ def _dense(sparse: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
     """From rows with key, text and lang; null and letterless texts and null langs are left out."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("key", "text"), "key", "text")
     rows = labelled.select(F.col(key).alias("key"), "text", "lang").where(F.col("lang").isNotNull())
     # a row per language, like the model; of frequent ones a few times the sample is ranked
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()
@@ -204,7 +204,7 @@ def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
     shares = [(r.lang, min(1.0, RANKED * SAMPLE_PER_LANGUAGE / r.rows)) for r in sizes]
     share = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))
     few = rows.join(share, "lang").where(
-        (hash_share("key") < F.col("share")) & F.col("text").rlike(r"\p{L}")
+        (hash_share("key", "text") < F.col("share")) & F.col("text").rlike(r"\p{L}")
     )
     sample = few.withColumn("nth", F.row_number().over(order)).where(
         F.col("nth") <= SAMPLE_PER_LANGUAGE

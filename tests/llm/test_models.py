@@ -68,6 +68,18 @@ def test_language_of_awkward_rows(spark, languages):
     assert li.fit(frame) is not None
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_many_rows_without_ids_of_their_own_are_learnt(spark, key):
+    rows = spark.range(8000).select(
+        F.lit(key).cast("long").alias("doc_id"),
+        F.concat(F.when(F.col("id") % 2 == 0, "the house is near ").otherwise("das Haus ist nahe "), F.conv("id", 10, 36)).alias("text"),
+        F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"),
+    )
+    model = li.fit(rows)
+    assert model is not None and model.languages == ["de", "en"]
+    assert rows_of(li.predict(rows.limit(50), model, NEW).where("lang_pred <> lang")) == []
+
+
 def test_counts_are_of_each_text_alone():
     texts = ["Das ist ein Text", "", "another, text!", "x"]
     together = li.counted(texts)
