@@ -34,22 +34,22 @@ def _kind_sql(kind: pii.Kind) -> str:
     """A list of 'kind:start:end' per document."""
     pattern = _PATTERNS.get(kind.name, kind.pattern.replace("++", "+"))
     bar = f"{kind.score} >= {pii.MIN_SCORE}"
-    near = (
-        f"regexp_matches(lower(right(parts[i], {pii.CONTEXT_CHARS}) || ' ' || "
-        f"left(parts[i + 1], {pii.CONTEXT_CHARS})), '{kind.context}')"
-    )
-    raised = f"({bar} OR ({near} AND {kind.score + kind.raise_by} >= {pii.MIN_SCORE}))"
     start = (
         "list_sum(list_transform(parts[:i], lambda p: length(p)))"
         " + coalesce(list_sum(list_transform(vals[:i - 1], lambda p: length(p))), 0)"
     )
+    near = (
+        f"regexp_matches(lower(right(left(t, CAST({start} AS BIGINT)), {pii.CONTEXT_CHARS}) || ' ' || "
+        f"left(substr(t, CAST({start} AS BIGINT) + length(vals[i]) + 1), {pii.CONTEXT_CHARS})), '{kind.context}')"
+    )
+    raised = f"({bar} OR ({near} AND {kind.score + kind.raise_by} >= {pii.MIN_SCORE}))"
     valid = _VALID[kind.name].replace("(v", "(vals[i]").replace(" v[", " vals[i][").replace("v,", "vals[i],")
     return f"""
     SELECT row_id, list_transform(list_filter(range(1, len(vals) + 1),
                lambda i: ({valid}) AND {raised}),
                lambda i: '{kind.name}:' || CAST({start} AS BIGINT) || ':'
                          || CAST({start} + length(vals[i]) AS BIGINT)) AS {kind.name}
-    FROM (SELECT row_id, string_split_regex(t, '{pattern}') AS parts,
+    FROM (SELECT row_id, t, string_split_regex(t, '{pattern}') AS parts,
                  regexp_extract_all(t, '{pattern}') AS vals FROM d)"""
 
 
