@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.session import shared_folder
+from clicktide.session import planned_bytes, shared_folder
 
 # Word separators of the contracts: space and the five ASCII controls \t \n \v \f \r.
 # ``bytes.split()`` splits at the same six bytes.
@@ -44,6 +44,36 @@ def text_bytes(texts: DataFrame, column: str = "text") -> int:
     return texts.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
+def tasks_for(rows: DataFrame, bytes_each: int = 32 << 20) -> int:
+    """Tasks for a shuffle of these rows: one for so many bytes of the files they come from.
+
+    At least the session's own number; rows of unknown size get that as well.
+    """
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    planned = planned_bytes(rows)
+    return least if planned >= 1 << 60 else max(least, -(-planned // bytes_each))
+
+
+def joined_to_totals(rows: DataFrame, totals: DataFrame, on: list[str], size: str, share: int = 1000) -> DataFrame:
+    """Inner join of rows with one row of totals for each key, whatever share a key holds.
+
+    ``size`` in ``totals`` counts the key's rows. Keys with a ``share``-th of all rows are at
+    most ``share``, and are broadcast; the others are shuffled, where none can weigh much.
+    Nulls are a key like any other. Both inputs are read twice: pass written tables.
+    """
+    all_rows = totals.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) * share >= F.lit(all_rows)
+    keys = [F.struct(F.col(k).isNull(), F.col(k)) for k in on]
+    named = totals.withColumn("key_of_totals", F.struct(*keys)).drop(*on)
+    keyed = rows.withColumn("key_of_rows", F.struct(*keys))
+    same = F.col("key_of_rows") == F.col("key_of_totals")
+    heavy = F.broadcast(named.where(large))
+    by_broadcast = keyed.join(heavy, same)
+    rest = keyed.join(heavy.select("key_of_totals"), same, "left_anti")
+    by_shuffle = rest.join(named.where(~large), same)
+    return by_broadcast.unionByName(by_shuffle).drop("key_of_rows", "key_of_totals")
+
+
 def in_fold(key: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text leaves this remainder; a null key counts as ''."""
     as_text = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm import byte_bpe, conversations, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
 from clicktide.llm.common import in_fold, read_table
 from clicktide.llm.oracle import ORACLE_SQL
 
@@ -104,6 +108,58 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults by the checksum of conversation and turn, as the contract has them."""
+    key = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *key).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(name), F.lit(" ")) for name in ("role", "text"))
+    return (
+        turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("damage"))
+        .where(F.col("damage") != 0)
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("damage") == 1, "")
+            .when(F.col("damage") == 2, F.translate("text", ".!?", ""))
+            .otherwise(F.col("text"))
+            .alias("text"),
+            F.explode(F.array_repeat(F.lit(0), F.when(F.col("damage") == 3, 2).otherwise(1))),
+        )
+        .drop("col")
+    )
+
+
+def _conversation_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row of each conversation, with a hash over the turns that follow it."""
+    head, digest = None, None
+    columns = ["place", "role", "text"]
+    for batch in batches:
+        done = []
+        fields = batch.drop_columns([*columns, "edit"])
+        rows = zip(*(batch.column(batch.schema.get_field_index(name)).to_pylist() for name in columns))
+        for number, (place, role, text) in enumerate(rows):
+            if place == 0:
+                if head is not None:
+                    done.append({**head, "repaired_sha256": digest.hexdigest()})
+                head, digest = fields.slice(number, 1).to_pylist()[0], hashlib.sha256()
+            else:
+                digest.update(f"{chr(10) if place > 1 else ''}{role}:{text}".encode("utf-8", "surrogatepass"))
+        schema = fields.schema.append(pa.field("repaired_sha256", pa.string()))
+        yield pa.RecordBatch.from_pylist(done, schema=schema)
+    if head is not None:
+        yield pa.RecordBatch.from_pylist([{**head, "repaired_sha256": digest.hexdigest()}], schema=schema)
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    original = read_table(spark, folder, "conversations")
+    turns = damaged(original)
+    repaired = conversations.repaired(turns, conversations.audits(turns, original))
+    kept = [field for field in repaired.schema if field.name not in ("place", "role", "text", "edit")]
+    layout = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in kept)
+    return repaired.mapInArrow(_conversation_digests, f"{layout}, repaired_sha256 string")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -115,6 +171,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
