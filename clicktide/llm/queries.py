@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, conversations, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts
+from clicktide.llm import byte_bpe, conversations, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts, vector_codes
 from clicktide.llm.common import in_fold, read_table
 from clicktide.llm.oracle import ORACLE_SQL
 
@@ -108,6 +108,15 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes = vector_codes.compress(read_table(spark, folder, "embeddings"))
+    numbers = (str(v) for part in codes.codebooks for entry in part for v in entry)
+    return codes.rows.select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(hashlib.sha256(",".join(numbers).encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with faults by the checksum of conversation and turn, as the contract has them."""
     key = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
@@ -171,6 +180,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_vector_codes": op12_vector_codes,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
