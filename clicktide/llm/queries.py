@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clicktide.llm import byte_bpe, conversations, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, token_counts, vector_codes
+from clicktide.llm import byte_bpe, conversations, decontamination, html_extraction, language_id, lm_scoring, ngram_join, pii, quality_classifier, quality_rules, simhash, token_counts, vector_codes
 from clicktide.llm.common import in_fold, read_table
 from clicktide.llm.oracle import ORACLE_SQL
 
@@ -108,6 +108,12 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_copies(_texts(spark, folder)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id", "n_rows"
+    )
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     codes = vector_codes.compress(read_table(spark, folder, "embeddings"))
     numbers = (str(v) for part in codes.codebooks for entry in part for v in entry)
@@ -180,6 +186,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_simhash": op11_simhash,
     "op12_vector_codes": op12_vector_codes,
     "op13_conversation_repair": op13_conversation_repair,
 }

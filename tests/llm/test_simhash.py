@@ -1,0 +1,158 @@
+"""SimHash groups against all pairs of fingerprints."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from clicktide.llm import queries, simhash
+from tests.llm.helpers import SF, awkward, documents_of, empty, needs_data, rows_of
+
+
+def plain(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def grouped(prints):
+    """id -> smallest id reachable, of (id, fingerprint)."""
+    values = np.array([p for _, p in prints], np.uint64)
+    root = list(range(len(prints)))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        near = np.flatnonzero(np.bitwise_count(values[i + 1 :] ^ values[i]) <= 2) + i + 1
+        for j in near:
+            root[top(int(j))] = top(i)
+    least = {}
+    for i, (id_, _) in enumerate(prints):
+        least[top(i)] = min(least.get(top(i), id_), id_)
+    return {id_: least[top(i)] for i, (id_, _) in enumerate(prints)}
+
+
+def of_query(rows):
+    return {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows}
+
+
+def brute(rows):
+    prints = [(i, plain(t)) for i, t in rows]
+    groups = grouped(prints)
+    return {i: (f"{p:016x}", groups[i]) for i, p in prints}
+
+
+@needs_data
+@pytest.mark.parametrize("folder", [SF, SF.replace("0.001", "0.01")])
+def test_whole_table(spark, folder):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = rows_of(queries.op11_simhash(spark, folder))
+    assert of_query(got) == brute(rows) and len(got) == len(rows)
+
+
+def classes_of(spark, values):
+    rows = [(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "id long, fingerprint long")
+    return frame.withColumn("node", F.struct("id", "fingerprint"))
+
+
+def linked(spark, values, masks):
+    return {tuple(sorted((r.u.id, r.v.id))) for r in simhash.links(classes_of(spark, values), masks).collect()}
+
+
+def all_links(values):
+    return {(i, j) for (i, a), (j, b) in combinations(enumerate(values), 2) if (a ^ b).bit_count() <= 2}
+
+
+def families(seed, n, flips):
+    rnd = random.Random(seed)
+    values = set()
+    for _ in range(n):
+        centre = rnd.getrandbits(64)
+        for _ in range(12):
+            value = centre
+            for bit in rnd.sample(range(64), rnd.randint(0, flips)):
+                value ^= 1 << bit
+            values.add(value)
+    return sorted(values)
+
+
+@pytest.mark.parametrize("allowances", [[1, 1, 1], [2, 1], [1, 2], [3, 0], [1, 0, 1, 1], [0, 2, 0, 1]])
+def test_every_allocation_finds_every_link(spark, monkeypatch, allowances):
+    values = families(4, 25, 3)
+    sample = [v - (1 << 64) if v >> 63 else v for v in values]
+    monkeypatch.setattr(simhash, "PARTITIONS", (len(allowances),))
+    monkeypatch.setattr(simhash, "allocated", lambda costs: (0.0, allowances))
+    assert linked(spark, values, simhash.probe_masks(sample, len(sample))) == all_links(values)
+
+
+@pytest.mark.parametrize("bucket", [4, 30])
+def test_large_buckets_are_probed_further(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rnd = random.Random(bucket)
+    low = [sum(rnd.getrandbits(1) << b for b in range(40, 52)) for _ in range(250)]  # 12 varying bits
+    values = sorted({*low, *families(2, 8, 2), 0, 1, 2**63, 2**64 - 1})
+    masks = simhash.probe_masks([v - (1 << 64) if v >> 63 else v for v in values], len(values))
+    assert linked(spark, values, masks) == all_links(values)
+
+
+def test_allowances_follow_the_expected_candidates():
+    costs = [[0.0, 1.0, 50.0, 900.0], [0.0, 30.0, 60.0, 990.0], [0.0, 700.0, 800.0, 999.0]]
+    assert simhash.allocated(costs) == (61.0, [1, 2, 0])
+    rnd = np.random.default_rng(1)
+    few = simhash.probe_masks([int(v) for v in rnd.integers(-(2**63), 2**63 - 1, 2000)], 10**5)
+    many = simhash.probe_masks([int(v) for v in rnd.integers(-(2**63), 2**63 - 1, 2000)], 10**10)
+    assert len(few) == 3 and len(many) > 3  # more classes: longer keys, more of them
+
+
+def test_correlated_bits_stay_together():
+    rnd = np.random.default_rng(3)
+    hidden = rnd.integers(0, 2, (3000, 3))
+    owner = rnd.permutation([0] * 21 + [1] * 21 + [2] * 22)
+    bits = (hidden[:, owner] ^ (rnd.random((3000, 64)) < 0.1)).astype(float)
+    for part in simhash.correlated_partitions(bits, 3):
+        counts = np.bincount(owner[part], minlength=3)
+        assert counts.max() >= len(part) - 1
+
+
+def test_chains_copies_and_repeated_words(spark):
+    rnd = random.Random(8)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(400)]
+    texts = ["", None, " \n", "one", "ONE", "one two", "a b c", "a  B\tc"] + ["x y z"] * 300
+    for _ in range(60):
+        base = list(base)
+        base[rnd.randrange(400)] = f"n{rnd.random()}"
+        texts.append(" ".join(base))
+    texts.append("same words " * 70_000)
+    got = of_query(rows_of(queries_of(spark, texts)))
+    assert got == brute(list(enumerate(texts)))
+    assert len({c for i, (_, c) in got.items() if 308 <= i < 368}) < 20
+
+
+def queries_of(spark, texts):
+    frame = simhash.near_copies(documents_of(spark, texts).repartition(3))
+    return frame.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark).withColumn("fingerprint", F.lit("x")).withColumn("n_rows", F.lit("x")).withColumn("node", F.lit("x"))
+    rows = simhash.near_copies(frame).collect()
+    assert len(rows) == 8
+    by_id = {r.doc_id: r for r in rows}
+    assert {by_id[i].fingerprint for i in (1, 2, 3)} == {0} and {by_id[i].component_id for i in (1, 2, 3)} == {1}
+    assert by_id[5].component_id == 5 and by_id[None].component_id is None
+    assert sum(r.doc_id == 5 for r in rows) == 2 and by_id[5].n_rows == 2
+    assert simhash.near_copies(empty(frame)).collect() == []
+    one = spark.createDataFrame([(3, "a"), (3, "a"), (None, "a")], "doc_id long, text string")
+    assert sorted(r.component_id for r in simhash.near_copies(one).collect()) == [3, 3, 3]
+    repeated = spark.createDataFrame([(1, "a b c d"), (1, "q r s"), (0, "q r s"), (None, "z")], "doc_id long, text string")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.component_id or 0) for r in simhash.near_copies(repeated).collect())
+    assert got == [(-1, 0), (0, 0), (1, 0), (1, 1)]
