@@ -3,15 +3,16 @@
 Reports are asked for every day of the table in one pass (``by=["event_date"]``).
 The daily job and the archive reads take a date, as that is what they are for; the
 archive they read is made of the table by ``prepare``. Streaming queries read the
-table's events as JSON messages, a file per few event dates and one file per micro-batch,
+table's events as JSON messages, the files of a few event dates per micro-batch,
 run until their end, and return what they wrote.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clicktide import operators as ops
 from clicktide.functions import event_type_counts, previous_day
@@ -19,8 +20,11 @@ from clicktide.plans import build_report_bundle, run_daily_reports, write_archiv
 from clicktide.schemas import CATALOGUE, CONVERSION, MESSAGE, USER_SEGMENT
 from clicktide.session import shared_folder
 from clicktide.sinks import (
+    CurrentTable,
     all_rows,
+    compact_closed_days,
     latest_rows,
+    publish_event_files,
     publish_events,
     table_sink,
     write_archive,
@@ -65,11 +69,12 @@ WINDOWS = {"size": "1 day", "slide": "12 hours"}
 RULE = {"views_over": 5, "purchases_under": 5}
 SMOKE_RULE = {"views_over": 1, "purchases_under": 5}
 TO_THE_END = {"availableNow": True}
-DAYS_PER_FILE = 10
+# A micro-batch of the standing streams: so many days, in files spread by user.
+DAYS_PER_GROUP = 10
+FILES_PER_GROUP = 4
+BATCHES_PER_SNAPSHOT = 8
 LONG_LIST = 1500
 DISPLAYED_ROWS = 10
-# Modification times of message files only have to rise.
-FIRST_MODIFIED = 1_700_000_000_000
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,13 +200,17 @@ def top_products_report(spark: SparkSession, folder: str) -> DataFrame:
     return ops.daily_top_products_report(_events(spark, folder))
 
 
-def top_products_report_undated(spark: SparkSession, folder: str) -> DataFrame:
-    """Every seventh user's events have lost their time, and are in no report."""
+def _undated_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh user's events have lost their time."""
     lost = F.substring("user_id", 2, 9).cast("int") % 7 == 0
-    events = _events(spark, folder).withColumns({
+    return _events(spark, folder).withColumns({
         name: F.when(~lost, F.col(name)) for name in ("timestamp", "event_date")
     })
-    return ops.daily_top_products_report(events)
+
+
+def top_products_report_undated(spark: SparkSession, folder: str) -> DataFrame:
+    """Events without a time are in no report."""
+    return ops.daily_top_products_report(_undated_events(spark, folder))
 
 
 def top_active_users_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -337,39 +346,22 @@ def flash_sale_alert_messages(spark: SparkSession, folder: str) -> DataFrame:
 # Streams
 
 
-def _publish(events: DataFrame, root: str, days_per_file: int = DAYS_PER_FILE) -> None:
-    """Events as files of JSON messages, one per few days, modified in the days' order.
-
-    A second call's files follow those of the first.
-    """
-    spark = events.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def files() -> dict[str, int]:
-        found = fs.globStatus(path(f"{root}/days=*/part-*")) or []
-        return {str(x.getPath()): x.getModificationTime() for x in found}
-
-    before = files()
-    days = (F.unix_date("event_date") / days_per_file).cast("int").alias("days")
-    numbered = events.where("event_date is not null").select("*", days).repartition("days")
-    to_event_messages(numbered, "days").write.mode("append").partitionBy("days").parquet(root)
-    last = max(before.values(), default=FIRST_MODIFIED)
-    in_order = sorted(files().keys() - before.keys(), key=lambda name: name.split("days=")[1])
-    for number, name in enumerate(in_order, 1):
-        fs.setTimes(path(name), last + 1000 * number, -1)
+def _publish(events: DataFrame, root: str, days_per_group: int = DAYS_PER_GROUP) -> None:
+    publish_event_files(events, root, days_per_group, FILES_PER_GROUP)
 
 
 def _messages(spark: SparkSession, root: str) -> DataFrame:
-    """One file of messages per micro-batch."""
-    return read_event_stream(spark, "parquet", root, MESSAGE, maxFilesPerTrigger="1")
+    """A group of days per micro-batch."""
+    return read_event_stream(
+        spark, "parquet", root, MESSAGE, maxFilesPerTrigger=str(FILES_PER_GROUP)
+    )
 
 
 def _event_stream(
-    spark: SparkSession, folder: str, days_per_file: int = DAYS_PER_FILE
+    spark: SparkSession, folder: str, days_per_group: int = DAYS_PER_GROUP
 ) -> DataFrame:
     root = shared_folder(spark, "messages")
-    _publish(_events(spark, folder), root, days_per_file)
+    _publish(_events(spark, folder), root, days_per_group)
     return parse_events(_messages(spark, root))
 
 
@@ -377,14 +369,45 @@ def _archive_counts(archived: DataFrame) -> DataFrame:
     return archived.groupBy("event_date").agg(F.count("*").alias("events"), *event_type_counts())
 
 
-def stream_raw_archive(spark: SparkSession, folder: str) -> DataFrame:
-    root = shared_folder(spark, "stream-archive")
+def _streamed_archive(spark: SparkSession, events: DataFrame) -> str:
+    """An archive that a stream of those events has written."""
+    messages, root = shared_folder(spark, "messages"), shared_folder(spark, "stream-archive")
+    _publish(events, messages)
     write_archive_stream(
-        with_ingest_metrics(_event_stream(spark, folder)), root, f"{root}-checkpoint", TO_THE_END
+        with_ingest_metrics(parse_events(_messages(spark, messages))),
+        root, f"{root}-checkpoint", TO_THE_END,
     ).awaitTermination()
+    return root
+
+
+def stream_raw_archive(spark: SparkSession, folder: str) -> DataFrame:
+    return _archive_counts(read_archive(spark, _streamed_archive(spark, _events(spark, folder))))
+
+
+def stream_raw_archive_undated(spark: SparkSession, folder: str) -> DataFrame:
+    """Events without a time are streamed last, and archived all the same."""
+    root = _streamed_archive(spark, _undated_events(spark, folder))
     return _archive_counts(read_archive(spark, root))
 
 
+def stream_archive_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day of a streamed archive, asked for a day that it lacks."""
+    root = _streamed_archive(spark, _events(spark, folder))
+    return _zoneless(load_events_for_date(spark, root, DAY_AFTER_DATA))
+
+
+def stream_archive_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """A streamed archive whose days before the report day were rewritten as one file each."""
+    root = _streamed_archive(spark, _undated_events(spark, folder))
+    compact_closed_days(spark, root, date.fromisoformat(REPORT_DAY))
+    rows = read_archive(spark, root).withColumn("path", F.input_file_name())
+    rewritten = F.when(F.contains("path", F.lit("/_compacted/")), F.col("path"))
+    return rows.groupBy("event_date").agg(
+        F.count("*").alias("events"), *event_type_counts(),
+        F.countDistinct(rewritten).alias("rewritten_files"),
+    )
+
+
 def _run_to_table(rows: DataFrame, root: str, mode: str) -> None:
     write_to_sinks(
         rows, [table_sink(root)], f"{root}-checkpoint", mode, TO_THE_END
@@ -400,10 +423,10 @@ def _current_counts(spark: SparkSession, root: str, counts: DataFrame) -> DataFr
     return _zoneless(latest_rows(spark, root, counts.schema, keys))
 
 
-def _stream_counts(spark: SparkSession, folder: str, *days_per_file: int) -> DataFrame:
+def _stream_counts(spark: SparkSession, folder: str, *days_per_group: int) -> DataFrame:
     """The current counts of every window after the last micro-batch."""
     root = shared_folder(spark, "counts")
-    counts = _window_counts(_event_stream(spark, folder, *days_per_file))
+    counts = _window_counts(_event_stream(spark, folder, *days_per_group))
     _run_to_table(counts, root, "update")
     return _current_counts(spark, root, counts)
 
@@ -413,19 +436,52 @@ def stream_sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_counts_many_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """A micro-batch for every event date."""
-    return _stream_counts(spark, folder, 1)
+    """A micro-batch for every event date, kept as snapshots and the batches behind them."""
+    root = shared_folder(spark, "current-counts")
+    counts = _window_counts(_event_stream(spark, folder, 1))
+    keys = ("window_start", "window_end", "product_id", "category")
+    day = "floor(unix_seconds(window_start) / 86400)"
+    table = CurrentTable(root, counts.schema, keys, BATCHES_PER_SNAPSHOT, day)
+    write_to_sinks(
+        counts, [table.deliver], f"{root}-checkpoint", "update", TO_THE_END
+    ).awaitTermination()
+    return _zoneless(table.read(spark))
 
 
-def _stream_alerts(spark: SparkSession, folder: str, mode: str, *days_per_file: int) -> DataFrame:
+def stream_counts_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Day windows that start every hour, each delivered when it has closed."""
+    root = shared_folder(spark, "hourly-counts")
+    counts = ops.with_window_bounds(
+        ops.sliding_window_counts(_event_stream(spark, folder), "1 day", "1 hour", final=True)
+    )
+    _run_to_table(counts, root, "append")
+    return _zoneless(all_rows(spark, root, counts.schema).drop("batch_id"))
+
+
+def replay_user_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Of every user the published messages: in how many files, and how often time goes back."""
+    out = shared_folder(spark, "ordered-replay")
+    publish_events(_events(spark, folder), "parquet", path=out)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    messages = spark.read.schema(MESSAGE).parquet(out).select("key", "value", *place)
+    times = messages.select("key", "file", "at", F.get_json_object("value", "$.timestamp").alias("time"))
+    before = F.lag("time").over(Window.partitionBy("key", "file").orderBy("at"))
+    return times.withColumn("before", before).groupBy(F.col("key").alias("user_id")).agg(
+        F.count("*").alias("messages"),
+        F.countDistinct("file").alias("files"),
+        F.count_if(F.col("time") < F.col("before")).alias("steps_back"),
+    )
+
+
+def _stream_alerts(spark: SparkSession, folder: str, mode: str, *days_per_group: int) -> DataFrame:
     root = shared_folder(spark, "alerts")
-    alerts = _alerts(_event_stream(spark, folder, *days_per_file))
+    alerts = _alerts(_event_stream(spark, folder, *days_per_group))
     _run_to_table(alerts, root, mode)
     return _zoneless(all_rows(spark, root, alerts.schema).drop("batch_id"))
 
 
 def stream_alerts_provisional(spark: SparkSession, folder: str) -> DataFrame:
-    """Every alert as it was raised, file by file: one that changed is raised again."""
+    """Every alert as it was raised, batch by batch: one that changed is raised again."""
     return _stream_alerts(spark, folder, "update")
 
 
@@ -558,7 +614,12 @@ def event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sliding_window_counts_hourly": sliding_window_counts_hourly,
         "flash_sale_alerts": flash_sale_alerts,
         "flash_sale_alert_messages": flash_sale_alert_messages,
+        "replay_user_order": replay_user_order,
         "stream_raw_archive": stream_raw_archive,
+        "stream_raw_archive_undated": stream_raw_archive_undated,
+        "stream_archive_day": stream_archive_day,
+        "stream_archive_compacted": stream_archive_compacted,
+        "stream_counts_hourly": stream_counts_hourly,
         "stream_sliding_window_counts": stream_sliding_window_counts,
         "stream_alerts_provisional": stream_alerts_provisional,
         "stream_alerts_final": stream_alerts_final,
@@ -688,8 +749,8 @@ def _windows_sql(size: str, slide: str, copies: int, days: str = "", where: str
 
 
 def _windows_by_file_sql() -> str:
-    """What a window holds after each file of days that adds to it."""
-    days = f"(event_date - DATE '1970-01-01') // {DAYS_PER_FILE}"
+    """What a window holds after each group of days that adds to it."""
+    days = f"(event_date - DATE '1970-01-01') // {DAYS_PER_GROUP}"
     sums = ", ".join(
         f"CAST(sum({name}) OVER upto AS BIGINT) AS {name}"
         for name in ("views", "cart_adds", "purchases")
@@ -720,6 +781,11 @@ def oracle_sql() -> dict[str, str]:
     rates = _rates_sql(by_day)
     archive_counts = f"SELECT event_date, count(*) AS events, {_COUNTS} FROM c GROUP BY event_date"
     windows = _windows_sql("1 DAY", "12 HOUR", 2)
+    undated_counts = f"""
+        SELECT event_date, count(*) AS events, {_COUNTS}
+        FROM (SELECT user_id, event_type,
+                     CASE WHEN CAST(user_id[2:] AS INT) % 7 <> 0 THEN event_date END AS event_date FROM c)
+        GROUP BY event_date"""
     user_columns = ["user_id", "views", "cart_adds", "purchases", "segment"]
     iso = "'%Y-%m-%dT%H:%M:%S"
     later = "WHERE event_date > (SELECT min(event_date) FROM c)"
@@ -792,7 +858,19 @@ def oracle_sql() -> dict[str, str]:
                    || ',"cart_adds":' || cart_adds || ',"alert_type":"' || alert_type
                    || '","recommendation":"' || recommendation || '"}}' AS "value"
             FROM ({_alerts_sql()})""",
+        "replay_user_order": """
+            SELECT user_id, count(*) AS messages, 1::BIGINT AS files, 0::BIGINT AS steps_back
+            FROM c GROUP BY user_id""",
         "stream_raw_archive": archive_counts,
+        "stream_raw_archive_undated": undated_counts,
+        "stream_archive_day": f"""
+            SELECT {_EVENT_COLUMNS} FROM c WHERE event_date = (SELECT max(event_date) FROM c)""",
+        "stream_archive_compacted": f"""
+            SELECT *, CASE WHEN event_date < DATE '{REPORT_DAY}' THEN 1 ELSE 0 END::BIGINT AS rewritten_files
+            FROM ({undated_counts})""",
+        "stream_counts_hourly": f"""
+            SELECT * FROM ({_windows_sql("1 DAY", "1 HOUR", 24)})
+            WHERE window_end <= (SELECT max("timestamp") FROM c) - INTERVAL 2 MINUTE""",
         "stream_sliding_window_counts": windows,
         "stream_alerts_provisional": _alerts_sql(_windows_by_file_sql()),
         "stream_alerts_final": _closed_alerts_sql(),

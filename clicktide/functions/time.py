@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 from pyspark.sql import Column, SparkSession, functions as F
 
@@ -22,8 +23,12 @@ def previous_day(day: ColumnOrName) -> Column:
     return F.date_sub(as_column(day).cast("date"), 1).cast("string")
 
 
+@lru_cache(maxsize=256)
 def duration_micros(duration: str) -> int:
-    """Length of a duration as Spark reads it, so every one that ``window`` takes is known."""
+    """Length of a duration as Spark reads it, so every one that ``window`` takes is known.
+
+    Asking Spark costs a statement; a text is asked once, as it means the same in any session.
+    """
     length = SparkSession.active().sql(
         "SELECT timestampdiff(MICROSECOND, start, start + CAST(:duration AS INTERVAL))"
         " FROM (SELECT TIMESTAMP_NTZ'1970-01-01 00:00:00' AS start)",

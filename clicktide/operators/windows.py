@@ -16,6 +16,7 @@ def sliding_window_counts(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     lateness: str = ALLOWED_LATENESS,
+    final: bool = False,
 ) -> DataFrame:
     """``window, product_id, category, views, cart_adds, purchases``.
 
@@ -25,23 +26,31 @@ def sliding_window_counts(
 
     Normally an event is copied into its windows within the task and counted there,
     so the shuffle carries partial counts only; a stream has a watermark of
-    ``lateness`` on top. A table whose windows overlap many times is first reduced to
+    ``lateness`` on top. Where windows overlap many times, events are first reduced to
     disjoint panes, and only the pane totals are copied.
+
+    On a stream panes need ``final``, which promises that the sink's output mode is
+    ``append``: no other mode allows one stateful aggregation above another. A pane goes
+    on to its windows when the watermark has passed it, so state holds an event once and
+    not once per window, and an event is late when its pane has closed, even for windows
+    that still are open. A checkpoint belongs to one way of counting.
     """
     products = [F.col("product_id"), F.col("category")]
+    overlap = (final or not events.isStreaming) and window_copies(size, slide) >= PANES_FROM_COPIES
     if events.isStreaming:
         events = events.withWatermark("timestamp", lateness)
-    elif window_copies(size, slide) >= PANES_FROM_COPIES:
-        panes = events.groupBy(
-            F.window("timestamp", pane_width(size, slide)).alias("pane"), *products
-        ).agg(*event_type_counts())
-        return (
-            panes.withColumn("pane_start", F.col("pane.start"))
-            .groupBy(F.window("pane_start", size, slide), *products)
-            .agg(*summed_counts())
+    if not overlap:
+        return events.groupBy(F.window("timestamp", size, slide), *products).agg(
+            *event_type_counts()
         )
-    return events.groupBy(F.window("timestamp", size, slide), *products).agg(
-        *event_type_counts()
+    panes = events.groupBy(
+        F.window("timestamp", pane_width(size, slide)).alias("pane"), *products
+    ).agg(*event_type_counts())
+    # the last instant of a pane is in the windows that hold the pane, and carries the watermark
+    return (
+        panes.withColumn("pane_time", F.window_time("pane"))
+        .groupBy(F.window("pane_time", size, slide), *products)
+        .agg(*summed_counts())
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from clicktide.schemas import ALERT_TOPIC, CONSOLE_ROWS
-from clicktide.sources.archive import path_exists
+from clicktide.sources.files import path_exists
 from clicktide.sources.messages import to_alert_messages
 
 BatchSink = Callable[[DataFrame, int], None]

@@ -41,7 +41,8 @@ class PipelineConfig:
 
 
 def detect_alerts(events: DataFrame, config: PipelineConfig) -> DataFrame:
-    counts = sliding_window_counts(events, config.size, config.slide, config.lateness)
+    final = config.alert_mode == "append"
+    counts = sliding_window_counts(events, config.size, config.slide, config.lateness, final)
     return flash_sale_alerts(counts, config.views_over, config.purchases_under)
 
 

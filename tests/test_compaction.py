@@ -1,0 +1,137 @@
+"""Streamed archives through their commit log, and days rewritten in fewer files."""
+
+import os
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktide.sinks import compact_closed_days, compact_day, compaction, write_archive, write_archive_stream
+from clicktide.sources import (
+    archive_dates, day_bytes, load_events_for_date, open_archive, parse_events, read_archive,
+    read_event_stream, resolve_event_date,
+)
+from clicktide.sources.archive import logged_files
+from tests.helpers import as_set, at, event, events_of
+from tests.test_streaming import TO_THE_END, Feed
+
+DAY = 24 * 60
+FIRST = date(2026, 1, 1)
+
+
+class Streamed:
+    """An archive that grows by one micro-batch per ``add``."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.root, self.checkpoint = spark, f"{folder}/archive", f"{folder}/checkpoint"
+        self.feed, self.rows = Feed(spark, f"{folder}/feed"), []
+
+    def add(self, *rows):
+        self.feed.add(*rows)
+        self.rows += rows
+
+    def run(self):
+        write_archive_stream(self.feed.events(), self.root, self.checkpoint, TO_THE_END).awaitTermination()
+
+    def users(self, day=None):
+        frame = load_events_for_date(self.spark, self.root, day) if day else read_archive(self.spark, self.root)
+        return sorted(row.user_id for row in frame.collect())
+
+    def expected(self, day=None):
+        wanted = [r for r in self.rows if day is None or (r[4] and r[4].date() == day)]
+        return sorted(r[0] for r in wanted)
+
+
+@pytest.fixture
+def streamed(spark, folder):
+    archive, rnd = Streamed(spark, folder), random.Random(2)
+    for batch in range(14):  # the commit log is summarised after ten
+        rows = [event(user=f"{batch}-{i}", time=at(rnd.choice([0, 0, DAY]) + rnd.randrange(600))) for i in range(3)]
+        archive.add(*rows, event(user=f"{batch}-lost", time=None))
+    archive.run()
+    return archive
+
+
+def test_commit_log_as_a_table(spark, streamed):
+    assert any(n.endswith(".compact") for n in os.listdir(f"{streamed.root}/_spark_metadata"))
+    logged = logged_files(spark, streamed.root).collect()
+    names = {os.path.basename(row.path) for row in logged}
+    assert len(names) == len(logged)
+    on_disk = {n for _, _, found in os.walk(streamed.root) for n in found if n.endswith(".parquet")}
+    assert names == on_disk
+    archive = open_archive(spark, streamed.root)
+    assert list(archive.days) == [FIRST + timedelta(1), FIRST]
+    for day in archive.days:
+        folder = f"{streamed.root}/event_date={day}"
+        sizes = [os.path.getsize(f"{folder}/{n}") for n in os.listdir(folder) if n.endswith(".parquet")]
+        assert (archive.committed[day].files, archive.size(day)) == (len(sizes), sum(sizes))
+        assert streamed.users(day) == streamed.expected(day)
+    assert streamed.users() == streamed.expected()
+
+
+def test_rewritten_day_has_the_same_rows_in_few_files(spark, streamed):
+    before = as_set(load_events_for_date(spark, streamed.root, FIRST))
+    assert compact_day(spark, streamed.root, FIRST)
+    day = load_events_for_date(spark, streamed.root, FIRST)
+    assert as_set(day) == before and len(day.inputFiles()) == 1
+    times = [row.timestamp for row in day.collect()]
+    assert times == sorted(times)
+    assert day_bytes(spark, streamed.root, FIRST) == sum(os.path.getsize(n.removeprefix("file://")) for n in day.inputFiles())
+    assert streamed.users() == streamed.expected()
+    assert not compact_day(spark, streamed.root, FIRST)
+    assert archive_dates(spark, streamed.root) == [FIRST + timedelta(1), FIRST]
+
+
+def test_later_events_stand_beside_and_join_at_the_next_rewriting(spark, streamed):
+    assert compact_closed_days(spark, streamed.root, FIRST + timedelta(1)) == [FIRST]
+    for number in range(4):
+        streamed.add(event(user=f"late {number}", time=at(5)))
+    streamed.run()
+    assert streamed.users(FIRST) == streamed.expected(FIRST) and streamed.users() == streamed.expected()
+    assert open_archive(spark, streamed.root).committed[FIRST].files == 5
+    assert compact_day(spark, streamed.root, FIRST)
+    assert open_archive(spark, streamed.root).committed[FIRST].files == 1
+    assert streamed.users(FIRST) == streamed.expected(FIRST) and streamed.users() == streamed.expected()
+
+
+def test_file_count_follows_the_bytes(spark, folder):
+    archive = Streamed(spark, folder)
+    rnd = random.Random(4)
+    for batch in range(12):
+        archive.add(*(event(user=f"{rnd.random()}", product=f"{rnd.random()}", time=at(rnd.random() * 60)) for _ in range(400)))
+    archive.run()
+    bytes_ = day_bytes(spark, archive.root, FIRST)
+    assert compact_day(spark, archive.root, FIRST, file_bytes=bytes_ // 4)
+    files = load_events_for_date(spark, archive.root, FIRST).inputFiles()
+    assert 2 <= len(files) <= 2 * 5
+    assert archive.users() == archive.expected()
+
+
+@pytest.mark.parametrize("step", ["put_text", "renamed_once"])
+def test_killed_rewriting_changes_nothing(spark, streamed, monkeypatch, step):
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(compaction, step, killed)
+    with pytest.raises(KeyboardInterrupt):
+        compact_day(spark, streamed.root, FIRST)
+    assert streamed.users(FIRST) == streamed.expected(FIRST) and streamed.users() == streamed.expected()
+    monkeypatch.undo()
+    assert compact_day(spark, streamed.root, FIRST)
+    assert streamed.users(FIRST) == streamed.expected(FIRST) and streamed.users() == streamed.expected()
+
+
+def test_replaced_files_can_be_given_up(spark, streamed):
+    compact_day(spark, streamed.root, FIRST, remove_replaced=True)
+    assert not [n for n in os.listdir(f"{streamed.root}/event_date={FIRST}") if n.endswith(".parquet")]
+    streamed.add(event(user="later", time=at(3 * DAY)))
+    streamed.run()
+    assert streamed.users() == streamed.expected() and streamed.users(FIRST) == streamed.expected(FIRST)
+    assert resolve_event_date(spark, streamed.root, "2027-01-01") == FIRST + timedelta(3)
+
+
+def test_other_archives_are_refused(spark, folder):
+    write_archive(events_of(spark, [event()]), folder)
+    with pytest.raises(ValueError, match="commit log"):
+        compact_day(spark, folder, FIRST)
