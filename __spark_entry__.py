@@ -20,6 +20,7 @@ from clicktide.plans import build_report_bundle, run_daily_reports, write_archiv
 from clicktide.schemas import CATALOGUE, CONVERSION, MESSAGE, USER_SEGMENT
 from clicktide.session import shared_folder
 from clicktide.sinks import (
+    AlertChanges,
     CurrentTable,
     all_rows,
     compact_closed_days,
@@ -29,6 +30,7 @@ from clicktide.sinks import (
     table_sink,
     write_archive,
     write_archive_stream,
+    write_junk_stream,
     write_report_csv,
     write_to_sinks,
 )
@@ -73,6 +75,8 @@ TO_THE_END = {"availableNow": True}
 DAYS_PER_GROUP = 10
 FILES_PER_GROUP = 4
 BATCHES_PER_SNAPSHOT = 8
+DAYS_OF_CHANGES = 2
+DAY_OF_WINDOW = "floor(unix_seconds(window_start) / 86400)"
 LONG_LIST = 1500
 DISPLAYED_ROWS = 10
 
@@ -440,8 +444,7 @@ def stream_counts_many_batches(spark: SparkSession, folder: str) -> DataFrame:
     root = shared_folder(spark, "current-counts")
     counts = _window_counts(_event_stream(spark, folder, 1))
     keys = ("window_start", "window_end", "product_id", "category")
-    day = "floor(unix_seconds(window_start) / 86400)"
-    table = CurrentTable(root, counts.schema, keys, BATCHES_PER_SNAPSHOT, day)
+    table = CurrentTable(root, counts.schema, keys, BATCHES_PER_SNAPSHOT, DAY_OF_WINDOW)
     write_to_sinks(
         counts, [table.deliver], f"{root}-checkpoint", "update", TO_THE_END
     ).awaitTermination()
@@ -493,6 +496,37 @@ def stream_alerts_final_many_batches(spark: SparkSession, folder: str) -> DataFr
     return _stream_alerts(spark, folder, "append", 1)
 
 
+def stream_alert_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """When windows became alerts and when they ceased to be, batch by batch."""
+    root, table = shared_folder(spark, "alert-changes"), shared_folder(spark, "current-counts")
+    counts = _window_counts(_event_stream(spark, folder, DAYS_OF_CHANGES))
+    keys = ("window_start", "window_end", "product_id", "category")
+    current = CurrentTable(table, counts.schema, keys, BATCHES_PER_SNAPSHOT, DAY_OF_WINDOW)
+    changes = AlertChanges(current, root, **RULE)
+    write_to_sinks(
+        counts, [changes.deliver], f"{root}-checkpoint", "update", TO_THE_END
+    ).awaitTermination()
+    layout = _alerts(_events(spark, folder)).schema.add("change", "string")
+    return _zoneless(all_rows(spark, root, layout).drop("batch_id"))
+
+
+def stream_junk(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of which every fifth user's are cut, empty or wrongly typed, kept as they came."""
+    published, root = shared_folder(spark, "messages"), shared_folder(spark, "junk")
+    _publish(_events(spark, folder), published)
+    user = F.substring("key", 2, 9).cast("int") % 20
+    spoilt = (
+        F.when(user == 3, F.expr("left(value, length(value) - 9)"))
+        .when(user == 7, F.lit("{}"))
+        .when(user == 11, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .otherwise(F.col("value"))
+    )
+    messages = _messages(spark, published).withColumn("value", F.encode(spoilt, "UTF-8"))
+    write_junk_stream(messages, root, f"{root}-checkpoint", TO_THE_END).awaitTermination()
+    rows = spark.read.schema("key STRING, value BINARY, reason STRING").parquet(root)
+    return rows.select("key", F.decode("value", "UTF-8").alias("value"), "reason")
+
+
 def _days_span(events: DataFrame) -> tuple:
     return tuple(events.agg(F.min("event_date"), F.max("event_date")).first())
 
@@ -620,6 +654,8 @@ def event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_archive_day": stream_archive_day,
         "stream_archive_compacted": stream_archive_compacted,
         "stream_counts_hourly": stream_counts_hourly,
+        "stream_alert_changes": stream_alert_changes,
+        "stream_junk": stream_junk,
         "stream_sliding_window_counts": stream_sliding_window_counts,
         "stream_alerts_provisional": stream_alerts_provisional,
         "stream_alerts_final": stream_alerts_final,
@@ -748,24 +784,37 @@ def _windows_sql(size: str, slide: str, copies: int, days: str = "", where: str
     GROUP BY {'days,' if days else ''} window_start, product_id, category"""
 
 
-def _windows_by_file_sql() -> str:
+def _windows_by_file_sql(days_per_group: int = DAYS_PER_GROUP) -> str:
     """What a window holds after each group of days that adds to it."""
-    days = f"(event_date - DATE '1970-01-01') // {DAYS_PER_GROUP}"
+    days = f"(event_date - DATE '1970-01-01') // {days_per_group}"
     sums = ", ".join(
         f"CAST(sum({name}) OVER upto AS BIGINT) AS {name}"
         for name in ("views", "cart_adds", "purchases")
     )
     return f"""
-    SELECT window_start, window_end, product_id, category, {sums}
+    SELECT days, window_start, window_end, product_id, category, {sums}
     FROM ({_windows_sql('1 DAY', '12 HOUR', 2, days)})
     WINDOW upto AS (PARTITION BY window_start, product_id, category ORDER BY days)"""
 
 
+_ALERT_SQL = """product_id, category, window_start, window_end, views, purchases, cart_adds,
+           'FLASH_SALE_SUGGESTED' AS alert_type,
+           'High interest, low conversion - consider a discount or flash sale.' AS recommendation"""
+
+
+def _alert_changes_sql() -> str:
+    return f"""
+    SELECT {_ALERT_SQL}, CASE WHEN now THEN 'raised' ELSE 'withdrawn' END AS change
+    FROM (SELECT *, views > 5 AND purchases < 5 AS now,
+                 coalesce(lag(views > 5 AND purchases < 5) OVER before, false) AS earlier
+          FROM ({_windows_by_file_sql(DAYS_OF_CHANGES)})
+          WINDOW before AS (PARTITION BY window_start, product_id, category ORDER BY days))
+    WHERE now <> earlier"""
+
+
 def _alerts_sql(windows: str = "") -> str:
     return f"""
-    SELECT product_id, category, window_start, window_end, views, purchases, cart_adds,
-           'FLASH_SALE_SUGGESTED' AS alert_type,
-           'High interest, low conversion - consider a discount or flash sale.' AS recommendation
+    SELECT {_ALERT_SQL}
     FROM ({windows or _windows_sql('1 DAY', '12 HOUR', 2)}) WHERE views > 5 AND purchases < 5"""
 
 
@@ -781,24 +830,25 @@ def oracle_sql() -> dict[str, str]:
     rates = _rates_sql(by_day)
     archive_counts = f"SELECT event_date, count(*) AS events, {_COUNTS} FROM c GROUP BY event_date"
     windows = _windows_sql("1 DAY", "12 HOUR", 2)
+    iso = "'%Y-%m-%dT%H:%M:%S"
     undated_counts = f"""
         SELECT event_date, count(*) AS events, {_COUNTS}
         FROM (SELECT user_id, event_type,
                      CASE WHEN CAST(user_id[2:] AS INT) % 7 <> 0 THEN event_date END AS event_date FROM c)
         GROUP BY event_date"""
-    user_columns = ["user_id", "views", "cart_adds", "purchases", "segment"]
-    iso = "'%Y-%m-%dT%H:%M:%S"
-    later = "WHERE event_date > (SELECT min(event_date) FROM c)"
-    dated = "WHERE CAST(user_id[2:] AS INT) % 7 <> 0"
-    bodies = {
-        "parse_clickstream": f"SELECT {_EVENT_COLUMNS} FROM c",
-        "event_messages": f"""
+    event_texts = f"""
             SELECT user_id AS "key",
                    '{{"user_id":"' || user_id || '","product_id":"' || product_id
                    || '","category":"' || category || '","event_type":"' || event_type
                    || '","timestamp":"' || strftime("timestamp", {iso}.%f+00:00') || '"}}'
                        AS "value"
-            FROM c""",
+            FROM c"""
+    user_columns = ["user_id", "views", "cart_adds", "purchases", "segment"]
+    later = "WHERE event_date > (SELECT min(event_date) FROM c)"
+    dated = "WHERE CAST(user_id[2:] AS INT) % 7 <> 0"
+    bodies = {
+        "parse_clickstream": f"SELECT {_EVENT_COLUMNS} FROM c",
+        "event_messages": event_texts,
         "archive_partition_counts": archive_counts,
         "archive_user_segments": segments,
         "archive_top_products": _top_products_sql(by_day),
@@ -868,6 +918,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_archive_compacted": f"""
             SELECT *, CASE WHEN event_date < DATE '{REPORT_DAY}' THEN 1 ELSE 0 END::BIGINT AS rewritten_files
             FROM ({undated_counts})""",
+        "stream_alert_changes": _alert_changes_sql(),
+        "stream_junk": f"""
+            SELECT "key",
+                   CASE n WHEN 3 THEN "value"[:-10] WHEN 7 THEN '{{}}'
+                          ELSE regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"') END AS "value",
+                   CASE n WHEN 3 THEN 'malformed' WHEN 7 THEN 'no known field' ELSE 'wrong type' END AS reason
+            FROM (SELECT *, CAST("key"[2:] AS INT) % 20 AS n FROM ({event_texts})) WHERE n IN (3, 7, 11)""",
         "stream_counts_hourly": f"""
             SELECT * FROM ({_windows_sql("1 DAY", "1 HOUR", 24)})
             WHERE window_end <= (SELECT max("timestamp") FROM c) - INTERVAL 2 MINUTE""",

@@ -1,10 +1,11 @@
-"""Jobs for ``spark-submit``: ``pipeline``, ``daily``, ``archive-reports`` and ``replay``.
+"""Jobs for ``spark-submit``: ``pipeline``, ``daily``, ``archive-reports``, ``compact`` and ``replay``.
 
     spark-submit --py-files clicktide.zip clicktide/__main__.py JOB OPTIONS
 
     pipeline --servers broker:9092 --archive /data/events --checkpoints /data/checkpoints
     daily    --archive /data/events --out /data/reports --date 2026-01-01
     archive-reports --archive /data/events --out /data/reports
+    compact  --archive /data/events --before 2026-01-01
     replay   --archive /data/events --date 2026-01-01 --servers broker:9092
 
 ``--servers`` needs Spark's Kafka connector among the ``--packages``.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -32,14 +34,16 @@ from clicktide.schemas import (
     WINDOW_SIZE,
     WINDOW_SLIDE,
 )
-from clicktide.session import build_session, sized_for
+from clicktide.session import MIB, build_session, sized_for
 from clicktide.sinks import (
+    compact_closed_days,
     console_sink,
     kafka_sink_options,
     message_sink,
     publish_events,
     table_sink,
 )
+from clicktide.sinks.compaction import FILE_BYTES
 from clicktide.sources import kafka_source_options, open_archive, read_archive, read_event_stream
 from clicktide.streaming import PipelineConfig, run_pipeline, start_pipeline
 
@@ -58,6 +62,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     pipeline.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
     pipeline.add_argument("--archive", required=True)
     pipeline.add_argument("--archive-files", type=int, help="files per micro-batch and date")
+    pipeline.add_argument("--junk", help="keep messages that cannot be parsed in this folder")
     pipeline.add_argument("--checkpoints", required=True)
     pipeline.add_argument("--size", default=WINDOW_SIZE)
     pipeline.add_argument("--slide", default=WINDOW_SLIDE)
@@ -76,6 +81,12 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     every_day.add_argument("--archive", required=True)
     every_day.add_argument("--out", required=True)
 
+    compact = jobs.add_parser("compact", help="rewrite a streamed archive's closed days in few files")
+    compact.add_argument("--archive", required=True)
+    compact.add_argument("--before", required=True, help="YYYY-MM-DD, the first day left alone")
+    compact.add_argument("--file-mib", type=int, default=FILE_BYTES // MIB)
+    compact.add_argument("--remove-replaced", action="store_true", help="give up the replaced files")
+
     replay = jobs.add_parser("replay", help="publish an archived day as messages")
     replay.add_argument("--archive", required=True)
     replay.add_argument("--date", required=True, help="YYYY-MM-DD")
@@ -112,6 +123,7 @@ def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
         views_over=args.views_over,
         purchases_under=args.purchases_under,
         archive_files=args.archive_files,
+        junk=args.junk,
         alert_mode="update" if args.alerts == "provisional" else "append",
         **triggers,
     )
@@ -150,7 +162,16 @@ def archive_reports(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{report} in {path}")
 
 
-JOBS = {"pipeline": pipeline, "daily": daily, "archive-reports": archive_reports, "replay": replay}
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    before = date.fromisoformat(args.before)
+    days = compact_closed_days(spark, args.archive, before, args.file_mib * MIB, args.remove_replaced)
+    print(f"rewrote {len(days)} days of {args.archive}")
+
+
+JOBS = {
+    "pipeline": pipeline, "daily": daily, "archive-reports": archive_reports, "compact": compact,
+    "replay": replay,
+}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clicktide.operators.windows import with_window_bounds
 from clicktide.schemas import (
@@ -14,24 +14,30 @@ from clicktide.schemas import (
 )
 
 
+def flash_sale_rule(
+    views_over: int = ALERT_VIEWS_OVER, purchases_under: int = ALERT_PURCHASES_UNDER
+) -> Column:
+    """Many views and few purchases; both comparisons are strict."""
+    return (F.col("views") > views_over) & (F.col("purchases") < purchases_under)
+
+
+def with_alert_texts(windows: DataFrame) -> DataFrame:
+    return windows.withColumns({
+        "alert_type": F.lit(ALERT_TYPE),
+        "recommendation": F.lit(ALERT_RECOMMENDATION),
+    })
+
+
 def flash_sale_alerts(
     window_counts: DataFrame,
     views_over: int = ALERT_VIEWS_OVER,
     purchases_under: int = ALERT_PURCHASES_UNDER,
 ) -> DataFrame:
-    """Windows with many views and few purchases; both comparisons are strict.
+    """Windows with many views and few purchases, by ``flash_sale_rule``.
 
     On a stream the output mode of the sink decides what an alert means: ``update``
     raises it while the window is still filling and never takes it back, ``append``
     raises it once, from the final counts of a closed window.
     """
-    much_seen = F.col("views") > views_over
-    rarely_bought = F.col("purchases") < purchases_under
-    return (
-        with_window_bounds(window_counts.where(much_seen & rarely_bought))
-        .withColumns({
-            "alert_type": F.lit(ALERT_TYPE),
-            "recommendation": F.lit(ALERT_RECOMMENDATION),
-        })
-        .select(*ALERT_COLUMNS)
-    )
+    alerts = window_counts.where(flash_sale_rule(views_over, purchases_under))
+    return with_alert_texts(with_window_bounds(alerts)).select(*ALERT_COLUMNS)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clicktide.schemas import ARCHIVE_PARTITION, ARCHIVE_TRIGGER
 from clicktide.sources.archive import has_commit_log
+from clicktide.sources.messages import junk_messages
 
 
 def write_archive(
@@ -59,3 +60,20 @@ def write_archive_stream(
         .trigger(**(trigger or ARCHIVE_TRIGGER))
         .start(root)
     )
+
+
+def write_junk_stream(
+    messages: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append the messages that cannot be parsed to a table of their bytes, exactly once.
+
+    A query of its own over the same messages, so the archive's layout and commit log stay
+    as they are; it parses a second time, and writes nothing as long as nothing is wrong.
+    """
+    return (
+        junk_messages(messages).writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or ARCHIVE_TRIGGER))
+        .start(root)
+    )

@@ -44,17 +44,23 @@ class CurrentTable:
     def deliver(self, batch: DataFrame, batch_id: int) -> None:
         """A sink of ``write_to_sinks``."""
         spark = batch.sparkSession
-        if batch_id <= self._snapshot(spark)[0]:
+        if self.holds(spark, batch_id):
             return
         batch.select(*self.schema.names).write.mode("overwrite").parquet(self._batch(batch_id))
         self.merge(spark, batch_id)
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, before: int | None = None, like: DataFrame | None = None
+    ) -> DataFrame:
         """The current rows; with ``before`` those that the batches below that number left.
 
+        ``like`` leaves out slices of the snapshot that none of its rows belong to.
         ``ValueError`` if a snapshot already holds later batches.
         """
         upto, slices = self._snapshot(spark)
+        if like is not None:
+            touched = self._touched(like)
+            slices = {name: path for name, path in slices.items() if name in touched}
         if before is not None and upto >= before:
             raise ValueError(f"batches up to {upto} are merged, the state before {before} is gone")
         tail = self._tail(spark, upto)
@@ -66,7 +72,8 @@ class CurrentTable:
         tail = [number for number in self._tail(spark, upto) if number <= batch_id]
         if len(tail) < self.every:
             return False
-        named = {name: path for name, path in slices.items() if name in self._touched(spark, tail)}
+        touched = self._touched(self._batches(spark, tail))
+        named = {name: path for name, path in slices.items() if name in touched}
         merged = self._newest(spark, named.values(), tail)
         target = f"{self.root}/{SNAPSHOTS}/slices-{uuid.uuid4().hex}"
         if self.slice_by is None:
@@ -81,6 +88,10 @@ class CurrentTable:
         self._clean(spark, batch_id)
         return True
 
+    def holds(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether a snapshot already has this batch in it."""
+        return batch_id <= self._snapshot(spark)[0]
+
     def folders(self, spark: SparkSession) -> tuple[int, int]:
         """How many slice folders and batch folders a reader opens."""
         upto, slices = self._snapshot(spark)
@@ -114,11 +125,11 @@ class CurrentTable:
         rows = rows.option("basePath", self.root).parquet(*map(self._batch, numbers))
         return rows.withColumnRenamed("batch_id", "_batch")
 
-    def _touched(self, spark: SparkSession, numbers: Sequence[int]) -> set[str]:
-        """Names of the slices to which the batches' rows belong: days, not rows."""
+    def _touched(self, rows: DataFrame) -> set[str]:
+        """Names of the slices to which rows belong: days, not rows."""
         if self.slice_by is None:
             return {NO_SLICE}
-        values = self._batches(spark, numbers).select(F.expr(self.slice_by).cast("long")).distinct()
+        values = rows.select(F.expr(self.slice_by).cast("long")).distinct()
         return {
             f"_slice={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
             for (value,) in values.collect()

@@ -8,6 +8,7 @@ from clicktide.sources.archive import (
     resolve_event_date,
 )
 from clicktide.sources.messages import (
+    junk_messages,
     kafka_source_options,
     parse_events,
     read_event_stream,
@@ -18,7 +19,7 @@ from clicktide.sources.messages import (
 from clicktide.sources.reports import read_report_csv, read_report_text, require_reports
 
 __all__ = [
-    "Archive", "archive_dates", "day_bytes", "kafka_source_options", "load_events_for_date",
+    "Archive", "archive_dates", "day_bytes", "junk_messages", "kafka_source_options", "load_events_for_date",
     "open_archive", "parse_events", "read_archive", "read_event_stream", "read_report_csv",
     "read_report_text", "require_reports", "resolve_event_date", "to_alert_messages",
     "to_event_messages", "with_ingest_metrics",

@@ -9,7 +9,7 @@ from clicktide.schemas import CATALOGUE
 
 
 def as_clickstream(events: DataFrame) -> DataFrame:
-    """Map ``ts, user_id, event_type, props`` to the archive layout; batch or stream.
+    """Map ``ts, user_id, event_type, props`` to the archive layout.
 
     ``click`` stands in for ``add_to_cart``, the product is picked by ``k``, the one
     number in ``props``, and types the shop does not know stay as they are. A
@@ -31,13 +31,3 @@ def as_clickstream(events: DataFrame) -> DataFrame:
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return as_clickstream(spark.read.parquet(f"{folder}/events.parquet"))
-
-
-def stream_events(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """The same table as a stream of its files, so many to a micro-batch, by modification time.
-
-    The pattern matches the table whether it is one file or a folder of files.
-    """
-    layout = spark.read.parquet(f"{folder}/events.parquet").schema
-    files = spark.readStream.schema(layout).option("maxFilesPerTrigger", files_per_batch)
-    return as_clickstream(files.parquet(f"{folder}/events.parque[t]"))

@@ -76,6 +76,31 @@ def with_ingest_metrics(events: DataFrame, name: str = "ingest") -> DataFrame:
     )
 
 
+def junk_messages(messages: DataFrame) -> DataFrame:
+    """The messages that ``parse_events`` cannot take as they are, with all their columns and a
+    ``reason``; batch or stream. ``value`` keeps its bytes.
+
+    ``no value``, ``malformed`` (no JSON object), ``no known field``, or ``wrong type``: of the
+    last the archive has the other fields, of the others nothing.
+    """
+    layout, kept = f"{CLICKSTREAM}, _malformed STRING", {"columnNameOfCorruptRecord": "_malformed"}
+    record = F.from_json(F.col("value").cast("string"), layout, {"timeZone": "UTC", **kept})
+    fields = [F.col(f"_record.{name}").cast("string") for name in CLICKSTREAM_COLUMNS]
+    empty, broken = F.coalesce(*fields).isNull(), F.col("_record._malformed").isNotNull()
+    return (
+        messages.select("*", F.explode(F.array(record)).alias("_record"))
+        .withColumn(
+            "reason",
+            F.when(F.col("value").isNull(), "no value")
+            .when(empty & (broken | F.col("_record").isNull()), "malformed")
+            .when(empty, "no known field")
+            .when(broken, "wrong type"),
+        )
+        .where("reason is not null")
+        .drop("_record")
+    )
+
+
 def to_event_messages(events: DataFrame, *kept: str) -> DataFrame:
     """``key, value``: each event as JSON, keyed by user; batch or stream. ``kept`` columns stay.
 

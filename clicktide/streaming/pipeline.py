@@ -18,13 +18,14 @@ from clicktide.schemas import (
     WINDOW_SLIDE,
 )
 from clicktide.sinks.alerts import BatchSink, console_sink, write_to_sinks
-from clicktide.sinks.archive import write_archive_stream
+from clicktide.sinks.archive import write_archive_stream, write_junk_stream
 from clicktide.sources.messages import parse_events, with_ingest_metrics
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Where the pipeline keeps its data, and the alert rule."""
+    """Where the pipeline keeps its data, and the alert rule; ``junk``, if given, is the table of
+    messages that cannot be parsed."""
 
     archive: str
     checkpoints: str
@@ -38,6 +39,7 @@ class PipelineConfig:
     archive_trigger: dict = field(default_factory=lambda: dict(ARCHIVE_TRIGGER))
     archive_files: int | None = None
     alert_trigger: dict | None = None
+    junk: str | None = None
 
 
 def detect_alerts(events: DataFrame, config: PipelineConfig) -> DataFrame:
@@ -47,13 +49,18 @@ def detect_alerts(events: DataFrame, config: PipelineConfig) -> DataFrame:
 
 
 def start_pipeline(messages: DataFrame, config: PipelineConfig) -> dict[str, StreamingQuery]:
-    """Start both queries over one message stream, each with its own checkpoint.
+    """Start the queries over one message stream, each with its own checkpoint.
 
     Started again on the same checkpoints, they go on where they stopped. Alert
     batches reach all sinks from a single stateful query.
     """
     events = parse_events(messages)
-    return {
+    junk = {}
+    if config.junk:
+        junk["junk"] = write_junk_stream(
+            messages, config.junk, f"{config.checkpoints}/junk", config.archive_trigger
+        )
+    return junk | {
         "archive": write_archive_stream(
             with_ingest_metrics(events),
             config.archive,
