@@ -69,6 +69,23 @@ def test_reports_of_the_whole_archive(spark, feed, folder, capsys):
     assert spark.read.parquet(f"{folder}/out/user_segments.parquet").count() == 101
 
 
+def test_compaction_and_junk_from_the_command_line(spark, feed, folder, capsys):
+    archive = f"{folder}/archive"
+    for number in range(3):
+        feed.add(event(user=f"late {number}"))
+    feed.add_text("not json")
+    main(["pipeline", "--events", feed.folder, "--archive", archive, "--junk", f"{folder}/junk",
+          "--checkpoints", f"{folder}/checkpoints", "--source-option", "maxFilesPerTrigger=1", "--once"])
+    assert [row.reason for row in spark.read.parquet(f"{folder}/junk").collect()] == ["malformed"]
+    before = read_archive(spark, archive).count()
+    main(["compact", "--archive", archive, "--before", "2026-01-01"])
+    main(["compact", "--archive", archive, "--before", "2026-01-02", "--remove-replaced"])
+    assert "rewrote 0 days" in capsys.readouterr().out
+    assert read_archive(spark, archive).count() == before
+    main(["daily", "--archive", archive, "--out", f"{folder}/out", "--date", "2026-01-01"])
+    assert "105 events" in capsys.readouterr().out
+
+
 def test_final_alerts_and_rule_from_the_command_line(spark, feed, folder):
     feed.add(event(time=at(300)))
     feed.add(event(time=at(301)))
