@@ -9,7 +9,9 @@ after the other. Where they differ,
 * another number of equal neighbours makes them a repeated group,
 * an element of some pages only becomes optional,
 * elements that come again and again in other numbers become a repeated group of optional
-  ones, as in ``(<h2>#</h2>? <p>#</p>?)+``.
+  ones, as in ``(<h2>#</h2>? <p>#</p>?)+``,
+* more than ``MOST_CLASSES`` classes of sibling elements of one name, as in ``post-812``,
+  make the class of the rarer ones a slot: ``<div.#>``.
 
 Alignment merges two wrappers into one of bounded size, so tasks align their own pages
 first and send one wrapper per host; these are aligned in a tree over the tasks, so that
@@ -20,9 +22,9 @@ estimates its share of the host's distinct pages, exactly so up to ``SKETCH`` of
 
 From the wrapper follows what is the article: elements that are no content by their name,
 class, id or role are left out; then the article or main element with the most text, or
-without one the element below which most of the text is, less what is the same on nearly
-all distinct pages of the host, of which there must be ``SAME_ON``: copies of a page count
-once. The page is aligned with its host's wrapper once more, and the texts of its blocks
+without one the element below which most of the text is; less what is the same on nearly
+all distinct pages of the host, of which there must be ``SAME_ON``, within a marked article
+``SAME_ON_MARKED``: copies of a page count once. The page is aligned with its host's wrapper once more, and the texts of its blocks
 are read; where that leaves nothing, the page is read by its own wrapper.
 
 The tree of a page has at most ``DEEPEST`` levels. Elements that are open below that are
@@ -30,8 +32,11 @@ kept, but stand in the order of their texts beside each other in the innermost e
 above, as many pieces as others interrupt them, and are no content if an element around
 them is not. Articles there hold what is in them, up to ``DEEPEST_ARTICLES`` in each other.
 
-A null page has the text ''. A null or unreadable url is the host ''. Repeated rows are
-extracted each, a host with one page by its own wrapper. Nothing is capped or cut.
+A wrapper's size is bounded by its depth and the names, marks and classes that siblings can
+have, whatever the number of pages. A null page has the text ''. A null or unreadable url is
+the host ''. Repeated rows are extracted each, a host with one page by its own wrapper; of
+articles with equally much text the first is taken. An empty table gives no rows. Pages of
+any length are read whole.
 """
 
 from __future__ import annotations
@@ -53,6 +58,8 @@ FAN_IN = 64  # wrappers that one task aligns
 HOSTS_HELD = 2000  # of one task before it sends their wrappers
 LITERAL_CHARS = 80
 SAME_ON = 3  # distinct pages from which on an unchanged text can be the template's
+SAME_ON_MARKED = 10  # the same within an element that the page itself marks as the article
+MOST_CLASSES = 8  # of sibling elements of one name, before the rarer ones become a slot
 NEARLY_ALL = 0.9  # of the host's distinct pages that a text of the template stands on
 SKETCH = 32  # digests of pages that stand for all
 DEEPEST = 64  # levels of the tree; what is deeper stands beside, not inside, its parent
@@ -98,9 +105,10 @@ _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)")
 
 Page = list  # [label, children, chars in links] of an element, [None, text, chars in links] of a text
 # [label, repeated, optional, pages, chars, link chars, children or literal or None, seen]: seen are digests of the
-# pages of a literal or a whole page, and once the host is complete, whether a text is the template's
+# pages of a literal or a whole page, and once the host is complete, 1 for a text of the template, 2 for one that is so
+# in marked articles too, else 0
 Wrapper = list
-GROUP, TEXT = "()", "#"
+GROUP, TEXT, SLOT = "()", "#", ".#"
 LABEL, REPEATED, OPTIONAL, PAGES, CHARS, LINKS, INSIDE, SEEN = range(8)
 
 
@@ -117,7 +125,7 @@ def _label(name: str, attributes: str) -> str:
     or ``~`` if they say that it is a header."""
     if not attributes.strip():
         return name
-    kept, words, hidden = "", set(), False
+    classes, is_main, words, hidden = "", "", set(), False
     for key, a, b, c, bare in _ATTRIBUTE.findall(attributes):
         value = a or b or c
         key = key.lower()
@@ -125,10 +133,12 @@ def _label(name: str, attributes: str) -> str:
             hidden = True
         elif key in ("class", "id"):
             words.update(w.lower() for w in _NAME_WORDS.findall(value))
-            kept += f".{value}" if key == "class" else ""
+            if key == "class":
+                classes = "." + " ".join(sorted(set(value.split())))
         elif key == "role":
             hidden |= value.lower() in ROLES
-            kept += "@main" if value.lower() == "main" else ""
+            is_main = "@main" if value.lower() == "main" else ""
+    kept = is_main + classes
     if name in ("html", "body", "article", "main"):
         return name + kept
     named = words if not words & NOT_A_PART else frozenset()
@@ -140,6 +150,11 @@ def _name(label: str) -> str:
     return re.split(r"[.@]", label.lstrip("!~"), maxsplit=1)[0]
 
 
+def _base(label: str) -> str:
+    """The label without its class."""
+    return label.split(".", 1)[0]
+
+
 def _below(label: str, outer: str) -> str:
     """The label of an element that stands beside, not inside, the one with the outer label."""
     if outer.startswith("!") or _name(outer) in NO_CONTENT:
@@ -270,7 +285,10 @@ def _runs(nodes: list[Wrapper]) -> list[list[Wrapper]]:
 
 
 def _merged(a: Wrapper, b: Wrapper) -> Wrapper:
-    inside = (a[INSIDE] if a[INSIDE] == b[INSIDE] else None) if a[LABEL] == TEXT else aligned(a[INSIDE], b[INSIDE])
+    if a[LABEL] == TEXT:
+        inside = a[INSIDE] if a[INSIDE] == b[INSIDE] else None
+    else:
+        inside = aligned(a[INSIDE], b[INSIDE], a[PAGES], b[PAGES])
     return [
         a[LABEL], a[REPEATED] | b[REPEATED], a[OPTIONAL] | b[OPTIONAL], a[PAGES] + b[PAGES],
         a[CHARS] + b[CHARS], a[LINKS] + b[LINKS], inside, None if inside is None else _seen(a[SEEN], b[SEEN]),
@@ -312,8 +330,55 @@ def _folded(nodes: list[Wrapper], labels: set[str]) -> list[Wrapper]:
     return [*nodes[:first], _grouped(nodes[first : last + 1]), *nodes[last + 1 :]]
 
 
-def aligned(a: list[Wrapper], b: list[Wrapper]) -> list[Wrapper]:
-    """One list of wrappers for what both lists match."""
+def _classes_by_name(nodes: list[Wrapper]) -> dict[str, dict[str, int]]:
+    """Of each label without class the labels that it has here, with their pages."""
+    found: dict[str, dict[str, int]] = {}
+    for node in nodes:
+        for part in node[INSIDE] if node[LABEL] == GROUP else [node]:
+            labels = found.setdefault(_base(part[LABEL]), {})
+            labels[part[LABEL]] = labels.get(part[LABEL], 0) + part[PAGES]
+    return found
+
+
+def _strays(a: list[Wrapper], b: list[Wrapper]) -> set[str]:
+    """Labels whose class is to become a slot, as their name has too many classes here."""
+    in_a, in_b = _classes_by_name(a), _classes_by_name(b)
+    strays: set[str] = set()
+    for base in in_a.keys() | in_b.keys():
+        of_a, of_b, slot = in_a.get(base, {}), in_b.get(base, {}), base + SLOT
+        if slot in of_a or slot in of_b:
+            strays |= (of_a.keys() ^ of_b.keys()) - {slot}
+        elif len(of_a.keys() | of_b.keys()) > MOST_CLASSES:
+            pages = Counter(of_a) + Counter(of_b)
+            strays |= set(sorted(pages, key=lambda label: (-pages[label], label))[MOST_CLASSES // 2 :])
+    return strays
+
+
+def _with_slots(nodes: list[Wrapper], strays: set[str], pages: int) -> list[Wrapper]:
+    """The nodes of so many pages with slots for these classes. Neighbours that become alike and
+    are on no more pages than there are stand for each other, and are one."""
+    result: list[Wrapper] = []
+    for node in nodes:
+        if node[LABEL] in strays:
+            node = [_base(node[LABEL]) + SLOT, *node[REPEATED:]]
+        elif node[LABEL] == GROUP and strays & _labels_of(node):
+            group = _grouped([[*node[:INSIDE], _with_slots(node[INSIDE], strays, 0), None]])
+            node = [*node[:INSIDE], group[INSIDE], None]
+        before = result[-1] if result else None
+        if before and before[LABEL] == node[LABEL] and node[LABEL].endswith(SLOT):
+            if not before[REPEATED] and not node[REPEATED] and before[PAGES] + node[PAGES] <= pages:
+                one = _merged(before, node)
+                one[OPTIONAL] = int(one[PAGES] < pages)
+                result[-1] = one
+                continue
+        result.append(node)
+    return result
+
+
+def aligned(a: list[Wrapper], b: list[Wrapper], pages_a: int, pages_b: int) -> list[Wrapper]:
+    """One list of wrappers for what both lists, of so many pages, match."""
+    if strays := _strays(a, b):
+        a, b = _with_slots(a, strays, pages_a), _with_slots(b, strays, pages_b)
     in_groups = set().union(*(_labels_of(n) for n in (*a, *b) if n[LABEL] == GROUP))
     while in_groups:  # what one page has in a group, the other's nodes belong to
         a, b = _folded(a, in_groups), _folded(b, in_groups)
@@ -326,7 +391,7 @@ def aligned(a: list[Wrapper], b: list[Wrapper]) -> list[Wrapper]:
     if labels_a != labels_b:
         often = {x for labels in (labels_a, labels_b) for x in labels if labels.count(x) > 1}
         if often:
-            return aligned(_folded(a, often), _folded(b, often))
+            return aligned(_folded(a, often), _folded(b, often), pages_a, pages_b)
     result: list[Wrapper] = []
     steps = [("equal", 0, len(labels_a), 0, len(labels_b))]
     if labels_a != labels_b:
@@ -360,8 +425,9 @@ def finished(host: Wrapper) -> Wrapper:
         *rest, inside, seen = wrapper
         if wrapper[LABEL] != TEXT:
             return [*rest, [judged(child) for child in inside], None]
-        same = inside is not None and len(seen) >= SAME_ON
-        return [*rest, inside, same and len(pages.intersection(seen)) >= NEARLY_ALL * len(pages)]
+        if inside is None or len(pages.intersection(seen)) < NEARLY_ALL * len(pages):
+            return [*rest, inside, 0]
+        return [*rest, inside, (len(seen) >= SAME_ON) + (len(seen) >= SAME_ON_MARKED)]
 
     return judged(host)
 
@@ -389,10 +455,15 @@ def _content(wrapper: Wrapper, in_article: bool) -> bool:
     return in_article or not (label.startswith("~") or _name(label) == "header")
 
 
+def _of_template(wrapper: Wrapper, marked: bool) -> bool:
+    """Whether a text of a finished wrapper belongs to the template."""
+    return isinstance(wrapper[SEEN], int) and wrapper[SEEN] >= (2 if marked else 1)
+
+
 def _mass(wrapper: Wrapper, in_article: bool = False) -> int:
     """Characters of content outside links, without texts of the template."""
     if wrapper[LABEL] == TEXT:
-        if wrapper[SEEN] is True:
+        if _of_template(wrapper, False):
             return 0
         return max(0, wrapper[CHARS] - 2 * wrapper[LINKS])
     if not _content(wrapper, in_article):
@@ -443,15 +514,19 @@ def _paired(children: list[Page], wrappers: list[Wrapper]) -> Iterator[tuple[Pag
         else:
             flat.append(w)
     of = {}
-    plain = [(i, c[0] or TEXT) for i, c in enumerate(children) if (c[0] or TEXT) not in group_of]
+    known = {w[LABEL] for w in flat} | group_of.keys()
+    named = [c[0] or TEXT for c in children]
+    named = [x if x in known or _base(x) + SLOT not in known else _base(x) + SLOT for x in named]
     page_runs: list[list[int]] = []
-    for i, label in plain:
-        if page_runs and (children[page_runs[-1][0]][0] or TEXT) == label and page_runs[-1][-1] == i - 1:
+    for i, label in enumerate(named):
+        if label in group_of:
+            continue
+        if page_runs and named[page_runs[-1][0]] == label and page_runs[-1][-1] == i - 1:
             page_runs[-1].append(i)
         else:
             page_runs.append([i])
     runs = _runs(flat)
-    labels = [children[r[0]][0] or TEXT for r in page_runs]
+    labels = [named[r[0]] for r in page_runs]
     expected = [r[0][LABEL] for r in runs]
     blocks = [(0, 0, len(labels))]
     if labels != expected:
@@ -462,13 +537,13 @@ def _paired(children: list[Page], wrappers: list[Wrapper]) -> Iterator[tuple[Pag
             for nth, i in enumerate(page_runs[a + k]):
                 of[i] = nodes[min(nth, len(nodes) - 1)]
     for i, child in enumerate(children):
-        yield child, of.get(i, group_of.get(child[0] or TEXT))
+        yield child, of.get(i, group_of.get(named[i]))
 
 
 def _texts(page: Page, wrapper: Wrapper | None, in_article: bool, marked: bool) -> Iterator[str]:
     label, inside, _ = page
     if label is None:
-        if marked or wrapper is None or wrapper[SEEN] is not True:
+        if wrapper is None or not _of_template(wrapper, marked):
             yield inside
         return
     if not _content([label], in_article):
@@ -491,7 +566,7 @@ def extract(page: Page, wrapper: Wrapper) -> str:
     article, marked = article_of(wrapper)
     places = list(_found(page, wrapper, article))
     texts = [t for place, of in places for t in _texts(place, of, marked, marked)]
-    if not places or not texts and not marked:  # nothing there but the template: judge the page by itself
+    if not texts:  # nothing there but the template: judge the page by itself
         own = wrapper_of(page)
         article, marked = article_of(own)
         texts = [t for place, of in _found(page, own, article) for t in _texts(place, of, marked, marked)]

@@ -104,6 +104,59 @@ def test_wrapper_size_does_not_grow_with_pages():
     assert len(he.expression(one)) < 600
 
 
+def classed_page(i):
+    """Every page has classes of its own, and parts that no list of names knows."""
+    return (
+        f"<html><body class='page-{i}'><div class='zone-top q{i}'>Welcome to the Daily Wombat</div>"
+        f"<div class='entry post-{i} hue-{i % 7}'><h2>Title {i}</h2><p class='k{i}'>{lorem(f'{i}a')}"
+        f"<div class='xq9'>Readers like you keep this place running. Chip in today!</div>"
+        f"<p class='k{i}'>{lorem(f'{i}b')}<div class='plug-{i}'>Buy the Wombat mug while stocks last, now half price</div></div>"
+        f"<div class='foot'>All rights reserved</div></body></html>"
+    )
+
+
+def host_wrapper(pages):
+    one = None
+    for page in pages:
+        one = he.align(one, he.wrapper_of(he.parse(page)))
+    return he.finished(one)
+
+
+def test_classes_of_pages_do_not_grow_the_wrapper():
+    sizes = {n: len(he.expression(host_wrapper(map(classed_page, range(n))))) for n in (100, 400, 1600)}
+    assert max(sizes.values()) < 600 and max(sizes.values()) - min(sizes.values()) < 20
+
+
+def test_host_wrapper_is_right_where_a_page_alone_is_not(spark):
+    pages = [classed_page(i) for i in range(60)]
+    host = host_wrapper(pages)
+    for i, page in enumerate(pages):
+        expected = "\n\n".join([f"Title {i}", lorem(f"{i}a"), lorem(f"{i}b")])
+        alone = he.extract(he.parse(page), he.wrapper_of(he.parse(page)))
+        assert he.extract(he.parse(page), host) == expected
+        assert "Chip in" in alone and "mug" in alone
+    rows = [(f"http://wombat.example/{i}", page) for i, page in enumerate(pages)]
+    got = texts_of(pages_of(spark, rows).repartition(7))
+    assert got == {i: "\n\n".join([f"Title {i}", lorem(f"{i}a"), lorem(f"{i}b")]) for i in range(60)}
+
+
+@pytest.mark.parametrize("pages, dropped", [(9, False), (10, True), (40, True)])
+def test_template_texts_in_marked_articles(pages, dropped):
+    made = [
+        f"<article><h1>Title {i}</h1><p>{lorem(i)}<div class='xq9'>Chip in today!</div><p>{lorem(i + 900)}</article>"
+        for i in range(pages)
+    ]
+    host = host_wrapper(made * 3)  # copies count once
+    for i, page in enumerate(made):
+        texts = [f"Title {i}", lorem(i), *([] if dropped else ["Chip in today!"]), lorem(i + 900)]
+        assert he.extract(he.parse(page), host) == "\n\n".join(texts)
+
+
+def test_few_classes_stay_apart():
+    pages = [f"<div class=top>a{i}</div><div class=story>b{i}</div><div class=end>c{i}</div>" for i in range(50)]
+    assert he.expression(host_wrapper(pages)) == "<html><div.top>#</div><div.story>#</div><div.end>#</div></html>"
+
+
 def test_tree_of_tasks_gives_the_same_texts(spark, monkeypatch):
     monkeypatch.setattr(he, "FAN_IN", 2)
     pages = [("http://soup.example/%d" % i, soup_page(i, 2 + i % 3)) for i in range(12)]
