@@ -6,42 +6,55 @@ terms, against an inverted index of the items. Weights are BM25's, divided by th
 score for itself: 1 is an item with all its words in the passage. Every item with
 ``THRESHOLD`` or more is retrieved.
 
-Block-max WAND: items stand in blocks of ``BLOCK_ITEMS``, alike in language and length, and
-every term has its largest weight in each block. A passage whose terms' largest weights
-don't sum to the threshold is done; else it opens only the blocks where their block maxima
-do, and skips the postings of all others. No item at or above the threshold is lost.
+Block-max WAND: items stand in blocks of ``BLOCK_ITEMS``, alike in language and length. A
+term has its largest weight of all, and of each block in which it occurs. A passage whose
+terms' largest weights don't sum to the threshold is done. Else its terms are ordered by
+them; the pivot is where their sum reaches the threshold, and an item must have a term from
+the pivot on. Only blocks of those terms are bounded, first with the other terms' largest
+weights, then with all block maxima; only blocks that still reach the threshold are opened.
+No item at or above the threshold is lost.
 
 A retrieved item is verified in the passage: of its question (all sentences but the last)
 and of its answer (the last one) the share of word trigrams that the passage has.
 
-The index is searched in slices of ``SLICE_WORDS`` item words at most (a longer item is a
-slice alone), so what goes to the tasks is bounded however large the benchmark is; term
-statistics are those of all items.
+The index is made by tasks, in slices of about ``SLICE_WORDS`` item words (a longer item is a
+slice alone), each a row in a file of its own in the shared folder. Spark hands the files to
+the executors (``SparkContext.addFile``); one Python stage searches a few texts in one slice
+after the other. The driver holds the names of the files, a worker up to ``SLICES_HELD``
+slices. Term statistics are those of all items.
 
 Null and empty texts have no passages and no hits. Items without words match nothing; items
-with a null id or repeated ids are searched each. Words are lower-cased, and ASCII signs
-separate them. Without items nothing is found. Repeated rows get the same hits each.
+with a null id or repeated ids are searched each, equal items once. Words are lower-cased,
+and ASCII signs separate them. Without items nothing is found. Repeated rows get the same
+hits each; hits of equal score keep the order of the index. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from clicktide.llm.common import few_rows_a_batch, small_batches, written
+from clicktide.llm.common import few_rows_a_batch, joined_to_totals, small_batches, written
+from clicktide.session import shared_folder
+from clicktide.sources.files import data_files
 
 THRESHOLD = 0.5
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 4
 LEAST_PASSAGE = 128  # words
 SLICE_WORDS = 40_000
+SLICES_HELD = 4
+TEXT_BYTES = 2 << 20  # of texts that are searched in one slice after the other
+PAIRS_HELD = 1 << 20  # of passages and blocks that are bounded at once
 QUESTION_SHARE, ANSWER_SHARE, WHOLE_SHARE = 0.5, 0.3, 0.7
 
 _SIGNS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -81,87 +94,151 @@ def _share(part: list[bytes], passage: list[bytes]) -> float:
     return len(wanted & have) / len(wanted)
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges one after the other, and which range each is of."""
+    sizes = ends - starts
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), of
+
+
 class Index:
-    """BM25 weights of a slice of the items, with block maxima."""
+    """BM25 weights of a slice of the items, with block maxima where a term occurs."""
 
     def __init__(self, items: list[tuple[int, str]], weights: list[dict[bytes, float]], longest: int):
         order = sorted(range(len(items)), key=lambda i: (max(weights[i], key=lambda w: -weights[i][w]), len(weights[i])))
-        self.items = [items[i] for i in order]
+        number: dict[bytes, int] = {}
+        posted = [
+            (number.setdefault(word, len(number)), place, weight / sum(weights[i].values()))
+            for place, i in enumerate(order)
+            for word, weight in weights[i].items()
+        ]
+        posted.sort()
+        terms, places, shares = zip(*posted) if posted else ((), (), ())
+        self._set(
+            [items[i] for i in order], longest, list(number), np.array(terms, np.int64),
+            np.array(places, np.int64), np.array(shares, np.float64),
+        )
+
+    def _set(self, items, longest, words, terms, places, shares) -> None:
+        self.items, self.longest, self.words = items, longest, words
+        self.terms, self.places, self.shares = terms, places, shares  # of the postings, in order
         self.passage = max(LEAST_PASSAGE, 2 * longest)
-        self.number: dict[bytes, int] = {}
-        self.postings: list[list[tuple[int, float]]] = [[]]  # of term 0, which is every other word
-        for place, i in enumerate(order):
-            whole = sum(weights[i].values())
-            for word, weight in weights[i].items():
-                term = self.number.setdefault(word, len(self.postings))
-                if term == len(self.postings):
-                    self.postings.append([])
-                self.postings[term].append((place, weight / whole))
-        blocks = -(-len(items) // BLOCK_ITEMS)
-        self.block_max = np.zeros((len(self.postings), blocks), np.float32)
-        for term, posted in enumerate(self.postings):
-            for place, weight in posted:
-                block = place // BLOCK_ITEMS
-                self.block_max[term, block] = max(self.block_max[term, block], weight)
-        self.largest = self.block_max.max(axis=1)
-        self.parts = [question_and_answer(text) for _, text in self.items]
-
-    def open_blocks(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int, int, np.ndarray]]:
-        """Text, first word, block and terms where the block maxima reach the threshold."""
-        terms = [np.fromiter(map(self.number.get, w, repeat(0)), np.int64, len(w)) for w in lists]
-        lengths = np.array([len(t) for t in terms])
-        if not lengths.sum():
-            return
-        every = np.concatenate(terms)
+        self.number = {word: term for term, word in enumerate(words)}
+        self.blocks = max(1, -(-len(items) // BLOCK_ITEMS))
+        # an entry is a term in a block: its key, its postings and their largest weight
+        of_posting = terms * self.blocks + places // BLOCK_ITEMS
+        self.keys, self.first = np.unique(of_posting, return_index=True)
+        self.first = np.r_[self.first, len(terms)]
+        self.maxima = np.maximum.reduceat(shares, self.first[:-1]) if len(terms) else shares
+        self.entries = np.searchsorted(self.keys, np.arange(len(words) + 1) * self.blocks)
+        self.largest = np.maximum.reduceat(self.maxima, self.entries[:-1]) if len(words) else shares
+        self.parts = [question_and_answer(text) for _, text in items]
+
+    def row(self) -> dict:
+        """The index as a row of ``_SLICE``."""
+        return {
+            "items": [{"item": item, "text": text} for item, text in self.items], "longest": self.longest,
+            "words": self.words, "terms": self.terms.astype(np.int32).tobytes(),
+            "places": self.places.astype(np.int32).tobytes(), "shares": self.shares.tobytes(),
+        }
+
+    @classmethod
+    def of_row(cls, row: dict) -> Index:
+        index = cls.__new__(cls)
+        index._set(
+            [(item["item"], item["text"]) for item in row["items"]], row["longest"], row["words"],
+            np.frombuffer(row["terms"], np.int32).astype(np.int64),
+            np.frombuffer(row["places"], np.int32).astype(np.int64), np.frombuffer(row["shares"], np.float64),
+        )
+        return index
+
+    def passages(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passages by number and their distinct known terms, and each text's first passage number.
+
+        Half passages are numbered over all texts; a passage is two of them in a row.
+        """
+        terms = [np.fromiter(map(self.number.get, w, repeat(-1)), np.int64, len(w)) for w in lists]
+        lengths = np.array([len(t) for t in terms], np.int64)
+        every = np.concatenate(terms) if terms else np.zeros(0, np.int64)
         step = self.passage // 2
-        at = np.arange(len(every)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        # half passages are numbered over all texts; a passage is two of them in a row
         halves = np.maximum(1, -(-lengths // step))
         first_half = np.cumsum(halves) - halves
-        half = np.repeat(first_half, lengths) + at // step
+        half = np.repeat(first_half, lengths) + _ranges(np.zeros_like(lengths), lengths)[0] // step
         starts_text = np.zeros(int(halves.sum()) + 1, bool)
         starts_text[first_half] = True
-        known = every > 0
+        known = every >= 0
         half, every = half[known], every[known]
-        size = len(self.postings)
+        size = max(1, len(self.words))
         into_previous = ~starts_text[half]
-        pairs = np.unique(np.concatenate([half * size + every, (half[into_previous] - 1) * size + every[into_previous]]))
-        if not len(pairs):
+        pairs = np.unique(
+            np.concatenate([half * size + every, (half[into_previous] - 1) * size + every[into_previous]])
+        )
+        return pairs // size, pairs % size, first_half
+
+    def open_blocks(self, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Passages, as ranges of the terms, and blocks whose maxima reach the threshold together."""
+        least = THRESHOLD - 1e-9
+        starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(passage) else np.zeros(0, np.int64)
+        ends = np.r_[starts[1:], len(passage)].astype(np.int64)
+        if not len(starts):
             return
-        passage, term = pairs // size, pairs % size
-        starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-        ends = np.r_[starts[1:], len(passage)]
-        least = np.float32(THRESHOLD - 1e-4)  # sums of 32-bit numbers err by less
-        hopeful = np.flatnonzero(np.add.reduceat(self.largest[term], starts) >= least)
-        text_of = np.searchsorted(first_half, passage[starts[hopeful]], side="right") - 1
-        for at in range(0, len(hopeful), 1024):
-            group = hopeful[at : at + 1024]
-            inside = np.concatenate([np.arange(starts[h], ends[h]) for h in group])
-            offsets = np.cumsum([0, *(ends[h] - starts[h] for h in group)])[:-1]
-            bounds = np.add.reduceat(self.block_max[term[inside]], offsets, axis=0)
-            for row, block in np.argwhere(bounds >= least):
-                h = group[row]
-                text = text_of[at + row]
-                first = int(passage[starts[h]] - first_half[text]) * step
-                yield int(text), first, int(block), term[starts[h] : ends[h]]
+        hopeful = np.add.reduceat(self.largest[term], starts) >= least
+        starts, ends = starts[hopeful], ends[hopeful]
+        inside, of = _ranges(starts, ends)
+        # of each passage the terms by rising weight; from the pivot on their sum reaches the threshold
+        by_weight = np.lexsort((self.largest[term[inside]], of))
+        inside = inside[by_weight]
+        weight = self.largest[term[inside]]
+        upto = np.cumsum(weight)
+        before = np.r_[0.0, upto][np.searchsorted(of, np.arange(len(starts)))]
+        upto = upto - before[of]
+        essential = upto >= least
+        others = np.zeros(len(starts))
+        np.add.at(others, of[~essential], weight[~essential])
+        first, last = (self.entries[term[inside[essential]] + k] for k in (0, 1))
+        owner = of[essential]
+        ahead = np.r_[0, np.cumsum(last - first)]
+        cuts = np.searchsorted(owner, np.arange(len(starts) + 1))  # passages keep together
+        at = 0
+        while at < len(starts):
+            to = int(np.searchsorted(ahead[cuts], ahead[cuts[at]] + PAIRS_HELD, side="right")) - 1
+            to = min(max(to, at + 1), len(starts))
+            some = slice(cuts[at], cuts[to])
+            entries, which = _ranges(first[some], last[some])
+            pair = owner[some][which] * self.blocks + self.keys[entries] % self.blocks
+            met, back = np.unique(pair, return_inverse=True)
+            bound = np.bincount(back, self.maxima[entries], len(met))
+            left = bound + others[met // self.blocks] >= least
+            for part in np.array_split(met[left], max(1, int(left.sum()) * 64 // PAIRS_HELD)):
+                row, block = part // self.blocks, part % self.blocks
+                terms, of_pair = _ranges(starts[row], ends[row])
+                key = term[terms] * self.blocks + block[of_pair]
+                entry = np.searchsorted(self.keys, key)
+                there = entry < len(self.keys)
+                there[there] = self.keys[entry[there]] == key[there]
+                entry, of_pair = entry[there], of_pair[there]
+                reach = np.bincount(of_pair, self.maxima[entry], len(part)) >= least
+                kept = reach[of_pair]
+                renumbered = np.cumsum(reach) - 1
+                yield passage[starts[row[reach]]], block[reach], entry[kept], renumbered[of_pair[kept]]
+            at = to
 
     def retrieved(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
         """Text, first word of the passage, place of the item, and score at or above the threshold."""
-        for text, first, block, terms in self.open_blocks(lists):
-            low, high = block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS
-            scores: dict[int, float] = defaultdict(float)
-            for term in terms[self.block_max[terms, block] > 0]:
-                for place, weight in self.postings[term]:
-                    if low <= place < high:
-                        scores[place] += weight
-            for place, score in scores.items():
-                if score >= THRESHOLD - 1e-9:
-                    yield text, first, place, score
-
-    def hits(self, texts: list[str]) -> list[list[dict]]:
-        """Of each text the retrieved items, each with its best passage."""
-        lists = [words_of(text) for text in texts]
-        found: list[dict[int, dict]] = [{} for _ in texts]
+        passage, term, first_half = self.passages(lists)
+        for of_passage, block, entry, pair in self.open_blocks(passage, term):
+            posted, which = _ranges(self.first[entry], self.first[entry + 1])
+            slot = pair[which] * BLOCK_ITEMS + self.places[posted] % BLOCK_ITEMS
+            scores = np.bincount(slot, self.shares[posted], len(block) * BLOCK_ITEMS)
+            for found in np.flatnonzero(scores >= THRESHOLD - 1e-9):
+                number = of_passage[found // BLOCK_ITEMS]
+                text = int(np.searchsorted(first_half, number, side="right")) - 1
+                place = int(block[found // BLOCK_ITEMS]) * BLOCK_ITEMS + int(found % BLOCK_ITEMS)
+                yield text, int(number - first_half[text]) * (self.passage // 2), place, float(scores[found])
+
+    def hits(self, lists: list[list[bytes]]) -> list[list[dict]]:
+        """Of each text's words the retrieved items, each with its best passage."""
+        found: list[dict[int, dict]] = [{} for _ in lists]
         for text, first, place, score in self.retrieved(lists):
             passage = lists[text][first : first + self.passage]
             question, answer = (_share(part, passage) for part in self.parts[place])
@@ -190,8 +267,9 @@ def bm25_weights(
     return weights
 
 
-def _prepared(items: DataFrame, key: str) -> tuple[DataFrame, int]:
-    """Items with words: id, text, words, their document frequencies, length and slice; slices."""
+def _weighted(items: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """Distinct items with words: id, text, words, their document frequencies, length and slice;
+    and the number of slices."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -204,42 +282,78 @@ def _prepared(items: DataFrame, key: str) -> tuple[DataFrame, int]:
 
     rows = items.select(F.col(key).cast("long").alias("item"), "text").where(F.col("text").isNotNull())
     layout = "item long, text string, words array<binary>, length long"
-    split_rows = written(rows.mapInArrow(split, layout).where("length > 0"), "benchmark-items")
+    split_rows = written(rows.distinct().mapInArrow(split, layout).where("length > 0"), "benchmark-items")
     total = split_rows.agg(F.sum("length")).first()[0] or 0
     slices = max(1, -(-total // (SLICE_WORDS // 2)))
-    frequency = split_rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("of"))
+    row = F.xxhash64("item", "text").alias("row")
+    words = split_rows.select("item", "text", "length", row, F.explode("words").alias("word"))
+    frequency = written(words.groupBy("word").agg(F.count("*").alias("of")), "benchmark-words")
     weighted = (
-        split_rows.withColumn("row", F.xxhash64("item", "text"))
-        .select("item", "text", "length", "row", F.explode("words").alias("word"))
-        .join(frequency, "word")
+        joined_to_totals(words, frequency, ["word"], "of")
         .groupBy("item", "text", "length", "row")
         .agg(F.collect_list("word").alias("words"), F.collect_list("of").alias("of"))
     )
-    return written(weighted.withColumn("slice", F.pmod("row", F.lit(slices))), "benchmark-index"), slices
-
-
-def indexes(items: DataFrame, key: str = "item_id") -> Iterator[Index]:
-    """The index in slices; each is read when it is asked for."""
-    prepared, slices = _prepared(items, key)
-    n, total, longest = prepared.agg(F.count("*"), F.sum("length"), F.max("length")).first()
-    for k in range(slices if n else 0):
-        rows, held = [], 0
-        for row in prepared.where(F.col("slice") == k).orderBy("row", "item").toLocalIterator():
-            if rows and held + row.length > SLICE_WORDS:
-                yield _index(rows, n, total / n, longest)
-                rows, held = [], 0
-            rows.append(row)
-            held += row.length
-        if rows:
-            yield _index(rows, n, total / n, longest)
+    return written(weighted.withColumn("slice", F.pmod("row", F.lit(slices))), "benchmark-weights"), slices
+
 
+_SLICE = pa.schema([
+    ("items", pa.list_(pa.struct([("item", pa.int64()), ("text", pa.string())]))), ("longest", pa.int64()),
+    ("words", pa.list_(pa.binary())), ("terms", pa.binary()), ("places", pa.binary()), ("shares", pa.binary()),
+])
+_SLICE_LAYOUT = (
+    "items array<struct<item: long, text: string>>, longest long, words array<binary>, terms binary, "
+    "places binary, shares binary"
+)
 
-def _index(rows: list, items: int, mean_length: float, longest: int) -> Index:
+
+def _index(rows: list[dict], items: int, mean_length: float, longest: int) -> Index:
     weights = [
-        bm25_weights(words_of(r.text), dict(zip(map(bytes, r.words), r.of, strict=True)), items, mean_length)
+        bm25_weights(words_of(r["text"]), dict(zip(r["words"], r["of"], strict=True)), items, mean_length)
         for r in rows
     ]
-    return Index([(r.item, r.text) for r in rows], weights, longest)
+    return Index([(r["item"], r["text"]) for r in rows], weights, longest)
+
+
+def index_files(items: DataFrame, key: str = "item_id") -> list[str]:
+    """Names of the files, a slice of the index in each, that every task can ask ``SparkFiles`` for."""
+    spark = items.sparkSession
+    weighted, slices = _weighted(items, key)
+    n, total, longest = weighted.agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    if not n:
+        return []
+
+    def build(table: pa.Table) -> pa.Table:
+        made, rows, held = [], [], 0
+        for row in sorted(table.to_pylist(), key=lambda r: (r["row"], r["item"] is None, r["item"])):
+            if rows and held + row["length"] > SLICE_WORDS:
+                made.append(_index(rows, n, total / n, longest).row())
+                rows, held = [], 0
+            rows.append(row)
+            held += row["length"]
+        made.append(_index(rows, n, total / n, longest).row())
+        return pa.Table.from_pylist(made, schema=_SLICE)
+
+    folder = shared_folder(spark, "benchmark-slices")
+    built = weighted.groupBy("slice").applyInArrow(build, _SLICE_LAYOUT)
+    built.write.option("maxRecordsPerFile", 1).parquet(folder)
+    names = sorted(data_files(spark, folder))
+    for name in names:
+        spark.sparkContext.addFile(f"{folder}/{name}")
+    return names
+
+
+_HELD: OrderedDict[str, Index | None] = OrderedDict()
+
+
+def _slice(name: str) -> Index | None:
+    """A slice of the index, kept until others were used since; None for a file without one."""
+    if name not in _HELD:
+        while len(_HELD) >= SLICES_HELD:
+            _HELD.popitem(last=False)
+        rows = pq.read_table(SparkFiles.get(name)).to_pylist()
+        _HELD[name] = Index.of_row(rows[0]) if rows else None
+    _HELD.move_to_end(name)
+    return _HELD[name]
 
 
 def find_items(texts: DataFrame, items: DataFrame, item_key: str = "item_id", into: str = "hits") -> DataFrame:
@@ -249,26 +363,25 @@ def find_items(texts: DataFrame, items: DataFrame, item_key: str = "item_id", in
     """
     few_rows_a_batch(texts.sparkSession)
     texts = texts.drop(into)
-    names = texts.columns
-    found = texts.withColumn(into, F.array().cast(T.ArrayType(HIT)))
+    columns = texts.columns
+    names = index_files(items, item_key)
     hits_type = pa.list_(pa.struct([
         ("item", pa.int64()), ("score", pa.float64()), ("question", pa.float64()),
         ("answer", pa.float64()), ("contaminated", pa.bool_()),
     ]))
 
-    def search(index: Index):
-        def search_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in small_batches(batches, "text", 1 << 20):
-                new = index.hits([t or "" for t in batch.column(names.index("text")).to_pylist()])
-                before = batch.column(len(names)).to_pylist()
-                hits = pa.array([[*a, *b] for a, b in zip(before, new, strict=True)], hits_type)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], hits], [*names, into])
-
-        return search_rows
-
-    for index in indexes(items, item_key):
-        found = found.mapInArrow(search(index), found.schema)
-    return found
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", TEXT_BYTES):
+            lists = [words_of(t or "") for t in batch.column(columns.index("text")).to_pylist()]
+            found: list[list[dict]] = [[] for _ in lists]
+            for name in names:
+                if (index := _slice(name)) is not None:
+                    for hits, new in zip(found, index.hits(lists), strict=True):
+                        hits += new
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, hits_type)], [*columns, into])
+
+    layout = T.StructType([*texts.schema.fields, T.StructField(into, T.ArrayType(HIT))])
+    return texts.mapInArrow(search, layout)
 
 
 def contaminated(hits: str = "hits"):
