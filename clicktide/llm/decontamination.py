@@ -54,7 +54,7 @@ LEAST_PASSAGE = 128  # words
 SLICE_WORDS = 40_000
 SLICES_HELD = 4
 TEXT_BYTES = 2 << 20  # of texts that are searched in one slice after the other
-PAIRS_HELD = 1 << 20  # of passages and blocks that are bounded at once
+PAIRS_HELD = 1 << 19  # terms in blocks that are summed at once
 QUESTION_SHARE, ANSWER_SHARE, WHOLE_SHARE = 0.5, 0.3, 0.7
 
 _SIGNS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -170,9 +170,9 @@ class Index:
         half, every = half[known], every[known]
         size = max(1, len(self.words))
         into_previous = ~starts_text[half]
-        pairs = np.unique(
-            np.concatenate([half * size + every, (half[into_previous] - 1) * size + every[into_previous]])
-        )
+        pairs = np.concatenate([half * size + every, (half[into_previous] - 1) * size + every[into_previous]])
+        pairs.sort()
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
         return pairs // size, pairs % size, first_half
 
     def open_blocks(self, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -195,34 +195,49 @@ class Index:
         essential = upto >= least
         others = np.zeros(len(starts))
         np.add.at(others, of[~essential], weight[~essential])
-        first, last = (self.entries[term[inside[essential]] + k] for k in (0, 1))
-        owner = of[essential]
+        cuts = np.searchsorted(of, np.arange(len(starts) + 1))  # passages keep together
+        pivots = cuts[:-1] + np.bincount(of[~essential], minlength=len(starts))
+        first, last = (self.entries[term[inside] + k] for k in (0, 1))
         ahead = np.r_[0, np.cumsum(last - first)]
-        cuts = np.searchsorted(owner, np.arange(len(starts) + 1))  # passages keep together
+
+        def summed(terms: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+            """Block maxima of these terms, summed per passage and block."""
+            entries, which = _ranges(first[terms], last[terms])
+            pair = owner[which] * self.blocks + self.keys[entries] % self.blocks
+            return np.bincount(pair, self.maxima[entries], rows * self.blocks)
+
         at = 0
         while at < len(starts):
             to = int(np.searchsorted(ahead[cuts], ahead[cuts[at]] + PAIRS_HELD, side="right")) - 1
-            to = min(max(to, at + 1), len(starts))
-            some = slice(cuts[at], cuts[to])
-            entries, which = _ranges(first[some], last[some])
-            pair = owner[some][which] * self.blocks + self.keys[entries] % self.blocks
-            met, back = np.unique(pair, return_inverse=True)
-            bound = np.bincount(back, self.maxima[entries], len(met))
-            left = bound + others[met // self.blocks] >= least
-            for part in np.array_split(met[left], max(1, int(left.sum()) * 64 // PAIRS_HELD)):
-                row, block = part // self.blocks, part % self.blocks
-                terms, of_pair = _ranges(starts[row], ends[row])
-                key = term[terms] * self.blocks + block[of_pair]
-                entry = np.searchsorted(self.keys, key)
-                there = entry < len(self.keys)
-                there[there] = self.keys[entry[there]] == key[there]
-                entry, of_pair = entry[there], of_pair[there]
-                reach = np.bincount(of_pair, self.maxima[entry], len(part)) >= least
-                kept = reach[of_pair]
-                renumbered = np.cumsum(reach) - 1
-                yield passage[starts[row[reach]]], block[reach], entry[kept], renumbered[of_pair[kept]]
+            to = min(max(to, at + 1), at + max(1, PAIRS_HELD // self.blocks), len(starts))
+            rows = np.arange(at, to)
+            leading, owner = _ranges(pivots[rows], cuts[rows + 1])
+            bound = summed(leading, owner, to - at)
+            left = np.flatnonzero((bound > 0) & (bound + np.repeat(others[rows], self.blocks) >= least))
+            trailing, owner = _ranges(cuts[rows], pivots[rows])
+            if len(left) * len(trailing) < (last - first)[trailing].sum() * (to - at):
+                # few blocks are left: look the other terms up there
+                mine, of_pair = _ranges(cuts[rows][left // self.blocks], pivots[rows][left // self.blocks])
+                entry = self._entry(term[inside[mine]], (left % self.blocks)[of_pair])
+                bound[left] += np.bincount(of_pair, np.r_[self.maxima, 0.0][entry], len(left))
+            else:
+                bound += summed(trailing, owner, to - at)
+            found = left[bound[left] >= least]
+            row, block = rows[found // self.blocks], found % self.blocks
+            mine, of_pair = _ranges(starts[row], ends[row])
+            entry = self._entry(term[mine], block[of_pair])
+            there = entry < len(self.keys)
+            yield passage[starts[row]], block, entry[there], of_pair[there]
             at = to
 
+    def _entry(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The entries of terms in blocks; one behind the last where a term is not in the block."""
+        key = term * self.blocks + block
+        entry = np.searchsorted(self.keys, key)
+        there = entry < len(self.keys)
+        there[there] = self.keys[entry[there]] == key[there]
+        return np.where(there, entry, len(self.keys))
+
     def retrieved(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
         """Text, first word of the passage, place of the item, and score at or above the threshold."""
         passage, term, first_half = self.passages(lists)
