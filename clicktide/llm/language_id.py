@@ -2,9 +2,9 @@
 
 A text becomes a TF-IDF vector of its byte n-grams (lower case, everything but letters
 one space), hashed into ``DIMENSIONS`` places and of length 1. Each language has a few
-centroids, found by spherical k-means on a bounded sample of labelled rows:
-``SAMPLE_PER_LANGUAGE`` of each language, those with the smallest hash of id and text. The
-closest centroid by cosine names the language, ``score`` is that cosine.
+centroids, found by spherical k-means on a bounded sample of labelled rows: ``per_language``
+texts of each language, those with the smallest hash of id and text. The closest centroid by
+cosine names the language, ``score`` is that cosine; of equally close ones the first by name.
 
 A text is rejected where it is farther from its centroid than its language's limit for its
 length, as short texts are far from any centroid. The limits are set by leaving out one
@@ -13,27 +13,36 @@ the other languages, the limit is below the one for which the shares of own text
 and of these texts within it have the smallest sum. The sample's texts and their beginnings
 of 4, 8, 16, ... characters count, so that all lengths have texts. With one language there
 is nothing to leave out: then the limit is ``REJECT_SPREADS`` standard deviations beyond the
-mean distance of own texts. It is never beyond ``FURTHEST``. Texts without a letter, nulls and empty texts among them, get ``und``, score 0, and are rejected. Repeated
-rows are each predicted alike. Without a labelled row every text is ``und``.
+mean distance of own texts. It is never beyond ``FURTHEST``.
+
+Tasks fit one language each, and the limits of one length each. The driver holds a row of
+names and counts, the centroids (48 KB) and the limits of every learnt language, no texts or
+vectors of texts. Languages with fewer than ``least_rows`` labelled rows, as misspelt labels
+have, are not learnt.
+
+Texts without a letter, nulls and empty texts among them, get ``und``, score 0, and are
+rejected. Texts of any length are counted whole. Repeated rows are each predicted alike, and
+learnt as often as they occur. Without a labelled row every text is ``und``; an empty table
+gives no rows. Extra columns stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, replace
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from clicktide.llm.common import few_rows_a_batch, hash_share, small_batches
+from clicktide.llm.common import few_rows_a_batch, hash_share, small_batches, written
 
 UNKNOWN = "und"
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 200
+LEAST_ROWS = 2
 RANKED = 8
 CENTROIDS = 3
 LEAST_CLUSTER = 0.05  # of a language's texts: a few with a wrong label have no centroid
@@ -136,44 +145,35 @@ def _limit(own: np.ndarray, foreign: np.ndarray) -> float:
     return values[at] - 0.1 * (values[at] - last)
 
 
-def _limits(labels: np.ndarray, classes: np.ndarray, distances: np.ndarray) -> np.ndarray:
-    """The farthest accepted distance by language and length class."""
-    count = distances.shape[1]
-    furthest = np.full((count, LENGTH_CLASSES), FURTHEST)
-    others = distances.copy()
-    others[np.arange(len(labels)), labels] = np.inf
-    foreign = others.min(axis=1)  # as if the text's own language were not known
-    for i in range(count):
+def _limits_of_class(labels: np.ndarray, own: np.ndarray, foreign: np.ndarray, alone: bool) -> dict[int, float]:
+    """Of the languages with enough texts of one length class the farthest accepted distance.
+
+    ``foreign`` is each text's distance as if its own language were not known.
+    """
+    limits = {}
+    for i in np.unique(labels):
+        here = labels == i
+        if here.sum() < LEAST_TEXTS:
+            continue
+        if alone:
+            limits[int(i)] = own[here].mean() + REJECT_SPREADS * max(own[here].std(), LEAST_SPREAD)
+        elif (~here).sum() >= LEAST_FOREIGN:
+            limits[int(i)] = _limit(own[here], foreign[~here])
+    return limits
+
+
+def _furthest(languages: int, limits: dict[tuple[int, int], float]) -> np.ndarray:
+    """Limits by language and length class; a class without one has that of the next shorter one,
+    as texts get closer with length."""
+    furthest = np.full((languages, LENGTH_CLASSES), FURTHEST)
+    for i in range(languages):
         limit = FURTHEST
-        # a class with few texts has the limit of the next shorter one; texts get closer with length
         for c in range(LENGTH_CLASSES):
-            here, others_here = (labels == i) & (classes == c), (labels != i) & (classes == c)
-            if here.sum() >= LEAST_TEXTS:
-                own = distances[here, i]
-                if count == 1:
-                    limit = own.mean() + REJECT_SPREADS * max(own.std(), LEAST_SPREAD)
-                elif others_here.sum() >= LEAST_FOREIGN:
-                    limit = _limit(own, foreign[others_here])
+            limit = limits.get((i, c), limit)
             furthest[i, c] = min(limit, FURTHEST)
     return furthest
 
 
-def _trained(
-    labels: np.ndarray, counts: np.ndarray, measured: Iterable[tuple[np.ndarray, np.ndarray]] | None = None
-) -> Centroids:
-    """From whole texts; ``measured`` are labels and counts of the texts that set the limits."""
-    languages = sorted(set(labels))
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    vectors = _unit(np.log1p(counts) * idf)
-    centers = np.array([_clustered(vectors[labels == lang]) for lang in languages]).astype(np.float32)
-    model = Centroids(languages, idf, centers, np.full((len(languages), LENGTH_CLASSES), FURTHEST))
-    parts = [
-        (np.searchsorted(languages, of), length_class(some), 1 - model.cosines(some).astype(float))
-        for of, some in measured or [(labels, counts)]
-    ]
-    return replace(model, furthest=_limits(*map(np.concatenate, zip(*parts, strict=True))))
-
-
 def _beginnings(text: str) -> Iterator[str]:
     size = 4
     while size < min(len(text), LONGEST_BEGINNING):
@@ -182,33 +182,16 @@ def _beginnings(text: str) -> Iterator[str]:
         size *= 2
 
 
-def _dense(sparse: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and counts of rows with places and counts."""
-    sparse = sparse.combine_chunks()
-    sizes = pc.list_value_length(sparse["places"]).to_numpy()
-    counts = np.zeros((sparse.num_rows, DIMENSIONS))
-    counts[np.repeat(np.arange(len(sizes)), sizes), pc.list_flatten(sparse["places"]).to_numpy()] = pc.list_flatten(
-        sparse["counts"]
-    ).to_numpy()
-    return np.array(sparse["lang"].to_pylist()), counts
+def _dense(rows: list[dict]) -> np.ndarray:
+    """Counts of rows with places and counts."""
+    counts = np.zeros((len(rows), DIMENSIONS))
+    for row, of in zip(counts, rows, strict=True):
+        row[of["places"]] = of["counts"]
+    return counts
 
 
-def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
-    """From rows with key, text and lang; null and letterless texts and null langs are left out."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key", "text"), "key", "text")
-    rows = labelled.select(F.col(key).alias("key"), "text", "lang").where(F.col("lang").isNotNull())
-    # a row per language, like the model; of frequent ones a few times the sample is ranked
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()
-    if not sizes:
-        return None
-    shares = [(r.lang, min(1.0, RANKED * SAMPLE_PER_LANGUAGE / r.rows)) for r in sizes]
-    share = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))
-    few = rows.join(share, "lang").where(
-        (hash_share("key", "text") < F.col("share")) & F.col("text").rlike(r"\p{L}")
-    )
-    sample = few.withColumn("nth", F.row_number().over(order)).where(
-        F.col("nth") <= SAMPLE_PER_LANGUAGE
-    )
+def _counted_sample(sample: DataFrame) -> DataFrame:
+    """``lang, whole, places, counts`` of the sampled texts and of their beginnings."""
 
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 19, ROWS_COUNTED):
@@ -231,15 +214,98 @@ def fit(labelled: DataFrame, key: str = "doc_id") -> Centroids | None:
             ["lang", "whole", "places", "counts"],
         )
 
-    sparse = sample.select("text", "lang").mapInArrow(
+    return sample.select("text", "lang").mapInArrow(
         count_rows, "lang string, whole boolean, places array<short>, counts array<double>"
-    ).toArrow()
-    if not sparse.num_rows:
+    )
+
+
+def _clusters(idf: np.ndarray):
+    """The centroids of one language's sample."""
+
+    def cluster(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        rows.sort(key=lambda r: (sum(r["counts"]), r["places"], r["counts"]))  # they come in any order
+        centers = _clustered(_unit(np.log1p(_dense(rows)) * idf)).astype(np.float32)
+        return pa.table({"lang": [rows[0]["lang"]], "centers": pa.array([centers.tobytes()], pa.binary())})
+
+    return cluster
+
+
+def _measures(model: Centroids):
+    """Of each counted text its language's number, length class, and distances."""
+    number = {language: i for i, language in enumerate(model.languages)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_COUNTED):
+                rows = batch.slice(start, ROWS_COUNTED).to_pylist()
+                labels = np.array([number[r["lang"]] for r in rows])
+                counts = _dense(rows)
+                distances = 1 - model.cosines(counts).astype(float)
+                own = distances[np.arange(len(rows)), labels]
+                distances[np.arange(len(rows)), labels] = np.inf
+                yield pa.RecordBatch.from_pydict({
+                    "label": pa.array(labels, pa.int32()), "class": pa.array(length_class(counts), pa.int32()),
+                    "own": own, "foreign": distances.min(axis=1),
+                })
+
+    return measure
+
+
+def _limits(alone: bool):
+    def limits(table: pa.Table) -> pa.Table:
+        columns = (table[name].to_numpy() for name in ("label", "own", "foreign"))
+        found = _limits_of_class(*columns, alone)
+        return pa.table({
+            "label": pa.array(found, pa.int32()), "class": pa.array([table["class"][0].as_py()] * len(found), pa.int32()),
+            "limit": pa.array(found.values(), pa.float64()),
+        })
+
+    return limits
+
+
+def fit(
+    labelled: DataFrame, key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE, least_rows: int = LEAST_ROWS
+) -> Centroids | None:
+    """From rows with key, text and lang; null and letterless texts and null langs are left out.
+
+    ``per_language`` bounds the rows that a language is learnt from.
+    """
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("key", "text"), "key", "text")
+    rows = labelled.select(F.col(key).alias("key"), "text", "lang").where(F.col("lang").isNotNull())
+    # a row per learnt language, like the model; of frequent ones a few times the sample is ranked
+    frequent = rows.groupBy("lang").agg(F.count("*").alias("rows")).where(F.col("rows") >= least_rows)
+    shares = [(r.lang, min(1.0, RANKED * per_language / r.rows)) for r in frequent.collect()]
+    if not shares:
         return None
-    labels, counts = _dense(sparse.filter(sparse["whole"]))
-    order = np.lexsort((counts.sum(axis=1), labels))  # the rows come in any order
-    measured = (_dense(sparse.slice(i, 1000)) for i in range(0, sparse.num_rows, 1000))
-    return _trained(labels[order], counts[order], measured)
+    share = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))
+    few = rows.join(share, "lang").where(
+        (hash_share("key", "text") < F.col("share")) & F.col("text").rlike(r"\p{L}")
+    )
+    sample = few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
+    sparse = written(_counted_sample(sample), "language-sample")
+
+    whole = sparse.where("whole")
+    texts = whole.count()
+    having = np.zeros(DIMENSIONS)
+    for row in whole.select(F.explode("places").alias("place")).groupBy("place").count().collect():
+        having[row.place] = row["count"]
+    idf = np.log((1 + texts) / (1 + having)) + 1
+    fitted = whole.groupBy("lang").applyInArrow(_clusters(idf), "lang string, centers binary").collect()
+    if not fitted:
+        return None
+    fitted.sort(key=lambda r: r.lang)
+    languages = [r.lang for r in fitted]
+    centers = np.array([np.frombuffer(r.centers, np.float32).reshape(CENTROIDS, DIMENSIONS) for r in fitted])
+    model = Centroids(languages, idf, centers, _furthest(len(languages), {}))
+    limits = (
+        sparse.mapInArrow(_measures(model), "label int, class int, own double, foreign double")
+        .groupBy("class")
+        .applyInArrow(_limits(len(languages) == 1), "label int, class int, limit double")
+        .collect()
+    )
+    limit_of = {(r["label"], r["class"]): r["limit"] for r in limits}
+    return Centroids(languages, idf, centers, _furthest(len(languages), limit_of))
 
 
 def predict(texts: DataFrame, model: Centroids | None, into: tuple[str, str, str]) -> DataFrame:

@@ -87,16 +87,89 @@ def test_counts_are_of_each_text_alone():
         assert (li.counted([text])[0] == together[i]).all()
 
 
-def test_centroid_cosine():
-    rnd = np.random.default_rng(0)
-    counts = rnd.poisson(0.2, (60, li.DIMENSIONS)).astype(float)
-    labels = np.array(["a", "b"] * 30)
-    model = li._trained(labels, counts)
-    best, score, _ = model.predict(counts)
-    vectors = np.log1p(counts) * model.idf
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    cosine = np.array([[max(c @ v for c in centers) for centers in model.centers] for v in vectors])
-    assert (best == cosine.argmax(axis=1)).all() and score == pytest.approx(cosine.max(axis=1), abs=1e-5)
+def plain_model(rows):
+    """The fit as its docstring says it, on one machine: languages, vectors' weights, centroids, limits."""
+    rows = [(t, lang) for t, lang in rows if lang is not None and li._LETTER.search(t or "")]
+    languages = sorted({lang for _, lang in rows})
+    counts = li.counted([t for t, _ in rows])
+    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1
+
+    def vectors(c):
+        v = np.log1p(c) * idf
+        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+    centers = []
+    for language in languages:
+        own = [counts[i] for i, (_, lang) in enumerate(rows) if lang == language]
+        own.sort(key=lambda c: (c.sum(), np.flatnonzero(c).tolist(), c[c > 0].tolist()))
+        centers.append(li._clustered(vectors(np.array(own))))
+
+    def distances(c):
+        v = vectors(c)
+        return np.array([[min(1 - x @ center for center in of) for of in centers] for x in v])
+
+    measured = [(t, lang) for t, lang in rows] + [(b, lang) for t, lang in rows for b in li._beginnings(t)]
+    c = li.counted([t for t, _ in measured])
+    d, classes = distances(c), li.length_class(c)
+    labels = np.array([languages.index(lang) for _, lang in measured])
+    furthest = np.full((len(languages), li.LENGTH_CLASSES), li.FURTHEST)
+    for i in range(len(languages)):
+        limit = li.FURTHEST
+        for k in range(li.LENGTH_CLASSES):
+            own, others = (labels == i) & (classes == k), (labels != i) & (classes == k)
+            if own.sum() >= li.LEAST_TEXTS and others.sum() >= li.LEAST_FOREIGN:
+                hidden = [np.delete(row, label).min() for row, label in zip(d[others], labels[others])]
+                limit = li._limit(d[own, i], np.array(hidden))
+            furthest[i, k] = min(limit, li.FURTHEST)
+    return languages, distances, furthest
+
+
+def test_whole_query_on_planted_rows(spark, folder):
+    rnd = np.random.default_rng(5)
+    alphabets = {"xa": "abcdefgh", "xb": "ijklmnop", "xc": "aeimquty"}
+
+    def text(language, words):
+        return " ".join("".join(rnd.choice(list(alphabets[language]), rnd.integers(2, 8))) for _ in range(words))
+
+    planted = [(i, text(lang, int(rnd.integers(1, 40))), lang) for i, lang in enumerate(["xa", "xb", "xc"] * 50)]
+    planted += [(900 + i, None if i % 2 else "12 34", "xa") for i in range(8)] + [(950, text("xa", 5), None)]
+    planted += [(960 + i, "zzz wwww vvv " * 9, None) for i in range(4)]
+    rows = [(i, t, lang, f"s{i % 3}", len(t or "")) for i, t, lang in planted]
+    spark.createDataFrame(rows, DOCUMENTS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r for r in rows_of(queries.op7_language_id(spark, folder))}
+    held_out = {i: __import__("zlib").crc32(str(i).encode()) % 4 == 2 for i, _, _ in planted}
+    languages, distances, furthest = plain_model([(t, lang) for i, t, lang in planted if not held_out[i]])
+    assert got.keys() == held_out.keys()
+    for i, t, _ in planted:
+        row = got[i]
+        assert row["held_out"] == held_out[i]
+        if not li._LETTER.search(t or ""):
+            assert (row["lang_pred"], row["score"], row["accepted"]) == (li.UNKNOWN, 0.0, False)
+            continue
+        counts = li.counted([t])
+        nearest = distances(counts)[0]
+        best = int(nearest.argmin())
+        assert row["lang_pred"] == languages[best]
+        assert row["score"] == pytest.approx(min(max(1 - nearest[best], 0), 1), abs=1e-5)
+        limit = furthest[best, li.length_class(counts)[0]]
+        if abs(nearest[best] - limit) > 1e-4:
+            assert row["accepted"] == (nearest[best] <= limit)
+    assert not any(got[i]["accepted"] for i in range(960, 964)) and sum(r["accepted"] for r in got.values()) > 120
+
+
+def test_two_hundred_languages_leave_little_with_the_driver(spark):
+    names = F.concat(F.lit("l"), (F.col("id") % 200).cast("string"))
+    word = F.concat(*(F.substring(F.sha2(F.concat_ws("-", F.col("id") % 200, F.col("id") * k % 9), 256), k, 6) for k in (1, 9)))
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.translate(word, "0123456789", "ghijklmnop")] * 3).alias("text"),
+        names.alias("lang"),
+    ).unionByName(spark.range(50).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"), F.concat(F.lit("once "), "id").alias("lang")))
+    model = li.fit(rows, per_language=20)
+    assert len(model.languages) == 200  # labels that occur once are not learnt
+    held = model.centers.nbytes + model.idf.nbytes + model.furthest.nbytes
+    assert held < 200 * 50_000
+    got = li.predict(rows.where("lang not like 'once%'").limit(300), model, NEW)
+    assert got.where("lang_pred = lang").count() >= 270
 
 
 @needs_data
