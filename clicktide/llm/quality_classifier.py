@@ -4,13 +4,15 @@ Bytes are embedded, those that continue a repetition (the last four bytes came b
 to ``REACH`` bytes back) by an embedding of their own; filters respond to overlapping chunks (``WIDTH`` bytes, every
 ``STRIDE``) that cover the whole text; each filter's largest response over all chunks goes
 into two dense layers that give one probability. The network is trained here, on the
-driver, on a bounded sample: ``SAMPLE`` labelled rows, those with the smallest hash of
-their id, and of each at most ``SAMPLE_CHUNKS`` chunks from all over the text. Scoring
-takes every chunk of every text, in pieces of bounded size.
+driver, on a bounded sample: the ``sample`` labelled rows with the smallest hash of their
+id, as far as their texts have ``sample_bytes`` together; a row that would exceed that is
+not learnt from. Training and scoring take every chunk of every text, in pieces of bounded
+size. Of chunks with equal responses the first counts.
 
 A null or empty text is one chunk of padding and gets the score that it has. Rows without
 a label or a text are not learnt from; a row with several labels has the lowest. Without
-labels every score is 0.5. Repeated rows are scored each.
+labels every score is 0.5, and an empty table has no scores. Repeated rows are scored each;
+texts of any length are read whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clicktide.llm.common import few_rows_a_batch, hash_share, small_batches
 
@@ -27,7 +29,7 @@ WIDTH, STRIDE = 16, 8
 EMBEDDING, FILTERS, HIDDEN = 8, 32, 16
 PADDING, SYMBOLS = 256, 514  # bytes, the padding, and repeated bytes
 GRAM, REACH = 4, 24
-SAMPLE, SAMPLE_CHUNKS = 2000, 1024
+SAMPLE, SAMPLE_BYTES = 2000, 64 << 20
 RANKED = 8
 EPOCHS, BATCH, RATE = 8, 16, 3e-3
 PIECE = 1 << 17  # bytes of text whose chunks are held at once
@@ -120,13 +122,30 @@ def score(weights: Weights | None, texts: list[bytes]) -> np.ndarray:
     return _combined(weights, pooled_of(weights, texts))[0].astype(float).ravel()
 
 
-def sampled_chunks(text: bytes, most: int = SAMPLE_CHUNKS) -> bytes:
-    """All chunks of a text, or ``most`` of them evenly from all over it; two bytes a place."""
-    count = _chunk_starts(len(text))
-    padded = np.full((count + 1) * STRIDE, PADDING, np.int16)
+def padded_symbols(text: bytes) -> np.ndarray:
+    """The text's symbols, with padding behind the last chunk."""
+    padded = np.full((_chunk_starts(len(text)) + 1) * STRIDE, PADDING, np.int16)
     padded[: len(text)] = symbols_of(text)
-    starts = np.unique(np.linspace(0, count - 1, min(count, most)).astype(int)) * STRIDE
-    return padded[starts[:, None] + np.arange(WIDTH)].tobytes()
+    return padded
+
+
+def chunks_of(symbols: np.ndarray) -> np.ndarray:
+    """All chunks of padded symbols, as a view."""
+    return np.lib.stride_tricks.sliding_window_view(symbols, WIDTH)[::STRIDE]
+
+
+def _largest(weights: Weights, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each filter the chunk with the largest response, and that response."""
+    step = PIECE // STRIDE
+    winners, largest = chunks[np.zeros(FILTERS, int)], np.full(FILTERS, -1.0, np.float32)
+    for start in range(0, len(chunks), step):
+        piece = chunks[start : start + step]
+        responses = _responses(weights, _embedded(weights, piece))
+        best = responses.argmax(axis=0)
+        response = responses[best, np.arange(FILTERS)]
+        better = response > largest
+        winners[better], largest[better] = piece[best[better]], response[better]
+    return winners, largest
 
 
 def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Weights:
@@ -156,10 +175,9 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Weight
             picked = order[start : start + BATCH]
             pooled, winners = [], []
             for i in picked:
-                responses = _responses(weights, _embedded(weights, chunks[i]))
-                best = responses.argmax(axis=0)
-                winners.append(chunks[i][best])  # filter, width
-                pooled.append(responses[best, np.arange(FILTERS)])
+                winner, largest = _largest(weights, chunks[i])
+                winners.append(winner)  # filter, width
+                pooled.append(largest)
             pooled = np.array(pooled)
             probability, hidden = _combined(weights, pooled)
             wrong = ((probability.ravel() - labels[picked]) / len(picked))[:, None].astype(np.float32)
@@ -191,7 +209,10 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Weight
     return weights
 
 
-def fit(texts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Weights | None:
+def fit(
+    texts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
+    sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
+) -> Weights | None:
     """From the labelled rows of ``texts``; the sampled ids alone are sent to all tasks."""
     labelled = (
         labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
@@ -199,32 +220,46 @@ def fit(texts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
         .groupBy("key")
         .agg(F.min("label").cast("double").alias("label"))
     )
-    share = min(1.0, RANKED * SAMPLE / max(1, labels.count()))
+    share = min(1.0, RANKED * sample / max(1, labels.count()))
     few = labelled.where(hash_share("key") < share)  # a few times the sample is ranked
-    picked = few.orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
+    picked = few.orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = texts.select(F.col(key).alias("key"), "text").where(F.col("text").isNotNull())
+    # at most the sample's rows are ranked by one task, without their texts
+    size = F.octet_length("text").alias("size")
+    order = Window.orderBy("hash", "key", "digest")
+    fitting = (
+        rows.join(F.broadcast(picked), "key")
+        .select("key", F.xxhash64("key").alias("hash"), F.xxhash64("text").alias("digest"), size)
+        .orderBy("hash", "key", "digest")
+        .limit(sample)
+        .withColumn("nth", F.row_number().over(order))
+        .withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("upto") <= sample_bytes)
+        .groupBy("key", "digest")
+        .agg(F.first("hash").alias("hash"))
+    )
 
-    def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def symbol_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            chunks = [sampled_chunks(text.encode()) for text in batch.column(2).to_pylist()]
+            symbols = [padded_symbols(text.encode()).tobytes() for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(chunks, pa.binary())],
-                ["key", "label", "chunks"],
+                [batch.column(0), batch.column(1), pa.array(symbols, pa.binary())], ["hash", "label", "symbols"]
             )
 
-    key_type = rows.schema["key"].dataType.simpleString()
-    sample = (
+    learnt = (
         rows.join(F.broadcast(picked), "key")
-        .select("key", "label", "text")
-        .mapInArrow(chunk_rows, f"key {key_type}, label double, chunks binary")
-        .orderBy(F.xxhash64("key"), "key", "chunks")
-        .limit(SAMPLE)
+        .withColumn("digest", F.xxhash64("text"))
+        .join(F.broadcast(fitting), ["key", "digest"])
+        .select("hash", "label", "text")
+        .mapInArrow(symbol_rows, "hash long, label double, symbols binary")
+        .orderBy("hash", "symbols")
+        .limit(sample)
         .toArrow()
     )
-    if not sample.num_rows:
+    if not learnt.num_rows:
         return None
-    chunks = [np.frombuffer(c, np.int16).reshape(-1, WIDTH) for c in sample["chunks"].to_pylist()]
-    return train(chunks, np.array(sample["label"].to_pylist()))
+    chunks = [chunks_of(np.frombuffer(symbols, np.int16)) for symbols in learnt["symbols"].to_pylist()]
+    return train(chunks, np.array(learnt["label"].to_pylist()))
 
 
 def classify(texts: DataFrame, weights: Weights | None, key: str = "doc_id") -> DataFrame:

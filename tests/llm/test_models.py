@@ -220,13 +220,65 @@ def test_training_follows_the_gradient():
     words = ["".join(w) for w in np.random.default_rng(3).choice(list("abcdefgh"), (400, 6))]
     texts = [" ".join(words[i : i + 9]) for i in range(200)]
     texts += [" ".join(w + "#%&"[i % 3] * 3 for w in words[i : i + 9]) for i in range(200)]
-    chunks = [np.frombuffer(qc.sampled_chunks(t.encode()), np.int16).reshape(-1, qc.WIDTH) for t in texts]
+    chunks = [qc.chunks_of(qc.padded_symbols(t.encode())) for t in texts]
     weights = qc.train(chunks, np.repeat([1.0, 0.0], 200))
     new = words[300:309]
     score = qc.score(weights, [" ".join(new).encode(), " ".join(w + "###" for w in new).encode()])
     assert score[0] > 0.7 > 0.3 > score[1]
 
 
+def test_training_sees_every_chunk(monkeypatch):
+    rng = np.random.default_rng(4)
+    weights = random_weights(2)
+    text = rng.integers(0, 256, 30_000, np.uint8).tobytes()
+    chunks = qc.chunks_of(qc.padded_symbols(text))
+    assert len(chunks) == -(-len(text) // qc.STRIDE)
+    whole = qc._responses(weights, qc._embedded(weights, chunks))
+    monkeypatch.setattr(qc, "PIECE", 1000)  # many pieces
+    winners, largest = qc._largest(weights, chunks)
+    assert largest == pytest.approx(whole.max(axis=0), rel=1e-5)
+    assert largest == pytest.approx(qc.pooled_of(weights, [text])[0], rel=1e-4)
+    assert (winners == chunks[whole.argmax(axis=0)]).all()
+
+
+def test_sample_is_bounded_by_rows_and_bytes(spark, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(qc, "train", lambda chunks, labels: learnt.append((len(chunks), sum(map(len, chunks)))))
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 40).alias("text"))
+    labels = rows.select("doc_id", F.lit(1).alias("quality"))
+    for options in ({}, {"sample": 50}, {"sample_bytes": 200 * 30}):
+        qc.fit(rows, labels, **options)
+    assert [n for n, _ in learnt] == [400, 50, 30] and all(size == 25 * n for n, size in learnt)
+
+
+@needs_data
+def test_whole_quality_query_on_one_machine(spark):
+    documents = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    labels = {}
+    for r in spark.read.parquet(f"{SF}/labels.parquet").collect():
+        if r.quality is not None and __import__("zlib").crc32(str(r.doc_id).encode()) % 5:
+            labels[r.doc_id] = min(r.quality, labels.get(r.doc_id, 9))
+    order = {r.doc_id: r.hash for r in spark.createDataFrame([(i,) for i in labels], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("hash")).collect()}
+    learnt = [i for i in labels if documents.get(i) is not None]
+    learnt.sort(key=lambda i: (order[i], qc.padded_symbols(documents[i].encode()).tobytes()))
+    chunks = [qc.chunks_of(qc.padded_symbols(documents[i].encode())) for i in learnt]
+    weights = qc.train(chunks, np.array([float(labels[i]) for i in learnt]))
+
+    def plain(text):  # one chunk after the other
+        pieces = qc.chunks_of(qc.padded_symbols((text or "").encode()))
+        pooled = np.max([qc._responses(weights, qc._embedded(weights, piece[None]))[0] for piece in pieces], axis=0)
+        hidden = np.maximum(pooled @ weights["dense"] + weights["dense_bias"], 0)
+        return 1 / (1 + np.exp(-float(hidden @ weights["out"][:, 0] + weights["out_bias"][0])))
+
+    got = {r["doc_id"]: r for r in rows_of(queries.op9_quality_classifier(spark, SF))}
+    assert got.keys() == documents.keys()
+    for i, text in documents.items():
+        expected = plain(text)
+        assert got[i]["score"] == pytest.approx(expected, abs=1e-3)
+        if abs(expected - 0.3) > 1e-3:
+            assert got[i]["predicted"] == (expected >= 0.3)
+
+
 def test_quality_of_awkward_rows(spark):
     frame = awkward(spark)
     labels = spark.createDataFrame([(4, 1), (5, 0), (5, 1), (6, None), (None, 1), (99, 0)], "doc_id long, quality int")
