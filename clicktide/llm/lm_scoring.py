@@ -33,12 +33,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import few_rows_a_batch, hash64, small_batches, text_bytes, written
+from clicktide.llm.common import few_rows_a_batch, hash64, small_batches, tasks_for, text_bytes, written
 
 DEPTH = 4
 EDGE = 0xFF
 BLOCK_BYTES = 16 << 20  # of text in a block
 CHUNK_BYTES = 1 << 20  # of text whose contexts are held as numbers at once
+KEYS_HELD = 1 << 17  # contexts with a byte that are worked at once, unless two last bytes have more
 END = b"\xff"  # the end token's place among the words
 WORD, CONTEXT = 0, 1
 
@@ -167,25 +168,34 @@ def _levels(keys: np.ndarray, counts: np.ndarray) -> list[Level]:
     return levels
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return keys, counts
+def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of rows that are sorted by their contexts' last two bytes, some whole
+    groups of these at a time: no more than ``KEYS_HELD`` keys, or one group."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        keys = np.r_[keys, batch.column("key").to_numpy()]
+        counts = np.r_[counts, batch.column("n").to_numpy()]
+        while len(keys) > KEYS_HELD:
+            pairs = (keys >> 8) & 0xFFFF
+            ends = np.flatnonzero(pairs[1:] != pairs[:-1]) + 1
+            if not len(ends):
+                break  # the group goes on in the next batch
+            cut = int(ends[max(0, np.searchsorted(ends, KEYS_HELD, side="right") - 1)])
+            yield keys[:cut], counts[:cut]
+            keys, counts = keys[cut:], counts[cut:]
+    if len(keys):
+        yield keys, counts
 
 
 def _top_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What contexts of two bytes give their parents, by last byte and bit prefix."""
-    keys, counts = _gathered(batches)
-    if not len(keys):
-        return
-    top = _levels(keys, counts)[-1]
-    parent, place = np.unique(top.nodes & 0xFFFF, return_inverse=True)
-    sums = [np.bincount(place, x, len(parent)) for x in (*top.counts, top.weighted)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (parent, *sums)], ["node", "zeros", "ones", "children"]
-    )
+    for keys, counts in _pairs_of(batches):
+        top = _levels(keys, counts)[-1]
+        parent, place = np.unique(top.nodes & 0xFFFF, return_inverse=True)
+        sums = [np.bincount(place, x, len(parent)) for x in (*top.counts, top.weighted)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (parent, *sums)], ["node", "zeros", "ones", "children"]
+        )
 
 
 class TreeTop:
@@ -222,7 +232,8 @@ def log_probabilities(keys: np.ndarray, counts: np.ndarray, top: TreeTop) -> np.
 def context_scores(contexts: DataFrame) -> DataFrame:
     """``key`` and ``value``: the log10 probabilities, from ``key`` and training count ``n``."""
     last_two = F.shiftright("key", 8).bitwiseAND(0xFFFF)
-    dealt = written(contexts, "lm-contexts").repartition(last_two)
+    kept = written(contexts, "lm-contexts")
+    dealt = kept.repartition(tasks_for(kept), last_two).sortWithinPartitions(last_two)
     top = TreeTop(
         dealt.mapInArrow(_top_sums, "node long, zeros double, ones double, children double")
         .groupBy("node")
@@ -231,11 +242,10 @@ def context_scores(contexts: DataFrame) -> DataFrame:
     )
 
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = _gathered(batches)
-        if len(keys):
+        for keys, counts in _pairs_of(batches):
             values = log_probabilities(keys, counts, top)
-            for at in range(0, len(keys), 1 << 17):
-                part = slice(at, at + (1 << 17))
+            for at in range(0, len(keys), KEYS_HELD):
+                part = slice(at, at + KEYS_HELD)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[part]), pa.array(values[part])], ["key", "value"]
                 )
