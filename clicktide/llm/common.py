@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -54,6 +55,18 @@ def tasks_for(rows: DataFrame, bytes_each: int = 32 << 20) -> int:
     return least if planned >= 1 << 60 else max(least, -(-planned // bytes_each))
 
 
+@contextmanager
+def shuffles_for(rows: DataFrame) -> Iterator[None]:
+    """Run the block with ``tasks_for(rows)`` shuffle partitions, then restore the session's number."""
+    conf, name = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before, tasks = conf.get(name), tasks_for(rows)
+    conf.set(name, str(tasks))
+    try:
+        yield
+    finally:
+        conf.set(name, before)
+
+
 def joined_to_totals(rows: DataFrame, totals: DataFrame, on: list[str], size: str, share: int = 1000) -> DataFrame:
     """Inner join of rows with one row of totals for each key, whatever share a key holds.
 

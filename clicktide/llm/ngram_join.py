@@ -35,7 +35,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import few_rows_a_batch, hash64, small_batches, text_bytes, written
+from clicktide.llm.common import (
+    few_rows_a_batch, hash64, joined_to_totals, shuffles_for, small_batches, text_bytes, written,
+)
 from clicktide.llm.components import components
 
 WORDS = 5
@@ -329,9 +331,11 @@ def head_postings(sets: DataFrame) -> DataFrame:
     take places but are not returned.
     """
     grams = sets.select("set", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    frequency = grams.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
+    frequency = written(
+        grams.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1"), "ngram-frequencies"
+    )
     ordered = (
-        grams.join(frequency, "gram")
+        joined_to_totals(grams, frequency, ["gram"], "classes")
         .groupBy("set", "n")
         .agg(F.array_sort(F.collect_list(F.struct("classes", "gram"))).alias("order"))
     )
@@ -347,8 +351,9 @@ def groups_of(postings: DataFrame) -> DataFrame:
     All pairs of classes with a common head n-gram are together in a group, that of the
     bucket's smallest name. The bucket itself is never gathered.
     """
+    postings = written(postings, "ngram-heads")
     leaders = postings.groupBy("gram").agg(F.min("set").alias("leader"), F.count("*").alias("of"))
-    members = postings.join(leaders.where("of > 1").drop("of"), "gram")
+    members = joined_to_totals(postings, written(leaders.where("of > 1"), "ngram-leaders"), ["gram"], "of")
     return members.select("leader", "set", "n").distinct()
 
 
@@ -498,23 +503,28 @@ def near_copies(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     ``set`` names the row's set of n-grams and ``group`` its component; rows with equal
     ``group`` are near copies of each other, directly or over others.
     """
-    documents, shared = profiles(texts, key)
-    sets = classes_with_links(texts, key, documents, shared)
-    roots = components(links(sets))
-    in_group = documents.join(roots, F.col("set") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "set", F.coalesce("root", "set").alias("group")
-    )
-    smallest = (
-        in_group.where(F.col("group").isNotNull())
-        .groupBy("group")
-        .agg(F.min("doc_id").alias("component_id"))
-        .withColumnRenamed("group", "of_group")
-    )
-    return in_group.join(smallest, F.col("group") == F.col("of_group"), "left").select(
+    with shuffles_for(texts):
+        documents, shared = profiles(texts, key)
+        roots = components(links(classes_with_links(texts, key, documents, shared)))
+        classes = documents.groupBy("set").agg(F.count("*").alias("rows_of_set"), F.min("doc_id").alias("least"))
+        group = F.coalesce("root", "set").alias("group")
+        grouped = written(
+            classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rows_of_set", "least", group),
+            "ngram-grouped",
+        )
+        # a null set, of texts without words, is a class here, but no group
+        smallest = written(
+            grouped.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("sets_of_group")),
+            "ngram-groups",
+        )
+        named = written(
+            joined_to_totals(grouped.drop("least"), smallest, ["group"], "sets_of_group"), "ngram-components"
+        )
+    of_set = named.select("set", "rows_of_set", "group", "component_id")
+    return joined_to_totals(documents, of_set, ["set"], "rows_of_set").select(
         F.col("doc_id").alias(key),
-        "n_shingles",
+        F.col("n").alias("n_shingles"),
         "set",
         "group",
         F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
-

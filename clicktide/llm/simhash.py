@@ -36,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicktide.llm.common import few_rows_a_batch, joined_to_totals, small_batches, written
+from clicktide.llm.common import few_rows_a_batch, joined_to_totals, shuffles_for, small_batches, written
 from clicktide.llm.components import components
 
 BITS, SHINGLE_WORDS, SEED = 64, 3, 42
@@ -234,19 +234,20 @@ def links(classes: DataFrame, masks: list[int]) -> DataFrame:
 
 def near_copies(documents: DataFrame) -> DataFrame:
     """``doc_id, fingerprint, component_id, n_rows``: the last is the number of rows of the fingerprint."""
-    rows = written(fingerprints(documents), "fingerprints")
-    counted = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("id"), F.count("*").alias("n_rows"))
-    node = F.struct(F.col("id").isNull().alias("no_id"), "id", "fingerprint")
-    classes = written(counted.withColumn("node", node), "simhash-classes")
-    sample = [r.fingerprint for r in classes.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()]
-    if len(sample) > 1:
-        linked = links(classes, probe_masks(sample, classes.count()))
-        roots = components(linked).select("node", F.col("root.id").alias("component_id"))
-        classes = written(
-            classes.join(roots, "node", "left").withColumn("component_id", F.coalesce("component_id", "id")),
-            "simhash-components",
-        )
-    else:
-        classes = classes.withColumn("component_id", F.col("id"))
+    with shuffles_for(documents):
+        rows = written(fingerprints(documents), "fingerprints")
+        counted = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("id"), F.count("*").alias("n_rows"))
+        node = F.struct(F.col("id").isNull().alias("no_id"), "id", "fingerprint")
+        classes = written(counted.withColumn("node", node), "simhash-classes")
+        sample = [r.fingerprint for r in classes.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()]
+        if len(sample) > 1:
+            linked = links(classes, probe_masks(sample, classes.count()))
+            roots = components(linked).select("node", F.col("root.id").alias("component_id"))
+            classes = written(
+                classes.join(roots, "node", "left").withColumn("component_id", F.coalesce("component_id", "id")),
+                "simhash-components",
+            )
+        else:
+            classes = classes.withColumn("component_id", F.col("id"))
     totals = classes.select("fingerprint", "component_id", "n_rows")
     return joined_to_totals(rows, totals, ["fingerprint"], "n_rows")
