@@ -50,12 +50,22 @@ class AlertChanges:
 
     def _changes(self, batch: DataFrame, batch_id: int) -> DataFrame:
         before = self.table.read(batch.sparkSession, batch_id, like=batch)
-        was = before.where(self._rule()).select(*(F.col(key).alias(f"_{key}") for key in self.table.keys))
-        same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in self.table.keys]
-        was_alert, is_alert = F.coalesce("_was", F.lit(False)), self._rule()
-        compared = batch.join(was.withColumn("_was", F.lit(True)), same, "left")
-        changed = compared.where(was_alert != is_alert)
-        change = F.when(is_alert, RAISED).otherwise(WITHDRAWN).alias("change")
+        keys = [F.col(key) for key in self.table.keys]
+        rest = [name for name in self.table.schema.names if name not in self.table.keys]
+        now = batch.select(*keys, F.struct(*rest).alias("_now"), F.lit(False).alias("_was"))
+        was = before.where(self._rule()).select(
+            *keys, F.lit(None).cast(now.schema["_now"].dataType).alias("_now"), F.lit(True).alias("_was")
+        )
+        # one shuffle by window compares them; a window outside the batch has not changed
+        compared = (
+            now.unionByName(was)
+            .groupBy(*self.table.keys)
+            .agg(F.first("_now", ignorenulls=True).alias("_now"), F.max("_was").alias("_was"))
+            .where(F.col("_now").isNotNull())
+            .select(*self.table.keys, "_now.*", "_was")
+        )
+        change = F.when(self._rule(), RAISED).otherwise(WITHDRAWN).alias("change")
+        changed = compared.where(F.col("_was") != self._rule())
         return with_alert_texts(changed).select(*ALERT_COLUMNS, change)
 
     def _rule(self) -> Column:
