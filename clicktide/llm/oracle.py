@@ -22,35 +22,43 @@ _VALID = {
         lambda r, c: CASE WHEN c >= 65 THEN (r * 100 + c - 55) % 97 ELSE (r * 10 + c - 48) % 97 END) = 1""",
     "ssn": "regexp_full_match(v, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND v[:3] NOT IN ('000', '666') "
     "AND v[1] <> '9' AND v[5:6] <> '00' AND v[8:] <> '0000'",
+    "local_phone": r"regexp_full_match(v, '(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}')",
 }
 _PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "local_phone": r"[+(]?[0-9]+(?:[ ().-]{1,3}[0-9]+)*",
 }
 
 
 def _kind_sql(kind: pii.Kind) -> str:
-    """A list of 'kind:start:end' per document."""
+    """Lists of the spans as 'kind:start:end' and of their scores in percent, per document."""
     pattern = _PATTERNS.get(kind.name, kind.pattern.replace("++", "+"))
-    bar = f"{kind.score} >= {pii.MIN_SCORE}"
     start = (
         "list_sum(list_transform(parts[:i], lambda p: length(p)))"
         " + coalesce(list_sum(list_transform(vals[:i - 1], lambda p: length(p))), 0)"
     )
     near = (
-        f"regexp_matches(lower(right(left(t, CAST({start} AS BIGINT)), {pii.CONTEXT_CHARS}) || ' ' || "
-        f"left(substr(t, CAST({start} AS BIGINT) + length(vals[i]) + 1), {pii.CONTEXT_CHARS})), '{kind.context}')"
+        f"lower(right(left(t, CAST({start} AS BIGINT)), {pii.CONTEXT_CHARS}) || ' ' || "
+        f"left(substr(t, CAST({start} AS BIGINT) + length(vals[i]) + 1), {pii.CONTEXT_CHARS}))"
+    )
+    score = (
+        f"CASE WHEN regexp_matches({near}, '{kind.context}') THEN {round(100 * kind.raised)} "
+        f"WHEN regexp_matches({near}, '{kind.against}') THEN {round(100 * kind.lowered)} "
+        f"ELSE {round(100 * kind.score)} END"
     )
-    raised = f"({bar} OR ({near} AND {kind.score + kind.raise_by} >= {pii.MIN_SCORE}))"
     valid = _VALID[kind.name].replace("(v", "(vals[i]").replace(" v[", " vals[i][").replace("v,", "vals[i],")
     return f"""
-    SELECT row_id, list_transform(list_filter(range(1, len(vals) + 1),
-               lambda i: ({valid}) AND {raised}),
-               lambda i: '{kind.name}:' || CAST({start} AS BIGINT) || ':'
-                         || CAST({start} + length(vals[i]) AS BIGINT)) AS {kind.name}
-    FROM (SELECT row_id, t, string_split_regex(t, '{pattern}') AS parts,
-                 regexp_extract_all(t, '{pattern}') AS vals FROM d)"""
+    SELECT row_id, list_transform(found, lambda f: f.span) AS {kind.name},
+           list_transform(found, lambda f: f.score) AS {kind.name}_scores
+    FROM (SELECT row_id, list_filter(list_transform(list_filter(range(1, len(vals) + 1), lambda i: {valid}),
+              lambda i: {{'span': '{kind.name}:' || CAST({start} AS BIGINT) || ':'
+                                  || CAST({start} + length(vals[i]) AS BIGINT),
+                          'score': {score}}}),
+              lambda f: f.score >= {round(100 * kind.least)}) AS found
+          FROM (SELECT row_id, t, string_split_regex(t, '{pattern}') AS parts,
+                       regexp_extract_all(t, '{pattern}') AS vals FROM d))"""
 
 
 def pii_sql() -> str:
@@ -59,10 +67,11 @@ def pii_sql() -> str:
     counts = ", ".join(f"CAST(len({n}) AS BIGINT) AS n_{n}" for n in pii.BASE_KINDS)
     base = f"list_concat({', '.join(pii.BASE_KINDS)})"
     every = f"list_concat({', '.join(names)})"
+    scores = f"list_concat({', '.join(f'{n}_scores' for n in names)})"
     return f"""
     WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents)
     SELECT doc_id, {counts}, sha256(array_to_string({base}, ',')) AS base_sha256,
-           array_to_string({every}, ',') AS spans
+           array_to_string({every}, ',') AS spans, array_to_string({scores}, ',') AS scores
     FROM d {found}"""
 
 

@@ -3,19 +3,23 @@
 DataFrame functions only. Every kind has a pattern; its matches are the leftmost ones
 that do not overlap, found with one split and one extraction of the whole text, so their
 places follow from the lengths of the pieces. A match that a kind's validator rejects is
-dropped and not tried again. The score of a span is the kind's own, plus what a passed
-checksum and a context word near the span add; spans below ``MIN_SCORE`` go. Near are the
-``CONTEXT_CHARS`` code points on each side, whatever else matches in them.
+dropped and not tried again. The score of a span is the kind's own, which a context word near
+the span raises; where there is none, a word that speaks against the kind (a version number
+is no address, an order number no card) lowers it. Near are the ``CONTEXT_CHARS`` code points
+on each side, whatever else matches in them.
 
-The four base kinds (email, ip, card, phone) stand above the bar by themselves. IBANs need
-the mod-97 checksum, social security numbers a context word.
+The four base kinds (email, ip, card, phone) stay at any score: those below ``MIN_SCORE`` are
+doubtful, and callers can leave them out by the score. Spans of other kinds go below
+it. An IBAN needs the mod-97 checksum and no word against it, or a context word;
+social security numbers and phone numbers without a country code need a context word.
 
 The patterns match possessively and only at the start of a run of their characters, or
 where the last match ended: the same matches as without, but linear on any text and
 without recursion in Java's matcher.
 
 A null text is treated as empty: no spans. Starts and ends count code points, the end is
-exclusive. Repeated rows give the same spans each. Other columns are not read.
+exclusive. Equal rows give the same spans each; spans of different kinds may overlap. Very
+long texts are read whole. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -90,6 +94,11 @@ def _ssn(value: Column) -> Column:
     return value.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
 
 
+def _local_phone(value: Column) -> Column:
+    """The whole run of digit groups is area, exchange and line, without a country code."""
+    return value.rlike(r"^(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}$")
+
+
 def _always(value: Column) -> Column:
     return F.lit(True)
 
@@ -102,44 +111,70 @@ class Kind:
     valid: object
     score: float  # of a confirmed match
     context: str  # words that raise the score
+    against: str  # words that lower it where no context word is near
     raise_by: float = 0.2
+    lower_by: float = 0.25
+
+    @property
+    def raised(self) -> float:
+        return round(self.score + self.raise_by, 3)
 
+    @property
+    def lowered(self) -> float:
+        return round(self.score - self.lower_by, 3)
 
+    @property
+    def least(self) -> float:
+        """Spans of a lower score go."""
+        return 0.0 if self.name in BASE_KINDS else MIN_SCORE
+
+
+BASE_KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
+_CALLED = r"\b(?:phone|tel|call|mobile|fax|whatsapp)\b"
+_NUMBERED = r"\b(?:order|invoice|serial|part|item|isbn|imei|tracking|ticket|version)\b"
+_VERSIONED = r"\b(?:version|release|build|firmware|driver|section|chapter|paragraph)\b"
 KINDS = (
     Kind(
         "email",
         rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         "@", _always, 0.8, r"\b(?:e-?mail|mail|contact|write)\b",
+        r"\b(?:package|commit|git|ssh|scp|npm)\b",
     ),
     Kind(
         "ip",
         r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-        r"[0-9]\.[0-9]", _ip, 0.6, r"\b(?:ip|host|server|address|login)\b",
+        r"[0-9]\.[0-9]", _ip, 0.6, r"\b(?:ip|host|server|address|login)\b", _VERSIONED,
     ),
     Kind(
         "card",
         r"[0-9](?:[\x20-]?[0-9])++",
         "[0-9]{2}|[0-9][ -][0-9]", _card, 0.7,
-        r"\b(?:card|visa|mastercard|amex|credit|debit|payment)\b",
+        r"\b(?:card|visa|mastercard|amex|credit|debit|payment)\b", _NUMBERED,
     ),
     Kind(
         "phone",
         r"\+[0-9][\x20().0-9-]+[0-9]",
-        r"\+[0-9]", _phone, 0.6, r"\b(?:phone|tel|call|mobile|fax|whatsapp)\b",
+        r"\+[0-9]", _phone, 0.6, _CALLED, _NUMBERED,
     ),
     Kind(
         "iban",
         r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
         "[A-Z]{2}[0-9]{2}", _iban, 0.7, r"\b(?:iban|account|bank|konto|cuenta|compte)\b",
+        _NUMBERED,
     ),
     Kind(
         "ssn",
         "[0-9-]++",
         "[0-9]{3}-[0-9]{2}-", _ssn, 0.35, r"\b(?:ssn|social security|tax id)\b",
+        _NUMBERED,
+    ),
+    Kind(
+        "local_phone",
+        r"[+(]?[0-9]++(?:[ ().-]{1,3}+[0-9]++)*+",
+        "[0-9]{3}[ .-][0-9]{3}", _local_phone, 0.45, _CALLED, _NUMBERED,
     ),
 )
-BASE_KINDS = ("email", "ip", "card", "phone")
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -219,12 +254,13 @@ def findings_of(text: Column, kind: Kind) -> Column:
     """The kind's confirmed spans with their scores, by start."""
 
     def scored(spans: Column, span: Column) -> Column:
-        near = F.lower(_near(spans, span)).rlike(kind.context)
+        near = F.lower(_near(spans, span))
+        score = F.when(near.rlike(kind.context), kind.raised).when(near.rlike(kind.against), kind.lowered)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             span["start"].alias("start"),
             span["end"].alias("end"),
-            F.when(near, round(kind.score + kind.raise_by, 3)).otherwise(kind.score).alias("score"),
+            score.otherwise(kind.score).alias("score"),
         )
 
     def all_scored(spans: Column) -> Column:
@@ -233,7 +269,7 @@ def findings_of(text: Column, kind: Kind) -> Column:
         return F.transform(confirmed, lambda span: scored(spans, span))
 
     found = computed_once(located(text, kind.pattern), all_scored)
-    kept = F.filter(found, lambda f: f["score"] >= MIN_SCORE)
+    kept = F.filter(found, lambda f: f["score"] >= kind.least)
     none = F.array().cast(_FINDINGS)
     return F.when(text.rlike(kind.hint), kept.cast(_FINDINGS)).otherwise(none)
 
@@ -254,6 +290,11 @@ def span_list(findings: Column) -> Column:
     )
 
 
+def score_list(findings: Column) -> Column:
+    """The scores in percent, in the order of ``span_list``, joined by commas."""
+    return F.array_join(F.transform(findings, lambda f: F.round(f["score"] * 100).cast("int").cast("string")), ",")
+
+
 def masked(text: Column, findings: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans as one."""
     ordered = F.array_sort(

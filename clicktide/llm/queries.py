@@ -51,6 +51,7 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
         *(F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS),
         F.sha2(pii.span_list(base), 256).alias("base_sha256"),
         pii.span_list(F.col("findings")).alias("spans"),
+        pii.score_list(F.col("findings")).alias("scores"),
     )
 
 

@@ -7,8 +7,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from clicktide.llm import queries
-from tests.llm.helpers import SF, needs_data, random_texts
+from clicktide.llm import pii, queries
+from tests.llm.helpers import SF, documents_of, needs_data, random_texts
 
 BIG = SF.replace("0.001", "0.01")
 
@@ -53,3 +53,21 @@ def test_planted_rows_match_sql(spark, folder, name):
     if name == "op1_pii":
         spans = ",".join(found["spans"])
         assert all(f"{kind}:" in spans for kind in ("email", "ip", "card", "phone", "iban", "ssn"))
+
+
+def test_scores_match_sql(spark, folder):
+    planted = [*PLANTED, "call ", "order ", "version ", "host ", "bank ", "serial ", "tel (017) 555-7713 ", "030 1234 5678 ",
+               "017.555.7713, ", "+1 (017) 555-7713 ", "(", "- ", "git ", "visa ", "a@b.cd ", "some longer words between these ones "]
+    texts = random_texts(600, planted, 20, seed=3) + random_texts(900, planted, 3, seed=4)
+    documents_of(spark, texts).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    found = compare(spark, "op1_pii", folder, connection)
+    kinds = {kind.name: kind for kind in pii.KINDS}
+    seen = set()
+    for spans, scores in zip(found["spans"], found["scores"], strict=True):
+        pairs = zip(spans.split(","), scores.split(","), strict=True) if spans else ()
+        seen.update((span.split(":")[0], int(score)) for span, score in pairs)
+    for name, kind in kinds.items():
+        possible = {round(100 * s) for s in (kind.raised, kind.score, kind.lowered) if s >= kind.least}
+        assert {score for of, score in seen if of == name} == possible, name

@@ -138,6 +138,53 @@ def test_context_raises_the_score(spark):
     assert near > plain >= pii.MIN_SCORE
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("call (017) 555-7713 now", [("local_phone", 0.65)]),
+        ("tel. 030 1234 5678.", [("local_phone", 0.65)]),
+        ("(017) 555-7713 stands alone", []),
+        ("order 017-555-7713 was sent", []),
+        ("call about order 017-555-7713", [("local_phone", 0.65)]),
+        ("call 017-555-7713-99", []),
+        ("call +1 (017) 555-7713", [("phone", 0.8)]),
+        ("order +1 (017) 555-7713", [("phone", 0.35)]),
+        ("+1 (017) 555-7713", [("phone", 0.6)]),
+        ("firmware 1.2.3.4", [("ip", 0.35)]),
+        ("firmware of the server 1.2.3.4", [("ip", 0.8)]),
+        ("serial 4111111111111111", [("card", 0.45)]),
+        ("GB82 WEST 1234 5698 7654 32", [("iban", 0.7)]),
+        ("part GB82 WEST 1234 5698 7654 32", []),
+        ("part of the account GB82 WEST 1234 5698 7654 32", [("iban", 0.9)]),
+        ("git clone git@code.example.org", [("email", 0.55)]),
+    ],
+)
+def test_context_speaks_for_and_against(spark, text, found):
+    findings = pii.find_pii(documents_of(spark, [text])).first().findings
+    assert [(f.kind, f.score) for f in findings] == found
+
+
+def test_local_phones_on_random_texts(spark):
+    words = ["017", "555", "7713", "-", ".", " ", "  ", "(", ")", "+", "+1 ", "call ", "order ", "x", "é😀", "\n",
+             "(017) 555-7713", "030 1234 5678"]
+    texts = random_texts(3000, words, 14, seed=7) + ["1 (" * 30_000, "call 017-555-7713 x " * 2000, "(" * 50_000 + "1"]
+    rows = pii.find_pii(documents_of(spark, texts)).select("text", "findings").collect()
+    kinds = {k.name: k for k in pii.KINDS}
+    kind = kinds["local_phone"]
+    some = 0
+    for row in rows:
+        expected = []
+        for m in re.finditer(r"[+(]?[0-9]+(?:[ ().-]{1,3}[0-9]+)*", row.text):
+            near = f"{row.text[max(m.start() - 40, 0):m.start()]} {row.text[m.end():m.end() + 40]}".lower()
+            whole = re.fullmatch(r"(\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}", m.group())
+            if whole and re.search(kind.context, near, re.A):
+                expected.append((m.start(), m.end(), kind.raised))
+        got = [(f.start, f.end, f.score) for f in row.findings if f.kind == "local_phone"]
+        assert got == expected, row.text[:200]
+        some += len(got)
+    assert some > 2100
+
+
 def test_masking(spark):
     frame = pii.find_pii(documents_of(spark, ["é a@b.cd and 1.2.3.4!", "none", None]))
     got = [r.m for r in frame.orderBy("doc_id").select(pii.masked(F.col("text"), F.col("findings")).alias("m")).collect()]
