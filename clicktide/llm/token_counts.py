@@ -1,14 +1,17 @@
 """Token counts of a sentencepiece BPE model, whole tokens by look-up.
 
-Offline, from the vocabulary alone, two things are proved. First, no piece has the
-word mark U+2581 behind another character, so no merge crosses the start of a word and
-a text's count is the sum over its words, each with the blanks before it. Second, which
-vocabulary strings come back as that one token when encoded alone; these words count 1
-at a look-up. Only other words are merged by the library, each distinct one once while
-it is remembered. A model without the first property is encoded text by text.
-
-Nulls and empty texts have no tokens. Repeated rows are counted each. The mark itself
-in a text is the same to the model as a space.
+Offline, from the model file alone, three things are proved. First, its normaliser has an
+empty character map and only writes blanks as the word mark U+2581, with one before the
+text, so words reach the merges as they are. Second, no piece has the mark behind another
+character, so no merge crosses the start of a word and a text's count is the sum over its
+words, each with the blanks before it. Third, which vocabulary strings come back as that one
+token when encoded alone; these words count 1 at a look-up. Only other words are merged by
+the library, each distinct one once while it is remembered. A model without the first two
+properties is encoded text by text.
+
+Nulls and empty texts have no tokens. Equal rows are counted each, and alike. Texts of any
+length are counted whole. An empty table gives no rows. The mark itself in a text is the
+same to the model as a space.
 """
 
 from __future__ import annotations
@@ -20,13 +23,24 @@ from functools import lru_cache
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
+from sentencepiece.sentencepiece_model_pb2 import ModelProto
 
 from clicktide.llm.common import few_rows_a_batch, small_batches
 
 MARK = "▁"
 MEMO_ENTRIES = 300_000
-# Blanks, control and compatibility characters that a normaliser would change.
-PROBE = "  AﬁＡ ​\t\r\n  b́ "
+
+
+def keeps_words(model: ModelProto) -> bool:
+    """Whether the model's normaliser changes no character but blanks, each into a mark."""
+    spec = model.normalizer_spec
+    return (
+        not spec.precompiled_charsmap
+        and spec.add_dummy_prefix
+        and spec.escape_whitespaces
+        and not spec.remove_extra_whitespaces
+        and not model.trainer_spec.treat_whitespace_as_suffix
+    )
 
 
 class PieceCounter:
@@ -38,10 +52,8 @@ class PieceCounter:
             for i in range(size)
             if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i))
         ]
-        self.by_word = (
-            all(MARK not in piece.lstrip(MARK) for piece in pieces)
-            and self.model.normalize(PROBE) == MARK + PROBE.replace(" ", MARK)
-        )
+        proto = ModelProto.FromString(self.model.serialized_model_proto())
+        self.by_word = keeps_words(proto) and all(MARK not in piece.lstrip(MARK) for piece in pieces)
         words = [p[1:] for p in pieces if p[0] == MARK and len(p) > 1 and p[1] != MARK]
         encoded = self.model.encode(words, num_threads=1)
         self.whole = {word: 1 for word, ids in zip(words, encoded, strict=True) if len(ids) == 1}

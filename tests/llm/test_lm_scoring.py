@@ -1,6 +1,7 @@
 """Context-tree weighting against the recursion of its definition."""
 
 import math
+import random
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -135,6 +136,21 @@ def test_whole_table(spark):
     assert all(r["score"] < 0 for r in got)
 
 
+def test_whole_query_by_the_definition(spark, folder):
+    """The query over a planted table, every score by the recursion; equal texts score alike."""
+    rnd = random.Random(9)
+    words = ["the", "cat", "Sat", "on", "mat", "été", "x", "\n", "a-b", "😀", "Größe"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 12))) for _ in range(120)] + [None, "", "the " * 300] + ["the cat"] * 9
+    documents_of(spark, texts).repartition(5).write.parquet(f"{folder}/documents.parquet")
+    got = rows_of(queries.op3_lm_scoring(spark, folder))
+    rows = list(enumerate(texts))
+    check(rows, got, Tree([t for i, t in rows if not held(i)]))
+    assert len({r["score"] for r in got if texts[r["doc_id"]] == "the cat"}) == 1
+    for r in got:
+        size = len((texts[r["doc_id"]] or "").encode()) + 1
+        assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / size, rel=1e-9)
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark, "word and more " * 5000)
     rows = lm_scoring.score_texts(frame, in_fold("doc_id", 7, 2)).collect()

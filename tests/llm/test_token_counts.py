@@ -3,6 +3,7 @@
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
+from sentencepiece.sentencepiece_model_pb2 import ModelProto
 
 from clicktide.llm import queries, token_counts
 from tests.llm.helpers import SF, awkward, empty, needs_data, random_texts, rows_of
@@ -22,6 +23,33 @@ def test_counting_by_word_is_proved():
     assert all(len(LIBRARY.encode(word)) == 1 for word in list(COUNTER.whole)[::97])
 
 
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"precompiled_charsmap": b"x"}, {"add_dummy_prefix": False}, {"escape_whitespaces": False},
+        {"remove_extra_whitespaces": True},
+    ],
+)
+def test_normalisers_that_change_words_are_told(change):
+    model = ModelProto.FromString(LIBRARY.serialized_model_proto())
+    assert token_counts.keeps_words(model)
+    for name, value in change.items():
+        setattr(model.normalizer_spec, name, value)
+    assert not token_counts.keeps_words(model)
+
+
+def test_a_model_that_trims_blanks_is_counted_text_by_text(tmp_path):
+    model = ModelProto.FromString(LIBRARY.serialized_model_proto())
+    model.normalizer_spec.remove_extra_whitespaces = True
+    path = tmp_path / "trims.model"
+    path.write_bytes(model.SerializeToString())
+    counter = token_counts.PieceCounter(str(path))
+    texts = ["  two  words ", "word", "", " \n "]
+    assert not counter.by_word
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    assert counter.count(texts) == [len(library.encode(text)) for text in texts]
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=4))
 def test_any_texts(texts):
