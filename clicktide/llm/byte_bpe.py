@@ -6,7 +6,9 @@ and goes back where two neighbours could not stand side by side in a merge resul
 token sequence is the merge result if and only if every adjacent pair is, so a memo of
 pairs decides each step without merging the whole piece.
 
-Nulls and empty texts give no ids and no bytes. Repeated rows are encoded each.
+Nulls and empty texts give no ids and no bytes. Equal rows are encoded each, and alike; a
+text has one encoding, so there are no ties. Texts of any length are encoded whole, in time
+linear in it. An empty table gives no rows.
 """
 
 from __future__ import annotations

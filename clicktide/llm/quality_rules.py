@@ -11,8 +11,9 @@ texts. The cutoffs are joined to the measures by (lang, source) and decide each
 
 A null text has no words, like an empty one: ``n_words`` 0, refused by the fixed base rule
 of at least ten words. A null lang or source is a group of its own. Repeated rows are
-measured each, and ``kept`` alike. Texts refused by the base rules don't count for
-cutoffs. An empty table gives an empty result.
+measured each, and ``kept`` alike. Texts of any length are measured whole. A measure equal
+to a cutoff is kept. Texts refused by the base rules don't count for cutoffs. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
